@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import packing, warc
+from . import langid, packing, quality, toxicity, warc
 
 QUERIES = {
+    "op3_language_id": langid.op3_language_id,
+    "op4_quality_classifier": quality.op4_quality_classifier,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_warc": warc.op7_warc,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }

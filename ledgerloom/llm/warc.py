@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, release
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _END = "\r\n"
@@ -74,12 +74,13 @@ def write_archive(
     ).withColumn("digest", F.sha2("payload", 256))
     page.groupBy("digest").agg(F.max("record_id").alias("response_id")).write.parquet(f"{path}/index")
     index = spark.read.parquet(f"{path}/index")
-    stored = page.join(
-        index.select(F.col("digest").alias("d"), "response_id"),
-        F.col("record_id").eqNullSafe(F.col("response_id")) & (F.col("digest") == F.col("d")), "left_semi",
+    # The join and the removal of repeated rows share one partitioning, so payloads move once.
+    key = F.coalesce("record_id", F.lit(-(1 << 63))).alias("key")
+    stored = page.select(key, "digest", "payload").join(
+        index.select(F.coalesce("response_id", F.lit(-(1 << 63))).alias("key"), "digest"), ["key", "digest"], "left_semi",
     )
-    # equal ids may repeat a row: the address is the key, so one copy is enough
-    stored.select("digest", "payload").dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
+    stored.dropDuplicates(["key", "digest"]).select("digest", "payload").write.parquet(f"{path}/payloads")
+    release(spark)
     facts = page.select(
         "record_id", "uri", "digest", F.length("payload").cast("long").alias("length"),
         base32_of_hex(F.sha1("payload")).alias("sha1"),

@@ -40,6 +40,8 @@ _BASE = 0x9E3779B97F4A7C17
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+IS_NEWLINE = np.zeros(256, bool)
+IS_NEWLINE[10] = True
 _POW: dict[int, np.ndarray] = {}
 
 
@@ -95,8 +97,13 @@ def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         first = last
 
 
-def word_slices(column: pa.Array, lower: bool = False, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """Words with their 64-bit hashes, slice by slice.  ``lower`` folds A-Z only."""
+def word_slices(
+    column: pa.Array, lower: bool = False, limit: int = SLICE_BYTES, separators: np.ndarray = IS_SPACE
+) -> Iterator[Slice]:
+    """Words with their 64-bit hashes, slice by slice.  ``lower`` folds A-Z only.
+
+    With other ``separators`` (a mask over byte values) the runs are other units, such as lines.
+    """
     table = _LOWER if lower else _BYTE
     with np.errstate(over="ignore"):
         for first, rows, data, offs in byte_slices(column, limit):
@@ -105,7 +112,7 @@ def word_slices(column: pa.Array, lower: bool = False, limit: int = SLICE_BYTES)
                 none = np.zeros(0, np.int64)
                 yield Slice(first, rows, data, none, none, np.zeros(rows + 1, np.int64), np.zeros(0, _U), offs)
                 continue
-            word = ~IS_SPACE[data]
+            word = ~separators[data]
             begins = np.empty(n, bool)
             begins[0] = True
             begins[1:] = ~word[:-1]
