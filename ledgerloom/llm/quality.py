@@ -160,7 +160,7 @@ def _prepared(docs: DataFrame, *more: str) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", divisor: int = 5,
           per_class: int = PER_CLASS) -> Machine:
     """Fit on at most ``per_class`` labelled documents of each class with a non-zero remainder."""
-    sample = _prepared(labelled_sample(docs, labels, label, divisor, per_class), F.col("_y").alias("y"))
+    sample = _prepared(labelled_sample(docs, labels, label, divisor, per_class, per_class), F.col("_y").alias("y"))
     got = sample.mapInArrow(_feature_rows, "y int, idx binary, val binary").collect()
     got.sort(key=lambda r: (r.y, bytes(r.idx), bytes(r.val)))
     sizes = [len(r.idx) // 4 for r in got]

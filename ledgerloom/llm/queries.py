@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import langid, packing, quality, toxicity, warc
+from . import langid, packing, passages, quality, topk, toxicity, warc
 
 QUERIES = {
     "op3_language_id": langid.op3_language_id,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_warc": warc.op7_warc,
+    "op9_exact_topk": topk.op9_exact_topk,
+    "op10_substring_dedup": passages.op10_substring_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
-ORACLES = {"op7_warc": warc.OP7_SQL}
+ORACLES = {"op7_warc": warc.OP7_SQL, "op9_exact_topk": topk.OP9_SQL, "op10_substring_dedup": passages.OP10_SQL}

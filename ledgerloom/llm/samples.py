@@ -13,18 +13,18 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, divisor: int, per_class: int, seed: int = 7
+    docs: DataFrame, labels: DataFrame, label: str, divisor: int, ones: int, zeros: int, seed: int = 7
 ) -> DataFrame:
-    """(doc_id, y, text, ...) of at most ``per_class`` labelled documents of each class.
+    """(doc_id, y, text, ...) of at most ``ones`` and ``zeros`` labelled documents.
 
     Only rows whose id has a non-zero remainder are taken.  The ids are chosen by a hash, first per
-    class by a distributed top-k, so no more than ``2 * per_class`` ids are ever broadcast.
+    class by a distributed top-k, so no more than ``ones + zeros`` ids are ever broadcast.
     """
     usable = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).where(
         F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & (remainder(F.col("_id"), divisor) != 0)
     )
     order = [F.xxhash64(F.col("_id"), F.lit(seed)), F.col("_id"), F.col("_y")]
-    chosen = usable.where("_y = 1").orderBy(*order).limit(per_class).unionByName(
-        usable.where("_y = 0").orderBy(*order).limit(per_class)
+    chosen = usable.where("_y = 1").orderBy(*order).limit(ones).unionByName(
+        usable.where("_y = 0").orderBy(*order).limit(zeros)
     )
     return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")).drop("_id")

@@ -22,7 +22,7 @@ from .samples import labelled_sample, remainder
 
 GRAMS = (4, 6)
 DIMS = 1 << 18
-PER_CLASS = 2000
+TOXIC_ROWS, CLEAN_ROWS = 2000, 4000
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
@@ -114,9 +114,10 @@ def _presence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int = 5,
-          per_class: int = PER_CLASS) -> Model:
-    """Fit on at most ``per_class`` labelled documents of each class with a non-zero remainder."""
-    sample = labelled_sample(docs, labels, label, divisor, per_class)
+          toxic_rows: int = TOXIC_ROWS,
+          clean_rows: int = CLEAN_ROWS) -> Model:
+    """Fit on at most ``toxic_rows`` and ``clean_rows`` labelled documents with a non-zero remainder."""
+    sample = labelled_sample(docs, labels, label, divisor, toxic_rows, clean_rows)
     sample = sample.select(F.col("_y").alias("y"), F.col("text").cast("string").alias("text"))
     got = sorted(((r.y, bytes(r.idx)) for r in sample.mapInArrow(_presence_rows, "y int, idx binary").toLocalIterator()))
     bounds = np.concatenate([[0], np.cumsum([len(b) // 4 for _, b in got])]).astype(np.int64)
