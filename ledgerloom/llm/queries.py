@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from . import langid, packing, passages, quality, topk, toxicity, warc
+from . import jaccard, langid, packing, passages, quality, topk, toxicity, warc
 
 QUERIES = {
     "op3_language_id": langid.op3_language_id,
     "op4_quality_classifier": quality.op4_quality_classifier,
+    "op5_ngram_jaccard_join": jaccard.op5_ngram_jaccard_join,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_warc": warc.op7_warc,
     "op9_exact_topk": topk.op9_exact_topk,
     "op10_substring_dedup": passages.op10_substring_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
-ORACLES = {"op7_warc": warc.OP7_SQL, "op9_exact_topk": topk.OP9_SQL, "op10_substring_dedup": passages.OP10_SQL}
+ORACLES = {"op5_ngram_jaccard_join": jaccard.OP5_SQL, "op7_warc": warc.OP7_SQL, "op9_exact_topk": topk.OP9_SQL, "op10_substring_dedup": passages.OP10_SQL}
