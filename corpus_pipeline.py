@@ -1,12 +1,69 @@
-"""Corpus pipeline over ``documents``: stages that each call one of the ten operators."""
+"""Corpus pipeline over ``documents``: five stages that each call one of the ten operators.
+
+A stage gets what the stage before it kept and returns the columns of ``documents``; the last one
+returns the packed pieces.  ``run`` writes every stage's rows as Parquet in the shared folder and
+reads them back, so a stage never recomputes another.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerloom.llm.decontaminate import find_leaks
+from ledgerloom.llm.jaccard import jaccard_groups
+from ledgerloom.llm.lines import dedupe_lines
+from ledgerloom.llm.packing import pack
+from ledgerloom.llm.quality import THRESHOLD, score, train
 from ledgerloom.llm.scratch import Scratch
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    machine = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs.select(*COLUMNS), machine).where(F.col("score") >= THRESHOLD).select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that align with an earlier document go, and documents that lose all their lines."""
+    found = dedupe_lines(docs)
+    changed = Scratch(spark, "line-stage").write(found.where("n_removed > 0"))
+    emptied = F.col("n_removed").isNotNull() & (F.col("n_removed") == F.col("n_lines"))
+    new_text = F.when(F.col("n_removed").isNotNull(), F.col("kept_text")).otherwise(F.col("text"))
+    new_chars = F.when(F.col("n_removed").isNotNull(), F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return docs.join(changed, "doc_id", "left").where(~emptied).select(
+        "doc_id", new_text.alias("text"), "lang", "source", new_chars.alias("n_chars"),
+    )
+
+
+def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near-duplicates the document with the smallest id stays."""
+    others = jaccard_groups(docs).where("component_id < doc_id").select("doc_id")
+    return docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, tokenised and packed into sequences."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_classifier", quality),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard_join", jaccard),
+    ("decontamination", decontaminate),
+    ("best_fit_packing", packing),
+]
+#: SQL has neither the classifier, the alignment nor the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

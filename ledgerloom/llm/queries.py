@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import jaccard, langid, packing, passages, quality, topk, toxicity, warc
+from . import decontaminate, jaccard, langid, lines, packing, passages, quality, topk, toxicity, warc
 
 QUERIES = {
+    "op1_decontamination": decontaminate.op1_decontamination,
+    "op2_line_dedup": lines.op2_line_dedup,
     "op3_language_id": langid.op3_language_id,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_ngram_jaccard_join": jaccard.op5_ngram_jaccard_join,
