@@ -3,12 +3,13 @@
 Take a period v and a difference cover C of it.  Two equal runs of ``window`` words, wherever they
 start, have some offset below v at which both positions are in C modulo v, so it is enough to hash
 the ``window - v + 1`` words that start at cover positions.  Anchors found in two documents or more
-are extended: the windows around them are compared as a whole, by 96 bits of two independent hashes.
+are extended: the windows around them are compared as a whole, by 95 bits of two independent hashes.
 
-Steps: (1) anchors, combined per batch before they shuffle, give the repeated ones; (2) a semi join
-says which documents hold which; (3) windows around them give the smallest document of each; (4) a
-join says which windows of which document to cut; (5) texts are rewritten.  A key has at most one
-row per document, and the joins are plain shuffled joins that adaptive execution splits.
+Documents are dealt into blocks of a few hundred by a hash of their id, and everything that shuffles
+by content is combined per block first: a hash that a third of all documents hold is one row per
+block, with the smallest document of the block.  The rows of a hash meet in a sorted partition that
+is read as a stream, so no group is ever held in memory, and answers go back to blocks, not to
+documents.  Exact copies of a smaller document are known by their digest and take no part.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
 from .scratch import Scratch
 
-WINDOW = 13
+WINDOW, BLOCK_DOCS = 13, 256
 
 
 def difference_cover(period: int) -> tuple[int, ...]:
@@ -56,56 +58,71 @@ def _anchors(s: W.Slice, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return at, row[at], W.window_hashes(s.hashes, plan.anchor)[at] if len(at) else np.zeros(0, np.uint64)
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64), pa.int64())
 
 
-def _batch_anchors(plan: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = _ids(batch)
-            hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for s in W.word_slices(batch.column(1)):
-                _, row, h = _anchors(s, plan)
-                hashes.append(h)
-                docs.append(ids[s.first + row])
-            h, d = np.concatenate(hashes), np.concatenate(docs)
-            if len(h) == 0:
-                continue
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            last = np.concatenate([first[1:], [len(h)]]) - 1
-            yield pa.RecordBatch.from_arrays([_longs(h[first]), _longs(d[first]), _longs(d[last])], ["h", "lo", "hi"])
+def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Index into sorted ``among`` of each value, or -1."""
+    if len(among) == 0:
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    return np.where(among[at] == values, at, -1)
+
 
-    return run
+def _least(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of the first row of every key, with the smallest document; whether it has several)."""
+    order = np.lexsort((docs, *reversed(keys)))
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(order)) - 1
+    return order[first], docs[order[last]] != docs[order[first]]
 
 
-def _doc_anchors(plan: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = _ids(batch)
-            for s in W.word_slices(batch.column(1)):
-                _, row, h = _anchors(s, plan)
-                if len(h) == 0:
-                    continue
-                order = np.lexsort((h, row))
-                row, h = row[order], h[order]
-                new = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])
-                yield pa.RecordBatch.from_arrays([_longs(h[new]), _longs(ids[s.first + row[new]])], ["h", "doc_id"])
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table[name].combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def _block_anchors(plan: Plan):
+    """Every anchor of a block once: (h, lo, many)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids = _column(table, "doc_id")
+        hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for s in W.word_slices(table["text"]):
+            _, row, h = _anchors(s, plan)
+            hashes.append(h)
+            docs.append(ids[s.first + row])
+        h, d = np.concatenate(hashes), np.concatenate(docs)
+        at, many = _least([h], d)
+        return pa.table({"h": _longs(h[at]), "lo": _longs(d[at]), "many": pa.array(many)})
 
     return run
 
 
-def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Index into sorted ``among`` of each value, or -1."""
-    at = np.searchsorted(among, values)
-    at[at == len(among)] = 0
-    return np.where(among[at] == values, at, -1) if len(among) else np.full(len(values), -1)
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by h those whose anchor more than one document holds: (h, lo)."""
+    held = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        h, many = _column(table, "h"), _column(table, "many").astype(bool)
+        same = h[1:] == h[:-1]
+        keep = many.copy()
+        keep[1:] |= same
+        keep[:-1] |= same
+        # the last row waits for the next batch; it is marked if its group is known to be larger
+        tail = table.slice(len(h) - 1, 1)
+        if keep[-1]:
+            tail = tail.set_column(2, "many", pa.array([True]))
+        held = tail.to_batches()[0]
+        keep[-1] = False
+        yield from table.filter(pa.array(keep)).select(["h", "lo"]).to_batches()
+    if held is not None and held.column(2)[0].as_py():
+        yield held.select(["h", "lo"])
 
 
 def _window_keys(s: W.Slice, a: int, b: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
@@ -114,80 +131,103 @@ def _window_keys(s: W.Slice, a: int, b: int, plan: Plan) -> tuple[np.ndarray, np
     return one, two.astype(np.int64)
 
 
-def _windows(plan: Plan):
-    """Windows that hold a repeated anchor at an offset below the period, once per document."""
+def _copies_of(right: pa.Table) -> set[tuple[int, int]]:
+    copies = right.filter(pc.is_valid(right["copy_id"]))
+    return set(zip(copies["copy_id"].to_pylist(), copies["copy_fp"].to_pylist()))
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = _ids(batch)
-            marks = batch.column(2)
-            for s in W.word_slices(batch.column(1)):
+def _block_windows(plan: Plan):
+    """Windows that hold a repeated anchor at an offset below the period, once per block."""
+
+    def run(texts: pa.Table, right: pa.Table) -> pa.Table:
+        out = {"w": [np.zeros(0, np.uint64)], "x": [np.zeros(0, np.int64)], "d": [np.zeros(0, np.int64)]}
+        marks = right["h"].combine_chunks().drop_null()
+        if len(marks) and texts.num_rows:
+            among = np.sort(marks.to_numpy(zero_copy_only=False).view(np.uint64))
+            copies = _copies_of(right)
+            keys = list(zip(texts["doc_id"].to_pylist(), texts["fp"].to_pylist()))
+            for s in W.word_slices(texts["text"]):
                 at, row, h = _anchors(s, plan)
-                cuts = np.searchsorted(row, np.arange(s.rows + 1))
-                w, x, d = [], [], []
+                hit = np.zeros(len(s.hashes) + 1, np.int64)
+                hit[at[_member(h, among) >= 0] + 1] = 1
+                upto = np.cumsum(hit)
                 for i in range(s.rows):
                     a, b = int(s.bounds[i]), int(s.bounds[i + 1])
-                    if b - a < plan.window:
-                        continue
-                    among = np.sort(marks[s.first + i].values.to_numpy(zero_copy_only=False).view(np.uint64))
-                    mine = slice(cuts[i], cuts[i + 1])
-                    hit = np.zeros(b - a + 1, np.int64)
-                    hit[at[mine][_member(h[mine], among) >= 0] - a + 1] = 1
-                    upto = np.cumsum(hit)
                     n = b - a - plan.window + 1
-                    starts = np.flatnonzero(upto[plan.period : plan.period + n] > upto[:n])
-                    if len(starts) == 0:
+                    if n < 1 or upto[b] == upto[a] or keys[s.first + i] in copies:
                         continue
-                    one, two = _window_keys(s, a, b, plan)
-                    key = np.unique(np.stack([one[starts].view(np.int64), two[starts]]), axis=1)
-                    w.append(key[0])
-                    x.append(key[1])
-                    d.append(np.full(key.shape[1], ids[s.first + i]))
-                if w:
-                    yield pa.RecordBatch.from_arrays(
-                        [_longs(np.concatenate(w)), pa.array(np.concatenate(x).astype(np.int32)), _longs(np.concatenate(d))],
-                        ["w", "x", "doc_id"],
-                    )
+                    starts = np.flatnonzero(upto[a + plan.period : a + plan.period + n] > upto[a : a + n])
+                    if len(starts):
+                        one, two = _window_keys(s, a, b, plan)
+                        out["w"].append(one[starts])
+                        out["x"].append(two[starts])
+                        out["d"].append(np.full(len(starts), keys[s.first + i][0]))
+        w, x, d = (np.concatenate(out[c]) for c in "wxd")
+        at, many = _least([w, x], d)
+        return pa.table({"w": _longs(w[at]), "x": pa.array(x[at].astype(np.int32)), "lo": _longs(d[at]), "many": pa.array(many)})
 
     return run
 
 
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (w, x, lo): (w, x, lo, first) where a document after ``first`` is in lo's block."""
+    key, lead = (None, None), None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        w, x, lo, many = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        new = np.ones(len(w), bool)
+        new[1:] = (w[1:] != w[:-1]) | (x[1:] != x[:-1])
+        if (w[0], x[0]) == key:
+            new[0] = False
+        begin = np.maximum.accumulate(np.where(new, np.arange(len(w)), -1))
+        first = np.where(begin >= 0, lo[begin], lo[0] if lead is None else lead)
+        key, lead = (w[-1], x[-1]), first[-1]
+        keep = (first < lo) | many.astype(bool)
+        yield pa.RecordBatch.from_arrays(
+            [_longs(w[keep]), pa.array(x[keep].astype(np.int32)), _longs(lo[keep]), _longs(first[keep])], ["w", "x", "lo", "first"],
+        )
+
+
 def _rewrite(plan: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted = batch.column(2)
-            n_words, n_cut, kept = [0] * batch.num_rows, [0] * batch.num_rows, [""] * batch.num_rows
-            for s in W.word_slices(batch.column(1)):
-                for i in range(s.rows):
-                    at, a, b = s.first + i, int(s.bounds[i]), int(s.bounds[i + 1])
-                    text = bytes(s.data[s.offsets[i] : s.offsets[i + 1]]).split()
-                    n_words[at] = b - a
-                    keys = wanted[at].values
-                    if keys is not None and len(keys) and b - a >= plan.window:
-                        ws = keys.field(0).to_numpy(zero_copy_only=False).view(np.uint64)
-                        xs = keys.field(1).to_numpy(zero_copy_only=False).astype(np.int64)
-                        order = np.lexsort((xs, ws))
-                        ws, xs = ws[order], xs[order]
+    def run(texts: pa.Table, right: pa.Table) -> pa.Table:
+        ids, prints = texts["doc_id"].to_pylist(), texts["fp"].to_pylist()
+        copies = _copies_of(right)
+        cuts = right.filter(pc.is_valid(right["w"]))
+        ws, xs, first = _column(cuts, "w").view(np.uint64), _column(cuts, "x").astype(np.int64), _column(cuts, "first")
+        order = np.lexsort((xs, ws))
+        ws, xs, first = ws[order], xs[order], first[order]
+        n_words, n_cut, kept = [0] * len(ids), [0] * len(ids), [""] * len(ids)
+        for s in W.word_slices(texts["text"]):
+            for i in range(s.rows):
+                at, a, b = s.first + i, int(s.bounds[i]), int(s.bounds[i + 1])
+                words = bytes(s.data[s.offsets[i] : s.offsets[i + 1]]).split()
+                n_words[at] = b - a
+                if b - a >= plan.window and ids[at] is not None:
+                    if (ids[at], prints[at]) in copies:
+                        n_cut[at], words = b - a, []
+                    elif len(ws):
                         one, two = _window_keys(s, a, b, plan)
                         found = _member(one, ws)
-                        hit = (found >= 0) & (xs[found] == two)
-                        edge = np.zeros(b - a + 1, np.int64)
-                        starts = np.flatnonzero(hit)
-                        np.add.at(edge, starts, 1)
-                        np.add.at(edge, starts + plan.window, -1)
-                        gone = np.cumsum(edge[:-1]) > 0
-                        n_cut[at] = int(gone.sum())
-                        text = [t for t, g in zip(text, gone.tolist()) if not g]
-                    kept[at] = b" ".join(text).decode("utf-8", "replace")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_cut, pa.int64()), pa.array(kept, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_text"],
-            )
+                        hit = np.flatnonzero((found >= 0) & (xs[found] == two) & (first[found] < ids[at]))
+                        if len(hit):
+                            edge = np.zeros(b - a + 1, np.int64)
+                            np.add.at(edge, hit, 1)
+                            np.add.at(edge, hit + plan.window, -1)
+                            gone = np.cumsum(edge[:-1]) > 0
+                            n_cut[at] = int(gone.sum())
+                            words = [t for t, g in zip(words, gone.tolist()) if not g]
+                kept[at] = b" ".join(words).decode("utf-8", "replace")
+        return pa.table({
+            "doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(n_words, pa.int64()),
+            "n_removed": pa.array(n_cut, pa.int64()), "kept_text": pa.array(kept, pa.string()),
+        })
 
     return run
 
 
-def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+                           block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every row.
 
     Every word is removed that a run of ``window`` consecutive words covers if the same run also
@@ -200,32 +240,34 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str =
     plan = Plan(window)
     scratch = Scratch(spark, "passages")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text")
-    given = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    blocks = max(parts, docs.count() // block_docs + 1)
 
-    repeated = scratch.write(
-        given.mapInArrow(_batch_anchors(plan), "h long, lo long, hi long").repartition(parts, "h")
-        .groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("h"), "repeated",
-    )
-    held = scratch.write(
-        given.mapInArrow(_doc_anchors(plan), "h long, doc_id long").join(repeated, "h", "left_semi")
-        .groupBy("doc_id").agg(F.collect_set("h").alias("marks")), "held",
-    )
-    windows = scratch.write(
-        given.join(held, "doc_id").select("doc_id", "text", "marks")
-        .mapInArrow(_windows(plan), "w long, x int, doc_id long"), "windows",
-    )
-    firsts = scratch.write(
-        windows.groupBy("w", "x").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        .where("lo < hi").select("w", "x", "lo"), "firsts",
+    def block(doc_id: str) -> Column:
+        return F.pmod(F.xxhash64(doc_id), F.lit(blocks)).cast("int").alias("block")
+
+    fp = F.xxhash64("text").alias("fp")
+    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text")
+    dealt = rows.select(F.when(F.col("doc_id").isNull(), block("text")).otherwise(block("doc_id")).alias("block"), "doc_id", "text", fp)
+    given = dealt.where("doc_id IS NOT NULL AND text IS NOT NULL")
+
+    digests = scratch.write(given.select("doc_id", "fp", F.sha2("text", 256).alias("sha")), "digests")
+    least = scratch.write(digests.groupBy("sha").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").drop("hi"), "least")
+    copies = scratch.write(digests.join(least, "sha").where("lo < doc_id").select("doc_id", "fp").distinct(), "copies")
+    copies = copies.select(block("doc_id"), F.col("doc_id").alias("copy_id"), F.col("fp").alias("copy_fp"))
+
+    marks = scratch.write(
+        given.groupBy("block").applyInArrow(_block_anchors(plan), "h long, lo long, many boolean")
+        .repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_repeated, "h long, lo long")
+        .select(block("lo"), "h"), "marks",
     )
-    cut = scratch.write(
-        windows.join(firsts, ["w", "x"]).where("lo < doc_id")
-        .groupBy("doc_id").agg(F.collect_set(F.struct("w", "x")).alias("cut")), "cut",
+    cuts = scratch.write(
+        given.groupBy("block").cogroup(marks.unionByName(copies, allowMissingColumns=True).groupBy("block"))
+        .applyInArrow(_block_windows(plan), "w long, x int, lo long, many boolean")
+        .repartition(parts, "w").sortWithinPartitions("w", "x", "lo")
+        .mapInArrow(_firsts, "w long, x int, lo long, first long").select(block("lo"), "w", "x", "first"), "cuts",
     )
-    scratch.drop("windows")
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
-    return rows.join(cut, "doc_id", "left").select("doc_id", "text", "cut").mapInArrow(_rewrite(plan), schema)
+    return dealt.groupBy("block").cogroup(cuts.unionByName(copies, allowMissingColumns=True).groupBy("block")).applyInArrow(_rewrite(plan), schema)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
