@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: tuple[str, ...] = ()
+MODULES: tuple[str, ...] = ("ledger_plans", "audit_plans")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
