@@ -25,19 +25,19 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").dropDuplicates()
 
 
-def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, name: str = "edges", max_rounds: int = 60) -> DataFrame:
     """(u, component): the smallest vertex reachable from every vertex that has an edge.
 
     ``edges`` has long columns u and v; loops and repeated edges do no harm.  Every round is written
     to the shared folder; only a row count and a checksum come to the driver.
     """
-    now = scratch.write(edges.where("u <> v").select("u", "v").dropDuplicates(), "edges0")
+    now = scratch.write(edges.where("u <> v").select("u", "v").dropDuplicates(), f"{name}0")
     before = None
     for r in range(1, max_rounds + 1):
         # both halves of a round are one plan; the written table cuts its lineage
-        now = scratch.write(_stars(_stars(now, True), False), f"edges{r}")
+        now = scratch.write(_stars(_stars(now, True), False), f"{name}{r}")
         state = tuple(now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first())
-        scratch.drop(f"edges{r - 1}")
+        scratch.drop(f"{name}{r - 1}")
         if state == before:
             return now.groupBy("u").agg(F.min("v").alias("component"))
         before = state

@@ -1,13 +1,17 @@
 """Jaccard join of word n-gram sets with prefix filtering and a trie join inside blocks.
 
-All n-grams get one global order: by the frequency of their hash bucket (65,536 buckets, counted over
+All n-grams get one global order: by the frequency of their hash bucket (262,144 buckets, counted over
 all documents), then by hash.  Two sets that reach the threshold share an n-gram within their first
-``n - ceil(t n) + 1`` in that order, so every linked pair meets in the block of the smallest document
-that holds such an n-gram.  Inside a block the sets are stored in a path-compressed trie, frequent
-n-grams first, so that similar sets share their paths; a probe walks the trie level by level, adds up
-the overlap that all sets below an edge share, and drops subtrees whose remaining lengths cannot
-reach the threshold.  Equal sets are one vertex, blocks hand on spanning edges only, and a block of
-more than ``block_rows`` sets is cut into tiles of bounded size.
+``n - ceil(t n) + 1`` in that order, and their sizes are within the threshold of each other: of the
+documents that hold an n-gram, sorted by size, they lie in one chain without a larger step.  Every
+chain is joined to its first document; the connected components of that candidate graph are the blocks,
+so that a set travels once.  (A component of more than ``block_rows`` sets is taken apart again into the
+chains' own groups, and a group that is still larger into tiles of bounded size.)
+
+Inside a block the sets are stored in a path-compressed trie, frequent n-grams first, so that similar
+sets share their paths; a probe walks the trie level by level, adds up the overlap that all sets below
+an edge share, and drops subtrees whose remaining lengths cannot reach the threshold.  Equal sets are
+one vertex, and blocks hand on spanning edges only.
 """
 
 from __future__ import annotations
@@ -24,7 +28,9 @@ from .components import components
 from .scratch import Scratch
 
 WORDS, PERCENT, BLOCK_ROWS = 5, 75, 1000
-_BUCKETS = 1 << 16
+_BUCKET_BITS = 18
+_BUCKETS = 1 << _BUCKET_BITS
+_REST = np.uint64(64 - _BUCKET_BITS)
 
 
 def _count_buckets(k: int):
@@ -33,7 +39,7 @@ def _count_buckets(k: int):
         for batch in batches:
             for s in W.word_slices(batch.column(0), lower=True):
                 for _, grams in W.shingle_sets(s, k):
-                    total += np.bincount((grams >> np.uint64(48)).astype(np.int64), minlength=_BUCKETS)
+                    total += np.bincount((grams >> _REST).astype(np.int64), minlength=_BUCKETS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
@@ -53,8 +59,8 @@ def bucket_ranks(docs: DataFrame, k: int = WORDS) -> np.ndarray:
 
 def ordered(grams: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """n-grams renamed so that numeric order is the global order (a bijection), sorted."""
-    high = ranks[(grams >> np.uint64(48)).astype(np.int64)] << np.uint64(48)
-    return np.sort(high | (grams & np.uint64((1 << 48) - 1)))
+    high = ranks[(grams >> _REST).astype(np.int64)] << _REST
+    return np.sort(high | (grams & np.uint64((1 << (64 - _BUCKET_BITS)) - 1)))
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -82,29 +88,49 @@ def _sizes(k: int):
     return run
 
 
-def _prefixes(k: int, percent: int, ranks, combined: bool):
-    """(token, lo, hi) combined per batch, or (token, doc_id) of every document."""
+def _prefixes(k: int, percent: int, ranks):
+    """(token, n, doc_id): the prefix of every set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = ranks.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            tokens, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for s in W.word_slices(batch.column(1), lower=True):
+                tokens, sizes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
                 for i, grams in W.shingle_sets(s, k):
                     if len(grams):
                         head = ordered(grams, order)[: prefix_length(len(grams), percent)]
                         tokens.append(head)
+                        sizes.append(np.full(len(head), len(grams), np.int32))
                         docs.append(np.full(len(head), ids[i]))
-            t, d = np.concatenate(tokens).view(np.int64), np.concatenate(docs)
-            if not combined:
-                yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(d)], ["token", "doc_id"])
-            elif len(t):
-                at = np.lexsort((d, t))
-                t, d = t[at], d[at]
-                first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-                last = np.concatenate([first[1:], [len(t)]]) - 1
-                yield pa.RecordBatch.from_arrays([pa.array(t[first]), pa.array(d[first]), pa.array(d[last])], ["token", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(docs))], ["token", "n", "doc_id"],
+                )
+
+    return run
+
+
+def _chains(percent: int):
+    """Rows sorted by (token, n, doc_id): every later document of a chain with the chain's first one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            t, n, d = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            n = n.astype(np.int64)
+            start = np.ones(len(t), bool)
+            start[1:] = (t[1:] != t[:-1]) | (100 * n[:-1] < percent * n[1:])
+            if last is not None and last[0] == t[0] and 100 * last[1] >= percent * n[0]:
+                start[0] = False
+            begin = np.maximum.accumulate(np.where(start, np.arange(len(t)), -1))
+            leader = np.where(begin >= 0, d[begin], d[0] if last is None else last[2])
+            last = (t[-1], n[-1], leader[-1])
+            keep = ~start & (leader != d)
+            if keep.any():
+                pair = np.unique(np.stack([leader[keep], d[keep]]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["leader", "doc_id"])
 
     return run
 
@@ -300,22 +326,26 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node")), "reps",
     )
     texts = rows.where("text IS NOT NULL").join(reps.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    shared = scratch.write(
-        texts.mapInArrow(_prefixes(words, percent, ranks, True), "token long, lo long, hi long").repartition(parts, "token")
-        .groupBy("token").agg(F.min("lo").alias("leader"), F.max("hi").alias("hi")).where("leader < hi").select("token", "leader"),
-        "shared",
-    )
     pairs = scratch.write(
-        texts.mapInArrow(_prefixes(words, percent, ranks, False), "token long, doc_id long").join(shared, "token")
-        .select("leader", "doc_id").distinct(), "pairs",
+        texts.mapInArrow(_prefixes(words, percent, ranks), "token long, n int, doc_id long")
+        .repartition(parts, "token").sortWithinPartitions("token", "n", "doc_id")
+        .mapInArrow(_chains(percent), "leader long, doc_id long").distinct(), "pairs",
     )
-    sized = pairs.join(pairs.groupBy("leader").agg(F.count("*").alias("size")), "leader")
-    blocks = scratch.write(sized.groupBy("doc_id").agg(F.collect_list(F.struct("leader", "size")).alias("blocks")), "blocks")
+    near = components(pairs.select(F.col("doc_id").alias("u"), F.col("leader").alias("v")), scratch, "candidates")
+    near = scratch.write(near.select(F.col("u").alias("doc_id"), "component"), "near")
+    near = near.unionByName(near.select(F.col("component").alias("doc_id"), "component")).distinct()
+    sized = near.groupBy("component").agg(F.count("*").alias("size"))
+    whole = near.join(sized, "component")
+    groups = pairs.unionByName(pairs.select("leader", F.col("leader").alias("doc_id"))).distinct()
+    large = groups.join(whole.where(F.col("size") > block_rows).select("doc_id"), "doc_id", "left_semi")
+    large = large.join(large.groupBy("leader").agg(F.count("*").alias("size")), "leader").select("doc_id", "leader", "size")
+    kept = whole.where(F.col("size") <= block_rows).select("doc_id", F.col("component").alias("leader"), "size")
+    blocks = scratch.write(kept.unionByName(large).groupBy("doc_id").agg(F.collect_list(F.struct("leader", "size")).alias("blocks")), "blocks")
     links = scratch.write(
         texts.join(blocks, "doc_id").select("doc_id", "text", "blocks")
         .mapInArrow(_members(words, ranks, block_rows), "leader long, tile long, doc_id long, grams binary")
         .repartition(parts, "leader", "tile").sortWithinPartitions("leader", "tile", "doc_id")
-        .mapInArrow(_join_blocks(percent), "u long, v long"), "links",
+        .mapInArrow(_join_blocks(percent), "u long, v long"), "edges",
     )
     placed = scratch.write(
         sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").join(reps, ["s1", "s2", "n_shingles"]).select("doc_id", "node"), "placed",
@@ -324,7 +354,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     several = placed.where("doc_id <> node").join(
         placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("doc_id"), "doc_id", "left_semi",
     )
-    found = components(links.unionByName(several.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))), scratch)
+    found = components(links.unionByName(several.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))), scratch, "links")
     found = scratch.write(found.select(F.col("u").alias("node"), "component"), "components")
     named = placed.join(found, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component"))
     return sizes.join(named, "doc_id", "left").select(
