@@ -7,12 +7,14 @@ at most the work since the last table.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own setting: shuffle files go when the query that wrote them has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; set to a new folder where it is unset."""
@@ -35,23 +37,19 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str | None = None) -> DataFrame:
-        """Write ``df``, read it back, and let Spark drop the shuffles that made it."""
+        """Write ``df``, read it back, and let Spark remove the shuffle files that made it."""
         self.made += 1
         where = self.path(name or f"t{self.made}")
-        df.write.parquet(where)
-        schema = df.schema
-        del df
-        release(self.spark)
-        return self.spark.read.schema(schema).parquet(where)
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(where)
+        finally:
+            self.spark.conf.set(_CLEANUP, before) if before else self.spark.conf.unset(_CLEANUP)
+        return self.spark.read.schema(df.schema).parquet(where)
 
     def drop(self, name: str) -> None:
         """Delete a table that no later step reads."""
         jvm = self.spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(self.path(name))
         where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Shuffle files go once the driver has collected the plans that wrote them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
