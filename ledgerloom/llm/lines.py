@@ -173,7 +173,7 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
         aligned.mapInArrow(_align, "doc_id long, gone array<int>").select("doc_id", F.explode("gone").alias("line"))
         .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone")), "gone",
     )
-    return rows.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(
+    return rows.join(gone.hint("merge"), "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(
         _rewrite, "doc_id long, n_lines long, n_removed long, kept_text string"
     )
 
