@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     emptied = F.col("n_removed").isNotNull() & (F.col("n_removed") == F.col("n_lines"))
     new_text = F.when(F.col("n_removed").isNotNull(), F.col("kept_text")).otherwise(F.col("text"))
     new_chars = F.when(F.col("n_removed").isNotNull(), F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return docs.join(changed, "doc_id", "left").where(~emptied).select(
+    return docs.join(changed.hint("merge"), "doc_id", "left").where(~emptied).select(
         "doc_id", new_text.alias("text"), "lang", "source", new_chars.alias("n_chars"),
     )
 
@@ -42,7 +42,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates the document with the smallest id stays."""
     others = jaccard_groups(docs).where("component_id < doc_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,7 +325,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     reps = scratch.write(
         sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node")), "reps",
     )
-    texts = rows.where("text IS NOT NULL").join(reps.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = rows.where("text IS NOT NULL").join(reps.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
     pairs = scratch.write(
         texts.mapInArrow(_prefixes(words, percent, ranks), "token long, n int, doc_id long")
         .repartition(parts, "token").sortWithinPartitions("token", "n", "doc_id")
@@ -342,7 +342,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     kept = whole.where(F.col("size") <= block_rows).select("doc_id", F.col("component").alias("leader"), "size")
     blocks = scratch.write(kept.unionByName(large).groupBy("doc_id").agg(F.collect_list(F.struct("leader", "size")).alias("blocks")), "blocks")
     links = scratch.write(
-        texts.join(blocks, "doc_id").select("doc_id", "text", "blocks")
+        texts.join(blocks.hint("merge"), "doc_id").select("doc_id", "text", "blocks")
         .mapInArrow(_members(words, ranks, block_rows), "leader long, tile long, doc_id long, grams binary")
         .repartition(parts, "leader", "tile").sortWithinPartitions("leader", "tile", "doc_id")
         .mapInArrow(_join_blocks(percent), "u long, v long"), "edges",
