@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: tuple[str, ...] = ("ledger_plans", "audit_plans", "text_plans", "provider_plans", "nested_plans")
+MODULES: tuple[str, ...] = ("ledger_plans", "audit_plans", "text_plans", "provider_plans", "nested_plans", "evidence_plans")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
