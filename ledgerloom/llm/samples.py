@@ -15,7 +15,7 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, divisor: int, ones: int, zeros: int, seed: int = 7
 ) -> DataFrame:
-    """(doc_id, y, text, ...) of at most ``ones`` and ``zeros`` labelled documents.
+    """(doc_id, text, n_chars, _y) of at most ``ones`` and ``zeros`` labelled documents.
 
     Only rows whose id has a non-zero remainder are taken.  The ids are chosen by a hash, first per
     class by a distributed top-k, so no more than ``ones + zeros`` ids are ever broadcast.
@@ -27,4 +27,6 @@ def labelled_sample(
     chosen = usable.where("_y = 1").orderBy(*order).limit(ones).unionByName(
         usable.where("_y = 0").orderBy(*order).limit(zeros)
     )
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")).drop("_id")
+    chars = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
+    plain = docs.select("doc_id", F.col("text").cast("string").alias("text"), chars.alias("n_chars"))
+    return plain.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")
