@@ -72,10 +72,11 @@ def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 def _least(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(positions of the first row of every key, with the smallest document; whether it has several)."""
+    if len(docs) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, bool)
     order = np.lexsort((docs, *reversed(keys)))
     new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(order)) - 1
     return order[first], docs[order[last]] != docs[order[first]]
