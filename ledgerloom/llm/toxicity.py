@@ -73,8 +73,29 @@ class Model(NamedTuple):
     table: np.ndarray
 
 
-def fit(y: np.ndarray, bounds: np.ndarray, index: np.ndarray, alpha: float = 1.0, steps: int = 150,
-        penalty: float = 1e-3, rate: float = 0.05) -> Model:
+def fit(y: np.ndarray, bounds: np.ndarray, index: np.ndarray, **options) -> Model:
+    """The model of all rows, its bias moved to where a model of three quarters of them errs least on the rest."""
+    part = np.arange(len(y)) % 4 == 3
+    if len(y) < 40 or min(y[part].sum(), (1 - y[part]).sum()) < 5:
+        return fit_once(y, bounds, index, **options)
+    row = np.repeat(np.arange(len(y)), np.diff(bounds))
+
+    def take(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([[0], np.cumsum(np.diff(bounds)[rows])]), index[rows[row]]
+
+    trial = fit_once(y[~part], *take(~part), **options)
+    cuts, idx = take(part)
+    total = np.concatenate([[0.0], np.cumsum(trial.table[idx])])
+    margin = trial.bias + total[cuts[1:]] - total[cuts[:-1]]
+    tries = np.linspace(-6, 6, 97)
+    errors = np.array([((margin > c) != (y[part] > 0)).sum() for c in tries])
+    shift = float(np.median(tries[errors == errors.min()]))
+    model = fit_once(y, bounds, index, **options)
+    return Model(model.bias - shift, model.table)
+
+
+def fit_once(y: np.ndarray, bounds: np.ndarray, index: np.ndarray, alpha: float = 1.0, steps: int = 150,
+             penalty: float = 1.0, rate: float = 0.05) -> Model:
     """Without both classes the table is zero and the bias says the class (or 0.5)."""
     table = np.zeros(DIMS)
     if len(y) == 0 or y.min() == y.max():

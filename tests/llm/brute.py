@@ -73,7 +73,7 @@ def leaks(docs, items, k=5, threshold=0.75):
 
 
 def patience(a, b):
-    """Aligned (i, j) pairs by plain recursion with a quadratic longest increasing run."""
+    """Aligned (i, j) pairs by plain recursion with a quadratic longest increasing run; of equal ones the last."""
     if not a or not b:
         return []
     if a[0] == b[0]:
@@ -82,12 +82,11 @@ def patience(a, b):
         return patience(a[:-1], b[:-1]) + [(len(a) - 1, len(b) - 1)]
     ca, cb = Counter(a), Counter(b)
     anchors = [(i, b.index(x)) for i, x in enumerate(a) if ca[x] == 1 and cb[x] == 1]
-    best = [[p] for p in anchors]
-    for n, (_, j) in enumerate(anchors):
-        for m in range(n):
-            if anchors[m][1] < j and len(best[m]) + 1 > len(best[n]):
-                best[n] = best[m] + [anchors[n]]
-    run = max(best, key=len, default=[])
+    best = []
+    for i, j in anchors:
+        before = [best[m] for m in range(len(best)) if anchors[m][1] < j]
+        best.append(max(reversed(before), key=len, default=[]) + [(i, j)])
+    run = max(reversed(best), key=len, default=[])
     if not run:
         return []
     out, i0, j0 = [], 0, 0
