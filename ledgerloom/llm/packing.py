@@ -27,31 +27,32 @@ _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
 class TwoGenerations:
-    """A cache of bounded size: what the last generation did not use is forgotten."""
+    """A cache of bounded size: what the last generation did not use is forgotten.
+
+    ``lacking`` moves what is known to the young generation; after ``young`` has been given the rest,
+    it holds everything that was wanted.
+    """
 
     def __init__(self, size: int):
         self.size = size
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def split(self, wanted: set[str]) -> tuple[dict[str, bytes], list[str]]:
-        known, missing = {}, []
-        young, old = self.young, self.old
-        for w in wanted:
-            got = young.get(w)
-            if got is None:
-                got = old.get(w)
-                if got is None:
-                    missing.append(w)
-                    continue
-                young[w] = got
-            known[w] = got
-        return known, missing
-
-    def add(self, found: dict[str, bytes]) -> None:
-        self.young.update((w, ids) for w, ids in found.items() if len(w) <= 64)
+    def lacking(self, wanted: set[str]) -> list[str]:
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
+        lack = wanted.difference(self.young)
+        old = self.old
+        again = [w for w in lack if w in old]
+        self.young.update(zip(again, map(old.__getitem__, again)))
+        lack.difference_update(again)
+        return list(lack)
+
+    def forget(self, words: list[str]) -> None:
+        """Long words are not kept."""
+        for w in words:
+            if len(w) > 64:
+                self.young.pop(w, None)
 
 
 class ChunkTokenizer:
@@ -108,14 +109,14 @@ class ChunkTokenizer:
         wanted.update(alone.values())
         wanted.update([w[:-1] for w in marked.values()])
         wanted.update([w[-1] for w in marked.values()])
-        known, missing = self.words.split(wanted)
-        fresh = self._encode_words(missing)
-        known.update(fresh)
-        self.words.add(fresh)
+        missing = self.words.lacking(wanted)
+        known = self.words.young
+        known.update(self._encode_words(missing))
         out = {c: known[w] for c, w in alone.items()}
         out.update([(c, known[w[:-1]] + known[w[-1]]) for c, w in marked.items()])
         out.update([(c, b"".join([known[w] for w in found])) for c, found in mixed.items()])
         out.update(zip(other, self._direct(other)))
+        self.words.forget(missing)
         return out
 
     def texts(self, texts: list[str]) -> list[bytes]:
@@ -124,12 +125,12 @@ class ChunkTokenizer:
         for s in split:
             if s is not None:
                 wanted.update(s)
-        known, missing = self.chunks.split(wanted)
-        fresh = self._encode_chunks(missing)
-        known.update(fresh)
-        self.chunks.add(fresh)
-        get = known.__getitem__
-        return [self._direct([t])[0] if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        missing = self.chunks.lacking(wanted)
+        self.chunks.young.update(self._encode_chunks(missing))
+        get = self.chunks.young.__getitem__
+        out = [self._direct([t])[0] if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        self.chunks.forget(missing)
+        return out
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
