@@ -49,7 +49,7 @@ class Index:
         by_length: dict[int, list[int]] = defaultdict(list)
         prints = []
         column = pa.array([t for _, t in items], pa.string())
-        for s in W.word_slices(column, lower=True):
+        for s in W.word_slices(column):
             for i in range(s.rows):
                 h = s.hashes[s.bounds[i] : s.bounds[i + 1]]
                 if len(h) == 0:
@@ -139,7 +139,7 @@ def _scan(index, k: int, threshold: float):
         ix: Index = index.value
         for batch in batches:
             ids, out = batch.column(0), []
-            for s in W.word_slices(batch.column(1), lower=True):
+            for s in W.word_slices(batch.column(1)):
                 marked = {}
                 for size in ix.gates:
                     hit = ix.gate(W.window_hashes(s.hashes, size), size)
@@ -167,13 +167,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, thresh
     """(doc_id, item_id, similarity, start_word, n_words) of every contaminated document and item.
 
     One row per row of ``docs`` and item whose best window reaches the threshold; of equal windows
-    the first counts.  A-Z are folded.  Texts with fewer than ``words`` words are one shingle.  Null
+    the first counts.  Both texts are lower-cased.  Texts with fewer than ``words`` words are one shingle.  Null
     and empty texts and items match nothing; a null doc_id or item_id stays null in its rows;
     repeated rows give repeated rows.  Empty tables give an empty result.  Extra columns are ignored.
     """
     spark = docs.sparkSession
-    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text").where("text IS NOT NULL")
-    items = benchmark.selectExpr(f"cast(`{item_col}` AS long) AS item_id", f"cast(`{item_text_col}` AS string) AS text").where("text IS NOT NULL")
+    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"lower(cast(`{text_col}` AS string)) AS text").where("text IS NOT NULL")
+    items = benchmark.selectExpr(f"cast(`{item_col}` AS long) AS item_id", f"lower(cast(`{item_text_col}` AS string)) AS text").where("text IS NOT NULL")
     # the number of slices follows the number of items, so that what is broadcast stays bounded
     n = items.count()
     slices = 1 if n <= slice_items else -(-2 * n // slice_items)

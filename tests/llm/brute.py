@@ -56,9 +56,9 @@ def passages(docs, k=13):
 def leaks(docs, items, k=5, threshold=0.75):
     out = set()
     for d, t in docs:
-        ws = words(fold(t))
+        ws = words((t or "").lower())
         for item, u in items:
-            us = words(fold(u))
+            us = words((u or "").lower())
             if not us or not ws:
                 continue
             size = min(k, len(us))
