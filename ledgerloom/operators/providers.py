@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.files import work_folder
+
 INDEX_COLUMNS = [
     "provider", "competition", "season", "provider_player_id", "player_name", "team", "source_url", "source_local_path", "source_sha256", "record_type",
     "provider_fields_json",
@@ -71,11 +73,18 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int = 5) -> DataFrame:
     """(node, page, depth): pages spread from seed nodes along parent -> child edges, smallest depth first.
 
     Every step joins only the frontier and drops what is known, so cycles end; ``max_depth`` bounds it.
+    Each frontier is written to the shared folder, so no step repeats the work of another.
     """
-    known = seeds.select("node", "page").distinct().withColumn("depth", F.lit(0))
-    frontier = known
+    spark = seeds.sparkSession
+    root = work_folder(spark, "reach")
+    links = edges.select("parent", "child").distinct()
+    frontier = seeds.select("node", "page").distinct().withColumn("depth", F.lit(0))
+    frontier.write.parquet(f"{root}/depth=0")
+    links.write.parquet(f"{root}-links")
+    links = spark.read.parquet(f"{root}-links")
     for d in range(1, max_depth + 1):
-        step = frontier.join(edges, F.col("node") == F.col("parent")).select(F.col("child").alias("node"), "page").distinct()
-        frontier = step.join(known, ["node", "page"], "left_anti").withColumn("depth", F.lit(d))
-        known = known.unionByName(frontier)
-    return known
+        known = spark.read.parquet(*[f"{root}/depth={i}" for i in range(d)]).select("node", "page")
+        last = spark.read.parquet(f"{root}/depth={d - 1}")
+        step = last.join(links, F.col("node") == F.col("parent")).select(F.col("child").alias("node"), "page").distinct()
+        step.join(known, ["node", "page"], "left_anti").withColumn("depth", F.lit(d)).write.parquet(f"{root}/depth={d}")
+    return spark.read.parquet(*[f"{root}/depth={i}" for i in range(max_depth + 1)]).select("node", "page", "depth")
