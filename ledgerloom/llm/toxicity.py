@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier over hashed character n-grams scaled by naive Bayes ratios.
 
-A feature is the presence of a lower-cased (A-Z) byte n-gram; its value is the log ratio of its
+A feature is the presence of a byte n-gram of the lower-cased text; its value is the log ratio of its
 smoothed shares in toxic and clean texts.  A logistic regression over these values is fitted on a
 bounded sample; its weights and the ratios fold into one table, so that scoring adds up one number
 per distinct n-gram.  Scoring is one pass without a shuffle.
@@ -139,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
           clean_rows: int = CLEAN_ROWS) -> Model:
     """Fit on at most ``toxic_rows`` and ``clean_rows`` labelled documents with a non-zero remainder."""
     sample = labelled_sample(docs, labels, label, divisor, toxic_rows, clean_rows)
-    sample = sample.select(F.col("_y").alias("y"), F.col("text").cast("string").alias("text"))
+    sample = sample.select(F.col("_y").alias("y"), F.lower("text").alias("text"))
     got = sorted(((r.y, bytes(r.idx)) for r in sample.mapInArrow(_presence_rows, "y int, idx binary").toLocalIterator()))
     bounds = np.concatenate([[0], np.cumsum([len(b) // 4 for _, b in got])]).astype(np.int64)
     index = np.frombuffer(b"".join(b for _, b in got), "<i4").astype(np.int64)
@@ -158,7 +158,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 out[i] += m.table[index].sum(dtype=np.float64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(out))], ["doc_id", "score"])
 
-    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text")
+    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"lower(cast(`{text_col}` AS string)) AS text")
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
