@@ -84,9 +84,9 @@ def competition_class(spark: SparkSession, sf: str) -> DataFrame:
 
 def bridge_key(spark: SparkSession, sf: str) -> DataFrame:
     own = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("key-"), "c_nationkey"))
-    linked = F.when((F.col("c_custkey") % 4 == 1) & F.col("c_custkey").cast("string").rlike(r"^\d+$"), F.concat(F.lit("understat:"), "c_custkey"))
+    linked = F.when((F.col("c_custkey") % 4 == 1) & F.col("c_custkey").cast("string").rlike(r"^\d+$"), F.concat(F.lit("provider:"), "c_custkey"))
     digits = F.nullif(F.regexp_extract("c_name", r"#0*(\d+)$", 1), F.lit(""))
-    return table(spark, sf, "customer").select("c_custkey", F.coalesce(own, linked, F.concat(F.lit("understat:"), digits)).alias("bridge"))
+    return table(spark, sf, "customer").select("c_custkey", F.coalesce(own, linked, F.concat(F.lit("provider:"), digits)).alias("bridge"))
 
 
 def technical_id_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,7 +279,7 @@ QUERIES = {
     "scope_snapshots": (scope_snapshots, f"SELECT o_custkey, 'total' AS scope, NULL::INTEGER AS round, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1 UNION ALL SELECT o_custkey, 'round', {_Y}, count(*) FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 3"),
     "regex_id_extract": (regex_id_extract, "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN (props ->> '$.k')::BIGINT ELSE user_id END AS id FROM events"),
     "competition_class": (competition_class, "SELECT p_type, CASE WHEN p_type IN ('ECONOMY', 'STANDARD') THEN 'league' WHEN p_type LIKE 'P%' THEN 'cup' ELSE 'other' END AS class, count(*) AS n FROM part GROUP BY 1, 2"),
-    "bridge_key": (bridge_key, "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'key-' || c_nationkey ELSE 'understat:' || c_custkey END AS bridge FROM customer"),
+    "bridge_key": (bridge_key, "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'key-' || c_nationkey ELSE 'provider:' || c_custkey END AS bridge FROM customer"),
     "technical_id_check": (technical_id_check, "SELECT count(*) AS rows, count(*) FILTER (c_custkey % 50 = 0) AS not_canonical, count(DISTINCT c_custkey) = count(*) AS \"unique\" FROM customer"),
     "record_checks": (record_checks, "WITH c AS (SELECT o_totalprice > 1000 AS priced, o_orderstatus = 'F' AS final, year(o_orderdate) >= 1995 AS dated FROM orders) SELECT *, CASE WHEN priced AND final AND dated THEN 'VERIFIED' ELSE 'REVIEW' END AS status, count(*) AS n FROM c GROUP BY ALL"),
     "dim_lookup": (dim_lookup, """WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 999 ELSE c_nationkey END AS team, CASE WHEN c_custkey % 4 = 0 THEN 3 END AS own FROM customer)

@@ -1,4 +1,4 @@
-"""Hand-made cases: what the reference's audits and failures taught."""
+"""Hand-made cases: what earlier audits and failures taught."""
 
 import pytest
 from pyspark.sql import functions as F
