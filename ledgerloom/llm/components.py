@@ -31,14 +31,19 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "edges", max_roun
     ``edges`` has long columns u and v; loops and repeated edges do no harm.  Every round is written
     to the shared folder; only a row count and a checksum come to the driver.
     """
-    now = scratch.write(edges.where("u <> v").select("u", "v").dropDuplicates(), f"{name}0")
-    before = None
+    oriented = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).dropDuplicates()
+    now = scratch.write(oriented, f"{name}0")
+    before = _state(now)
     for r in range(1, max_rounds + 1):
         # both halves of a round are one plan; the written table cuts its lineage
         now = scratch.write(_stars(_stars(now, True), False), f"{name}{r}")
-        state = tuple(now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first())
+        state = _state(now)
         scratch.drop(f"{name}{r - 1}")
-        if state == before:
+        if state == before:  # stars to the smallest vertex stay as they are
             return now.groupBy("u").agg(F.min("v").alias("component"))
         before = state
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first())

@@ -4,14 +4,16 @@ All n-grams get one global order: by the frequency of their hash bucket (262,144
 all documents), then by hash.  Two sets that reach the threshold share an n-gram within their first
 ``n - ceil(t n) + 1`` in that order, and their sizes are within the threshold of each other: of the
 documents that hold an n-gram, sorted by size, they lie in one chain without a larger step.  Every
-chain is joined to its first document; the connected components of that candidate graph are the blocks,
-so that a set travels once.  (A component of more than ``block_rows`` sets is taken apart again into the
-chains' own groups, and a group that is still larger into tiles of bounded size.)
+chain with its first document is a candidate group.  Groups are sifted by parity bitmaps of 4,096 bits:
+two sets differ in at least as many n-grams as their bitmaps differ in bits, so a pair whose bitmaps
+differ too much cannot reach the threshold.  The connected components of the pairs that pass are the
+blocks, so that a set travels once.  (A group or component of more than ``block_rows`` sets is cut into
+tiles of bounded size.)
 
 Inside a block the sets are stored in a path-compressed trie, frequent n-grams first, so that similar
 sets share their paths; a probe walks the trie level by level, adds up the overlap that all sets below
 an edge share, and drops subtrees whose remaining lengths cannot reach the threshold.  Equal sets are
-one vertex, and blocks hand on spanning edges only.
+one vertex, and blocks hand on stars only.
 """
 
 from __future__ import annotations
@@ -67,22 +69,32 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+BITS = 4096
+
+
+def parity_bits(grams: np.ndarray) -> bytes:
+    """Bit i is the parity of the number of n-grams that hash to i."""
+    return np.packbits(np.bincount((grams & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
+
+
 def _sizes(k: int):
-    """Set size and 128-bit set fingerprint of every row."""
+    """Set size, 128-bit set fingerprint and parity bitmap of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
                 n = np.zeros(batch.num_rows, np.int64)
                 one, two = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
+                bits = [b""] * batch.num_rows
                 for s in W.word_slices(batch.column(1), lower=True):
                     for i, grams in W.shingle_sets(s, k):
                         n[i] = len(grams)
+                        bits[i] = parity_bits(grams)
                         one[i] = W.mix64(grams).sum(dtype=np.uint64)
                         two[i] = W.mix64(grams ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                    ["doc_id", "n_shingles", "s1", "s2"],
+                    [batch.column(0), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(bits, pa.binary())],
+                    ["doc_id", "n_shingles", "s1", "s2", "bits"],
                 )
 
     return run
@@ -149,11 +161,7 @@ def _members(k: int, ranks, block_rows: int):
                         continue
                     body = ordered(grams, order).tobytes()
                     for b in blocks[i].as_py():
-                        tiles = -(-b["size"] // block_rows)
-                        mine = ids[i] % tiles
-                        for other in range(tiles):
-                            tile = min(mine, other) * tiles + max(mine, other) if tiles > 1 else 0
-                            out.append((b["leader"], tile, ids[i], body))
+                        out += [(b["leader"], tile, ids[i], body) for tile in _tiles(ids[i], b["size"], block_rows)]
                 if out:
                     a, t, d, m = zip(*out)
                     yield pa.RecordBatch.from_arrays(
@@ -164,6 +172,47 @@ def _members(k: int, ranks, block_rows: int):
     return run
 
 
+def _tiles(doc_id: int, size: int, block_rows: int) -> list[int]:
+    """Numbers of the tile pairs that a member of a group of ``size`` belongs to."""
+    n = -(-size // block_rows)
+    mine = doc_id % n
+    return [min(mine, other) * n + max(mine, other) for other in range(n)]
+
+
+def _spread(block_rows: int):
+    """(leader, size, doc_id, n, bits) once per tile pair of its group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column(1).to_pylist()
+            tiles = [_tiles(d, k, block_rows) for d, k in zip(batch.column(2).to_pylist(), size)]
+            again = np.repeat(np.arange(len(size)), [len(t) for t in tiles])
+            out = batch.take(pa.array(again)).set_column(1, "tile", pa.array([x for t in tiles for x in t], pa.int64()))
+            for a in range(0, out.num_rows, 4096):
+                yield out.slice(a, 4096)
+
+    return run
+
+
+def sift(ids: list[int], sizes: np.ndarray, bits: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Star edges of the components of pairs whose bitmaps allow the threshold."""
+    root = np.arange(len(ids))
+    for i in range(len(ids) - 1):
+        if (root == root[0]).all():
+            break
+        apart = np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        both = sizes[i + 1 :] + sizes[i]
+        # overlap = (both - difference) / 2 must reach percent * both / (100 + percent)
+        near = np.flatnonzero((both - apart) * (100 + percent) >= 2 * percent * both) + i + 1
+        if len(near):
+            group = np.unique(root[np.append(near, i)])
+            root[np.isin(root, group)] = group[0]
+    least: dict[int, int] = {}
+    for r, d in zip(root.tolist(), ids):
+        least[r] = min(d, least.get(r, d))
+    return sorted({(d, least[r]) for r, d in zip(root.tolist(), ids) if d != least[r]})
+
+
 class Trie:
     """Path-compressed trie over number sequences in descending order (frequent n-grams first)."""
 
@@ -249,8 +298,8 @@ class Trie:
 
 
 def block_edges(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Spanning edges of the links between the sets of one block."""
-    sizes = [len(s) for s in sets]
+    """Star edges (document, smallest document) of the linked components of one block."""
+    sizes = [len(x) for x in sets]
     universe, local = np.unique(np.concatenate(sets), return_inverse=True)
     cuts = np.cumsum(sizes)[:-1]
     own = np.split(local.astype(np.uint32), cuts)
@@ -264,7 +313,7 @@ def block_edges(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tu
             i = root[i]
         return i
 
-    edges, groups = [], len(ids)
+    groups = len(ids)
     for i, x in enumerate(own):
         if groups == 1:
             break
@@ -274,36 +323,47 @@ def block_edges(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tu
             if a != b:
                 root[max(a, b)] = min(a, b)
                 groups -= 1
-                edges.append((ids[i], ids[j]))
         member[x] = False
-    return edges
+    least: dict[int, int] = {}
+    for i, d in enumerate(ids):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return sorted({(d, least[find(i)]) for i, d in enumerate(ids) if d != least[find(i)]})
 
 
-def _join_blocks(percent: int):
-    def flush(key, rows, out):
-        if len(rows) > 1:
-            seen = dict.fromkeys(rows)  # a document can reach a block by several n-grams
-            ids, bodies = [d for d, _ in seen], [b for _, b in seen]
-            out += block_edges(ids, [np.frombuffer(b, np.uint64) for b in bodies], percent)
+def _by_block(work):
+    """Rows sorted by (leader, tile): edges that ``work`` finds among the rows of each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows, out = None, [], []
+        key, rows = None, []
+
+        def edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in found], pa.int64()) for i in (0, 1)], ["u", "v"])
+
         for batch in batches:
-            for at in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            out = []
+            for at in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
                 if at[:2] != key:
-                    flush(key, rows, out)
+                    out += work(list(dict.fromkeys(rows))) if len(rows) > 1 else []
                     key, rows = at[:2], []
                 rows.append(at[2:])
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.int64()), pa.array([e[1] for e in out], pa.int64())], ["u", "v"])
-                out = []
-        flush(key, rows, out)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.int64()), pa.array([e[1] for e in out], pa.int64())], ["u", "v"])
+            yield edges(out)
+        yield edges(work(list(dict.fromkeys(rows))) if len(rows) > 1 else [])
 
     return run
 
 
+def _sift_block(percent: int):
+    def work(rows):
+        bits = np.frombuffer(b"".join(r[2] for r in rows), np.uint64).reshape(len(rows), -1)
+        return sift([r[0] for r in rows], np.array([r[1] for r in rows], np.int64), bits, percent)
+
+    return work
+
+
+def _join_block(percent: int):
+    return lambda rows: block_edges([r[0] for r in rows], [np.frombuffer(r[1], np.uint64) for r in rows], percent)
+
+
 def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_rows: int = BLOCK_ROWS,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
@@ -321,7 +381,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text")
     ranks = spark.sparkContext.broadcast(bucket_ranks(rows, words))
 
-    sizes = scratch.write(rows.mapInArrow(_sizes(words), "doc_id long, n_shingles long, s1 long, s2 long"), "sizes")
+    sizes = scratch.write(rows.mapInArrow(_sizes(words), "doc_id long, n_shingles long, s1 long, s2 long, bits binary"), "sizes")
     reps = scratch.write(
         sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node")), "reps",
     )
@@ -331,21 +391,24 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .repartition(parts, "token").sortWithinPartitions("token", "n", "doc_id")
         .mapInArrow(_chains(percent), "leader long, doc_id long").distinct(), "pairs",
     )
-    near = components(pairs.select(F.col("doc_id").alias("u"), F.col("leader").alias("v")), scratch, "candidates")
-    near = scratch.write(near.select(F.col("u").alias("doc_id"), "component"), "near")
-    near = near.unionByName(near.select(F.col("component").alias("doc_id"), "component")).distinct()
-    sized = near.groupBy("component").agg(F.count("*").alias("size"))
-    whole = near.join(sized, "component")
     groups = pairs.unionByName(pairs.select("leader", F.col("leader").alias("doc_id"))).distinct()
-    large = groups.join(whole.where(F.col("size") > block_rows).select("doc_id"), "doc_id", "left_semi")
-    large = large.join(large.groupBy("leader").agg(F.count("*").alias("size")), "leader").select("doc_id", "leader", "size")
-    kept = whole.where(F.col("size") <= block_rows).select("doc_id", F.col("component").alias("leader"), "size")
-    blocks = scratch.write(kept.unionByName(large).groupBy("doc_id").agg(F.collect_list(F.struct("leader", "size")).alias("blocks")), "blocks")
+    groups = groups.join(groups.groupBy("leader").agg(F.count("*").alias("size")), "leader")
+    kept = sizes.join(reps, ["s1", "s2", "n_shingles"]).where("doc_id = node").select("doc_id", "n_shingles", "bits")
+    maybe = scratch.write(
+        groups.join(kept.hint("merge"), "doc_id").select("leader", "size", "doc_id", "n_shingles", "bits")
+        .mapInArrow(_spread(block_rows), "leader long, tile long, doc_id long, n_shingles long, bits binary")
+        .repartition(parts, "leader", "tile").sortWithinPartitions("leader", "tile", "doc_id")
+        .mapInArrow(_by_block(_sift_block(percent)), "u long, v long").distinct(), "maybe",
+    )
+    near = components(maybe, scratch, "candidates").select(F.col("u").alias("doc_id"), "component")
+    near = scratch.write(near.unionByName(near.select(F.col("component").alias("doc_id"), "component")).distinct(), "near")
+    whole = near.join(near.groupBy("component").agg(F.count("*").alias("size")), "component")
+    blocks = scratch.write(whole.select("doc_id", F.col("component").alias("leader"), "size"), "blocks")
     links = scratch.write(
-        texts.join(blocks.hint("merge"), "doc_id").select("doc_id", "text", "blocks")
+        texts.join(blocks.hint("merge"), "doc_id").select("doc_id", "text", F.array(F.struct("leader", "size")).alias("blocks"))
         .mapInArrow(_members(words, ranks, block_rows), "leader long, tile long, doc_id long, grams binary")
         .repartition(parts, "leader", "tile").sortWithinPartitions("leader", "tile", "doc_id")
-        .mapInArrow(_join_blocks(percent), "u long, v long"), "edges",
+        .mapInArrow(_by_block(_join_block(percent)), "u long, v long"), "edges",
     )
     placed = scratch.write(
         sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").join(reps, ["s1", "s2", "n_shingles"]).select("doc_id", "node"), "placed",
