@@ -59,21 +59,22 @@ def test_trie_finds_all_links(percent):
     base = np.arange(40, dtype=np.uint64)
     sets = [np.sort(r.choice(base, r.integers(1, 40), replace=False)) for _ in range(80)]
     edges = jaccard.block_edges(list(range(80)), sets, percent)
-    root = list(range(80))
-
-    def find(x):
-        return x if root[x] == x else find(root[x])
-
-    for a, b in edges:
-        root[find(a)] = find(b)
-    for i in range(80):
-        for j in range(i):
-            o = len(np.intersect1d(sets[i], sets[j]))
-            if 100 * o >= percent * (len(sets[i]) + len(sets[j]) - o):
-                assert find(i) == find(j)
-    for a, b in edges:
-        o = len(np.intersect1d(sets[a], sets[b]))
-        assert 100 * o >= percent * (len(sets[a]) + len(sets[b]) - o)
+    def groups(links):
+        root = list(range(80))
+        for a, b in links:
+            root = [min(root[a], root[b]) if x in (root[a], root[b]) else x for x in root]
+        return root
+
+    def linked(i, j):
+        o = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * o >= percent * (len(sets[i]) + len(sets[j]) - o)
+
+    want = groups([(i, j) for i in range(80) for j in range(i) if linked(i, j)])
+    assert groups(edges) == want
+    assert all(b == want[a] < a for a, b in edges)
+    bits = np.array([np.frombuffer(jaccard.parity_bits(s), np.uint64) for s in sets])
+    sifted = groups(jaccard.sift(list(range(80)), np.array([len(s) for s in sets]), bits, percent))
+    assert all(sifted[i] == sifted[j] for i in range(80) for j in range(i) if linked(i, j))
 
 
 def test_passages(spark):
