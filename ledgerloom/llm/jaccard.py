@@ -194,23 +194,57 @@ def _spread(block_rows: int):
     return run
 
 
+def grouped(n: int, probe) -> list[int]:
+    """Component number of each of n rows; ``probe(i)`` gives the rows that link with row i.
+
+    Rows of the largest component are left unprobed: a link that no probe has seen would join two of
+    them.  A family of copies thus costs a few probes, not one for each copy.
+    """
+    root, size = list(range(n)), [1] * n
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    largest, waiting = 0, list(range(n))
+    while waiting:
+        left = []
+        for i in waiting:
+            if size[largest] > 1 and find(i) == largest:
+                left.append(i)
+                continue
+            for j in probe(i):
+                a, b = find(i), find(int(j))
+                if a != b:
+                    a, b = (a, b) if size[a] >= size[b] else (b, a)
+                    root[b] = a
+                    size[a] += size[b]
+            largest = max(largest, find(i), key=lambda r: size[r])
+            largest = find(largest)
+        waiting = [i for i in left if find(i) != largest]
+    return [find(i) for i in range(n)]
+
+
+def stars(ids: list[int], group: list[int]) -> list[tuple[int, int]]:
+    """(document, smallest document of its group) without the smallest ones."""
+    least: dict[int, int] = {}
+    for g, d in zip(group, ids):
+        least[g] = min(d, least.get(g, d))
+    return sorted({(d, least[g]) for g, d in zip(group, ids) if d != least[g]})
+
+
 def sift(ids: list[int], sizes: np.ndarray, bits: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Star edges of the components of pairs whose bitmaps allow the threshold."""
-    root = np.arange(len(ids))
-    for i in range(len(ids) - 1):
-        if (root == root[0]).all():
-            break
-        apart = np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        both = sizes[i + 1 :] + sizes[i]
+
+    def probe(i: int) -> np.ndarray:
+        apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
+        both = sizes + sizes[i]
         # overlap = (both - difference) / 2 must reach percent * both / (100 + percent)
-        near = np.flatnonzero((both - apart) * (100 + percent) >= 2 * percent * both) + i + 1
-        if len(near):
-            group = np.unique(root[np.append(near, i)])
-            root[np.isin(root, group)] = group[0]
-    least: dict[int, int] = {}
-    for r, d in zip(root.tolist(), ids):
-        least[r] = min(d, least.get(r, d))
-    return sorted({(d, least[r]) for r, d in zip(root.tolist(), ids) if d != least[r]})
+        return np.flatnonzero((both - apart) * (100 + percent) >= 2 * percent * both)
+
+    return stars(ids, grouped(len(ids), probe))
 
 
 class Trie:
@@ -305,29 +339,14 @@ def block_edges(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tu
     own = np.split(local.astype(np.uint32), cuts)
     trie = Trie([x[::-1] for x in own])
     member = np.zeros(len(universe), bool)
-    root = list(range(len(ids)))
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    def probe(i: int) -> list[int]:
+        member[own[i]] = True
+        found = trie.probe(own[i], member, percent)
+        member[own[i]] = False
+        return found
 
-    groups = len(ids)
-    for i, x in enumerate(own):
-        if groups == 1:
-            break
-        member[x] = True
-        for j in trie.probe(x, member, percent):
-            a, b = find(i), find(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                groups -= 1
-        member[x] = False
-    least: dict[int, int] = {}
-    for i, d in enumerate(ids):
-        least[find(i)] = min(d, least.get(find(i), d))
-    return sorted({(d, least[find(i)]) for i, d in enumerate(ids) if d != least[find(i)]})
+    return stars(ids, grouped(len(ids), probe))
 
 
 def _by_block(work):
