@@ -4,8 +4,8 @@ All n-grams get one global order: by the frequency of their hash bucket (262,144
 all documents), then by hash.  Two sets that reach the threshold share an n-gram within their first
 ``n - ceil(t n) + 1`` in that order, and their sizes are within the threshold of each other: of the
 documents that hold an n-gram, sorted by size, they lie in one chain without a larger step.  Every
-chain with its first document is a candidate group.  Groups are sifted by parity bitmaps of 4,096 bits:
-two sets differ in at least as many n-grams as their bitmaps differ in bits, so a pair whose bitmaps
+chain with its first document is a candidate group.  Groups are sifted by parity bitmaps of two
+bits or more an n-gram: two sets differ in at least as many n-grams as their bitmaps differ in bits, so a pair whose bitmaps
 differ too much cannot reach the threshold.  The connected components of the pairs that pass are the
 blocks, so that a set travels once.  (A group or component of more than ``block_rows`` sets is cut into
 tiles of bounded size.)
@@ -73,8 +73,12 @@ BITS = 4096
 
 
 def parity_bits(grams: np.ndarray) -> bytes:
-    """Bit i is the parity of the number of n-grams that hash to i."""
-    return np.packbits(np.bincount((grams & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
+    """Bit i is the parity of the number of n-grams that hash to i.
+
+    The length is a power of two of at least two bits an n-gram; halves fold by exclusive or.
+    """
+    size = max(BITS, 1 << (2 * len(grams) - 1).bit_length())
+    return np.packbits(np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
 
 
 def _sizes(k: int):
@@ -235,14 +239,38 @@ def stars(ids: list[int], group: list[int]) -> list[tuple[int, int]]:
     return sorted({(d, least[g]) for g, d in zip(group, ids) if d != least[g]})
 
 
-def sift(ids: list[int], sizes: np.ndarray, bits: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Star edges of the components of pairs whose bitmaps allow the threshold."""
+def sift(ids: list[int], sizes: np.ndarray, bits: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Star edges of the components of pairs whose sizes and bitmaps allow the threshold."""
+    length = np.array([len(b) for b in bits])
+    level = {n: np.flatnonzero(length == n) for n in np.unique(length).tolist()}
+    whole = {n: np.frombuffer(b"".join(bits[i] for i in at), np.uint64).reshape(len(at), -1) for n, at in level.items()}
+    place = np.zeros(len(ids), np.int64)
+    for at in level.values():
+        place[at] = np.arange(len(at))
+
+    def half(x: np.ndarray) -> np.ndarray:
+        return x[..., : x.shape[-1] // 2] ^ x[..., x.shape[-1] // 2 :]
+
+    folded = {n: half(x) for n, x in whole.items()}
 
     def probe(i: int) -> np.ndarray:
-        apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
-        both = sizes + sizes[i]
-        # overlap = (both - difference) / 2 must reach percent * both / (100 + percent)
-        return np.flatnonzero((both - apart) * (100 + percent) >= 2 * percent * both)
+        n, out = int(length[i]), []
+        # sets within the threshold differ at most by one doubling of the bitmap
+        for other, at in level.items():
+            if other == n:
+                apart = whole[n] ^ whole[n][place[i]]
+            elif 2 * other == n:
+                apart = whole[other] ^ folded[n][place[i]]
+            elif other == 2 * n:
+                apart = folded[other] ^ whole[n][place[i]]
+            else:
+                continue
+            apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+            both, least = sizes[at] + sizes[i], np.minimum(sizes[at], sizes[i])
+            # overlap = (both - difference) / 2 must reach percent * both / (100 + percent)
+            near = ((both - apart) * (100 + percent) >= 2 * percent * both) & (100 * least >= percent * (both - least))
+            out.append(at[near])
+        return np.concatenate(out)
 
     return stars(ids, grouped(len(ids), probe))
 
@@ -372,11 +400,7 @@ def _by_block(work):
 
 
 def _sift_block(percent: int):
-    def work(rows):
-        bits = np.frombuffer(b"".join(r[2] for r in rows), np.uint64).reshape(len(rows), -1)
-        return sift([r[0] for r in rows], np.array([r[1] for r in rows], np.int64), bits, percent)
-
-    return work
+    return lambda rows: sift([r[0] for r in rows], np.array([r[1] for r in rows], np.int64), [r[2] for r in rows], percent)
 
 
 def _join_block(percent: int):

@@ -72,11 +72,23 @@ def test_trie_finds_all_links(percent):
     want = groups([(i, j) for i in range(80) for j in range(i) if linked(i, j)])
     assert groups(edges) == want
     assert all(b == want[a] < a for a, b in edges)
-    bits = np.array([np.frombuffer(jaccard.parity_bits(s), np.uint64) for s in sets])
+    bits = [jaccard.parity_bits(s) for s in sets]
     sifted = groups(jaccard.sift(list(range(80)), np.array([len(s) for s in sets]), bits, percent))
     assert all(sifted[i] == sifted[j] for i in range(80) for j in range(i) if linked(i, j))
 
 
+def test_sift_folds_bitmaps():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    base = r.integers(0, 2**63, 2200, dtype=np.uint64)
+    sets = [base[:2000], base[:2100], base[:1500], np.append(base[:2000], r.integers(0, 2**63, 100, dtype=np.uint64)), r.integers(0, 2**63, 2090, dtype=np.uint64), r.integers(0, 2**63, 1990, dtype=np.uint64)]
+    bits = [jaccard.parity_bits(s) for s in sets]
+    assert len({len(b) for b in bits}) == 2
+    got = jaccard.sift([10, 11, 12, 13, 14, 15], np.array([len(s) for s in sets]), bits, 75)
+    assert got == [(11, 10), (12, 10), (13, 10)]
+
+
 def test_passages(spark):
     rows = corpus(7)
     got = sorted(tuple(r) for r in passages.drop_repeated_passages(frame(spark, rows), block_docs=8).collect())
