@@ -29,13 +29,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that align with an earlier document go, and documents that lose all their lines."""
-    found = dedupe_lines(docs)
-    changed = Scratch(spark, "line-stage").write(found.where("n_removed > 0"))
-    emptied = F.col("n_removed").isNotNull() & (F.col("n_removed") == F.col("n_lines"))
-    new_text = F.when(F.col("n_removed").isNotNull(), F.col("kept_text")).otherwise(F.col("text"))
-    new_chars = F.when(F.col("n_removed").isNotNull(), F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return docs.join(changed.hint("merge"), "doc_id", "left").where(~emptied).select(
-        "doc_id", new_text.alias("text"), "lang", "source", new_chars.alias("n_chars"),
+    found = dedupe_lines(docs, keep=("lang", "source", "n_chars"))
+    changed = F.col("n_removed") > 0
+    return found.where(~(changed & (F.col("n_removed") == F.col("n_lines")))).select(
+        "doc_id", F.col("kept_text").alias("text"), "lang", "source",
+        F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
     )
 
 

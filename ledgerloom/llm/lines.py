@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import words as W
 from .scratch import Scratch
@@ -139,13 +140,14 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut.append(len(drop))
             kept.append(text if not drop else b"\n".join(out).decode())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(total, pa.int64()), pa.array(cut, pa.int64()), pa.array(kept, pa.string())],
-            ["doc_id", "n_lines", "n_removed", "kept_text"],
+            [batch.column(0), pa.array(total, pa.int64()), pa.array(cut, pa.int64()), pa.array(kept, pa.string()), *batch.columns[3:]],
+            ["doc_id", "n_lines", "n_removed", "kept_text", *batch.schema.names[3:]],
         )
 
 
-def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_removed, kept_text) of every row; lines are the non-blank ones.
+def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_lines, n_removed, kept_text) of every row and its ``keep`` columns; lines are the non-blank ones.
 
     Judged on the input: a line goes if the alignment with any earlier nominated document matches it.
     Blank lines stay and are not counted.  A null text stays null with no lines.  A document with a
@@ -156,8 +158,8 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text")
-    given = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text", *[f"`{c}`" for c in keep])
+    given = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     shared = scratch.write(
         given.mapInArrow(_holders(min_words, True), "h long, lo long, hi long").repartition(parts, "h")
         .groupBy("h").agg(F.min("lo").alias("partner"), F.max("hi").alias("hi")).where("partner < hi").select("h", "partner"), "shared",
@@ -173,9 +175,10 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
         aligned.mapInArrow(_align, "doc_id long, gone array<int>").select("doc_id", F.explode("gone").alias("line"))
         .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone")), "gone",
     )
-    return rows.join(gone.hint("merge"), "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(
-        _rewrite, "doc_id long, n_lines long, n_removed long, kept_text string"
-    )
+    schema = StructType().add("doc_id", "long").add("n_lines", "long").add("n_removed", "long").add("kept_text", "string")
+    for c in keep:
+        schema = schema.add(docs.schema[c])
+    return rows.join(gone.hint("merge"), "doc_id", "left").select("doc_id", "text", "gone", *keep).mapInArrow(_rewrite, schema)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,3 +39,19 @@ def test_run_and_empty_input(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_stages_with_nulls_and_repeated_rows(spark):
+    line = "one two three four five six seven eight nine ten"
+    rows = [(1, line + "\nfirst own line here", "en", None, None), (1, line + "\nfirst own line here", "en", None, None), (2, line + "\nsecond own line here", None, "s", 7),
+            (None, line, "en", "s", 1), (3, None, "en", "s", None), (4, "", None, None, 0), (5, line, "en", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    deduped = P.line_dedup(spark, docs, SF)
+    got = sorted(((r.doc_id or -1, r.text, r.n_chars) for r in deduped.collect()), key=str)
+    want = [(1, rows[0][1], None), (1, rows[0][1], None), (2, "second own line here", 20), (-1, line, 1), (3, None, None), (4, "", 0)]
+    assert got == sorted(want, key=str)
+    single = P.jaccard(spark, docs, SF)
+    assert sorted(r.doc_id or -1 for r in single.collect()) == [-1, 1, 1, 2, 3, 4, 5]
+    assert P.decontaminate(spark, single, SF).count() == 7
+    assert P.packing(spark, single, SF).count() == 7
+    assert P.quality(spark, docs, SF).columns == P.COLUMNS
