@@ -1,10 +1,14 @@
 """Line dedup by pairwise alignment.
 
-A line that several documents share nominates, for each of them, the earliest document that has it:
-the pair overlaps.  A frequent line thus costs one pair per document, like a rare one, and needs no
-frequency cut-off; lines of fewer than ``min_words`` words nominate nothing.  Every nominated pair is
-aligned by patience diff over line hashes, and blocks of aligned lines are deleted from the later
-document.  Only line hashes travel for the alignment; texts are read again for the rewrite.
+A document is compared with the earlier ones that share a line of at least ``min_words`` words: the
+pair is aligned by patience diff over line hashes, and blocks of aligned lines are deleted from the
+later document.  Only line hashes travel for the alignment; texts are read again for the rewrite.
+
+Pairs that can delete no further nominating line are left out.  Such a line is deleted only by a pair
+that shares it, so each line first nominates its earliest holder, and the first document with an equal
+line sequence is nominated too; lines that no alignment has deleted then nominate a few of their other
+holders, and those that still stay nominate all of them.  Shorter lines nominate nothing and go where a
+nominated pair aligns them.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +29,10 @@ from . import words as W
 from .scratch import Scratch
 
 MIN_WORDS = 3
+#: Holders that a line still standing nominates in each round; the last round takes all that are left.
+ROUNDS = (16, 512, None)
+#: Parts that the holders of one line are dealt to.
+SALTS = 32
 
 
 def _lines(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -85,7 +95,9 @@ def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return blocks
 
 
-def _holders(min_words: int, combined: bool):
+def _holders(min_words: int):
+    """(h, lo, hi, n): the first and last document of a batch with the line, and how many have it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -97,22 +109,54 @@ def _holders(min_words: int, combined: bool):
             h, d = np.concatenate(hashes).view(np.int64), np.concatenate(docs)
             if len(h) == 0:
                 continue
-            if not combined:
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(d)], ["h", "doc_id"])
-                continue
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
             first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            last = np.concatenate([first[1:], [len(h)]]) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(d[first]), pa.array(d[last])], ["h", "lo", "hi"])
+            count = np.diff(np.append(first, len(h)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[first]), pa.array(d[first]), pa.array(d[first + count - 1]), pa.array(count, pa.int64())], ["h", "lo", "hi", "n"]
+            )
+
+    return run
+
+
+def _places(min_words: int):
+    """(h, doc_id, line) of every line that nominates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            hashes, docs, lines = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i, h, n in _lines(batch.column(1)):
+                at = np.flatnonzero(n >= min_words)
+                hashes.append(h[at])
+                docs.append(np.full(len(at), ids[i]))
+                lines.append(at)
+            h, d, at = np.concatenate(hashes).view(np.int64), np.concatenate(docs), np.concatenate(lines)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(d), pa.array(at.astype(np.int32))], ["h", "doc_id", "line"])
+
+    return run
+
+
+def _sequences(min_words: int):
+    """(doc_id, seq, whole): ``whole`` is a digest of the sequence, null where no line nominates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seqs, whole = [], []
+            for _, h, n in _lines(batch.column(1)):
+                seqs.append(h.tobytes())
+                whole.append(blake2b(seqs[-1], digest_size=16).digest() if (n >= min_words).any() else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seqs, pa.binary()), pa.array(whole, pa.binary())], ["doc_id", "seq", "whole"])
 
     return run
 
 
-def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [h.tobytes() for _, h, _ in _lines(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "seq"])
+        lines = [np.unique(np.frombuffer(x, np.int64)) for x in batch.column(1).to_pylist()]
+        docs = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in lines])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *lines])), pa.array(docs, pa.int64())], ["h", "partner"])
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +193,8 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_lines, n_removed, kept_text) of every row and its ``keep`` columns; lines are the non-blank ones.
 
-    Judged on the input: a line goes if the alignment with any earlier nominated document matches it.
+    Judged on the input: a line of at least ``min_words`` words goes if the alignment with any earlier
+    document matches it, a shorter one if that with a nominated document does.
     Blank lines stay and are not counted.  A null text stays null with no lines.  A document with a
     null id stays as it is and counts for no other.  Rows that share an id are never aligned with
     each other; a document with a larger id is aligned with the texts of them all, and lines that go
@@ -161,19 +206,42 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text", *[f"`{c}`" for c in keep])
     given = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     shared = scratch.write(
-        given.mapInArrow(_holders(min_words, True), "h long, lo long, hi long").repartition(parts, "h")
-        .groupBy("h").agg(F.min("lo").alias("partner"), F.max("hi").alias("hi")).where("partner < hi").select("h", "partner"), "shared",
+        given.mapInArrow(_holders(min_words), "h long, lo long, hi long, n long").repartition(parts, "h")
+        .groupBy("h").agg(F.min("lo").alias("partner"), F.max("hi").alias("hi"), F.sum("n").alias("n")).where("partner < hi").select("h", "partner", "n"), "shared",
     )
-    pairs = scratch.write(
-        given.mapInArrow(_holders(min_words, False), "h long, doc_id long").join(shared, "h").where("partner < doc_id")
-        .select("doc_id", "partner").distinct(), "pairs",
+    left = scratch.write(
+        given.mapInArrow(_places(min_words), "h long, doc_id long, line int").join(shared, "h").where("partner < doc_id"), "meets",
     )
-    seqs = scratch.write(given.mapInArrow(_sequences, "doc_id long, seq binary"), "sequences")
-    own = scratch.write(pairs.join(seqs, "doc_id"), "own")
-    aligned = own.join(seqs.select(F.col("doc_id").alias("partner"), F.col("seq").alias("other")), "partner").select("doc_id", "seq", "other")
+    seqs = scratch.write(given.mapInArrow(_sequences(min_words), "doc_id long, seq binary, whole binary"), "sequences")
+    copies = seqs.where("whole IS NOT NULL").groupBy("whole").agg(F.min("doc_id").alias("partner"), F.max("doc_id").alias("hi")).where("partner < hi")
+    copied = seqs.select("doc_id", "whole").join(copies, "whole").where("partner < doc_id").select("doc_id", "partner")
+
+    def aligned(pairs: DataFrame, name: str) -> DataFrame:
+        """(doc_id, line) that the alignments of ``pairs`` delete."""
+        own = scratch.write(pairs, f"{name}_pairs").join(seqs.select("doc_id", "seq"), "doc_id")
+        both = own.join(seqs.select(F.col("doc_id").alias("partner"), F.col("seq").alias("other")), "partner").select("doc_id", "seq", "other")
+        return scratch.write(both.mapInArrow(_align, "doc_id long, gone array<int>").select("doc_id", F.explode("gone").alias("line")).distinct(), name)
+
+    cuts = [aligned(left.select("doc_id", "partner").union(copied).distinct(), "cuts")]
+    holders, least = None, 0
+    for k, most in enumerate(ROUNDS, 1):
+        left = scratch.write(left.select("h", "doc_id", "line", "n").join(cuts[-1], ["doc_id", "line"], "left_anti"), f"left{k}")
+        if left.isEmpty():
+            break
+        if holders is None:
+            # a line's holders in an order of their own, the same in every round
+            holders = scratch.write(
+                seqs.mapInArrow(_members, "h long, partner long").join(left.select("h", "n").distinct(), "h")
+                .selectExpr("h", "partner", "pmod(xxhash64(partner), n) AS place", f"cast(pmod(xxhash64(partner, 1), {SALTS}) AS int) AS salt"), "holders",
+            )
+        some = holders.where(F.col("place") >= least)
+        if most:
+            some, least = some.where(F.col("place") < most), most
+        open_ = left.select("h", "doc_id").distinct().select("h", "doc_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        pairs = open_.join(some, ["h", "salt"]).where("partner < doc_id").select("doc_id", "partner").distinct()
+        cuts.append(aligned(pairs, f"cuts{k}"))
     gone = scratch.write(
-        aligned.mapInArrow(_align, "doc_id long, gone array<int>").select("doc_id", F.explode("gone").alias("line"))
-        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone")), "gone",
+        reduce(DataFrame.union, cuts).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone")), "gone",
     )
     schema = StructType().add("doc_id", "long").add("n_lines", "long").add("n_removed", "long").add("kept_text", "string")
     for c in keep:
