@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that align with an earlier document go, and documents that lose all their lines."""
-    found = dedupe_lines(docs, keep=("lang", "source", "n_chars"))
+    found = dedupe_lines(docs, min_words=1, keep=("lang", "source", "n_chars"))
     changed = F.col("n_removed") > 0
     return found.where(~(changed & (F.col("n_removed") == F.col("n_lines")))).select(
         "doc_id", F.col("kept_text").alias("text"), "lang", "source",

@@ -250,6 +250,6 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_lines(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
+    return dedupe_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_words=1).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )

@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline as P
 import pytest
 
 from ledgerloom.llm import lines
@@ -44,3 +45,18 @@ def test_every_sharer(spark, monkeypatch, rounds):
     r = random.Random(5)
     rows = texts(*("".join(r.choice("abcdefgh") for _ in range(r.randrange(1, 9))) for _ in range(120)))
     assert removed(spark, rows) == every_sharer(rows, 3)
+
+
+def test_short_lines(spark, tmp_path):
+    rows = [(1, "one\ntwo words\nthree"), (2, "one\ntwo words\nthree"), (3, "一二三。\n四五六。"), (4, "一二三。\n四五六。\nx"), (5, "three\nmore")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id, r.n_lines, r.n_removed) for r in lines.op2_line_dedup(spark, str(tmp_path)).collect())
+    assert got == [(1, 3, 0), (2, 3, 3), (3, 2, 0), (4, 3, 2), (5, 2, 1)] == every_sharer(rows, 1)
+    left = {r.doc_id: r.text for r in P.line_dedup(spark, frame(spark, rows), "").collect()}
+    assert left == {1: rows[0][1], 3: rows[2][1], 4: "x", 5: "more"}
+
+
+def test_every_sharer_of_short_lines(spark):
+    r = random.Random(8)
+    rows = [(i, "\n".join(r.choice("abcdefgh") for _ in range(r.randrange(1, 9)))) for i in range(120)]
+    assert removed(spark, rows, min_words=1) == every_sharer(rows, 1)
