@@ -177,9 +177,9 @@ def _members(k: int, ranks, block_rows: int):
 
 
 def _tiles(doc_id: int, size: int, block_rows: int) -> list[int]:
-    """Numbers of the tile pairs that a member of a group of ``size`` belongs to."""
+    """Numbers of the tile pairs that a member of a group of ``size`` belongs to; ids are mixed, as they may share a residue."""
     n = -(-size // block_rows)
-    mine = doc_id % n
+    mine = int(W.mix64(np.array([doc_id], np.int64).view(np.uint64))[0]) % n if n > 1 else 0
     return [min(mine, other) * n + max(mine, other) for other in range(n)]
 
 
