@@ -10,7 +10,7 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
@@ -30,17 +30,23 @@ def _scalar(x) -> str | None:
     return x if isinstance(x, str) else None if x is None else json.dumps(x)
 
 
-def walk(node, path: str = ""):
-    """(path, key, kind, value) of every node below the root in document order; ``a[0].b`` paths."""
-    todo = [(path, None, node)]
+def _nodes(root):
+    """(path, key, node, inside a list) of the root and every node below it in document order; ``a[0].b`` paths."""
+    todo = [("", None, root, False)]
     while todo:
-        at, key, x = todo.pop()
-        if at:
-            yield at, key, _kind(x), None if isinstance(x, (dict, list)) else _scalar(x)
+        at, key, x, listed = todo.pop()
+        yield at, key, x, listed
         if isinstance(x, dict):
-            todo += [(f"{at}.{k}" if at else k, k, v) for k, v in reversed(x.items())]
+            todo += [(f"{at}.{k}" if at else k, k, v, listed) for k, v in reversed(x.items())]
         elif isinstance(x, list):
-            todo += [(f"{at}[{i}]", None, v) for i, v in reversed(list(enumerate(x)))]
+            todo += [(f"{at}[{i}]", None, v, True) for i, v in reversed(list(enumerate(x)))]
+
+
+def walk(root):
+    """(path, key, kind, value) of every node below the root; objects and lists have no value."""
+    for at, key, x, _ in _nodes(root):
+        if at:
+            yield at, key, _kind(x), None if isinstance(x, (dict, list)) else _scalar(x)
 
 
 def _parsed(text):
@@ -50,31 +56,22 @@ def _parsed(text):
         return None
 
 
+def _compact(x) -> str:
+    return json.dumps(x, separators=(",", ":"), ensure_ascii=False)
+
+
 @pandas_udf(_struct("path", "key", "kind", "value"))
 def json_walk(x: pd.Series) -> pd.Series:
     """Every node of a JSON text; a text that is no JSON has none."""
     return x.map(lambda t: [dict(zip(("path", "key", "kind", "value"), n)) for n in walk(_parsed(t))])
 
 
-def _dotted(node, at: str, out: dict) -> None:
-    for k, v in node.items():
-        name = f"{at}.{k}" if at else k
-        if isinstance(v, dict):
-            _dotted(v, name, out)
-        else:
-            out[name] = json.dumps(v, separators=(",", ":"), ensure_ascii=False) if isinstance(v, list) else _scalar(v)
-
-
 @pandas_udf(MapType(_TEXT, _TEXT))
 def json_flatten_dotted(x: pd.Series) -> pd.Series:
-    """Objects as dotted names; arrays stay compact JSON text."""
-
+    """Objects as dotted names; lists stay compact JSON text."""
     def one(t):
-        out: dict = {}
-        node = _parsed(t)
-        if isinstance(node, dict):
-            _dotted(node, "", out)
-        return out
+        leaves = ((at, v) for at, _, v, listed in _nodes(_parsed(t)) if at and not listed and not isinstance(v, dict))
+        return {at: _compact(v) if isinstance(v, list) else _scalar(v) for at, v in leaves}
 
     return x.map(one)
 
@@ -85,23 +82,27 @@ def json_flatten_indexed(x: pd.Series) -> pd.Series:
     return x.map(lambda t: {p: v for p, _, kind, v in walk(_parsed(t)) if kind not in ("object", "array")})
 
 
+@pandas_udf(_TEXT)
+def canonical_json(x: pd.Series) -> pd.Series:
+    """The JSON text with sorted keys at every depth and no spaces; a text that is no JSON gives null."""
+    def one(t):
+        node = _parsed(t)
+        return None if node is None and t != "null" else json.dumps(node, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+    return x.map(one)
+
+
 def deep_list(preferred: list[str]):
     """UDF: path of the first non-empty list of objects under a preferred key, else the first in the tree."""
 
     @pandas_udf(_TEXT)
     def locate(x: pd.Series) -> pd.Series:
         def one(t):
-            found = {}
-            todo = [("", None, _parsed(t))]
-            while todo:
-                at, key, v = todo.pop()
+            found: dict = {}
+            for at, key, v, _ in _nodes(_parsed(t)):
                 if isinstance(v, list) and v and all(isinstance(e, dict) for e in v):
                     found.setdefault(key, at)
                     found.setdefault(..., at)
-                if isinstance(v, dict):
-                    todo += [(f"{at}.{k}" if at else k, k, e) for k, e in reversed(v.items())]
-                elif isinstance(v, list):
-                    todo += [(f"{at}[{i}]", None, e) for i, e in reversed(list(enumerate(v)))]
             return next((found[k] for k in preferred if k in found), found.get(...))
 
         return x.map(one)
@@ -169,26 +170,20 @@ def _parse(text) -> _Cells:
     return p
 
 
-@pandas_udf(ArrayType(ArrayType(_TEXT)))
-def html_table_rows(x: pd.Series) -> pd.Series:
-    return x.map(lambda t: [r for r in _parse(t).rows if r])
-
-
-@pandas_udf(ArrayType(_TEXT))
-def html_table_headers(x: pd.Series) -> pd.Series:
-    return x.map(lambda t: _parse(t).heads)
+_FORM = ("method", "action", "name", "type", "value")
 
 
-@pandas_udf(_struct("method", "action", "name", "type", "value"))
-def html_forms(x: pd.Series) -> pd.Series:
-    """Every form once and every field with its form's method and action."""
-    return x.map(lambda t: _parse(t).forms)
+@pandas_udf(StructType([StructField("rows", ArrayType(ArrayType(_TEXT))), StructField("headers", ArrayType(_TEXT)),
+                        StructField("forms", _struct(*_FORM)), StructField("birth_days", ArrayType(_TEXT))]))
+def html_parts(x: pd.Series) -> pd.DataFrame:
+    """One parse of a page: cell texts of its table rows, header cells, forms and birth markup.
 
-
-@pandas_udf(ArrayType(_TEXT))
-def html_birth_days(x: pd.Series) -> pd.Series:
-    """Texts of birth markup: the datetime attribute, else the body."""
-    return x.map(lambda t: _parse(t).days)
+    ``rows`` leaves out rows without cells.  ``forms`` has every form once and every field with its form's
+    method and action.  ``birth_days`` has the datetime attribute, else the body, of birth markup.
+    """
+    found = [_parse(t) for t in x]
+    return pd.DataFrame({"rows": [[r for r in p.rows if r] for p in found], "headers": [p.heads for p in found],
+                         "forms": [p.forms for p in found], "birth_days": [p.days for p in found]})
 
 
 def anchors(html: Column) -> Column:
@@ -218,3 +213,62 @@ def embedded_json(html: Column, script_id: str) -> Column:
     """The JSON text of a script element, null where it is missing or no JSON."""
     body = F.nullif(F.regexp_extract(html, rf"(?s)<script[^>]*id=\"{script_id}\"[^>]*>(.*?)</script>", 1), F.lit(""))
     return F.when(F.try_parse_json(body).isNotNull(), body)
+
+
+def field_inventory(df: DataFrame, text: str, group: list[str]) -> DataFrame:
+    """(group, fields): the sorted union of top-level keys."""
+    keys = df.select(*group, F.explode(F.json_object_keys(text)).alias("_k")).distinct()
+    return keys.groupBy(*group).agg(F.array_join(F.array_sort(F.collect_list("_k")), ",").alias("fields"))
+
+
+def key_presence(df: DataFrame, text: str, lists: list[str]) -> DataFrame:
+    """(key, n): texts that have each top-level key, and ``list[].key`` for the first items of the named lists."""
+    def named(prefix: str, column) -> Column:
+        return F.transform(F.array_distinct(F.coalesce(F.json_object_keys(column), F.array().cast("array<string>"))), lambda k: F.concat(F.lit(prefix), k))
+
+    keys = F.concat(named("", F.col(text)), *[named(f"{name}[].", F.get_json_object(text, f"$.{name}[0]")) for name in lists])
+    return df.select(F.explode(keys).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+
+
+def value_inventory(df: DataFrame, report: str, field: str, maps: str) -> DataFrame:
+    """(what, value, n): values of ``field`` in a list of objects or one object, and the keys of a map."""
+    listed = F.startswith(F.ltrim(report), F.lit("["))
+    items = F.when(listed, F.from_json(report, f"array<struct<`{field}`:string>>")).otherwise(F.array(F.from_json(report, f"struct<`{field}`:string>")))
+    values = df.select(F.explode(items).alias("e")).select(F.lit(field).alias("what"), F.col(f"e.`{field}`").alias("value"))
+    keys = df.select(F.lit("key").alias("what"), F.explode(F.json_object_keys(maps)).alias("value"))
+    return values.unionByName(keys).groupBy("what", "value").agg(F.count("*").alias("n"))
+
+
+def schema_profile(df: DataFrame, text: str, lists: list[str]) -> DataFrame:
+    """(field, length, item_keys, n): shapes of the named list fields, by the keys of their first items."""
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.get_json_object(text, f"$.{f}").alias("v"), F.get_json_object(text, f"$.{f}[0]").alias("i")) for f in lists])
+    rows = df.select(F.explode(each).alias("x")).where("x.v IS NOT NULL")
+    keys = F.array_join(F.coalesce(F.json_object_keys("x.i"), F.array().cast("array<string>")), ",")
+    return rows.groupBy(F.col("x.field").alias("field"), F.json_array_length("x.v").alias("length"), keys.alias("item_keys")).agg(F.count("*").alias("n"))
+
+
+def map_or_list(text: Column, item: str) -> Column:
+    """Array of (key, value): items of a JSON list (key null), or of an object with its keys; null for other texts."""
+    listed = F.transform(F.from_json(text, f"array<struct<{item}>>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
+    return F.when(F.startswith(F.ltrim(text), F.lit("[")), listed).otherwise(F.map_entries(F.from_json(text, f"map<string,struct<{item}>>")))
+
+
+def history_rows(df: DataFrame, parents: list[str], history: str) -> DataFrame:
+    """One row per element of a list of structs, the parent columns repeated."""
+    return df.select(*parents, F.explode(history).alias("_h")).select(*parents, "_h.*")
+
+
+def result_payloads(df: DataFrame, parents: list[str], results: str) -> DataFrame:
+    """One row per element as JSON; a parent without elements keeps one row with a null payload."""
+    return df.select(*parents, F.explode_outer(results).alias("_r")).select(*parents, F.to_json("_r").alias("payload"))
+
+
+def common_paths(nodes: DataFrame, record: str, total: DataFrame) -> DataFrame:
+    """(path): paths that every record has a node at; ``total`` is one row with the number of records."""
+    return nodes.groupBy("path").agg(F.count_distinct(record).alias("n")).crossJoin(total).where("n = total").select("path")
+
+
+def route_candidates(html: Column, allow: str, block: str, longest: int) -> Column:
+    """Literal links that match ``allow`` but not ``block``, hold no template placeholder and are not too long."""
+    links = F.regexp_extract_all(html, F.lit(r"href=\"([^\"]+)\""), F.lit(1))
+    return F.filter(links, lambda h: h.rlike(allow) & ~h.rlike(block) & ~h.rlike(r"\$\{|\{\{") & (F.length(h) <= longest))

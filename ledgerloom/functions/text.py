@@ -7,7 +7,7 @@ import html
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
@@ -155,3 +155,39 @@ def iso_day(value: Column, precision: Column | None = None) -> Column:
 def valid_full_date(value: Column, first: int = 1940, last: int = 2010) -> Column:
     day = iso_day(value)
     return F.coalesce(F.year(day).between(first, last), F.lit(False))
+
+
+def row_id(own: Column, text: Column) -> Column:
+    """A digits-only id, else the SHA-1 of the record's canonical JSON."""
+    return F.coalesce(F.when(own.cast("string").rlike(r"^\d+$"), own.cast("string")), F.sha1(text))
+
+
+def utc_day(seconds: Column) -> Column:
+    """The UTC day of Unix seconds, whatever the session's time zone."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
+
+
+def keyword_hits(df: DataFrame, key: str, text: str, needles: list[str]) -> DataFrame:
+    """(key, needle, hits) of literal needles, zeros kept."""
+    hits = F.array(*[F.struct(F.lit(n).alias("needle"), F.regexp_count(text, F.lit(r"\Q" + n + r"\E")).alias("hits")) for n in needles])
+    return df.select(key, F.explode(hits).alias("x")).select(key, "x.needle", "x.hits")
+
+
+def keyword_context(df: DataFrame, key: str, text: str, term: str, width: int) -> DataFrame:
+    """(key, offset, context): every occurrence of a term, its character offset and the text around it."""
+    pieces = F.split(text, "\\Q" + term + "\\E")
+    # offsets of the ends of all pieces but the last, summed up within the row
+    ends = F.aggregate(
+        F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.array().cast("array<int>"),
+        lambda done, x: F.array_append(done, F.coalesce(F.element_at(F.filter(done, lambda d: d.isNotNull()), -1) + len(term), F.lit(0)) + F.length(x)))
+    hits = df.where(F.contains(text, F.lit(term))).select(key, F.col(text).alias("_t"), F.explode(ends).alias("offset"))
+    start = F.greatest(F.col("offset") - width, F.lit(0))
+    return hits.select(key, F.col("offset").cast("long").alias("offset"), F.substring("_t", start + 1, F.col("offset") - start + len(term) + width).alias("context"))
+
+
+def domain_counts(df: DataFrame, texts: list[Column], top: int = 30) -> DataFrame:
+    """(host, n): hosts of the distinct urls in any of the texts, the ``top`` most frequent ones."""
+    found = F.concat(*[F.regexp_extract_all(t, F.lit(r"https?://[^\s\"'<>)]+"), F.lit(0)) for t in texts])
+    urls = df.select(F.explode(F.array_distinct(found)).alias("url")).distinct()
+    hosts = urls.select(F.lower(F.regexp_extract("url", r"^https?://([^/?#:]+)", 1)).alias("host")).groupBy("host").agg(F.count("*").alias("n"))
+    return hosts.orderBy(F.desc("n"), "host").limit(top)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.shared import work_folder
+
 
 def status_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value; null is counted as NULL."""
@@ -24,11 +26,20 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def duplicate_summary(df: DataFrame, keys: list[str], examples: int = 25) -> DataFrame:
-    """Total of extra occurrences and the first keys, in key order."""
+    """One row: keys that occur more than once, their extra occurrences, and the first keys in key order.
+
+    The keys are numbered by a limit that each task applies before it hands on, and the sums ride along
+    with the few example rows, so that the duplicates are aggregated once.
+    """
     dup = duplicate_keys(df, keys)
     text = F.concat_ws("|", *keys)
-    first = dup.orderBy(*keys).limit(examples).agg(F.array_join(F.array_sort(F.collect_list(text)), ",").alias("examples"))
-    return dup.agg(F.count("*").alias("keys"), F.coalesce(F.sum("extra"), F.lit(0)).cast("long").alias("extra")).crossJoin(first)
+    least = F.slice(F.array_sort(F.collect_list(F.struct(*keys, text.alias("t")))), 1, examples)
+    # a first aggregate per hash part bounds what a part hands on to its examples
+    part = dup.groupBy(F.pmod(F.xxhash64(*keys), F.lit(1024)).alias("_p")).agg(F.count("*").alias("n"), F.sum("extra").alias("e"), least.alias("x"))
+    joined = F.slice(F.array_sort(F.flatten(F.collect_list("x"))), 1, examples)
+    return part.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("keys"), F.coalesce(F.sum("e"), F.lit(0)).cast("long").alias("extra"),
+        F.array_join(F.array_sort(F.transform(joined, lambda x: x["t"])), ",").alias("examples"))
 
 
 def bounded_examples(df: DataFrame, keys: list[str], order: list[str], value: str, k: int) -> DataFrame:
@@ -65,10 +76,6 @@ def gate(df: DataFrame, ok: Column, threshold: float, min_rows: int) -> DataFram
     )
 
 
-def union_checks(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 def first_seen(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of every key in the given total order."""
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_k = 1").drop("_k")
@@ -87,16 +94,125 @@ def page_manifest(df: DataFrame, scope: list[str], item: str, page: str, order:
 
 
 def global_index(df: DataFrame, group: list[str], within: list[str]) -> DataFrame:
-    """A gapless global index in (group, within) order without a one-partition window over the rows.
+    """A gapless global index in (group, within) order without a one-partition window.
+
+    Groups are dealt by ranges of their order into as many partitions as shuffles have; rows are counted
+    per partition, these few counts are summed on, and every row adds its place in its partition.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    where = f"{work_folder(spark, 'ranges')}/rows"
+    # written, since a later run of a range partitioning may draw other bounds
+    df.repartitionByRange(parts, *group).withColumn("_part", F.spark_partition_id()).write.parquet(where)
+    rows = spark.read.parquet(where)
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    listed = F.array_sort(F.collect_list(F.struct("_part", "_n")))
+    starts = sizes.agg(listed.alias("c")).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("c")), lambda i: F.struct(
+        F.col("c")[i - 1]["_part"].alias("_part"), F.aggregate(F.slice("c", F.lit(1), i - 1), F.lit(0).cast("long"), lambda t, x: t + x["_n"]).alias("_o")))).alias("x")).select("x.*")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*group, *within)) - 1
+    return rows.withColumn("_p", place).join(starts, "_part").withColumn("global_index", (F.col("_o") + F.col("_p")).cast("long")).drop("_o", "_p", "_part")
+
+
+def distinct_counts(df: DataFrame, group: list[str], counted: dict[str, list[str]]) -> DataFrame:
+    """Distinct values of every named set of columns per group (a null in any of them does not count)."""
+    return df.groupBy(*group).agg(*[F.count_distinct(*columns).alias(name) for name, columns in counted.items()])
+
+
+def suffix_counts(df: DataFrame, column: str, pattern: str, filled: Column) -> DataFrame:
+    """(provider, rows, non_empty) by the part of a column that ``pattern`` captures."""
+    return df.groupBy(F.regexp_extract(column, pattern, 1).alias("provider")).agg(F.count("*").alias("rows"), F.count_if(filled).alias("non_empty"))
+
+
+def year_profile(df: DataFrame, year: Column, ident: str, step: str, label: str, listed: str) -> DataFrame:
+    """Per year: rows, distinct ids, first and last round, and the sorted values of ``label`` (few by nature)."""
+    return df.groupBy(year.alias("year")).agg(
+        F.count("*").alias("rows"), F.count_distinct(ident).alias("ids"), F.min(step).alias("min_round"), F.max(step).alias("max_round"),
+        F.array_join(F.array_sort(F.collect_set(label)), ",").alias(listed))
+
+
+def precision_counts(df: DataFrame, precision: str, subject: str) -> DataFrame:
+    """Statements per precision with the first subject of each."""
+    return df.groupBy(precision).agg(F.count("*").alias("n"), F.min(subject).alias("first_subject"))
+
+
+def attempt_counts(df: DataFrame, subject: str, status: str) -> DataFrame:
+    """Attempts per subject and status, and (subject null) per status over all, in one aggregation."""
+    return df.groupingSets([[F.col(subject), F.col(status)], [F.col(status)]], subject, status).agg(F.count("*").alias("n"))
+
+
+def repeated_payload(df: DataFrame, sha: str, order: list[str]) -> DataFrame:
+    """Add ``duplicate``: whether the payload occurs earlier in the given total order.
+
+    The first place of a payload is an aggregate that is combined before it is shuffled, so a payload
+    that many rows share is no window partition.
+    """
+    first = df.where(F.col(sha).isNotNull()).groupBy(sha).agg(F.min(F.struct(*order)).alias("_first"))
+    joined = df.join(first, sha, "left")
+    return joined.withColumn("duplicate", F.coalesce(F.struct(*order) > F.col("_first"), F.lit(False))).drop("_first")
 
-    Rows are counted per group, offsets are summed over the much smaller table of groups in blocks,
-    and added to each row's place in its group.
+
+def prior_scopes(df: DataFrame, entity: str, scope: str, order: str, keep: int = 5) -> DataFrame:
+    """Rows of an entity's next ``keep`` scopes, in order of their first rows, without the first (current) one."""
+    first = df.groupBy(entity, scope).agg(F.min(order).alias("_at"))
+    place = F.row_number().over(Window.partitionBy(entity).orderBy("_at", scope))
+    kept = first.withColumn("_place", place).where(F.col("_place").between(2, keep + 1))
+    return df.join(kept.select(entity, scope), [entity, scope], "left_semi")
+
+
+def pick_leaf(df: DataFrame, keys: list[str], value: Column, order: str, name: str) -> DataFrame:
+    """The first leaf of every key in walk order; one with a value replaces one without."""
+    best = F.min_by(F.struct(F.col(order), value.alias(name)), F.struct(value.isNull(), F.col(order)))
+    return df.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.*")
+
+
+def argmax(df: DataFrame, keys: list[str], score: str, fields: list[str]) -> DataFrame:
+    """The fields of the row with the largest score per key; of equal ones the first by the fields."""
+    best = F.max_by(F.struct(*fields), F.struct(F.col(score), *[-F.col(f) for f in fields]))
+    return df.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.*")
+
+
+def ordered_distinct(df: DataFrame, key: str, value: str, order: str, name: str) -> DataFrame:
+    """Distinct values of a key in order of their first rows, joined; values are combined before they are listed."""
+    first = df.groupBy(key, value).agg(F.min(order).alias("_at"))
+    listed = F.array_sort(F.collect_list(F.struct("_at", F.col(value).alias("v"))))
+    return first.groupBy(key).agg(F.array_join(F.transform(listed, lambda x: x["v"]), ",").alias(name))
+
+
+def union_aligned(parts: list[DataFrame]) -> DataFrame:
+    """Rows of all parts; columns that a part lacks are null in its rows."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def union_fields(parts: list[DataFrame]) -> DataFrame:
+    """(field): names that the rows of any part have a value for."""
+    def names(df: DataFrame) -> DataFrame:
+        there = df.agg(*[F.bool_or(F.col(f"`{c}`").isNotNull()).alias(c) for c in df.columns])
+        return there.select(F.explode(F.array(*[F.when(F.col(f"`{c}`"), F.lit(c)) for c in df.columns])).alias("field")).where("field IS NOT NULL")
+
+    return reduce(DataFrame.unionByName, [names(p) for p in parts]).distinct()
+
+
+def common_values(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, common, first) of the keys on both sides: values that both have, and the smallest of them.
+
+    Distinct (key, value) rows meet in a join; no key is collected.
     """
-    counts = df.groupBy(*group).agg(F.count("*").alias("_n"))
-    blocks = counts.withColumn("_b", F.floor(F.col(group[0]) / 4096))
-    starts = blocks.groupBy("_b").agg(F.sum("_n").alias("_t"))
-    base = starts.select("_b", (F.sum("_t").over(Window.orderBy("_b")) - F.col("_t")).alias("_base"))
-    inner = Window.partitionBy("_b").orderBy(*group)
-    offsets = blocks.join(base, "_b").select(*group, (F.col("_base") + F.sum("_n").over(inner) - F.col("_n")).alias("_o"))
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*within)) - 1
-    return df.withColumn("_p", place).join(offsets, group).withColumn("global_index", (F.col("_o") + F.col("_p")).cast("long")).drop("_o", "_p")
+    one, two = left.select(key, value).distinct(), right.select(key, value).distinct()
+    keys = one.select(key).distinct().join(two.select(key).distinct(), key, "left_semi")
+    both = one.join(two, [key, value], "left_semi").groupBy(key).agg(F.count("*").cast("int").alias("_n"), F.min(value).alias("first"))
+    return keys.join(both, key, "left").select(key, F.coalesce("_n", F.lit(0)).alias("common"), "first")
+
+
+def first_structs(df: DataFrame, fields: list[str], order: str, name: str = "canonical") -> DataFrame:
+    """Distinct structs of ``fields`` as JSON with sorted keys, and the first row's ``order`` of each."""
+    return df.groupBy(F.to_json(F.struct(*sorted(fields)), {"ignoreNullFields": "false"}).alias(name)).agg(F.min(order).alias("first"))
+
+
+def locale_position(df: DataFrame, group: list[str], name: str, tie: str) -> DataFrame:
+    """Add ``position``: place in its group by the name in language order."""
+    return df.withColumn("position", F.row_number().over(Window.partitionBy(*group).orderBy(F.collate(name, "UNICODE"), tie)))
+
+
+def new_rows(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Rows of ``new`` without those of ``old``, each as often as it is surplus; nulls are equal."""
+    return new.exceptAll(old.select(*new.columns))

@@ -6,21 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VERIFIED, AMBIGUOUS, UNRESOLVED = "VERIFIED", "AMBIGUOUS", "UNRESOLVED"
+#: Parts that the bearers of one name are dealt to.
+PARTS = 16
 
 
 def name_candidates(subjects: DataFrame, entities: DataFrame, claims: list[str]) -> DataFrame:
     """(subject, n, entity, status): distinct entities that bear one of a subject's names and all claims.
 
-    ``subjects`` has a names array, ``entities`` names and claims arrays; both sides join on one name,
-    so a common name costs its rows once and is never cut.
+    ``subjects`` has a names array, ``entities`` names and claims arrays.  Subjects with the same names
+    are one, and an entity counts under a name once: what joins is (set of names, name) with a name's
+    entities, in ``PARTS`` parts by a hash of the entity, each counted before the parts are summed.  A
+    common name is thus split, and its bearers are never listed in one place.
     """
-    left = subjects.select("subject", "failed", F.explode(F.array_distinct("names")).alias("name"))
-    ok = F.forall(F.lit(claims), lambda c: F.array_contains("claims", c)) if claims else F.lit(True)
-    right = entities.where(ok).select("entity", F.explode(F.array_distinct("names")).alias("name"))
-    found = left.join(right, "name").select("subject", "entity").distinct()
-    agg = found.groupBy("subject").agg(F.count("*").alias("n"), F.min("entity").alias("entity"))
-    joined = subjects.select("subject", "failed").join(agg, "subject", "left")
-    n = F.coalesce("n", F.lit(0))
+    parts = F.lit(PARTS)
+    named = subjects.select("subject", "failed", F.array_sort(F.array_distinct("names")).alias("_names"))
+    sets = named.select("_names").distinct()
+    left = sets.select("_names", F.explode("_names").alias("name")).where("name IS NOT NULL")
+    left = left.select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    ok = F.forall(F.array(*[F.lit(c) for c in claims]), lambda c: F.array_contains("claims", c)) if claims else F.lit(True)
+    right = entities.where(ok).select("entity", F.explode(F.array_distinct("names")).alias("name"), F.pmod(F.xxhash64("entity"), parts).cast("int").alias("_part")).distinct()
+    found = left.join(right, ["name", "_part"]).select("_names", "_part", "entity").distinct()
+    agg = found.groupBy("_names", "_part").agg(F.count("*").alias("n"), F.min("entity").alias("entity"))
+    agg = agg.groupBy("_names").agg(F.sum("n").alias("n"), F.min("entity").alias("entity"))
+    joined = named.join(agg, "_names", "left")
+    n = F.coalesce("n", F.lit(0).cast("long"))
     status = F.when(F.col("failed"), "TECHNICAL_FAILURE").when(n == 1, VERIFIED).when(n > 1, AMBIGUOUS).otherwise(UNRESOLVED)
     return joined.select("subject", n.alias("n"), F.when(n == 1, F.col("entity")).alias("entity"), status.alias("status"))
 
@@ -80,3 +89,10 @@ def signature_clusters(rows: DataFrame, group: str, tokens: str, day: str, verif
 def cross_scope(rows: DataFrame, entity: str, scope: str, member: str) -> DataFrame:
     """Entities of more than one scope with their number of members."""
     return rows.groupBy(entity).agg(F.count_distinct(scope).alias("scopes"), F.count_distinct(member).alias("members"), F.min(member).alias("first_member")).where("scopes > 1")
+
+
+def day_dates(statements: DataFrame, time: str, precision: str) -> DataFrame:
+    """(subject, days): sorted distinct days of the signed ISO times that are precise to a day (11), joined."""
+    day = F.nullif(F.regexp_extract(time, r"^[+]?(\d{4}-\d{2}-\d{2})T", 1), F.lit(""))
+    rows = statements.where(F.col(precision) == 11).select("subject", day.alias("_day")).distinct()
+    return rows.groupBy("subject").agg(F.array_join(F.array_sort(F.collect_list("_day")), ",").alias("days"))

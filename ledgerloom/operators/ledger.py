@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_TIME = r"^(?:\d{1,2}[:.]\d{2}\s+)?"
-_HALF = r"(?:\s+\(\d+-\d+\))?"
-_NOTE = r"(?:\s+\[([^\]]+)\])?\s*$"
-VERSUS = rf"(?i){_TIME}(.+?)\s+v\s+(.+?)\s+(\d+)-(\d+){_HALF}{_NOTE}"
-SCORE_BETWEEN = rf"(?i){_TIME}(.+?)\s+(\d+)-(\d+){_HALF}\s+(.+?){_NOTE}"
-HAS_VERSUS = r"(?i)\sv\s"
 GROUP = ("season", "competition")
 
 
@@ -24,34 +18,81 @@ def explode_lines(files: DataFrame, body: str = "body") -> DataFrame:
 def parse_match_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Add home, away, home_goals, away_goals, annotation; lines that are no match go.
 
-    A line with `` v `` but no score is a cancelled match and is never read in the other format.
-    Self-matches go.
+    Two layouts: ``home v away 2-1 (1-0) [awarded]`` and ``home 2-1 (1-0) away``, both with an optional
+    kick-off time in front; any bracket may follow the score, and white space inside names collapses.  A
+    line with `` v `` but no score at its end is a cancelled match and is never read in the other layout,
+    which in turn has no awarded matches.  Self-matches go.
     """
-    text = F.trim(F.col(line))
-    versus = text.rlike(HAS_VERSUS)
+    plain = F.regexp_replace(F.trim(F.regexp_replace(line, r"\s+", " ")), r"^\d{1,2}[:.]\d{2} ", "")
+    step = lines.select("*", plain.alias("_text"))
+
+    # layout with a "v": peel off the tag and the bracket, then the score is the last word
+    ended = F.regexp_replace(F.regexp_replace("_text", r" ?\[[^\]]+\]$", ""), r" ?\([^)]*\)$", "")
+    # layout without: the first score between two words parts the line
+    parts = F.split("_text", r" \d+-\d+ ", 2)
+    step = step.select("*", (F.instr(F.lower("_text"), " v ") > 0).alias("_versus"), ended.alias("_ended"), parts.alias("_parts"))
+
+    size, word = F.length, F.col
+    last = F.substring_index("_ended", " ", -1)
+    home, rest = F.get("_parts", F.lit(0)), F.get("_parts", F.lit(1))
+    score = F.when(word("_versus"), last).when(F.size("_parts") == 2, F.substring("_text", size(home) + 2, size("_text") - size(home) - size(rest) - 2))
+    names = F.when(word("_versus"), F.substring("_ended", F.lit(1), size("_ended") - size(last) - 1))
+    step = step.select("*", score.alias("_score"), names.alias("_names"), F.regexp_replace(rest, r"^\([^)]*\) ", "").alias("_rest"), home.alias("_home"))
+
+    at = F.instr(F.lower("_names"), " v ")
+    first = F.when(word("_versus"), F.when(at > 0, F.substring("_names", F.lit(1), at - 1))).otherwise(word("_home"))
+    second = F.when(word("_versus"), F.when(at > 0, F.substring("_names", at + 3, size("_names")))).otherwise(word("_rest"))
+    step = step.select("*", F.trim(first).alias("_first"), F.trim(second).alias("_second"), F.contains(F.lower("_text"), F.lit("[awarded]")).alias("_awarded"))
+
+    good = (
+        word("_score").rlike(r"^\d+-\d+$") & (word("_first") != "") & (word("_second") != "") & (word("_first") != word("_second"))
+        & (word("_versus") | ~word("_awarded"))
+    )
+    found = F.struct(
+        word("_first").alias("home"), word("_second").alias("away"), F.substring_index("_score", "-", 1).cast("long").alias("home_goals"),
+        F.substring_index("_score", "-", -1).cast("long").alias("away_goals"), F.when(word("_awarded"), "awarded").alias("annotation"),
+    )
+    # a generator, so that the fields are not evaluated again for a filter
+    return step.select(*lines.columns, F.inline(F.when(good, F.array(found))))
 
-    def pick(a: int, b: int) -> Column:
-        found = F.when(versus, F.regexp_extract(text, VERSUS, a)).otherwise(F.regexp_extract(text, SCORE_BETWEEN, b))
-        return F.nullif(F.trim(found), F.lit(""))
 
-    return lines.select(
-        "*", pick(1, 1).alias("home"), pick(2, 4).alias("away"), pick(3, 2).cast("long").alias("home_goals"),
-        pick(4, 3).cast("long").alias("away_goals"), pick(5, 5).alias("annotation"),
-    ).where("home IS NOT NULL AND home <> away")
+def header_numbers(files: DataFrame, body: str = "body") -> DataFrame:
+    """Numbers that a file's ``#`` lines declare: teams, matches and regular-season matches; null where missing.
 
+    ``# Teams 18`` or ``# Team 18``, the same for matches; the regular season is read from the stage
+    line alone (``# Stages  Regular Season (306) ...``).  ``expected_matches`` falls back to all matches.
+    """
+    comments = F.filter(F.split(body, r"\r?\n"), lambda x: F.startswith(x, F.lit("#")))
+    entries = F.transform(comments, lambda x: F.lower(F.trim(F.regexp_replace(F.substring(x, F.lit(2), F.length(x)), r"\s+", " "))))
+    read = files.select("*", entries.alias("_entries"))
 
-def header_numbers(files: DataFrame, body: str = "body") -> DataFrame:
-    """Declared teams, matches and regular-season matches of a file header; null where missing."""
+    def values(*labels: str) -> Column:
+        named = F.filter("_entries", lambda x: F.substring_index(x, " ", 1).isin(*labels))
+        return F.transform(named, lambda x: F.substring(x, F.instr(x, " ") + 1, F.length(x)))
 
-    def number(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract(body, pattern, 1), F.lit("")).cast("long")
+    def number(*labels: str) -> Column:
+        return F.get(F.filter(values(*labels), lambda x: x.rlike(r"^\d+$")), F.lit(0)).cast("long")
 
-    declared = number(r"(?im)^#\s*Matches\s+(\d+)")
-    stage = number(r"(?i)Regular Season\s*\((\d+)\)")
-    return files.select(
-        "*", number(r"(?im)^#\s*Teams\s+(\d+)").alias("declared_teams"), declared.alias("declared_matches"),
-        F.coalesce(stage, declared).alias("regular_matches"),
-    )
+    stages = F.transform(values("stage", "stages"), lambda x: F.regexp_extract(x, r"regular season ?\((\d+)\)", 1))
+    return read.select(
+        *files.columns, number("team", "teams").alias("declared_teams"), number("match", "matches").alias("declared_matches"),
+        F.get(F.filter(stages, lambda x: x != ""), F.lit(0)).cast("long").alias("regular_matches"),
+    ).withColumn("expected_matches", F.coalesce("regular_matches", "declared_matches"))
+
+
+def season_label(end_year: Column) -> Column:
+    """``YYYY-YY`` of the season that ends in a year."""
+    return F.concat((end_year - 1).cast("string"), F.lit("-"), F.lpad((end_year % 100).cast("string"), 2, "0"))
+
+
+def season_start(label: str) -> Column:
+    """First year of a ``YYYY-YY`` label, null for any other text."""
+    return F.when(F.col(label).rlike(r"^\d{4}-\d{2}$"), F.substring(label, 1, 4).cast("int"))
+
+
+def season_slug(label: Column) -> Column:
+    """``YYYY/YY`` as it stands in paths, ``YYYY-YY``."""
+    return F.translate(label, "/", "-")
 
 
 def regular_season(matches: DataFrame, keys: list[str], order: list[str], limit: str) -> DataFrame:

@@ -98,8 +98,7 @@ def coverage_grouping(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").groupBy("event_type").agg(
-        F.count_distinct("user_id").alias("users"), F.count_distinct("user_id", "props").alias("identities"))
+    return audit.distinct_counts(table(spark, sf, "events"), ["event_type"], {"users": ["user_id"], "identities": ["user_id", "props"]})
 
 
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,14 +121,11 @@ def coverage_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def provider_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").groupBy(F.regexp_extract("o_orderpriority", r"^(\d+)-", 1).alias("provider")).agg(
-        F.count("*").alias("rows"), F.count_if(F.col("o_orderstatus") != "P").alias("non_empty"))
+    return audit.suffix_counts(table(spark, sf, "orders"), "o_orderpriority", r"^(\d+)-", F.col("o_orderstatus") != "P")
 
 
 def year_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").groupBy(F.year("l_shipdate").alias("year")).agg(
-        F.count("*").alias("rows"), F.count_distinct("l_partkey").alias("ids"), F.min("l_linenumber").alias("min_round"),
-        F.max("l_linenumber").alias("max_round"), F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("flags"))
+    return audit.year_profile(table(spark, sf, "lineitem"), F.year("l_shipdate"), "l_partkey", "l_linenumber", "l_returnflag", "flags")
 
 
 def first_seen_dedupe(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,28 +138,21 @@ def page_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def duplicate_payload_flag(spark: SparkSession, sf: str) -> DataFrame:
-    at = F.row_number().over(Window.partitionBy("sha").orderBy("source", "doc_id"))
-    return table(spark, sf, "documents").select("doc_id", "source", F.sha2("text", 256).alias("sha")).select("doc_id", (at > 1).alias("duplicate"))
+    rows = table(spark, sf, "documents").select("doc_id", "source", F.sha2("text", 256).alias("sha"))
+    return audit.repeated_payload(rows, "sha", ["source", "doc_id"]).select("doc_id", "duplicate")
 
 
 def prior_seasons(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "orders").selectExpr("o_custkey", "year(o_orderdate) AS season", "o_orderkey")
-    first = df.groupBy("o_custkey", "season").agg(F.min("o_orderkey").alias("at"))
-    ranked = first.withColumn("k", F.row_number().over(Window.partitionBy("o_custkey").orderBy("at")))
-    kept = ranked.where("k BETWEEN 2 AND 6")  # the first season is the current one
-    return df.join(kept, ["o_custkey", "season"], "left_semi").groupBy("o_custkey", "season").agg(F.count("*").alias("rows"))
+    return audit.prior_scopes(df, "o_custkey", "season", "o_orderkey").groupBy("o_custkey", "season").agg(F.count("*").alias("rows"))
 
 
 def argmax_root(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.max_by(F.struct("l_linenumber", "l_partkey"), F.struct(F.col("l_quantity"), -F.col("l_linenumber"), -F.col("l_partkey"))).alias("m"),
-    ).select("l_orderkey", "m.l_linenumber", "m.l_partkey")
+    return audit.argmax(table(spark, sf, "lineitem"), ["l_orderkey"], "l_quantity", ["l_linenumber", "l_partkey"])
 
 
 def stat_leaf_pick(spark: SparkSession, sf: str) -> DataFrame:
-    value = F.when(F.col("value") > 20, F.col("value"))
-    at = F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy(value.isNull(), "event_id"))
-    return table(spark, sf, "events").withColumn("k", at).where("k = 1").select("user_id", "event_type", "event_id", value.alias("stat"))
+    return audit.pick_leaf(table(spark, sf, "events"), ["user_id", "event_type"], F.when(F.col("value") > 20, F.col("value")), "event_id", "stat")
 
 
 def global_index_shard(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,50 +162,45 @@ def global_index_shard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ordered_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    listed = F.array_sort(F.collect_list(F.struct("o_orderkey", F.year("o_orderdate").alias("y"))))
-    return table(spark, sf, "orders").groupBy("o_custkey").agg(
-        F.array_join(F.array_distinct(F.transform(listed, lambda x: x["y"])), ",").alias("seasons"))
+    rows = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("y"), "o_orderkey")
+    return audit.ordered_distinct(rows, "o_custkey", "y", "o_orderkey", "seasons")
 
 
 def union_aligned(spark: SparkSession, sf: str) -> DataFrame:
-    a = table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_mktsegment AS segment")
-    return a.unionByName(table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "s_name AS name", "s_acctbal AS balance"), allowMissingColumns=True)
+    customers = table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_mktsegment AS segment")
+    return audit.union_aligned([customers, table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "s_name AS name", "s_acctbal AS balance")])
 
 
 def union_distinct_fields(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [table(spark, sf, t).select(F.explode(F.json_object_keys(F.to_json(F.struct("*")))).alias("field")).distinct() for t in ("customer", "supplier")]
-    return parts[0].unionByName(parts[1]).distinct()
+    return audit.union_fields([table(spark, sf, "customer"), table(spark, sf, "supplier")])
 
 
 def intersect_dates(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 50).alias("g")).agg(F.collect_set(F.to_date("o_orderdate")).alias("a"))
-    li = table(spark, sf, "lineitem").groupBy((F.col("l_suppkey") % 50).alias("g")).agg(F.collect_set(F.to_date("l_shipdate")).alias("b"))
-    return o.join(li, "g").select("g", F.size(F.array_intersect("a", "b")).alias("common"), F.array_min(F.array_intersect("a", "b")).alias("first"))
+    ordered = table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("g"), F.to_date("o_orderdate").alias("d"))
+    shipped = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 50).alias("g"), F.to_date("l_shipdate").alias("d"))
+    return audit.common_values(ordered, shipped, "g", "d")
 
 
 def except_contracts(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    return o.where("o_orderkey % 3 <> 0").select("o_custkey", "o_orderstatus").exceptAll(o.where("o_orderkey % 3 = 1").select("o_custkey", "o_orderstatus"))
+    o = table(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_orderkey")
+    return audit.new_rows(o.where("o_orderkey % 3 <> 0").drop("o_orderkey"), o.where("o_orderkey % 3 = 1").drop("o_orderkey"))
 
 
 def dedupe_structs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").select(F.to_json(F.struct("c_mktsegment", "c_nationkey")).alias("canonical"), "c_custkey").groupBy("canonical").agg(
-        F.min("c_custkey").alias("first"))
+    return audit.first_structs(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"], "c_custkey")
 
 
 def sorted_review(spark: SparkSession, sf: str) -> DataFrame:
-    order = Window.partitionBy("association").orderBy(F.collate("club", "UNICODE"), "id")
-    return _snap(spark, sf).select("association", "club", "id", F.row_number().over(order).alias("position"))
+    return audit.locale_position(_snap(spark, sf), ["association"], "club", "id").select("association", "club", "id", "position")
 
 
 def dob_precision_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 40 = 0 THEN 9 WHEN o_orderkey % 90 = 1 THEN 10 ELSE 11 END AS precision").groupBy("precision").agg(
-        F.count("*").alias("n"), F.min("o_orderkey").alias("first_subject"))
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 40 = 0 THEN 9 WHEN o_orderkey % 90 = 1 THEN 10 ELSE 11 END AS precision")
+    return audit.precision_counts(rows, "precision", "o_orderkey")
 
 
 def attempt_status_counts(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "events").select(F.col("user_id").alias("subject"), F.col("event_type").alias("status"))
-    return df.groupingSets([[F.col("subject"), F.col("status")], [F.col("status")]], "subject", "status").agg(F.count("*").alias("n"))
+    return audit.attempt_counts(table(spark, sf, "events").select(F.col("user_id").alias("subject"), F.col("event_type").alias("status")), "subject", "status")
 
 
 _S = f"WITH s AS (SELECT {_SNAP} FROM part)"

@@ -11,10 +11,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def expr_select(df: DataFrame, *exprs: str) -> DataFrame:
-    return df.selectExpr(*exprs)
-
-
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A match ledger made of order lines: season, competition, teams, goals; no self-matches."""
     return table(spark, sf_dir, "lineitem").selectExpr(

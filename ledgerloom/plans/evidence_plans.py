@@ -20,8 +20,8 @@ def name_candidate_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def club_context_resolve(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
-    cand = li.selectExpr("l_orderkey % 2000 AS subject", "l_suppkey AS entity").distinct()
-    clubs = table(spark, sf, "orders").selectExpr("o_orderkey % 2000 AS subject", "o_custkey % 40 AS club").where("o_orderkey < 2000").distinct()
+    cand = li.selectExpr("l_orderkey AS subject", "l_suppkey AS entity").distinct()
+    clubs = table(spark, sf, "orders").selectExpr("o_orderkey AS subject", "o_custkey % 40 AS club").distinct()
     own = li.selectExpr("l_suppkey AS entity", "l_partkey % 40 AS club").where("l_linenumber = 1 AND l_quantity > 40").distinct()
     return evidence.context_resolve(cand, clubs, own)
 
@@ -35,8 +35,7 @@ def dob_statement_choice(spark: SparkSession, sf: str) -> DataFrame:
 
 def day_dates_of_statements(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "orders").selectExpr("o_custkey AS subject", "concat('+', date_format(o_orderdate, 'yyyy-MM-dd'), 'T00:00:00Z') AS time", "if(o_orderkey % 3 = 0, 9, 11) AS precision")
-    day = F.regexp_extract("time", r"^\+(\d{4}-\d{2}-\d{2})T", 1)
-    return s.where("precision = 11").groupBy("subject").agg(F.array_join(F.array_sort(F.collect_set(day)), ",").alias("days"))
+    return evidence.day_dates(s, "time", "precision")
 
 
 def _attempts(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,10 +114,9 @@ def registry_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def src_json_records(spark: SparkSession, sf: str) -> DataFrame:
-    """One envelope per nation, written and read back."""
+    """Envelopes of a few hundred customers each, written and read back."""
     path = files.work_folder(spark, "envelopes")
-    c = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.collect_list(F.struct("c_custkey", "c_name")).alias("records"))
-    c.select(F.lit("PASS").alias("status"), "records").write.option("maxRecordsPerFile", 1).json(path)
+    files.write_records(table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey"), path, ["c_nationkey"], ["c_custkey", "c_name"])
     return files.read_records(spark, path, "c_custkey long, c_name string")
 
 
@@ -131,7 +129,7 @@ def src_csv_rounds(spark: SparkSession, sf: str) -> DataFrame:
 
 def src_json_legacy_charset(spark: SparkSession, sf: str) -> DataFrame:
     path = files.work_folder(spark, "legacy")
-    n = table(spark, sf, "nation").selectExpr("concat('{\"k\":', n_nationkey, ',\"n\":\"é', n_name, '\"}') AS value")
+    n = table(spark, sf, "customer").selectExpr("concat('{\"k\":', c_custkey, ',\"n\":\"é', c_name, '\"}') AS value")
     n.where("value LIKE '%1\"}'").write.option("encoding", "ISO-8859-1").option("sep", "\x01").option("quote", "").option("escape", "").csv(f"{path}/latin")
     n.where("value NOT LIKE '%1\"}'").write.text(f"{path}/utf8")
     return files.read_legacy_json(spark, f"{path}/*/part-*", "k int, n string")
@@ -144,40 +142,13 @@ def src_chunked_payload(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def src_archive_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """A zip archive per nation with its customers' names, written as binary rows and listed."""
-    import io
-    import zipfile
-
-    def zipped(frames):
-        import pandas as pd
-        for f in frames:
-            out = []
-            for k, names in zip(f["c_nationkey"], f["names"]):
-                b = io.BytesIO()
-                with zipfile.ZipFile(b, "w") as z:
-                    for n in sorted(names):
-                        z.writestr(zipfile.ZipInfo(f"{k}/{n}.txt"), n)
-                out.append((k, b.getvalue()))
-            yield pd.DataFrame(out, columns=["k", "content"])
-
-    c = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.collect_list("c_name").alias("names"))
-    z = c.mapInPandas(zipped, "k int, content binary")
-    rows = z.mapInPandas(_members, "archive string, member string, size long, sha256 string")
-    return rows.select(F.col("archive").cast("int").alias("archive"), "member", "size", "sha256")
-
-
-def _members(frames):
-    import hashlib
-    import io
-    import zipfile
-
-    import pandas as pd
-    for f in frames:
-        out = []
-        for k, content in zip(f["k"], f["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                out += [(str(k), m, len(z.read(m)), hashlib.sha256(z.read(m)).hexdigest()) for m in sorted(z.namelist())]
-        yield pd.DataFrame(out, columns=["archive", "member", "size", "sha256"])
+    """Zip archives of a few hundred customers' names each, written to the shared folder and listed."""
+    path = files.work_folder(spark, "archives")
+    members = table(spark, sf, "customer").select(
+        F.concat_ws("-", F.col("c_nationkey").cast("string"), F.pmod(F.xxhash64("c_custkey"), F.lit(16)).cast("string")).alias("archive"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("/"), "c_name", F.lit(".txt")).alias("member"), F.col("c_name").alias("body"))
+    files.zipped(members, "archive", "member", "body").write.parquet(path)
+    return files.archive_members(spark.read.parquet(path)).select(F.regexp_extract("member", r"^(\d+)/", 1).cast("int").alias("archive"), "member", "size", "sha256")
 
 
 def sink_csv_fixed(spark: SparkSession, sf: str) -> DataFrame:
@@ -243,7 +214,7 @@ QUERIES = {
       e AS (SELECT 'Q' || p_partkey AS entity, split_part(p_name, ' ', 1) || (p_size % 40) || CASE WHEN p_partkey % 9 = 0 THEN '' ELSE 'x' END AS name FROM part WHERE p_partkey % 2 = 1),
       a AS (SELECT subject, failed, count(DISTINCT entity) AS n, min(entity) AS e FROM s LEFT JOIN e USING (name) GROUP BY ALL)
       SELECT subject, n, CASE WHEN n = 1 THEN e END AS entity, CASE WHEN failed THEN 'TECHNICAL_FAILURE' WHEN n = 1 THEN 'VERIFIED' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'UNRESOLVED' END AS status FROM a"""),
-    "club_context_resolve": (club_context_resolve, """WITH c AS (SELECT DISTINCT l_orderkey % 2000 AS subject, l_suppkey AS entity FROM lineitem), s AS (SELECT DISTINCT o_orderkey % 2000 AS subject, o_custkey % 40 AS club FROM orders WHERE o_orderkey < 2000),
+    "club_context_resolve": (club_context_resolve, """WITH c AS (SELECT DISTINCT l_orderkey AS subject, l_suppkey AS entity FROM lineitem), s AS (SELECT DISTINCT o_orderkey AS subject, o_custkey % 40 AS club FROM orders),
       o AS (SELECT DISTINCT l_suppkey AS entity, l_partkey % 40 AS club FROM lineitem WHERE l_linenumber = 1 AND l_quantity > 40), x AS (SELECT DISTINCT subject, entity FROM c JOIN s USING (subject) JOIN o USING (entity, club)),
       g AS (SELECT subject, count(*) AS k, min(entity) AS e FROM x GROUP BY 1)
       SELECT subject, coalesce(k, 0) AS in_context, CASE WHEN k = 1 THEN e END AS entity, CASE WHEN k = 1 THEN 'RESOLVED' ELSE 'AMBIGUOUS' END AS status FROM (SELECT DISTINCT subject FROM c) LEFT JOIN g USING (subject)"""),
@@ -268,7 +239,7 @@ QUERIES = {
     "registry_counts": (registry_counts, f"WITH {_MASTER}, {_OVER}, {_UNITS} SELECT 'persons' AS scope, status, count(*) AS n FROM m GROUP BY ALL UNION ALL SELECT 'overrides', status, count(*) FROM o GROUP BY ALL UNION ALL SELECT 'units', status, count(*) FROM u GROUP BY ALL"),
     "src_json_records": (src_json_records, "SELECT c_custkey, c_name FROM customer"),
     "src_csv_rounds": (src_csv_rounds, "SELECT year(l_shipdate)::INTEGER AS year, l_linenumber AS round, count(*) AS rows, count(DISTINCT l_partkey) AS ids FROM lineitem GROUP BY ALL"),
-    "src_json_legacy_charset": (src_json_legacy_charset, "SELECT n_nationkey AS k, 'é' || n_name AS n, n_name NOT LIKE '%1' AS utf8 FROM nation"),
+    "src_json_legacy_charset": (src_json_legacy_charset, "SELECT c_custkey::INTEGER AS k, 'é' || c_name AS n, c_name NOT LIKE '%1' AS utf8 FROM customer"),
     "src_chunked_payload": (src_chunked_payload, "SELECT doc_id, true AS intact, sha256(text) AS sha256 FROM documents"),
     "src_archive_inventory": (src_archive_inventory, "SELECT c_nationkey AS archive, c_nationkey || '/' || c_name || '.txt' AS member, strlen(c_name) AS size, sha256(c_name) AS sha256 FROM customer"),
     "sink_csv_fixed": (sink_csv_fixed, f"WITH {STANDINGS} SELECT season, competition, team, points, CASE WHEN wins % 2 = 0 THEN 'a \"b\", ' || team END AS note FROM standings"),

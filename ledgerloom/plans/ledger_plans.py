@@ -8,18 +8,22 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import ledger
 from .common import MATCHES, STANDINGS, matches, table
 
-_LINES = """CASE l_linenumber % 5
-  WHEN 0 THEN '20:45  ' || h || ' v ' || a || '  ' || g || '-' || k || ' (0-0)'
-  WHEN 1 THEN h || '  ' || g || '-' || k || ' (1-0)  ' || a
-  WHEN 2 THEN h || ' v ' || a || '  [cancelled]'
-  WHEN 3 THEN h || ' v ' || a || ' ' || g || '-' || k || ' [awarded]'
-  ELSE '# ' || h END"""
-_SIDES = "l_orderkey, l_linenumber, 'Team ' || (l_suppkey % 20) AS h, 'Team ' || ((l_partkey + 7) % 20) AS a, l_linenumber % 4 AS k"
+_SIDES = "l_orderkey, l_linenumber, l_suppkey % 20 AS h, (l_partkey + 7) % 20 AS a, l_linenumber % 4 AS k"
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    sides = table(spark, sf, "lineitem").selectExpr(*[x.strip() for x in _SIDES.split(", ")], "cast(l_quantity AS long) % 5 AS g")
-    return sides.selectExpr("l_orderkey AS file_id", "l_linenumber AS line_no", f"{_LINES} AS line")
+    """Ledger lines in both layouts, with clocks, brackets, tags and uneven white space; comments and cancelled matches between."""
+    sides = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_suppkey % 20 AS h", "(l_partkey + 7) % 20 AS a", "l_linenumber % 4 AS k",
+                                                    "cast(l_quantity AS long) % 5 AS g")
+    return sides.selectExpr(
+        "l_orderkey AS file_id", "l_linenumber AS line_no",
+        """CASE l_linenumber % 5
+             WHEN 0 THEN concat('20:45  Team  ', h, ' v Team ', a, '  ', g, '-', k, if(h % 2 = 0, ' (0-0)', ' (aet)'))
+             WHEN 1 THEN concat('  Team ', h, '  ', g, '-', k, if(a % 2 = 0, ' (1-0)', ''), '  Team   ', a, ' ')
+             WHEN 2 THEN concat('Team ', h, ' v Team ', a, '  [cancelled]')
+             WHEN 3 THEN concat('Team ', h, ' V Team ', a, ' ', g, '-', k, if(a % 3 = 0, ' [awarded]', ' [replay]'))
+             ELSE concat('# Team ', h, ' 3-1') END AS line""",
+    )
 
 
 def standings(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,26 +69,25 @@ def regular_season_cutoff(spark: SparkSession, sf: str) -> DataFrame:
 def header_numbers(spark: SparkSession, sf: str) -> DataFrame:
     files = table(spark, sf, "orders").selectExpr(
         "o_orderkey AS file_id",
-        """concat(if(o_orderkey % 3 = 0, '', concat('# Teams ', o_custkey % 24, '\n')), '= League\r\n', if(o_orderkey % 4 = 0, '',
-           concat('# matches  ', o_orderkey % 400, '\n')), if(o_orderkey % 5 = 0, 'Regular Season (12)', 'Final'))) AS body""".replace("'Final'))) AS", "'Final')) AS"),
+        r"""concat(
+          if(o_orderkey % 3 = 0, '', concat(if(o_orderkey % 2 = 0, '# Teams   ', '#Team '), o_custkey % 24, '\n')), '= League\r\n',
+          if(o_orderkey % 4 = 0, '# Matches unknown\n', concat('# matches  ', o_orderkey % 400, ' \r\n')),
+          if(o_orderkey % 5 = 0, concat('# Stages  Regular Season (', o_custkey % 90, ')  Final (1)\n'), '  Regular Season (12)\n'), 'A v B 1-0') AS body""",
     )
-    return ledger.header_numbers(files).select("file_id", "declared_teams", "declared_matches", "regular_matches")
+    return ledger.header_numbers(files).drop("body")
 
 
 def season_labels(spark: SparkSession, sf: str) -> DataFrame:
-    year = F.year("o_orderdate")
-    label = F.concat((year - 1).cast("string"), F.lit("-"), F.lpad((year % 100).cast("string"), 2, "0"))
-    return table(spark, sf, "orders").select("o_orderkey", label.alias("label")).select(
-        "o_orderkey", "label", F.when(F.col("label").rlike(r"^\d{4}-\d{2}$"), F.substring("label", 1, 4).cast("int")).alias("snapshot_year"),
-        F.replace(F.replace("label", F.lit("-"), F.lit("/")), F.lit("/"), F.lit("-")).alias("slug"),
-    )
+    rows = table(spark, sf, "orders").select("o_orderkey", ledger.season_label(F.year("o_orderdate")).alias("label"))
+    slashed = F.concat(F.substring("label", 1, 4), F.lit("/"), F.substring("label", 6, 2))
+    return rows.select("o_orderkey", "label", ledger.season_start("label").alias("snapshot_year"), ledger.season_slug(slashed).alias("slug"))
 
 
 def guarded_supplement(spark: SparkSession, sf: str) -> DataFrame:
     ledger_rows = matches(spark, sf)
     expected = ledger_rows.groupBy("season", "competition").agg(
         (F.count("*") + F.when(F.col("competition") == "A", 0).otherwise(3)).alias("expected_matches"))
-    teams = table(spark, sf, "nation").crossJoin(F.broadcast(expected.select("season", "competition")))
+    teams = table(spark, sf, "nation").crossJoin(expected.select("season", "competition"))
     there = ledger_rows.groupBy("season", "competition").agg(F.min(F.struct("home", "away", "home_goals", "away_goals")).alias("m"))
     new = teams.selectExpr(
         "season", "competition", "concat('New ', n_name) AS home", "'Team 1' AS away", "cast(n_nationkey AS long) % 3 AS home_goals", "1L AS away_goals",
@@ -94,15 +97,6 @@ def guarded_supplement(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.guarded_supplement(ledger_rows, new.unionByName(old), expected).groupBy("season", "competition", "status").agg(F.count("*").alias("n"))
 
 
-_T = r"^(?:\d{1,2}[:.]\d{2}\s+)?"
-_A = rf"(?i){_T}(.+?)\s+v\s+(.+?)\s+(\d+)-(\d+)(?:\s+\(\d+-\d+\))?(?:\s+\[([^\]]+)\])?\s*$"
-_B = rf"(?i){_T}(.+?)\s+(\d+)-(\d+)(?:\s+\(\d+-\d+\))?\s+(.+?)(?:\s+\[([^\]]+)\])?\s*$"
-
-
-def _pick(a: int, b: int) -> str:
-    return rf"nullif(trim(CASE WHEN regexp_matches(line, '(?i)\sv\s') THEN regexp_extract(line, '{_A}', {a}) ELSE regexp_extract(line, '{_B}', {b}) END), '')"
-
-
 QUERIES = {
     "standings": (standings, f"WITH {STANDINGS} SELECT * FROM standings"),
     "ppg_percentile": (ppg_percentile, f"WITH {STANDINGS} SELECT season, competition, team, points, ppg_percentile FROM pct"),
@@ -119,16 +113,15 @@ QUERIES = {
       SELECT season, competition, teams, matches, failures, CASE WHEN failures = '' THEN 'PASS' ELSE 'FAIL' END AS status FROM f"""),
     "sort_standings": (sort_standings, f"""WITH {STANDINGS} SELECT season, competition, team, row_number() OVER (PARTITION BY season, competition
       ORDER BY points_per_game DESC, goal_difference_per_game DESC, team)::INTEGER AS position FROM standings"""),
-    "match_line_parse": (match_line_parse, f"""WITH s AS (SELECT {_SIDES}, l_quantity::BIGINT % 5 AS g FROM lineitem),
-      l AS (SELECT l_orderkey AS file_id, l_linenumber AS line_no, trim({_LINES}) AS line FROM s)
-      SELECT file_id, line_no, {_pick(1, 1)} AS home, {_pick(2, 4)} AS away, {_pick(3, 2)}::BIGINT AS home_goals,
-        {_pick(4, 3)}::BIGINT AS away_goals, {_pick(5, 5)} AS annotation FROM l WHERE {_pick(1, 1)} <> {_pick(2, 4)}"""),
+    "match_line_parse": (match_line_parse, f"""WITH s AS (SELECT {_SIDES}, l_quantity::BIGINT % 5 AS g FROM lineitem)
+      SELECT l_orderkey AS file_id, l_linenumber AS line_no, 'Team ' || h AS home, 'Team ' || a AS away, g AS home_goals, k::BIGINT AS away_goals,
+        CASE WHEN l_linenumber % 5 = 3 AND a % 3 = 0 THEN 'awarded' END AS annotation FROM s WHERE l_linenumber % 5 IN (0, 1, 3) AND h <> a"""),
     "regular_season_cutoff": (regular_season_cutoff, f"""WITH {MATCHES}, r AS (SELECT *, CASE WHEN file_id % 5 <> 0 THEN file_id % 4 END AS lim,
       row_number() OVER (PARTITION BY file_id ORDER BY line_no, home, away, home_goals) AS k FROM matches)
       SELECT season, competition, count(*) AS matches, sum(home_goals)::BIGINT AS home_goals FROM r WHERE lim IS NULL OR k <= lim GROUP BY ALL"""),
-    "header_numbers": (header_numbers, r"""SELECT o_orderkey AS file_id, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 24 END AS declared_teams,
-      CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 400 END AS declared_matches,
-      CASE WHEN o_orderkey % 5 = 0 THEN 12 WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 400 END::BIGINT AS regular_matches FROM orders"""),
+    "header_numbers": (header_numbers, """SELECT o_orderkey AS file_id, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 24 END AS declared_teams,
+      CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 400 END AS declared_matches, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey % 90 END AS regular_matches,
+      CASE WHEN o_orderkey % 5 = 0 THEN o_custkey % 90 WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 400 END AS expected_matches FROM orders"""),
     "season_labels": (season_labels, """SELECT o_orderkey, (year(o_orderdate) - 1) || '-' || lpad((year(o_orderdate) % 100)::VARCHAR, 2, '0') AS label,
       (year(o_orderdate) - 1)::INTEGER AS snapshot_year, (year(o_orderdate) - 1) || '-' || lpad((year(o_orderdate) % 100)::VARCHAR, 2, '0') AS slug FROM orders"""),
     "guarded_supplement": (guarded_supplement, f"""WITH {MATCHES}, c AS (SELECT season, competition, count(*) AS n FROM matches GROUP BY ALL),

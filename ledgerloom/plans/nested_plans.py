@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import nested as N
 from ledgerloom.functions import text as T
+from ledgerloom.operators import providers, records
+from ledgerloom.sources import files
 from .common import table
 
 # The same nested JSON in both engines: an object with an object, a list of mixed items and a null.
@@ -49,90 +51,75 @@ def labelled_id_harvest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def field_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return _docs(spark, sf).select("c_mktsegment", F.explode(F.array_distinct(F.json_object_keys("j"))).alias("k")).groupBy("c_mktsegment").agg(
-        F.array_join(F.array_sort(F.collect_set("k")), ",").alias("fields"))
+    return N.field_inventory(_docs(spark, sf), "j", ["c_mktsegment"])
 
 
 def key_presence(spark: SparkSession, sf: str) -> DataFrame:
-    d = _docs(spark, sf)
-    top = d.select(F.explode(F.json_object_keys("j")).alias("key"))
-    sub = d.select(F.explode(F.json_object_keys(F.get_json_object("j", "$.players[0]"))).alias("key")).select(F.concat(F.lit("players[]."), "key").alias("key"))
-    return top.unionByName(sub).groupBy("key").agg(F.count("*").alias("n"))
+    return N.key_presence(_docs(spark, sf), "j", ["players"])
 
 
 def common_paths(spark: SparkSession, sf: str) -> DataFrame:
     """Paths that every record has a number at (relational division)."""
-    nodes = _nodes(spark, sf).where("kind = 'number'")
     total = _docs(spark, sf).agg(F.count("*").alias("total"))
-    return nodes.groupBy("path").agg(F.count_distinct("c_custkey").alias("n")).crossJoin(F.broadcast(total)).where("n = total").select("path")
+    return N.common_paths(_nodes(spark, sf).where("kind = 'number'"), "c_custkey", total)
 
 
 def schema_profile(spark: SparkSession, sf: str) -> DataFrame:
-    d = _docs(spark, sf)
-    lists = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.get_json_object("j", f"$.{f}").alias("v"), F.get_json_object("j", f"$.{f}[0]").alias("i")) for f in ("tags", "players", "squad")]))
-    rows = d.select(lists.alias("x")).where("x.v IS NOT NULL")
-    keys = F.array_join(F.coalesce(F.json_object_keys("x.i"), F.array().cast("array<string>")), ",")
-    return rows.groupBy(F.col("x.field").alias("field"), F.json_array_length("x.v").alias("length"), keys.alias("item_keys")).agg(F.count("*").alias("n"))
+    return N.schema_profile(_docs(spark, sf), "j", ["tags", "players", "squad"])
 
 
 def nested_value_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Event types whether ``events`` is a list or one object, and the keys of a map."""
+    """Event types whether a report is a list or one object, and the keys of a map."""
     item = F.expr("concat('{\"type\":\"', event_type, '\"}')")
     report = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("["), item, F.lit(",{\"type\":\"x\"}]"))).otherwise(item)
-    rows = table(spark, sf, "events").select(report.alias("r"), "props")
-    items = F.when(F.startswith("r", F.lit("[")), F.from_json("r", "array<struct<type:string>>")).otherwise(F.array(F.from_json("r", "struct<type:string>")))
-    types = rows.select(F.explode(items).alias("e")).select(F.lit("type").alias("what"), F.col("e.type").alias("value"))
-    return types.unionByName(rows.select(F.lit("key").alias("what"), F.explode(F.json_object_keys("props")).alias("value"))).groupBy("what", "value").agg(F.count("*").alias("n"))
+    return N.value_inventory(table(spark, sf, "events").select(report.alias("r"), "props"), "r", "type", "props")
 
 
 def map_or_list_explode(spark: SparkSession, sf: str) -> DataFrame:
     """Players as an object map or a list; a map's key is the id where the item has none."""
-    item = F.expr("concat('{\"n\":\"', n_name, '\"', if(n_nationkey % 3 = 0, concat(',\"id\":', n_nationkey), ''), '}')")
-    body = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("["), item, F.lit("]"))).otherwise(F.concat(F.lit("{\"77\":"), item, F.lit("}")))
-    d = table(spark, sf, "nation").select("n_nationkey", body.alias("body"))
-    is_list = F.startswith("body", F.lit("["))
-    items = F.when(is_list, F.transform(F.from_json("body", "array<struct<n:string,id:long>>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value"))))
-    rows = F.coalesce(items, F.map_entries(F.from_json("body", "map<string,struct<n:string,id:long>>")))
-    return d.select("n_nationkey", F.explode(rows).alias("e")).select("n_nationkey", F.col("e.value.n").alias("name"), F.coalesce(F.col("e.value.id").cast("string"), F.col("e.key")).alias("id"))
+    item = F.expr("concat('{\"n\":\"', c_name, '\"', if(c_custkey % 3 = 0, concat(',\"id\":', c_custkey), ''), '}')")
+    body = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("["), item, F.lit("]"))).otherwise(F.concat(F.lit("{\"77\":"), item, F.lit("}")))
+    rows = table(spark, sf, "customer").select("c_custkey", body.alias("body")).select("c_custkey", F.explode(N.map_or_list(F.col("body"), "n:string,id:long")).alias("e"))
+    return rows.select("c_custkey", F.col("e.value.n").alias("name"), F.coalesce(F.col("e.value.id").cast("string"), F.col("e.key")).alias("id"))
 
 
 def history_explode(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity")).alias("history"))
     o = table(spark, sf, "orders", "o_orderkey", "o_orderstatus").join(li, F.col("o_orderkey") == F.col("l_orderkey"))
-    return o.select("o_orderkey", "o_orderstatus", F.explode("history").alias("h")).select("o_orderkey", "o_orderstatus", "h.*")
+    return N.history_rows(o, ["o_orderkey", "o_orderstatus"], "history")
 
 
 def nested_results_explode(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey")).alias("results"))
     o = table(spark, sf, "orders", "o_orderkey").join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return o.select("o_orderkey", F.explode_outer("results").alias("r")).select("o_orderkey", F.to_json("r").alias("payload"))
+    return N.result_payloads(o, ["o_orderkey"], "results")
 
 
-_TABLE = "concat('<table><tr><th>Club</th><th>N</th></tr><tr><td><b>', n_name, '</b></td><td>', n_nationkey, '<br>x &amp; y</td></tr></table>')"
-_FORM = "concat('<form method=\"POST\" action=\"/a', n_nationkey, '\"><input name=\"q\" value=\"', n_name, '\"><select name=\"s\"><option value=\"1\"><option selected value=\"2\"></select></form>')"
+# Pages have neither tables nor forms nor birth markup of their own, so each gets one at its end.
+_TABLE = "concat(html, '<table><tr><th>Page</th><th>N</th></tr><tr><td><b>p', page_id, '</b></td><td>', length(html), '<br>x &amp; y</td></tr></table>')"
+_FORM = "concat(html, '<form method=\"POST\" action=\"/a', page_id, '\"><input name=\"q\" value=\"', length(url), '\"><select name=\"s\"><option value=\"1\"><option selected value=\"2\"></select></form>')"
+_BORN = "concat(html, '<p>', if(page_id % 2 = 0, concat('<span class=\"x bday\">19', 60 + page_id % 40, '-05-0', page_id % 9 + 1, '</span>'), '<time itemprop=\"birthDate\" datetime=\"1980-02-03\">3 Feb</time>'), '</p>')"
 
 
-def _nation(spark: SparkSession, sf: str, expr: str) -> DataFrame:
-    return table(spark, sf, "nation").selectExpr("n_nationkey", "n_name", f"{expr} AS html")
+def _parts(spark: SparkSession, sf: str, html: str) -> DataFrame:
+    return table(spark, sf, "pages").selectExpr("page_id", f"{html} AS html").select("page_id", N.html_parts("html").alias("p"))
 
 
 def html_table_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _nation(spark, sf, _TABLE).select("n_nationkey", F.posexplode(N.html_table_rows("html")).alias("row_index", "cells")).select(
-        "n_nationkey", "row_index", F.array_join("cells", "|").alias("cells"))
+    return _parts(spark, sf, _TABLE).select("page_id", F.posexplode("p.rows").alias("row_index", "cells")).select("page_id", "row_index", F.array_join("cells", "|").alias("cells"))
 
 
 def table_headers(spark: SparkSession, sf: str) -> DataFrame:
-    return _nation(spark, sf, _TABLE).select("n_nationkey", F.array_join(N.html_table_headers("html"), "|").alias("headers"))
+    return _parts(spark, sf, _TABLE).select("page_id", F.array_join("p.headers", "|").alias("headers"))
 
 
 def form_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return _nation(spark, sf, _FORM).select("n_nationkey", F.explode(N.html_forms("html")).alias("f")).select("n_nationkey", "f.*")
+    return _parts(spark, sf, _FORM).select("page_id", F.explode("p.forms").alias("f")).select("page_id", "f.*")
 
 
 def bday_markup_extract(spark: SparkSession, sf: str) -> DataFrame:
-    body = "concat('<p>', if(n_nationkey % 2 = 0, concat('<span class=\"x bday\">19', 60 + n_nationkey, '-05-0', n_nationkey % 9 + 1, '</span>'), '<time itemprop=\"birthDate\" datetime=\"1980-02-03\">3 Feb</time>'), '</p>')"
-    days = F.explode(N.html_birth_days("html"))
-    return _nation(spark, sf, body).select("n_nationkey", days.alias("d")).select("n_nationkey", F.coalesce(T.iso_day(F.col("d")), T.human_date(F.col("d"))).alias("day"))
+    days = _parts(spark, sf, _BORN).select("page_id", F.explode("p.birth_days").alias("d"))
+    return days.select("page_id", F.coalesce(T.iso_day(F.col("d")), T.human_date(F.col("d"))).alias("day"))
 
 
 def link_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,10 +136,8 @@ def asset_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def route_candidate_filter(spark: SparkSession, sf: str) -> DataFrame:
-    href = F.explode(F.regexp_extract_all("html", F.lit(r"href=\"([^\"]+)\""), F.lit(1)))
-    h = F.col("href")
-    return table(spark, sf, "pages").select(href.alias("href")).where(
-        h.rlike("(?i)th|on") & ~h.rlike(r"(?i)ing|[,.]") & ~h.rlike(r"\$\{|\{\{") & (F.length(h) <= 12)).groupBy("href").agg(F.count("*").alias("n"))
+    routes = N.route_candidates(F.col("html"), "(?i)th|on", r"(?i)ing|[,.]", 12)
+    return table(spark, sf, "pages").select(F.explode(routes).alias("href")).groupBy("href").agg(F.count("*").alias("n"))
 
 
 def page_identity(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,10 +148,9 @@ def page_identity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def key_binding_check(spark: SparkSession, sf: str) -> DataFrame:
-    parts = F.split(F.regexp_replace(F.regexp_replace("url", r"^https?://[^/]+", ""), r"[?#].*$", ""), "/")
     number = F.regexp_extract("url", r"/(\d+)", 1)
     asked = F.when(F.col("page_id") % 2 == 0, number).otherwise(F.substring(number, 1, 1))
-    return table(spark, sf, "pages").select("page_id", (F.array_contains(parts, asked) & F.array_contains(parts, "en")).alias("bound"))
+    return table(spark, sf, "pages").select("page_id", records.expected_path(F.col("url"), [asked, F.lit("en")]).alias("bound"))
 
 
 def embedded_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,12 +160,15 @@ def embedded_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def country_code_map(spark: SparkSession, sf: str) -> DataFrame:
-    codes = F.create_map(*[F.lit(x) for x in ("NATION_1", "ENG", "NATION_2", "GER", "NATION_3", "NED")])
-    return table(spark, sf, "nation").select("n_nationkey", F.coalesce(codes[F.col("n_name")], F.upper(F.substring("n_name", 1, 3))).alias("association"))
+    codes = {"NATION_1": "ENG", "NATION_2": "GER", "NATION_3": "NED"}
+    named = providers.dim_lookup(table(spark, sf, "customer", "c_custkey", "c_nationkey"), table(spark, sf, "nation", "n_nationkey", "n_name"), "c_nationkey", "n_nationkey")
+    return named.select("c_custkey", records.country_codes(F.col("n_name"), codes).alias("association"))
 
 
 def src_html_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", F.octet_length("html").alias("bytes"), F.sha2("html", 256).alias("sha256"))
+    """Pages as gzip files' bytes, read as such files are."""
+    stored = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("path"), F.unbase64(files.packed("html")).alias("content"))
+    return files.pages(stored).select(F.col("path").cast("long").alias("page_id"), F.length("html").alias("chars"), "bytes", "sha256", "charset")
 
 
 _D = f"d AS (SELECT c_custkey, c_mktsegment, {_JSON} AS j FROM customer)"
@@ -199,18 +186,18 @@ QUERIES = {
     "labelled_id_harvest": (labelled_id_harvest, "SELECT 'id' AS key, c_custkey::INTEGER AS id FROM customer WHERE c_custkey BETWEEN 1 AND 999 UNION SELECT 'teamId', c_nationkey FROM customer WHERE c_nationkey > 0 UNION SELECT 'pid', unnest([1, 2])"),
     "field_inventory": (field_inventory, f"WITH {_D}, k AS (SELECT DISTINCT c_mktsegment, unnest(json_keys(j)) AS k FROM d) SELECT c_mktsegment, string_agg(k, ',' ORDER BY k) AS fields FROM k GROUP BY 1"),
     "key_presence": (key_presence, f"WITH {_D}, k AS (SELECT unnest(json_keys(j)) AS key FROM d UNION ALL SELECT 'players[].pid' FROM d WHERE c_custkey % 3 = 0) SELECT key, count(*) AS n FROM k GROUP BY 1"),
-    "common_paths": (common_paths, "SELECT unnest(['id', 'team.teamId', 'tags[1].k']) AS path"),
+    "common_paths": (common_paths, _TREE + f" SELECT {_PATH} AS path FROM t WHERE kind = 'number' GROUP BY 1 HAVING count(DISTINCT c_custkey) = (SELECT count(*) FROM customer)"),
     "schema_profile": (schema_profile, """SELECT 'tags' AS field, 2 AS length, '' AS item_keys, count(*) AS n FROM customer UNION ALL SELECT 'players', CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 0 END, CASE WHEN c_custkey % 3 = 0 THEN 'pid' ELSE '' END, count(*) FROM customer GROUP BY 2, 3
       UNION ALL SELECT 'squad', 1, 'x', count(*) FROM customer WHERE c_custkey % 5 = 0"""),
     "nested_value_inventory": (nested_value_inventory, """WITH a AS (SELECT 'type' AS what, event_type AS value FROM events UNION ALL SELECT 'type', 'x' FROM events WHERE event_id % 2 = 0 UNION ALL SELECT 'key', unnest(json_keys(props)) FROM events)
       SELECT what, value, count(*) AS n FROM a GROUP BY ALL"""),
-    "map_or_list_explode": (map_or_list_explode, "SELECT n_nationkey, n_name AS name, CASE WHEN n_nationkey % 3 = 0 THEN n_nationkey::VARCHAR WHEN n_nationkey % 2 = 1 THEN '77' END AS id FROM nation"),
+    "map_or_list_explode": (map_or_list_explode, "SELECT c_custkey, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN c_custkey::VARCHAR WHEN c_custkey % 2 = 1 THEN '77' END AS id FROM customer"),
     "history_explode": (history_explode, "SELECT o_orderkey, o_orderstatus, l_linenumber, l_partkey, l_quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey"),
     "nested_results_explode": (nested_results_explode, """SELECT o_orderkey, CASE WHEN l_orderkey IS NOT NULL THEN '{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || '}' END AS payload FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey"""),
-    "html_table_rows": (html_table_rows, "SELECT n_nationkey, 0 AS row_index, 'Club|N' AS cells FROM nation UNION ALL SELECT n_nationkey, 1, n_name || '|' || n_nationkey || ' x & y' FROM nation"),
-    "table_headers": (table_headers, "SELECT n_nationkey, 'Club|N' AS headers FROM nation"),
-    "form_inventory": (form_inventory, "SELECT n_nationkey, 'post' AS method, '/a' || n_nationkey AS action, NULL AS name, NULL AS type, NULL AS value FROM nation UNION ALL SELECT n_nationkey, 'post', '/a' || n_nationkey, 'q', 'input', n_name FROM nation UNION ALL SELECT n_nationkey, 'post', '/a' || n_nationkey, 's', 'select', '2' FROM nation"),
-    "bday_markup_extract": (bday_markup_extract, "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN make_date(1960 + n_nationkey, 5, n_nationkey % 9 + 1) ELSE DATE '1980-02-03' END AS day FROM nation"),
+    "html_table_rows": (html_table_rows, "SELECT page_id, 0 AS row_index, 'Page|N' AS cells FROM pages UNION ALL SELECT page_id, 1, 'p' || page_id || '|' || length(html) || ' x & y' FROM pages"),
+    "table_headers": (table_headers, "SELECT page_id, 'Page|N' AS headers FROM pages"),
+    "form_inventory": (form_inventory, "SELECT page_id, 'post' AS method, '/a' || page_id AS action, NULL AS name, NULL AS type, NULL AS value FROM pages UNION ALL SELECT page_id, 'post', '/a' || page_id, 'q', 'input', length(url)::VARCHAR FROM pages UNION ALL SELECT page_id, 'post', '/a' || page_id, 's', 'select', '2' FROM pages"),
+    "bday_markup_extract": (bday_markup_extract, "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN make_date(1960 + page_id % 40, 5, page_id % 9 + 1) ELSE DATE '1980-02-03' END AS day FROM pages"),
     "link_rows": (link_rows, r"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS href, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2)) AS label,
         generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1), 1) AS pos FROM pages),
       b AS (SELECT *, regexp_extract(href, '^/(\w+)$', 1) AS slug FROM a)
@@ -223,6 +210,6 @@ QUERIES = {
     "key_binding_check": (key_binding_check, r"""WITH p AS (SELECT page_id, string_split(regexp_replace(regexp_replace(url, '^https?://[^/]+', ''), '[?#].*$', ''), '/') AS s, regexp_extract(url, '/(\d+)', 1) AS n FROM pages)
       SELECT page_id, list_contains(s, CASE WHEN page_id % 2 = 0 THEN n ELSE substr(n, 1, 1) END) AND list_contains(s, 'en') AS bound FROM p"""),
     "embedded_json": (embedded_json, "SELECT page_id, CASE WHEN page_id % 4 <> 0 THEN page_id END AS id FROM pages"),
-    "country_code_map": (country_code_map, "SELECT n_nationkey, CASE n_name WHEN 'NATION_1' THEN 'ENG' WHEN 'NATION_2' THEN 'GER' WHEN 'NATION_3' THEN 'NED' ELSE upper(substr(n_name, 1, 3)) END AS association FROM nation"),
-    "src_html_pages": (src_html_pages, "SELECT page_id, strlen(html)::INTEGER AS bytes, sha256(html) AS sha256 FROM pages"),
+    "country_code_map": (country_code_map, "SELECT c_custkey, CASE n_name WHEN 'NATION_1' THEN 'ENG' WHEN 'NATION_2' THEN 'GER' WHEN 'NATION_3' THEN 'NED' ELSE upper(substr(n_name, 1, 3)) END AS association FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey"),
+    "src_html_pages": (src_html_pages, "SELECT page_id, length(html)::INTEGER AS chars, strlen(html) AS bytes, sha256(html) AS sha256, 'UTF-8' AS charset FROM pages"),
 }

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import identity, providers
+from ledgerloom.operators import identity, providers, records, requests
 from .common import table
 
-# Lists that the sources fix: how statuses and classes are named.
-_FORBIDDEN = ["kpi"]
-
-
 def player_index(spark: SparkSession, sf: str) -> DataFrame:
     c = providers.to_index(table(spark, sf, "customer"), "alpha", {
         "competition": F.col("c_mktsegment"), "provider_player_id": F.col("c_custkey"), "player_name": F.col("c_name"), "team": F.col("c_nationkey")})
@@ -20,7 +16,8 @@ def player_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def player_index_payload(spark: SparkSession, sf: str) -> DataFrame:
-    return providers.to_index(table(spark, sf, "nation"), "gamma", {"provider_player_id": F.col("n_nationkey")}).select("provider_player_id", "provider_fields_json")
+    c = table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey")
+    return providers.to_index(c, "gamma", {"provider_player_id": F.col("c_custkey")}).select("provider_player_id", "provider_fields_json")
 
 
 def coalesce_identity(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,76 +26,62 @@ def coalesce_identity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def required_keys_check(spark: SparkSession, sf: str) -> DataFrame:
-    missing = F.array_except(F.array(F.lit("k"), F.lit("m")), F.coalesce(F.json_object_keys("props"), F.array().cast("array<string>")))
-    rows = table(spark, sf, "events").select("event_type", F.explode(missing).alias("missing"))
-    return rows.groupBy("event_type", "missing").agg(F.count("*").alias("rows"))
+    return records.missing_keys(table(spark, sf, "events"), "props", ["k", "m"], ["event_type"])
 
 
 def scalar_projection(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "orders").selectExpr("o_orderkey", "struct(o_custkey) AS s", "array(o_custkey) AS a", "map('k', o_custkey) AS m", "o_orderstatus")
-    return df.select(*[f.name for f in df.schema.fields if f.dataType.typeName() not in ("struct", "array", "map", "variant")])
+    return records.scalar_columns(table(spark, sf, "orders").selectExpr("o_orderkey", "struct(o_custkey) AS s", "array(o_custkey) AS a", "map('k', o_custkey) AS m", "o_orderstatus"))
 
 
 def allowlist_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").selectExpr(
-        "c_custkey AS subject", "coalesce(nullif(c_mktsegment, 'MACHINERY'), c_name) AS status", "concat('person/', c_nationkey, '/', c_custkey) AS locator")
+    columns = {"subject": [F.col("c_custkey")], "status": [F.nullif("c_mktsegment", F.lit("MACHINERY")), F.col("c_name")]}
+    return records.allowlist(table(spark, sf, "customer"), columns, ("locator", [F.lit("person"), F.col("c_nationkey"), F.col("c_custkey")]))
 
 
 def open_records(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "orders").selectExpr("o_orderkey", "nullif(o_orderstatus, 'P') AS mapping", "if(o_orderkey % 4 = 0, NULL, 'F') AS dob")
-    return df.where(~(F.col("mapping").eqNullSafe(F.lit("F")) & F.col("dob").eqNullSafe(F.lit("F"))))
+    return records.open_records(df, {"mapping": "F", "dob": "F"})
 
 
 def route_residuals(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "lineitem").selectExpr("l_returnflag AS scope", "l_linestatus", "l_orderkey", "if(l_partkey % 3 = 0, NULL, l_partkey) AS bridge")
-    return df.groupingSets([[F.col("scope")], []], "scope").agg(
-        F.count_if(F.col("l_linestatus") == "O").alias("identity"), F.count_if((F.col("l_linestatus") == "F") & F.col("bridge").isNotNull()).alias("with_bridge"),
-        F.count_if((F.col("l_linestatus") == "F") & F.col("bridge").isNull()).alias("without_bridge"), F.count_distinct("l_orderkey").alias("subjects"))
+    verified, bridged = F.col("l_linestatus") == "F", F.col("bridge").isNotNull()
+    return records.route_residuals(df, "scope", "l_orderkey", {"identity": ~verified, "with_bridge": verified & bridged, "without_bridge": verified & ~bridged})
 
 
 def availability_status(spark: SparkSession, sf: str) -> DataFrame:
-    p = F.col("o_orderpriority")
-    status = (F.when((F.col("o_orderstatus") == "P") & F.startswith(p, F.lit("1")), "FAILED_REQUIRED").when(F.col("o_orderstatus") == "P", "UNAVAILABLE_OPTIONAL")
-              .when(F.col("o_totalprice") < 5000, "CORRUPT").otherwise("AVAILABLE"))
+    status = records.availability(F.col("o_orderstatus") == "P", F.startswith("o_orderpriority", F.lit("1")), F.col("o_totalprice") < 5000)
     return table(spark, sf, "orders").groupBy(status.alias("status"), F.substring("o_orderpriority", 1, 1).alias("policy")).agg(F.count("*").alias("n"))
 
 
 def scope_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").where("o_orderstatus <> 'P'")
-    total = o.groupBy("o_custkey").agg(F.count("*").alias("n")).select("o_custkey", F.lit("total").alias("scope"), F.lit(None).cast("int").alias("round"), "n")
-    rounds = o.groupBy("o_custkey", F.year("o_orderdate").alias("round")).agg(F.count("*").alias("n")).select("o_custkey", F.lit("round").alias("scope"), "round", "n")
-    return total.unionByName(rounds)
+    return records.scope_snapshots(table(spark, sf, "orders"), "o_custkey", F.year("o_orderdate"), F.col("o_orderstatus") != "P", [F.count("*").alias("n")])
 
 
 def regex_id_extract(spark: SparkSession, sf: str) -> DataFrame:
     row = F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(F.concat(F.lit("user/"), "user_id", F.lit("/x")))
-    keys = [F.nullif(F.get_json_object(row, f"$.{k}"), F.lit("")) for k in ("id", "k")]
-    found = F.coalesce(*keys, F.nullif(F.regexp_extract(row, r"user/(\d+)", 1), F.lit("")))
-    return table(spark, sf, "events").select("event_id", found.cast("long").alias("id"))
+    return table(spark, sf, "events").select("event_id", records.extract_id(row, ["id", "k"], [r"user/(\d+)"]).alias("id"))
 
 
 def competition_class(spark: SparkSession, sf: str) -> DataFrame:
-    kind = F.when(F.lower("p_type").isin("economy", "standard"), "league").when(F.startswith("p_type", F.lit("P")), "cup").otherwise("other")
+    kind = records.classify(F.col("p_type"), {"league": ["economy", "standard"]}, {"P": "cup"})
     return table(spark, sf, "part").groupBy("p_type", kind.alias("class")).agg(F.count("*").alias("n"))
 
 
 def bridge_key(spark: SparkSession, sf: str) -> DataFrame:
     own = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("key-"), "c_nationkey"))
-    linked = F.when((F.col("c_custkey") % 4 == 1) & F.col("c_custkey").cast("string").rlike(r"^\d+$"), F.concat(F.lit("provider:"), "c_custkey"))
-    digits = F.nullif(F.regexp_extract("c_name", r"#0*(\d+)$", 1), F.lit(""))
-    return table(spark, sf, "customer").select("c_custkey", F.coalesce(own, linked, F.concat(F.lit("provider:"), digits)).alias("bridge"))
+    given = F.when(F.col("c_custkey") % 4 == 1, F.col("c_custkey"))
+    return table(spark, sf, "customer").select("c_custkey", records.bridge_key(own, given, F.col("c_name"), r"#0*(\d+)$").alias("bridge"))
 
 
 def technical_id_check(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = F.concat(F.lit("Customer#"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
-    df = table(spark, sf, "customer").select(wanted.alias("wanted"), F.when(F.col("c_custkey") % 50 == 0, "bad").otherwise(F.col("c_name")).alias("given"))
-    return df.agg(F.count("*").alias("rows"), F.count_if(F.col("wanted") != F.col("given")).alias("not_canonical"), (F.count_distinct("wanted") == F.count("*")).alias("unique"))
+    df = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 50 == 0, "bad").otherwise(F.col("c_name")).alias("given"))
+    return records.technical_ids(df, F.concat(F.lit("Customer#"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")), "given")
 
 
 def record_checks(spark: SparkSession, sf: str) -> DataFrame:
     checks = {"priced": F.col("o_totalprice") > 1000, "final": F.col("o_orderstatus") == "F", "dated": F.year("o_orderdate") >= 1995}
-    ok = F.forall(F.array(*checks.values()), lambda x: x)
-    return table(spark, sf, "orders").select(*[c.alias(k) for k, c in checks.items()], F.when(ok, "VERIFIED").otherwise("REVIEW").alias("status")).groupBy(*checks, "status").agg(F.count("*").alias("n"))
+    return records.record_checks(table(spark, sf, "orders"), checks).groupBy(*checks, "status").agg(F.count("*").alias("n"))
 
 
 def dim_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,39 +92,31 @@ def dim_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def missing_entities_anti(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders", "o_orderkey").join(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")
+    return requests.missing_entities(table(spark, sf, "orders", "o_orderkey"), table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
 
 
 def grid_cross(spark: SparkSession, sf: str) -> DataFrame:
     """Every nation and status: cells are kept, the first status with enough orders is chosen."""
     orders = table(spark, sf, "orders", "o_custkey", "o_orderstatus")
-    got = orders.join(table(spark, sf, "customer", "c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_nationkey", "o_orderstatus").agg(F.count("*").alias("n"))
-    modes = orders.select("o_orderstatus").distinct()
-    grid = table(spark, sf, "nation", "n_nationkey").crossJoin(F.broadcast(modes))
-    cells = grid.join(got.withColumnRenamed("c_nationkey", "n_nationkey"), ["n_nationkey", "o_orderstatus"], "left").select(
-        "n_nationkey", "o_orderstatus", F.coalesce("n", F.lit(0)).alias("n")).withColumn("valid", F.col("n") >= 200)
-    chosen = cells.where("valid").groupBy("n_nationkey").agg(F.min("o_orderstatus").alias("mode"))
-    return cells.join(chosen, "n_nationkey", "left")
+    nation = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    got = orders.join(nation, "o_custkey").groupBy("n_nationkey", "o_orderstatus").agg(F.count("*").alias("n"))
+    return requests.grid(table(spark, sf, "nation"), orders, got, "n_nationkey", "o_orderstatus", "n", F.col("n") >= 200)
 
 
 def season_request_plan(spark: SparkSession, sf: str) -> DataFrame:
-    seasons = table(spark, sf, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_set(F.year("o_orderdate"))).alias("seasons"))
-    target = spark.createDataFrame([(1996,), (1998,)], "season int")
-    modes = spark.createDataFrame([("summary",), ("reports",)], "mode string")
-    jobs = seasons.select("o_custkey", F.explode("seasons").alias("season")).join(F.broadcast(target), "season")
-    return jobs.crossJoin(F.broadcast(modes))
+    seasons = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("season"))
+    return requests.request_plan(seasons, "o_custkey", "season", [1996, 1998], ["summary", "reports"])
 
 
 def observation_route_expand(spark: SparkSession, sf: str) -> DataFrame:
-    subject = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 100).alias("subject")).agg(
-        F.array_sort(F.collect_set(F.col("o_custkey"))).alias("ids"), F.array_sort(F.collect_set(F.year("o_orderdate"))).alias("seasons"))
-    return subject.select("subject", F.explode("ids").alias("id"), "seasons").select("subject", "id", F.explode("seasons").alias("season"))
+    links = table(spark, sf, "orders").select((F.col("o_custkey") % 100).alias("subject"), F.col("o_custkey").alias("id"), F.year("o_orderdate").alias("season"))
+    return requests.observation_routes(links, "subject", "id", "season")
 
 
 def coverage_match_join(spark: SparkSession, sf: str) -> DataFrame:
     asked = table(spark, sf, "orders").selectExpr("o_orderkey", "year(o_orderdate) AS y").where("o_orderkey % 3 > 0")
-    got = table(spark, sf, "lineitem").selectExpr("l_orderkey AS o_orderkey", "year(l_shipdate) AS y").distinct().withColumn("hit", F.lit(1))
-    return asked.join(got, ["o_orderkey", "y"], "left").groupBy("y").agg(F.count("*").alias("expected"), F.count("hit").alias("matched"), (F.count("hit") / F.count("*")).alias("rate"))
+    got = table(spark, sf, "lineitem").selectExpr("l_orderkey AS o_orderkey", "year(l_shipdate) AS y")
+    return requests.coverage_rate(asked, got, ["o_orderkey", "y"], ["y"])
 
 
 def payload_diff(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,8 +136,7 @@ def control_payload_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def name_contains_filter(spark: SparkSession, sf: str) -> DataFrame:
-    targets = F.array(*[F.lit(x) for x in ("RING", "gear", "blue w")])
-    return table(spark, sf, "part", "p_partkey", "p_name").where(F.exists(targets, lambda t: F.contains(F.lower("p_name"), F.lower(t))))
+    return records.contains_any(table(spark, sf, "part", "p_partkey", "p_name"), "p_name", ["RING", "gear", "blue w"])
 
 
 def provenance_reach(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,9 +150,9 @@ def provenance_reach(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def subject_backjoin(spark: SparkSession, sf: str) -> DataFrame:
-    o, li = table(spark, sf, "orders", "o_orderkey", "o_orderstatus"), table(spark, sf, "lineitem", "l_orderkey", "l_linestatus")
-    joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return joined.groupBy("l_linestatus", F.coalesce("o_orderstatus", F.lit("MISSING")).alias("earlier")).agg(F.count("*").alias("n"))
+    later = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("subject"), "l_linestatus")
+    earlier = table(spark, sf, "orders").select(F.col("o_orderkey").alias("subject"), "o_orderstatus")
+    return requests.backjoin(later, earlier, "subject", "o_orderstatus").groupBy("l_linestatus", "earlier").agg(F.count("*").alias("n"))
 
 
 def payload_version_groups(spark: SparkSession, sf: str) -> DataFrame:
@@ -268,7 +242,7 @@ _Y = "year(o_orderdate)::INTEGER"
 QUERIES = {
     "player_index": (player_index, """SELECT 'alpha' AS provider, c_mktsegment AS competition, NULL::VARCHAR AS season, c_custkey::VARCHAR AS provider_player_id, c_name AS player_name, c_nationkey::VARCHAR AS team, 'player' AS record_type FROM customer
       UNION ALL SELECT 'beta', NULL, NULL, s_suppkey::VARCHAR, s_name, NULL, 'club' FROM supplier"""),
-    "player_index_payload": (player_index_payload, """SELECT n_nationkey::VARCHAR AS provider_player_id, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}' AS provider_fields_json FROM nation"""),
+    "player_index_payload": (player_index_payload, """SELECT c_custkey::VARCHAR AS provider_player_id, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey || '}' AS provider_fields_json FROM customer"""),
     "coalesce_identity": (coalesce_identity, "SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey % 3)::VARCHAR WHEN c_custkey % 2 <> 0 THEN c_mktsegment ELSE c_name || ' x' END AS name FROM customer"),
     "required_keys_check": (required_keys_check, """SELECT event_type, missing, count(*) AS rows FROM events, (SELECT unnest(['k', 'm']) AS missing) WHERE NOT list_contains(json_keys(props), missing) GROUP BY ALL"""),
     "scalar_projection": (scalar_projection, "SELECT o_orderkey, o_orderstatus FROM orders"),

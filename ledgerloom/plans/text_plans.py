@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
+from ledgerloom.functions.nested import canonical_json
 from .common import table
 
 # Distinct lower-case words of documents in Latin letters; trailing marks stay for the normalisers.
@@ -23,6 +24,7 @@ def _over_words(f, sharp: bool = False):
 
 
 _PLAIN = "trim(regexp_replace(strip_accents(lower(word)), '[^a-z0-9]+', ' ', 'g'))"
+_FOLDED = "trim(regexp_replace(strip_accents(replace(lower(word), 'ß', 'ss')), '[^a-z0-9]+', ' ', 'g'))"
 _SHARP = _WORDS.replace("Ä.", "Äß.")
 
 
@@ -56,14 +58,15 @@ def slugify(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fallback_row_id(spark: SparkSession, sf: str) -> DataFrame:
-    row = F.to_json(F.struct("c_custkey", "c_mktsegment", "c_nationkey"))
-    own = F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey").cast("string"))
-    return table(spark, sf, "customer").select("c_custkey", F.coalesce(own, F.sha1(row)).alias("row_id"))
+    row = canonical_json(F.to_json(F.struct("c_nationkey", "c_custkey", "c_mktsegment")))
+    own = F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey").cast("string")).otherwise(F.concat(F.lit("x"), "c_custkey"))
+    return table(spark, sf, "customer").select("c_custkey", T.row_id(own, row).alias("row_id"))
 
 
-def canonical_json(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "nation")
-    return df.select("n_nationkey", F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256).alias("digest"))
+def canonical_json_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """A nested record whose keys are unsorted at both depths, with a null, a list and a letter outside ASCII."""
+    text = F.expr("""concat('{"z": {"n": ', c_nationkey, ', "a": [1, {"y": null, "b": "é"}]}, "name": "', c_name, '", "k": ', c_custkey, '}')""")
+    return table(spark, sf, "customer").select("c_custkey", F.sha2(canonical_json(text), 256).alias("digest"))
 
 
 def localized_date_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,38 +93,24 @@ def valid_full_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def epoch_to_utc_date(spark: SparkSession, sf: str) -> DataFrame:
-    seconds = F.unix_timestamp(F.date_trunc("second", "ts"))
-    return table(spark, sf, "events").select("event_id", F.to_date(F.timestamp_seconds(seconds)).alias("day"))
+    return table(spark, sf, "events").select("event_id", T.utc_day(F.unix_timestamp(F.date_trunc("second", "ts"))).alias("day"))
 
 
 def keyword_hit_counts(spark: SparkSession, sf: str) -> DataFrame:
-    needles = [" the ", "th.", "license", "Ü"]
-    hits = F.explode(F.array(*[F.struct(F.lit(n).alias("needle"), F.regexp_count("text", F.lit(r"\Q" + n + r"\E")).alias("hits")) for n in needles]))
-    return table(spark, sf, "documents").select("doc_id", hits.alias("x")).select("doc_id", "x.needle", "x.hits")
+    return T.keyword_hits(table(spark, sf, "documents"), "doc_id", "text", [" the ", "th.", "license", "Ü"])
 
 
 def domain_counts(spark: SparkSession, sf: str) -> DataFrame:
-    url = F.explode(F.array_distinct(F.array_append(F.regexp_extract_all("html", F.lit(r"https?://[^\s\"'<>)]+"), F.lit(0)), F.col("url"))))
-    urls = table(spark, sf, "pages").select(url.alias("url")).distinct()
-    hosts = urls.select(F.lower(F.regexp_extract("url", r"^https?://([^/?#:]+)", 1)).alias("host")).groupBy("host").agg(F.count("*").alias("n"))
-    return hosts.orderBy(F.desc("n"), "host").limit(30)
+    return T.domain_counts(table(spark, sf, "pages"), [F.col("html"), F.col("url")])
 
 
 def keyword_context(spark: SparkSession, sf: str) -> DataFrame:
-    """Every occurrence of a term: its character offset and the text around it."""
-    term, width = "license", 12
-    rows = table(spark, sf, "documents").where(F.contains("text", F.lit(term))).select("doc_id", "text", F.posexplode(F.split("text", term)))
-    before = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    hits = rows.select("doc_id", "text", "pos", (F.sum(F.length("col")).over(before) + F.col("pos") * len(term)).alias("offset"))
-    hits = hits.where(F.col("offset") + len(term) <= F.length("text"))
-    start = F.greatest(F.col("offset") - width, F.lit(0)).cast("int")
-    size = F.col("offset").cast("int") - start + len(term) + width
-    return hits.select("doc_id", "offset", F.substring("text", start + 1, size).alias("context"))
+    return T.keyword_context(table(spark, sf, "documents"), "doc_id", "text", "license", 12)
 
 
 QUERIES = {
     "norm_surface": (_over_words(T.norm_surface), f"WITH {_WORDS} SELECT word, {_PLAIN} AS value FROM w"),
-    "norm_casefold": (_over_words(T.norm_casefold, True), f"WITH {_SHARP} SELECT word, {_PLAIN.replace('lower(word)', chr(114) + 'eplace(lower(word), ' + chr(39) + 'ß' + chr(39) + ', ' + chr(39) + 'ss' + chr(39) + ')')} AS value FROM w"),
+    "norm_casefold": (_over_words(T.norm_casefold, True), f"WITH {_SHARP} SELECT word, {_FOLDED} AS value FROM w"),
     "club_key": (_over_words(T.club_key, True), f"WITH {_SHARP} SELECT word, lower(word) AS value FROM w"),
     "ascii_tokens": (_over_words(lambda c: F.array_join(T.ascii_tokens(F.concat(c, F.lit(" &amp; Zß b"))), " "), True),
                      f"WITH {_SHARP} SELECT word, array_to_string(list_sort(list_distinct(regexp_extract_all(replace(strip_accents(lower(word)), 'ß', '') || ' z b', '[a-z0-9]+'))), ' ') AS value FROM w"),
@@ -136,7 +125,7 @@ QUERIES = {
     "token_subset": (token_subset, "SELECT p_partkey, p_partkey % 3 <> 0 AS match FROM part"),
     "surrogate_key": (surrogate_key, "SELECT c_custkey, 'person-' || lower(c_mktsegment) || '-v1-' || substr(sha256(lower(c_mktsegment) || '|' || c_custkey), 1, 24) AS person_key FROM customer"),
     "fallback_row_id": (fallback_row_id, """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey::VARCHAR ELSE sha1('{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '","c_nationkey":' || c_nationkey || '}') END AS row_id FROM customer"""),
-    "canonical_json": (canonical_json, """SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}') AS digest FROM nation"""),
+    "canonical_json": (canonical_json_digest, """SELECT c_custkey, sha256('{"k":' || c_custkey || ',"name":"' || c_name || '","z":{"a":[1,{"b":"é","y":null}],"n":' || c_nationkey || '}}') AS digest FROM customer"""),
     "localized_date_extract": (localized_date_extract, "SELECT o_orderkey, array_to_string(list_sort(list_distinct([strftime(o_orderdate, '%Y-%m-%d'), '1990-01-01'])), ',') AS days FROM orders"),
     "human_date_parse": (human_date_parse, "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN CASE WHEN day(o_orderdate) + 3 <= day(last_day(o_orderdate)) THEN o_orderdate::DATE + 3 END ELSE o_orderdate::DATE END AS day FROM orders"),
     "iso_day_normalize": (iso_day_normalize, "SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 AND o_orderkey % 3 <> 2 THEN o_orderdate::DATE END AS day FROM orders"),

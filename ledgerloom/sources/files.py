@@ -7,8 +7,6 @@ import gzip
 import hashlib
 import io
 import lzma
-import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -18,23 +16,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BinaryType, StringType
 
+from .shared import work_folder  # noqa: F401
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
+def read_records(spark: SparkSession, path: str, schema: str, field: str = "records", ok: str = "PASS", multi_line: bool = False) -> DataFrame:
+    """Rows of an envelope {status, <field>: [...]}; an envelope that is not ``ok`` fails the read.
 
-def read_records(spark: SparkSession, path: str, schema: str, field: str = "records", ok: str = "PASS") -> DataFrame:
-    """Rows of an envelope {status, <field>: [...]}; an envelope that is not ``ok`` fails the read."""
-    env = spark.read.schema(f"status string, {field} array<struct<{schema}>>").json(path, multiLine=True)
+    One envelope a line, or with ``multi_line`` one a file.
+    """
+    env = spark.read.schema(f"status string, {field} array<struct<{schema}>>").json(path, multiLine=multi_line)
     good = F.when(F.col("status") == ok, F.col(field)).otherwise(F.raise_error(F.concat(F.lit("envelope status "), F.coalesce("status", F.lit("null")))))
     return env.select(F.explode(good).alias("r")).select("r.*")
 
 
+def write_records(df: DataFrame, path: str, keys: list[str], fields: list[str], rows: int = 500, status: str = "PASS") -> None:
+    """Envelopes {status, records: [...]} of about ``rows`` records each, one a line.
+
+    The records of a key are split by a hash, so that no envelope grows with the table.
+    """
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).alias("_n"))
+    dealt = df.join(sizes, keys).withColumn("_part", F.pmod(F.xxhash64(*fields), F.col("_n")))
+    listed = dealt.groupBy(*keys, "_part").agg(F.collect_list(F.struct(*fields)).alias("records"))
+    listed.select(F.lit(status).alias("status"), "records").write.json(path)
+
+
 def read_round_csv(spark: SparkSession, path: str, pattern: str = r"(\d{4})-(\d+)") -> DataFrame:
     """CSV files whose path has year and round; a byte order mark on the first column goes."""
     df = spark.read.option("header", True).csv(path)
@@ -89,21 +94,62 @@ def assemble(chunks: DataFrame, key: str) -> DataFrame:
     return agg.select(key, decompress(F.unbase64(F.when(intact, whole))).alias("content"), "chunks", intact.alias("intact"))
 
 
-def archive_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, member, size, sha256) of every member of zip files."""
+def pages(files: DataFrame) -> DataFrame:
+    """(path, html, bytes, sha256, charset) of (path, content) page files, gzip, xz or plain.
+
+    The hash is that of the decompressed bytes.  The charset is Latin-1 where a meta tag in the first 4 KB
+    says so or the bytes are no UTF-8, else UTF-8.
+    """
+    raw = files.select("path", decompress("content").alias("content"))
+    head = F.decode(F.substring("content", 1, 4096), "ISO-8859-1")
+    named = F.upper(F.regexp_extract(head, "(?i)<meta[^>]*charset=[\"']?([\\w-]+)", 1))
+    utf8 = F.is_valid_utf8(F.col("content").cast("string")) & ~named.isin("ISO-8859-1", "LATIN-1", "WINDOWS-1252")
+    raw = raw.withColumn("charset", F.when(utf8, "UTF-8").otherwise("ISO-8859-1"))
+    text = F.when(F.col("charset") == "UTF-8", F.decode("content", "UTF-8")).otherwise(F.decode("content", "ISO-8859-1"))
+    return raw.select("path", text.alias("html"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"), "charset")
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """``pages`` of the files below a path."""
+    return pages(spark.read.format("binaryFile").load(path))
+
+
+def zipped(members: DataFrame, archive: str, member: str, body: str) -> DataFrame:
+    """(path, content): one zip archive per value of ``archive``, its members in name order.
+
+    An archive is made in one piece; choose a key whose archives stay small.
+    """
+    def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for name, rows in zip(f["path"], f["m"]):
+                b = io.BytesIO()
+                with zipfile.ZipFile(b, "w") as z:
+                    for r in sorted(rows, key=lambda r: r["name"]):
+                        z.writestr(zipfile.ZipInfo(r["name"]), r["body"] or "")
+                out.append((name, b.getvalue()))
+            yield pd.DataFrame(out, columns=["path", "content"])
+
+    listed = F.collect_list(F.struct(F.col(member).alias("name"), F.col(body).alias("body"))).alias("m")
+    return members.groupBy(F.col(archive).alias("path")).agg(listed).mapInPandas(make, "path string, content binary")
+
+
+def archive_members(files: DataFrame) -> DataFrame:
+    """(archive, member, size, sha256) of every member of (path, content) zip files."""
 
     def members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = []
             for name, content in zip(f["path"], f["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for m in sorted(z.namelist()):
-                        body = z.read(m)
-                        rows.append((name, m, len(body), hashlib.sha256(body).hexdigest()))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size", "sha256"])
+                    rows = [(name, m, len(body), hashlib.sha256(body).hexdigest()) for m in sorted(z.namelist()) for body in [z.read(m)]]
+                yield pd.DataFrame(rows, columns=["archive", "member", "size", "sha256"])
+
+    return files.select("path", "content").mapInPandas(members, "archive string, member string, size long, sha256 string")
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(members, "archive string, member string, size long, sha256 string")
+
+def archive_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """``archive_members`` of the zip files below a path."""
+    return archive_members(spark.read.format("binaryFile").load(path))
 
 
 def bundle_digest(files: DataFrame, bundle: str, path: Column, size: Column, sha: Column, trailing_newline: bool) -> DataFrame:

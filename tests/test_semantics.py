@@ -8,7 +8,7 @@ from ledgerloom.functions import text as T
 from ledgerloom.operators import audit, evidence, identity, ledger, master, providers, snapshots
 from ledgerloom.sources import files
 
-BODY = "= League\r\n# Teams 4\n# Matches 12\nRegular Season (3)\n20:45  A v B  2-1 (1-0)\nC  0-0 (0-0)  D\nA v D [cancelled]\nB v C 3-0 [awarded]\nE v E 1-1\nA v C 1-1\n"
+BODY = "= League\r\n# Teams 4\n# Matches 12\n# Stages  Regular Season (3)  Playoffs (9)\nRegular Season (5)\n20:45  A v B  2-1 (1-0)\nC  0-0 (0-0)  D\nA v D [cancelled]\nB v C 3-0 [awarded]\nE v E 1-1\nA v C 1-1\n"
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +30,32 @@ def test_header_and_cutoff(parsed):
     assert ledger.regular_season(parsed[0].withColumn("k", F.lit(None).cast("int")), ["file"], ["line_no"], "k").count() == 4
 
 
+@pytest.mark.parametrize("line,want", [
+    ("  18:00   FC   One  v  Two  Town   2-1  (1-0)  [awarded] ", ("FC One", "Two Town", 2, 1, "awarded")),
+    ("9.30 A V B 10-0 (aet)", ("A", "B", 10, 0, None)),
+    ("A v B 1-1 (pen. 4-3) [replay]", ("A", "B", 1, 1, None)),
+    ("A  1-0 (aet)  B   C", ("A", "B C", 1, 0, None)),
+    ("1. FC 04 3-2 SV 98", ("1. FC 04", "SV 98", 3, 2, None)),
+    ("A v B", None), ("A v B [cancelled]", None), ("A v B 2-1 later", None), ("v B 1-0", None), ("A 2-1", None), ("2-1 B", None),
+    ("A 3-0 B [awarded]", None), ("A v A 1-0", None), ("A 1-0 A", None), ("", None), ("# Teams 4", None),
+])
+def test_match_lines(spark, line, want):
+    got = ledger.parse_match_lines(spark.createDataFrame([(line,)], "line string")).collect()
+    assert [tuple(r)[1:] for r in got] == ([want] if want else [])
+
+
+@pytest.mark.parametrize("body,want", [
+    ("# Team 18\n#Match 306\n# Stage  Regular Season (306)", (18, 306, 306, 306)),
+    ("# TEAMS  18 \r\n# Matches 200\r\n", (18, 200, None, 200)),
+    ("Regular Season (10)\nTeams 18\n# Teams about 18\n# Teamsters 4", (None, None, None, None)),
+    ("# Stages Playoffs (4)\n# Matches 20\n# Stages Cup (2), Regular Season(16)", (None, 20, 16, 16)),
+    (None, (None, None, None, None)),
+])
+def test_headers(spark, body, want):
+    r = ledger.header_numbers(spark.createDataFrame([(body,)], "body string")).first()
+    assert tuple(r)[1:] == want
+
+
 def test_missing_header_is_null(spark):
     r = ledger.header_numbers(spark.createDataFrame([("x",)], "body string")).first()
     assert r.declared_teams is None and r.regular_matches is None
