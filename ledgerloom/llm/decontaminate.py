@@ -2,13 +2,17 @@
 
 Every benchmark item is compared with the windows of a document that have as many words as the item
 (a shorter document is one window).  A window's SimHash is taken over its word shingles.  The 64 bits
-are split into ``radius + 1`` blocks with one lookup table each: a fingerprint within ``radius`` of an
-item's must equal it in some block, so the tables give every such pair.  Pairs within the radius are
-verified by the exact weighted similarity of their shingles, sum(min) / sum(max) of their counts.
-Windows that share no shingle with any item have similarity 0 and are not fingerprinted.
+are split into four blocks of 16: of two fingerprints within ``radius`` some block differs in at most
+``radius // 4`` bits (in one bit less from the block ``radius % 4 + 2`` on), so looking up every block
+with all such changes gives each pair within the radius.  These are verified by the exact weighted
+similarity of their shingles, sum(min) / sum(max) of their counts.
 
-Items are held in memory in slices of at most ``slice_items``; a larger benchmark takes several
-passes over the documents.
+A window is fingerprinted only if enough of its shingles occur in any item at all: fewer than
+t (a + b) / (1 + t) shared ones of a and b cannot reach the similarity t, so this loses nothing.
+
+Distinct item texts are held in memory in slices of at most ``slice_items`` texts and ``slice_bytes``
+bytes (or one text); every slice is one pass over the documents.  Fingerprints are summed over spans
+of bounded length, so memory follows the longest item, not the longest document.
 """
 
 from __future__ import annotations
@@ -23,8 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
+from .scratch import Scratch
 
-WORDS, THRESHOLD, RADIUS, SLICE_ITEMS = 5, 0.75, 18, 20_000
+WORDS, THRESHOLD, RADIUS, SLICE_ITEMS, SLICE_BYTES = 5, 0.75, 18, 20_000, 64 << 20
+BLOCKS, BLOCK_BITS = 4, 16
+#: Shingles whose signs are held at once, besides one window.
+SPAN = 1 << 14
 _U = np.uint64
 
 
@@ -38,47 +46,67 @@ def fingerprints(totals: np.ndarray) -> np.ndarray:
     return np.packbits(totals > 0, axis=1, bitorder="little").view(_U).ravel()
 
 
+def fingerprint(grams: np.ndarray) -> np.uint64:
+    """SimHash of all shingles."""
+    total = sum(signs(grams[a : a + SPAN]).sum(axis=0, keepdims=True, dtype=np.int64) for a in range(0, len(grams), SPAN))
+    return fingerprints(total)[0]
+
+
+def window_prints(grams: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """SimHash of the windows of ``width`` shingles at ascending ``starts``."""
+    out = np.empty(len(starts), _U)
+    new = (np.diff(starts) > width) | (np.diff(starts // SPAN) > 0)
+    edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(starts)]
+    for a, b in zip(edges, edges[1:]):
+        at = starts[a:b] - starts[a]
+        sums = np.zeros((int(at[-1]) + width + 1, 64), np.int32)
+        np.cumsum(signs(grams[starts[a] : starts[a] + len(sums) - 1]), axis=0, out=sums[1:])
+        out[a:b] = fingerprints(sums[at + width] - sums[at])
+    return out
+
+
 class Index:
-    """Items of one slice, grouped by their number of words."""
+    """Item texts of one slice with their keys."""
 
-    def __init__(self, items: list[tuple[int, str]], k: int, radius: int):
+    def __init__(self, items: list[tuple[str, str]], k: int, radius: int):
         self.radius = radius
-        edges = np.linspace(0, 64, radius + 2).astype(int)
-        self.blocks = [(int(a), int(b - a)) for a, b in zip(edges, edges[1:]) if b > a]
-        self.ids, self.grams, self.weights = [], [], []
-        by_length: dict[int, list[int]] = defaultdict(list)
-        prints = []
-        column = pa.array([t for _, t in items], pa.string())
-        for s in W.word_slices(column):
+        self.keys, self.grams, self.weights = [], [], []
+        words, prints = [], []
+        gates: dict[int, list[np.ndarray]] = defaultdict(list)
+        for s in W.word_slices(pa.array([t for _, t in items], pa.string())):
             for i in range(s.rows):
                 h = s.hashes[s.bounds[i] : s.bounds[i + 1]]
                 if len(h) == 0:
                     continue
-                grams = W.window_hashes(h, min(k, len(h)))
+                size = min(k, len(h))
+                grams = W.window_hashes(h, size)
                 g, w = np.unique(grams, return_counts=True)
-                by_length[len(h)].append(len(self.ids))
-                self.ids.append(items[s.first + i][0])
+                words.append(len(h))
+                self.keys.append(items[s.first + i][0])
                 self.grams.append(g)
                 self.weights.append(w)
-                prints.append(fingerprints(signs(grams).sum(axis=0, keepdims=True))[0])
-        self.prints = np.array(prints, _U)
-        self.lengths = {m: np.array(v) for m, v in sorted(by_length.items())}
-        self.gates = {}
-        for m, v in self.lengths.items():
-            self.gates.setdefault(min(k, m), []).extend(self.grams[i] for i in v)
-        self.gates = {size: np.unique(np.concatenate(g)) for size, g in self.gates.items()}
+                gates[size].append(g)
+                prints.append(fingerprint(grams))
+        self.words, self.prints = np.array(words, np.int64), np.array(prints, _U)
+        self.lengths = sorted(set(words))
+        self.gates = {size: np.unique(np.concatenate(g)) for size, g in gates.items()}
         self.sieves = {}
         for size, gate in self.gates.items():
             sieve = np.zeros(1 << 20, bool)
             sieve[(gate >> _U(44)).astype(np.int64)] = True
             self.sieves[size] = sieve
-        self.tables = {m: [self._table(self.prints[v], a, n) for a, n in self.blocks] for m, v in self.lengths.items()}
+        changed = np.bitwise_count(np.arange(1 << BLOCK_BITS, dtype=np.uint16))
+        self.tables = []
+        for b in range(BLOCKS):
+            within = radius // BLOCKS - (b > radius % BLOCKS)
+            value = self._block(self.prints, b)
+            order = np.argsort(value, kind="stable").astype(np.int32)
+            cuts = np.searchsorted(value[order], np.arange((1 << BLOCK_BITS) + 1)).astype(np.int32)
+            self.tables.append((order, cuts, np.flatnonzero(changed <= within) if within >= 0 else np.zeros(0, np.int64)))
 
     @staticmethod
-    def _table(prints: np.ndarray, shift: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        value = ((prints >> _U(shift)) & _U((1 << bits) - 1)).astype(np.int64)
-        order = np.argsort(value, kind="stable")
-        return order, np.searchsorted(value[order], np.arange((1 << bits) + 1))
+    def _block(prints: np.ndarray, b: int) -> np.ndarray:
+        return ((prints >> _U(b * BLOCK_BITS)) & _U((1 << BLOCK_BITS) - 1)).astype(np.int64)
 
     def gate(self, grams: np.ndarray, size: int) -> np.ndarray:
         """Which shingles occur in an item."""
@@ -89,19 +117,28 @@ class Index:
         out[maybe[gate[at] == grams[maybe]]] = True
         return out
 
+    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) pairs that the block tables give, repeated ones included."""
+        windows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for b, (order, cuts, changes) in enumerate(self.tables):
+            value = self._block(prints, b)[:, None] ^ changes[None, :]
+            first, size = cuts[value].ravel(), (cuts[value + 1] - cuts[value]).ravel()
+            hit = np.flatnonzero(size)
+            first, size = first[hit], size[hit]
+            at = np.arange(size.sum()) + np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+            windows.append(np.repeat(hit // max(len(changes), 1), size))
+            found.append(order[at.astype(np.int64)])
+        return np.concatenate(windows), np.concatenate(found)
+
     def near(self, m: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) pairs within the radius among items of m words, by the block tables."""
-        items, windows, found = self.lengths[m], [], []
-        for (shift, bits), (order, cuts) in zip(self.blocks, self.tables[m]):
-            value = ((prints >> _U(shift)) & _U((1 << bits) - 1)).astype(np.int64)
-            size = cuts[value + 1] - cuts[value]
-            at = np.arange(size.sum()) + np.repeat(cuts[value] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-            windows.append(np.repeat(np.arange(len(prints)), size))
-            found.append(order[at])
-        w, i = np.concatenate(windows), items[np.concatenate(found)]
-        close = np.bitwise_count(prints[w] ^ self.prints[i]) <= self.radius
-        pair = np.unique(np.stack([w[close], i[close]]), axis=1)
-        return pair[0], pair[1]
+        """(window, item) pairs within the radius among items of m words."""
+        pairs = [np.zeros((2, 0), np.int64)]
+        for a in range(0, len(prints), 32):
+            part = prints[a : a + 32]
+            w, i = self.candidates(part)
+            close = (self.words[i] == m) & (np.bitwise_count(part[w] ^ self.prints[i]) <= self.radius)
+            pairs.append(np.unique(np.stack([w[close] + a, i[close]]), axis=1))
+        return tuple(np.concatenate(pairs, axis=1))
 
     def similarity(self, grams: np.ndarray, item: int) -> float:
         g, w = np.unique(grams, return_counts=True)
@@ -113,22 +150,23 @@ class Index:
     def matches(self, h: np.ndarray, hits: dict[int, np.ndarray], k: int, threshold: float) -> dict[int, tuple[float, int, int]]:
         """item -> (similarity, first word, words) of its best window in one document."""
         best: dict[int, tuple[float, int, int]] = {}
-        total: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        upto = {size: np.concatenate([[0], np.cumsum(x)]) for size, x in hits.items() if x.any()}
+        grams: dict[int, np.ndarray] = {}
         for m in self.lengths:
             size = min(k, m)
-            if size not in hits or not hits[size].any():
+            if size not in upto:
                 continue
-            if size not in total:
-                grams = W.window_hashes(h, size)
-                sums = np.zeros((len(grams) + 1, 64), np.int32)
-                np.cumsum(signs(grams), axis=0, out=sums[1:])
-                total[size] = grams, sums, np.concatenate([[0], np.cumsum(hits[size])])
-            grams, sums, upto = total[size]
-            width = min(m - size + 1, len(grams))
-            starts = np.flatnonzero(upto[width:] > upto[:-width])
-            w, items = self.near(m, fingerprints(sums[starts + width] - sums[starts]))
+            own = m - size + 1
+            width = min(own, len(hits[size]))
+            least = np.ceil(threshold * (own + width) / (1 + threshold) - 1e-9)
+            starts = np.flatnonzero(upto[size][width:] - upto[size][:-width] >= max(least, 1))
+            if len(starts) == 0:
+                continue
+            if size not in grams:
+                grams[size] = W.window_hashes(h, size)
+            w, items = self.near(m, window_prints(grams[size], starts, width))
             for a, item in zip(starts[w].tolist(), items.tolist()):
-                sim = self.similarity(grams[a : a + width], item)
+                sim = self.similarity(grams[size][a : a + width], item)
                 if sim >= threshold and (item not in best or sim > best[item][0]):
                     best[item] = (sim, a, min(m, len(h)))
         return best
@@ -150,41 +188,55 @@ def _scan(index, k: int, threshold: float):
                     a, b = int(s.bounds[i]), int(s.bounds[i + 1])
                     hits = {size: x[a : max(a, b - size + 1)] for size, x in marked.items()}
                     for item, (sim, start, n) in ix.matches(s.hashes[a:b], hits, k, threshold).items():
-                        out.append((ids[s.first + i].as_py(), ix.ids[item], sim, start, n))
+                        out.append((ids[s.first + i].as_py(), ix.keys[item], sim, start, n))
             if out:
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
-                    ["doc_id", "item_id", "similarity", "start_word", "n_words"],
+                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()))],
+                    ["doc_id", "key", "similarity", "start_word", "n_words"],
                 )
 
     return run
 
 
+def _slices(texts: DataFrame, most_items: int, most_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """(key, text) rows as lists of bounded number and size."""
+    part, size = [], 0
+    for r in texts.toLocalIterator():
+        if part and (len(part) == most_items or size + len(r.text) > most_bytes):
+            yield part
+            part, size = [], 0
+        part.append((r.key, r.text))
+        size += len(r.text)
+    if part:
+        yield part
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, radius: int = RADIUS,
-               slice_items: int = SLICE_ITEMS, id_col: str = "doc_id", text_col: str = "text",
+               slice_items: int = SLICE_ITEMS, slice_bytes: int = SLICE_BYTES, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, similarity, start_word, n_words) of every contaminated document and item.
 
-    One row per row of ``docs`` and item whose best window reaches the threshold; of equal windows
-    the first counts.  Both texts are lower-cased.  Texts with fewer than ``words`` words are one shingle.  Null
-    and empty texts and items match nothing; a null doc_id or item_id stays null in its rows;
-    repeated rows give repeated rows.  Empty tables give an empty result.  Extra columns are ignored.
+    One row per row of ``docs`` and row of ``benchmark`` whose best window reaches the threshold; of
+    equal windows the first counts.  Both texts are lower-cased.  Texts with fewer than ``words`` words
+    are one shingle; texts of any length are searched whole.  Null and empty texts and items match
+    nothing; a null doc_id or item_id stays null in its rows; repeated rows give repeated rows.  Empty
+    tables give an empty result.  Extra columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
+    scratch = Scratch(spark, "leaks")
     rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"lower(cast(`{text_col}` AS string)) AS text").where("text IS NOT NULL")
     items = benchmark.selectExpr(f"cast(`{item_col}` AS long) AS item_id", f"lower(cast(`{item_text_col}` AS string)) AS text").where("text IS NOT NULL")
-    # the number of slices follows the number of items, so that what is broadcast stays bounded
-    n = items.count()
-    slices = 1 if n <= slice_items else -(-2 * n // slice_items)
-    schema = "doc_id long, item_id long, similarity double, start_word long, n_words long"
-    found = []
-    for i in range(slices):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i)
-        index = Index(sorted(((r.item_id, r.text) for r in part.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1])), words, radius)
-        if index.ids:
-            found.append(rows.mapInArrow(_scan(spark.sparkContext.broadcast(index), words, threshold), schema))
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+    key = F.sha2("text", 256).alias("key")
+    schema = "doc_id long, key string, similarity double, start_word long, n_words long"
+    found = [spark.createDataFrame([], schema)]
+    for part in _slices(items.select("text").distinct().select(key, "text"), slice_items, slice_bytes):
+        index = Index(part, words, radius)
+        if index.keys:
+            shared = spark.sparkContext.broadcast(index)
+            found.append(scratch.write(rows.mapInArrow(_scan(shared, words, threshold), schema)))
+            shared.destroy()
+    return reduce(DataFrame.unionByName, found).join(items.select("item_id", key), "key").select("doc_id", "item_id", "similarity", "start_word", "n_words")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

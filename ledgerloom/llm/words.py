@@ -97,6 +97,41 @@ def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         first = last
 
 
+def _pieces(data: np.ndarray, rows: int, limit: int, separators: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The bytes of a slice in runs; only a single long row is cut, at separators, every ``limit`` bytes or later."""
+    a, n = 0, len(data)
+    while a < n:
+        b = n if rows > 1 else min(n, a + limit)
+        while b < n and not separators[data[b]]:
+            ahead = np.flatnonzero(separators[data[b : b + 4096]])
+            b = b + int(ahead[0]) if len(ahead) else min(n, b + 4096)
+        yield a, b
+        a = b
+
+
+def _runs(
+    data: np.ndarray, a: int, b: int, offs: np.ndarray, table: np.ndarray, separators: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes) of the words in bytes a to b of a slice."""
+    part, n = data[a:b], b - a
+    word = ~separators[part]
+    begins = np.empty(n, bool)
+    begins[0] = True
+    begins[1:] = ~word[:-1]
+    rows = offs[:-1] - a
+    begins[rows[(rows >= 0) & (rows < n)]] = True
+    closes = np.empty(n, bool)
+    closes[:-1] = begins[1:]
+    closes[:-1] |= ~word[1:]
+    closes[-1] = True
+    starts = np.flatnonzero(begins & word)
+    ends = np.flatnonzero(closes & word) + 1
+    total = np.zeros(n + 1, _U)
+    np.cumsum(table[part] * _powers(_BASE, n)[:n], out=total[1:])
+    hashes = mix64((total[ends] - total[starts]) * _powers(_BASE_INV, n)[starts])
+    return starts + a, ends + a, hashes
+
+
 def word_slices(
     column: pa.Array, lower: bool = False, limit: int = SLICE_BYTES, separators: np.ndarray = IS_SPACE
 ) -> Iterator[Slice]:
@@ -112,22 +147,9 @@ def word_slices(
                 none = np.zeros(0, np.int64)
                 yield Slice(first, rows, data, none, none, np.zeros(rows + 1, np.int64), np.zeros(0, _U), offs)
                 continue
-            word = ~separators[data]
-            begins = np.empty(n, bool)
-            begins[0] = True
-            begins[1:] = ~word[:-1]
-            begins[offs[:-1][offs[:-1] < n]] = True
-            closes = np.empty(n, bool)
-            closes[:-1] = begins[1:]
-            closes[:-1] |= ~word[1:]
-            closes[-1] = True
-            starts = np.flatnonzero(begins & word)
-            ends = np.flatnonzero(closes & word) + 1
-            total = np.zeros(n + 1, _U)
-            np.cumsum(table[data] * _powers(_BASE, n)[:n], out=total[1:])
-            hashes = mix64((total[ends] - total[starts]) * _powers(_BASE_INV, n)[starts])
-            bounds = np.searchsorted(starts, offs)
-            yield Slice(first, rows, data, starts, ends, bounds, hashes, offs)
+            parts = [_runs(data, a, b, offs, table, separators) for a, b in _pieces(data, rows, limit, separators)]
+            starts, ends, hashes = (np.concatenate(x) if len(parts) > 1 else x[0] for x in zip(*parts))
+            yield Slice(first, rows, data, starts, ends, np.searchsorted(starts, offs), hashes, offs)
 
 
 def window_hashes(hashes: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
