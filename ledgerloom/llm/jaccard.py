@@ -7,8 +7,12 @@ documents that hold an n-gram, sorted by size, they lie in one chain without a l
 chain with its first document is a candidate group.  Groups are sifted by parity bitmaps of two
 bits or more an n-gram: two sets differ in at least as many n-grams as their bitmaps differ in bits, so a pair whose bitmaps
 differ too much cannot reach the threshold.  The connected components of the pairs that pass are the
-blocks, so that a set travels once.  (A group or component of more than ``block_rows`` sets is cut into
-tiles of bounded size.)
+blocks, so that a set travels once.
+
+A group or block of more than ``block_rows`` sets is dealt into tiles of about that size by a hash of the
+id, each with the group's leader.  Families of near copies come together through it.  What is still apart
+from a group's largest component then meets that component's tiles and itself, so a family travels once
+and again for every ``block_rows`` sets that do not belong to it, never for its own size.
 
 Inside a block the sets are stored in a path-compressed trie, frequent n-grams first, so that similar
 sets share their paths; a probe walks the trie level by level, adds up the overlap that all sets below
@@ -151,51 +155,53 @@ def _chains(percent: int):
     return run
 
 
-def _members(k: int, ranks, block_rows: int):
-    """Every block or tile pair that a set belongs to, with the ordered set."""
+def _sets(k: int, ranks):
+    """(leader, size, doc_id, grams): the ordered set of every row that has one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = ranks.value
         for batch in batches:
-            ids, blocks = batch.column(0).to_pylist(), batch.column(2)
-            for s in W.word_slices(batch.column(1), lower=True):
-                out = []
+            for s in W.word_slices(batch.column(3), lower=True):
+                rows, sets = [], []
                 for i, grams in W.shingle_sets(s, k):
-                    if len(grams) == 0:
-                        continue
-                    body = ordered(grams, order).tobytes()
-                    for b in blocks[i].as_py():
-                        out += [(b["leader"], tile, ids[i], body) for tile in _tiles(ids[i], b["size"], block_rows)]
-                if out:
-                    a, t, d, m = zip(*out)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a, pa.int64()), pa.array(t, pa.int64()), pa.array(d, pa.int64()), pa.array(m, pa.binary())],
-                        ["leader", "tile", "doc_id", "grams"],
-                    )
+                    if len(grams):
+                        rows.append(i)
+                        sets.append(ordered(grams, order).tobytes())
+                own = batch.select([0, 1, 2]).take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(sets, pa.binary())], ["leader", "size", "doc_id", "grams"])
 
     return run
 
 
-def _tiles(doc_id: int, size: int, block_rows: int) -> list[int]:
-    """Numbers of the tile pairs that a member of a group of ``size`` belongs to; ids are mixed, as they may share a residue."""
-    n = -(-size // block_rows)
-    mine = int(W.mix64(np.array([doc_id], np.int64).view(np.uint64))[0]) % n if n > 1 else 0
-    return [min(mine, other) * n + max(mine, other) for other in range(n)]
+def deal(members: DataFrame, block_rows: int) -> DataFrame:
+    """Members (leader, size, doc_id, ...) of groups with the tile they meet in; a leader is in every tile."""
+    tiles = F.ceil(F.col("size") / block_rows).cast("long")
+    own = F.pmod(F.xxhash64("doc_id"), tiles)
+    at = F.when(F.col("doc_id") == F.col("leader"), F.sequence(F.lit(0).cast("long"), tiles - 1)).otherwise(F.array(own))
+    return members.select("leader", F.explode(at).alias("tile"), *[c for c in members.columns if c not in ("leader", "size")])
 
 
-def _spread(block_rows: int):
-    """(leader, size, doc_id, n, bits) once per tile pair of its group."""
+def apart(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """(leader, doc_id, main, others, rest): members of groups that are not one component yet.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = batch.column(1).to_pylist()
-            tiles = [_tiles(d, k, block_rows) for d, k in zip(batch.column(2).to_pylist(), size)]
-            again = np.repeat(np.arange(len(size)), [len(t) for t in tiles])
-            out = batch.take(pa.array(again)).set_column(1, "tile", pa.array([x for t in tiles for x in t], pa.int64()))
-            for a in range(0, out.num_rows, 4096):
-                yield out.slice(a, 4096)
+    ``found`` has (u, component) of linked members.  ``main`` is the size of a group's largest component,
+    ``others`` the number of its other members, ``rest`` whether the member is one of these.
+    """
+    named = groups.join(found.withColumnRenamed("u", "doc_id"), "doc_id", "left").select("leader", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    sizes = named.groupBy("leader", "component").agg(F.count("*").alias("n")).groupBy("leader").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("main"), (F.sum("n") - F.max("n")).alias("others"),
+    )
+    return named.join(sizes.where("others > 0"), "leader").select("leader", "doc_id", "main", "others", (F.col("component") != F.col("largest")).alias("rest"))
 
-    return run
+
+def deal_again(members: DataFrame, block_rows: int) -> DataFrame:
+    """Members of ``apart`` with their tiles: every other member meets the largest component and the others."""
+    rows = members.selectExpr("*", f"cast(ceil(main / {block_rows}) AS long) AS _n", f"cast(ceil(others / {block_rows}) AS long) AS _m")
+    rows = rows.selectExpr("*", "pmod(xxhash64(doc_id), if(rest, _m, _n)) AS _own")
+    meets = """if(rest, concat(transform(sequence(0L, _n - 1), i -> i * _m + _own),
+      transform(sequence(0L, _m - 1), j -> _n * _m + least(_own, j) * _m + greatest(_own, j))), transform(sequence(0L, _m - 1), j -> _own * _m + j))"""
+    kept = [c for c in members.columns if c not in ("leader", "main", "others", "rest")]
+    return rows.select("leader", F.explode(F.expr(meets)).alias("tile"), *kept)
 
 
 def grouped(n: int, probe) -> list[int]:
@@ -435,24 +441,37 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .mapInArrow(_chains(percent), "leader long, doc_id long").distinct(), "pairs",
     )
     groups = pairs.unionByName(pairs.select("leader", F.col("leader").alias("doc_id"))).distinct()
-    groups = groups.join(groups.groupBy("leader").agg(F.count("*").alias("size")), "leader")
+    groups = scratch.write(groups.join(groups.groupBy("leader").agg(F.count("*").alias("size")), "leader"), "groups")
     kept = sizes.join(reps, ["s1", "s2", "n_shingles"]).where("doc_id = node").select("doc_id", "n_shingles", "bits")
-    maybe = scratch.write(
-        groups.join(kept.hint("merge"), "doc_id").select("leader", "size", "doc_id", "n_shingles", "bits")
-        .mapInArrow(_spread(block_rows), "leader long, tile long, doc_id long, n_shingles long, bits binary")
-        .repartition(parts, "leader", "tile").sortWithinPartitions("leader", "tile", "doc_id")
-        .mapInArrow(_by_block(_sift_block(percent)), "u long, v long").distinct(), "maybe",
-    )
+
+    def with_bits(members: DataFrame) -> DataFrame:
+        return members.join(kept.hint("merge"), "doc_id").select(*members.columns, "n_shingles", "bits")
+
+    def with_sets(members: DataFrame) -> DataFrame:
+        sized = members if "size" in members.columns else members.withColumn("size", F.lit(0).cast("long"))
+        found = texts.join(sized.select("leader", "size", "doc_id").hint("merge"), "doc_id").select("leader", "size", "doc_id", "text").mapInArrow(
+            _sets(words, ranks), "leader long, size long, doc_id long, grams binary")
+        return found if "size" in members.columns else found.drop("size").join(members.hint("merge"), ["leader", "doc_id"])
+
+    def meet(dealt: DataFrame, work, name: str) -> DataFrame:
+        met = dealt.repartition(parts, "leader", "tile").sortWithinPartitions("leader", "tile", "doc_id")
+        return scratch.write(met.mapInArrow(_by_block(work), "u long, v long").distinct(), name)
+
+    def linked(groups: DataFrame, attach, work, name: str) -> DataFrame:
+        """Edges (u, v) that connect every group as ``work`` does, of members with what ``attach`` adds."""
+        edges = meet(deal(attach(groups), block_rows), work, name)
+        large = groups.where(F.col("size") > block_rows)
+        if large.isEmpty():  # every group was one tile
+            return edges
+        split = scratch.write(apart(large, components(edges, scratch, f"{name}_tiles")), f"{name}_apart")
+        return edges.unionByName(meet(deal_again(attach(split), block_rows), work, f"{name}_again"))
+
+    maybe = linked(groups, with_bits, _sift_block(percent), "maybe")
     near = components(maybe, scratch, "candidates").select(F.col("u").alias("doc_id"), "component")
     near = scratch.write(near.unionByName(near.select(F.col("component").alias("doc_id"), "component")).distinct(), "near")
     whole = near.join(near.groupBy("component").agg(F.count("*").alias("size")), "component")
-    blocks = scratch.write(whole.select("doc_id", F.col("component").alias("leader"), "size"), "blocks")
-    links = scratch.write(
-        texts.join(blocks.hint("merge"), "doc_id").select("doc_id", "text", F.array(F.struct("leader", "size")).alias("blocks"))
-        .mapInArrow(_members(words, ranks, block_rows), "leader long, tile long, doc_id long, grams binary")
-        .repartition(parts, "leader", "tile").sortWithinPartitions("leader", "tile", "doc_id")
-        .mapInArrow(_by_block(_join_block(percent)), "u long, v long"), "edges",
-    )
+    blocks = scratch.write(whole.select(F.col("component").alias("leader"), "size", "doc_id"), "blocks")
+    links = linked(blocks, with_sets, _join_block(percent), "edges")
     placed = scratch.write(
         sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").join(reps, ["s1", "s2", "n_shingles"]).select("doc_id", "node"), "placed",
     )
@@ -463,6 +482,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     found = components(links.unionByName(several.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))), scratch, "links")
     found = scratch.write(found.select(F.col("u").alias("node"), "component"), "components")
     named = placed.join(found, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component"))
+    scratch.keep("sizes", "placed", "components")
     return sizes.join(named, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
     )
