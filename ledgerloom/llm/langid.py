@@ -87,6 +87,19 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(out, pa.binary())], ["lang", "tf"])
 
 
+def _centroids(idf: np.ndarray, clusters: int):
+    """One language's sample to its centroids and its rejection floor."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x = np.array([np.frombuffer(tf, "<f4") for tf in sorted(table["tf"].to_pylist())])
+        x = unit(x * idf.astype(np.float32))
+        c = _cluster(x, clusters).astype("<f4")
+        floor = 0.5 * float(np.quantile((x @ c.T).max(axis=1), 0.01))
+        return pa.table({"lang": table["lang"][:1], "centroids": pa.array([c.tobytes()], pa.binary()), "floor": pa.array([floor])})
+
+    return run
+
+
 def _cluster(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """Spherical k-means; farthest-first start, so the same rows give the same centroids."""
     centers = [unit(x.mean(axis=0, keepdims=True))[0]]
@@ -103,7 +116,10 @@ def train(docs: DataFrame, divisor: int = 4, held_out: int = 2, clusters: int =
           per_language: int = PER_LANGUAGE) -> Model:
     """Document frequencies come from all training rows, centroids from a bounded sample.
 
-    The sample is at most ``per_language`` documents of each language, chosen by a hash of the id.
+    The sample is at most ``per_language`` rows of each language, chosen by a hash of the id (the bound
+    holds for rows where several share an id); only centroids come to the driver.  Rows with a null
+    language or text do not count, rows with a null id count for the frequencies alone, repeated rows
+    count each.  Without rows the model knows no language.  Extra columns are ignored.
     """
     usable = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), divisor) != held_out)
@@ -114,22 +130,22 @@ def train(docs: DataFrame, divisor: int = 4, held_out: int = 2, clusters: int =
     idf = np.full(DIMS, np.log(n + 1.0) + 1)
     for bucket, d in found.items():
         idf[bucket] = np.log((n + 1) / (d + 1)) + 1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("lang", "doc_id").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_language)
-    chosen = chosen.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").dropDuplicates()
-    sample = usable.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("lang", "text")
-    rows = sorted((r.lang, bytes(r.tf)) for r in sample.mapInArrow(_sample_rows, "lang string, tf binary").toLocalIterator())
-    names = sorted({lang for lang, _ in rows})
-    centroids, owner, floor = [], [], []
-    for i, lang in enumerate(names):
-        x = np.array([np.frombuffer(tf, "<f4") for got, tf in rows if got == lang])
-        x = unit(x * idf.astype(np.float32))
-        c = _cluster(x, clusters)
-        centroids.append(c)
-        owner += [i] * len(c)
-        floor.append(0.5 * float(np.quantile((x @ c.T).max(axis=1), 0.01)))
+
+    def first(rows: DataFrame, *keys: str) -> DataFrame:
+        at = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), *rows.columns))
+        return rows.withColumn("_k", at).where(F.col("_k") <= per_language).drop("_k")
+
+    # a language is ranked in 64 parts before it is ranked as a whole
+    ids = usable.select("doc_id", "lang").where("doc_id IS NOT NULL").withColumn("_part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64)))
+    chosen = first(first(ids, "lang", "_part").drop("_part"), "lang").select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    mine = (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))
+    sample = first(usable.join(F.broadcast(chosen), mine).select("doc_id", "lang", "text"), "lang").select("lang", "text")
+    rows = sample.mapInArrow(_sample_rows, "lang string, tf binary").groupBy("lang").applyInArrow(
+        _centroids(idf, clusters), "lang string, centroids binary, floor double").orderBy("lang").collect()
+    centroids = [np.frombuffer(r.centroids, "<f4").reshape(-1, DIMS) for r in rows]
+    owner = [i for i, c in enumerate(centroids) for _ in c]
     empty = np.zeros((0, DIMS), np.float32)
-    return Model(idf, names, np.vstack([empty, *centroids]).astype(np.float32), np.array(owner, np.int64), np.array(floor))
+    return Model(idf, [r.lang for r in rows], np.vstack([empty, *centroids]), np.array(owner, np.int64), np.array([r.floor for r in rows]))
 
 
 def predict(docs: DataFrame, model: Model, reject_as: str | None = "und") -> DataFrame:
@@ -137,7 +153,9 @@ def predict(docs: DataFrame, model: Model, reject_as: str | None = "und") -> Dat
 
     A null text, a text without a letter, and any text when there was nothing to learn from give
     ``und`` with score 0.  A text whose best cosine is below its language's floor is rejected: its
-    prediction is ``reject_as``, or stays the nearest language where that is None.
+    prediction is ``reject_as``, or stays the nearest language where that is None.  Texts of any length
+    are read whole; equal cosines give the language that sorts first.  A null id stays null, repeated
+    rows stay, an empty table gives an empty result, and extra columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -174,4 +192,6 @@ def predict(docs: DataFrame, model: Model, reject_as: str | None = "und") -> Dat
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return predict(docs, train(docs), reject_as=None).withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
+    return predict(docs, train(docs), reject_as=None).select(
+        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected",
+    )

@@ -243,6 +243,7 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     gone = scratch.write(
         reduce(DataFrame.union, cuts).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone")), "gone",
     )
+    scratch.keep("gone")
     schema = StructType().add("doc_id", "long").add("n_lines", "long").add("n_removed", "long").add("kept_text", "string")
     for c in keep:
         schema = schema.add(docs.schema[c])

@@ -5,7 +5,7 @@ start, have some offset below v at which both positions are in C modulo v, so it
 the ``window - v + 1`` words that start at cover positions.  Anchors found in two documents or more
 are extended: the windows around them are compared as a whole, by 95 bits of two independent hashes.
 
-Documents are dealt into blocks of a few hundred by a hash of their id, and everything that shuffles
+Documents are dealt into blocks of a few hundred, or of a few megabytes, by a hash of their id, and everything that shuffles
 by content is combined per block first: a hash that a third of all documents hold is one row per
 block, with the smallest document of the block.  The rows of a hash meet in a sorted partition that
 is read as a stream, so no group is ever held in memory, and answers go back to blocks, not to
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .scratch import Scratch
 
-WINDOW, BLOCK_DOCS = 13, 256
+WINDOW, BLOCK_DOCS, BLOCK_BYTES = 13, 256, 4 << 20
 
 
 def difference_cover(period: int) -> tuple[int, ...]:
@@ -190,6 +190,17 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _joined(s: W.Slice, i: int, keep: np.ndarray) -> bytes:
+    """The kept words of a row, joined by one space."""
+    first, body = int(s.offsets[i]), s.data[s.offsets[i] : s.offsets[i + 1]]
+    own = slice(int(s.bounds[i]), int(s.bounds[i + 1]))
+    edge = np.zeros(len(body) + 2, np.int8)
+    edge[s.starts[own][keep] - first] += 1
+    edge[s.ends[own][keep] - first + 1] -= 1  # a word takes the separator behind it along
+    out = body[np.cumsum(edge, dtype=np.int8)[: len(body)] > 0]
+    return bytes(np.where(W.IS_SPACE[out], np.uint8(32), out)).rstrip(b" ")
+
+
 def _rewrite(plan: Plan):
     def run(texts: pa.Table, right: pa.Table) -> pa.Table:
         ids, prints = texts["doc_id"].to_pylist(), texts["fp"].to_pylist()
@@ -202,11 +213,11 @@ def _rewrite(plan: Plan):
         for s in W.word_slices(texts["text"]):
             for i in range(s.rows):
                 at, a, b = s.first + i, int(s.bounds[i]), int(s.bounds[i + 1])
-                words = bytes(s.data[s.offsets[i] : s.offsets[i + 1]]).split()
+                keep = np.ones(b - a, bool)
                 n_words[at] = b - a
                 if b - a >= plan.window and ids[at] is not None:
                     if (ids[at], prints[at]) in copies:
-                        n_cut[at], words = b - a, []
+                        n_cut[at], keep = b - a, ~keep
                     elif len(ws):
                         one, two = _window_keys(s, a, b, plan)
                         found = _member(one, ws)
@@ -215,10 +226,9 @@ def _rewrite(plan: Plan):
                             edge = np.zeros(b - a + 1, np.int64)
                             np.add.at(edge, hit, 1)
                             np.add.at(edge, hit + plan.window, -1)
-                            gone = np.cumsum(edge[:-1]) > 0
-                            n_cut[at] = int(gone.sum())
-                            words = [t for t, g in zip(words, gone.tolist()) if not g]
-                kept[at] = b" ".join(words).decode("utf-8", "replace")
+                            keep = np.cumsum(edge[:-1]) == 0
+                            n_cut[at] = int((~keep).sum())
+                kept[at] = _joined(s, i, keep).decode("utf-8", "replace")
         return pa.table({
             "doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(n_words, pa.int64()),
             "n_removed": pa.array(n_cut, pa.int64()), "kept_text": pa.array(kept, pa.string()),
@@ -228,27 +238,30 @@ def _rewrite(plan: Plan):
 
 
 def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                           block_docs: int = BLOCK_DOCS) -> DataFrame:
+                           block_docs: int = BLOCK_DOCS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every row.
 
     Every word is removed that a run of ``window`` consecutive words covers if the same run also
     starts in a document with a smaller id; runs are judged on the input.  Kept words are joined by
     one space.  A null text has no words.  A document with a null id keeps its words and counts for
-    no other.  Rows that share an id are one document for the comparison, and each gives its row.
+    no other.  Texts of any length are compared whole, a block holding a few megabytes or one text.
+    Rows that share an id are one document for the comparison, and each gives its row.
     Ties cannot occur, since only a smaller id removes.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
     plan = Plan(window)
     scratch = Scratch(spark, "passages")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(parts, docs.count() // block_docs + 1)
+    n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()
+    blocks = max(parts, n // block_docs + 1, size // block_bytes + 1)
 
-    def block(doc_id: str) -> Column:
-        return F.pmod(F.xxhash64(doc_id), F.lit(blocks)).cast("int").alias("block")
+    def block(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block")
 
     fp = F.xxhash64("text").alias("fp")
     rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text")
-    dealt = rows.select(F.when(F.col("doc_id").isNull(), block("text")).otherwise(block("doc_id")).alias("block"), "doc_id", "text", fp)
+    # rows with a null id are compared with nothing and may lie in any block
+    dealt = rows.withColumn("_row", F.monotonically_increasing_id()).select(F.when(F.col("doc_id").isNull(), block("_row")).otherwise(block("doc_id")).alias("block"), "doc_id", "text", fp)
     given = dealt.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
     digests = scratch.write(given.select("doc_id", "fp", F.sha2("text", 256).alias("sha")), "digests")
@@ -267,6 +280,7 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str =
         .repartition(parts, "w").sortWithinPartitions("w", "x", "lo")
         .mapInArrow(_firsts, "w long, x int, lo long, first long").select(block("lo"), "w", "x", "first"), "cuts",
     )
+    scratch.keep("copies", "cuts")
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
     return dealt.groupBy("block").cogroup(cuts.unionByName(copies, allowMissingColumns=True).groupBy("block")).applyInArrow(_rewrite(plan), schema)
 

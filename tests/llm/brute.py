@@ -97,16 +97,12 @@ def patience(a, b):
 
 
 def line_dedup(docs, min_words=3):
+    """Alignment with every earlier document that shares a line of at least min_words words."""
     lines = {d: [x for x in (t or "").split("\n") if words(x)] for d, t in docs}
-    first = {}
-    for d in sorted(lines):
-        for x in lines[d]:
-            if len(words(x)) >= min_words:
-                first.setdefault(x, d)
+    marks = {d: {x for x in own if len(words(x)) >= min_words} for d, own in lines.items()}
     out = []
     for d, t in docs:
-        partners = {first[x] for x in lines[d] if x in first and first[x] < d}
-        gone = {i for p in partners for i, _ in patience(lines[d], lines[p])}
+        gone = {i for e in lines if e < d and marks[e] & marks[d] for i, _ in patience(lines[d], lines[e])}
         n, kept = 0, []
         for x in (t or "").split("\n"):
             if not words(x) or n not in gone:

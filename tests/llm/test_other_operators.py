@@ -46,11 +46,36 @@ def test_archive_min_bytes_and_damage(spark):
     path = Scratch(spark, "t").path("a")
     warc.write_archive(pages, path, min_bytes=3)
     assert {r.record_type for r in warc.read_headers(spark, path).collect()} == {"response"}
-    spark.createDataFrame([("00", bytearray(b"x"))], "digest string, payload binary").write.mode("append").parquet(f"{path}/payloads")
+    spark.createDataFrame([("00", 1, bytearray(b"x"))], "digest string, response_id long, payload binary").write.mode("append").parquet(f"{path}/payloads")
     with pytest.raises(Exception, match="damaged payload"):
         warc.read_payloads(spark, path).collect()
 
 
+def test_archive_headers_keep_their_lines(spark):
+    bad = "http://a/\r\nWARC-Refers-To: <urn:page:9>\r\nWARC-Payload-Digest: sha1:X\x00\x7f"
+    pages = spark.createDataFrame([(1, bad, "same"), (2, "é ü", "same"), (None, None, "alone")], "page_id long, url string, html string")
+    pages = pages.withColumn("at", F.timestamp_millis(F.lit(1_000_000_000_000)))
+    path = Scratch(spark, "t").path("a")
+    warc.write_archive(pages, path, date_col="at")
+    got = {r.record_id: r for r in warc.read_records(spark, path).collect()}
+    assert [(got[i].record_type, got[i].refers_to) for i in (1, 2, None)] == [("revisit", 2), ("response", None), ("response", None)]
+    lines = bytes(got[1].header).decode().split("\r\n")
+    assert "WARC-Target-URI: http://a/%0D%0AWARC-Refers-To: <urn:page:9>%0D%0AWARC-Payload-Digest: sha1:X%00%7F" in lines
+    assert "WARC-Date: 2001-09-09T01:46:40Z" in lines and f"WARC-Profile: {warc.REVISIT_PROFILE}" in lines and lines[-2:] == ["", ""]
+    assert all(line == "WARC/1.1" or ": " in line for line in lines[:-2])
+    assert "WARC-Target-URI: é ü" in bytes(got[2].header).decode().split("\r\n")
+
+
+def test_archive_finds_a_swapped_payload(spark):
+    pages = spark.createDataFrame([(1, "u", "ab")], "page_id long, url string, html string")
+    path = Scratch(spark, "t").path("a")
+    warc.write_archive(pages, path)
+    other = spark.read.parquet(f"{path}/headers").withColumn("header", F.regexp_replace(F.col("header").cast("string"), "sha1:.", "sha1:Q").cast("binary"))
+    Scratch(spark, "t").write(other).write.mode("overwrite").parquet(f"{path}/headers")
+    with pytest.raises(Exception, match="record without its payload 1"):
+        warc.read_records(spark, path).collect()
+
+
 def test_archive_of_nothing(spark):
     path = Scratch(spark, "t").path("a")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), path)

@@ -17,7 +17,7 @@ def test_stages(spark):
     assert kept.columns == P.COLUMNS and kept.count() > 0.6 * docs.count()
 
     deduped = P.line_dedup(spark, kept, SF)
-    want = {d: t for d, n, k, t in brute.line_dedup(_rows(kept)) if not k or k < n}
+    want = {d: t for d, n, k, t in brute.line_dedup(_rows(kept), 1) if not k or k < n}
     assert dict(_rows(deduped)) == want and deduped.columns == P.COLUMNS
     assert all(r.n_chars == len(r.text) for r in deduped.collect())
 

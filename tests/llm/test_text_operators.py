@@ -145,14 +145,80 @@ def test_index_gives_every_pair_within_the_radius():
     import numpy as np
 
     r = np.random.default_rng(0)
-    items = [(i, " ".join(f"t{x}" for x in r.integers(0, 50, 12))) for i in range(60)]
-    index = decontaminate.Index(items, 5, 18)
-    near = index.prints[r.integers(0, 60, 200)]
-    for _ in range(12):
-        near = near ^ (np.uint64(1) << r.integers(0, 64, 200).astype(np.uint64))
-    w, i = index.near(12, near)
-    want = {(a, b) for a in range(200) for b in range(60) if bin(int(near[a] ^ index.prints[b])).count("1") <= 18}
-    assert set(zip(w.tolist(), i.tolist())) == want
+    items = [(str(i), " ".join(f"t{x}" for x in r.integers(0, 50, 12))) for i in range(60)]
+    for radius in (0, 3, 7, 17, 18, 19):
+        index = decontaminate.Index(items, 5, radius)
+        near = index.prints[r.integers(0, 60, 200)]
+        for _ in range(12):
+            near = near ^ (np.uint64(1) << r.integers(0, 64, 200).astype(np.uint64))
+        near[:20] = index.prints[:20]
+        w, i = index.near(12, near)
+        want = {(a, b) for a in range(200) for b in range(60) if bin(int(near[a] ^ index.prints[b])).count("1") <= radius}
+        assert set(zip(w.tolist(), i.tolist())) == want and want
+
+
+def test_tables_give_few_of_many_items():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    items = [(str(i), " ".join(f"t{x}" for x in r.integers(0, 5000, 20 + i % 30))) for i in range(2000)]
+    index = decontaminate.Index(items, 5, decontaminate.RADIUS)
+    prints = r.integers(0, 2**64, 200, dtype=np.uint64)
+    w, i = index.candidates(prints)
+    given = {(a, b) for a, b in zip(w.tolist(), i.tolist())}
+    assert len(given) < 0.13 * 200 * 2000
+
+
+def test_recall_of_borderline_windows():
+    """Of windows at a similarity of 0.75 to 0.85 the radius keeps 99 of 100."""
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    seen = kept = 0
+    for _ in range(3000):
+        n = int(r.integers(24, 80))
+        ws = r.integers(0, 1 << 40, n)
+        other = ws.copy()
+        at = r.integers(0, n)
+        other[at : at + r.integers(1, 4)] += 1
+        a, b = (decontaminate.W.window_hashes(decontaminate.W.mix64(x.astype(np.uint64)), 5) for x in (ws, other))
+        both = len(np.intersect1d(a, b))
+        if 0.75 <= both / (len(a) + len(b) - both) < 0.85:
+            seen += 1
+            kept += bin(int(decontaminate.fingerprint(a) ^ decontaminate.fingerprint(b))).count("1") <= decontaminate.RADIUS
+    assert seen > 500 and kept >= 0.99 * seen
+
+
+def test_leaks_in_a_long_text_and_repeated_rows(spark):
+    item = " ".join(f"q{i}" for i in range(30))
+    long = " ".join(["filler words go here"] * 100_000 + [item] + ["and go on"] * 100_000)
+    docs = frame(spark, [(1, long), (1, item), (1, item), (None, item), (2, "q1 q2 q3")])
+    b = spark.createDataFrame([(7, item), (7, item), (None, item.upper()), (8, "other words of an item")], "item_id long, text string")
+    got = sorted((x.doc_id or 0, x.item_id or 0, x.start_word) for x in decontaminate.find_leaks(docs, b).collect())
+    want = [(d, i, s) for d, s in ((1, 400_000), (1, 0), (1, 0), (0, 0)) for i in (7, 7, 0)]
+    assert got == sorted(want)
+
+
+def test_windows_are_summed_over_bounded_spans(monkeypatch):
+    import numpy as np
+
+    grams = np.random.default_rng(4).integers(0, 2**63, 4000, dtype=np.uint64)
+    starts = np.unique(np.random.default_rng(5).integers(0, 3960, 900))
+    want = [decontaminate.fingerprint(grams[a : a + 40]) for a in starts]
+    for span in (1, 64, 1 << 14):
+        monkeypatch.setattr(decontaminate, "SPAN", span)
+        assert decontaminate.window_prints(grams, starts, 40).tolist() == want
+
+
+def test_words_of_long_rows_are_hashed_in_pieces():
+    import numpy as np
+    import pyarrow as pa
+
+    column = pa.array(["é  long\tword " * 300 + "x" * 3000 + " y", "short one", None, "", "z" * 900])
+    whole = [(s.first, s.rows, s.starts.tolist(), s.ends.tolist(), s.hashes.tolist(), s.bounds.tolist()) for s in decontaminate.W.word_slices(column, limit=1 << 20)]
+    cut = list(decontaminate.W.word_slices(column, limit=64))
+    assert np.concatenate([s.hashes for s in cut]).tolist() == whole[0][4]
+    assert [int(n) for s in cut for n in np.diff(s.bounds)] == np.diff(whole[0][5]).tolist()
 
 
 @pytest.mark.parametrize("run", [jaccard.jaccard_groups, passages.drop_repeated_passages, lines.dedupe_lines])
