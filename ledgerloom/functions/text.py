@@ -176,10 +176,11 @@ def keyword_hits(df: DataFrame, key: str, text: str, needles: list[str]) -> Data
 def keyword_context(df: DataFrame, key: str, text: str, term: str, width: int) -> DataFrame:
     """(key, offset, context): every occurrence of a term, its character offset and the text around it."""
     pieces = F.split(text, "\\Q" + term + "\\E")
-    # offsets of the ends of all pieces but the last, summed up within the row
+    # an occurrence follows every piece but the last
     ends = F.aggregate(
-        F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.array().cast("array<int>"),
-        lambda done, x: F.array_append(done, F.coalesce(F.element_at(F.filter(done, lambda d: d.isNotNull()), -1) + len(term), F.lit(0)) + F.length(x)))
+        F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("next")),
+        lambda s, x: F.struct(F.array_append(s["at"], s["next"] + F.length(x)).alias("at"), (s["next"] + F.length(x) + len(term)).alias("next")),
+        lambda s: s["at"])
     hits = df.where(F.contains(text, F.lit(term))).select(key, F.col(text).alias("_t"), F.explode(ends).alias("offset"))
     start = F.greatest(F.col("offset") - width, F.lit(0))
     return hits.select(key, F.col("offset").cast("long").alias("offset"), F.substring("_t", start + 1, F.col("offset") - start + len(term) + width).alias("context"))

@@ -94,21 +94,20 @@ def page_manifest(df: DataFrame, scope: list[str], item: str, page: str, order:
 
 
 def global_index(df: DataFrame, group: list[str], within: list[str]) -> DataFrame:
-    """A gapless global index in (group, within) order without a one-partition window.
+    """A gapless global index in (group, within) order without a window over all rows in one task.
 
-    Groups are dealt by ranges of their order into as many partitions as shuffles have; rows are counted
-    per partition, these few counts are summed on, and every row adds its place in its partition.
+    Rows are dealt by ranges of the whole order, so a large group is split as well; they are counted per
+    partition, the counts (one row for every shuffle partition) are summed on, and every row adds its place
+    in its partition.  Rows that are equal in the whole order get neighbouring numbers in any order.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    where = f"{work_folder(spark, 'ranges')}/rows"
-    # written, since a later run of a range partitioning may draw other bounds
-    df.repartitionByRange(parts, *group).withColumn("_part", F.spark_partition_id()).write.parquet(where)
+    where = work_folder(spark, "ranges")
+    # written, since another run of a range partitioning may draw other bounds
+    df.repartitionByRange(parts, *group, *within).withColumn("_part", F.spark_partition_id()).write.parquet(where)
     rows = spark.read.parquet(where)
     sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
-    listed = F.array_sort(F.collect_list(F.struct("_part", "_n")))
-    starts = sizes.agg(listed.alias("c")).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("c")), lambda i: F.struct(
-        F.col("c")[i - 1]["_part"].alias("_part"), F.aggregate(F.slice("c", F.lit(1), i - 1), F.lit(0).cast("long"), lambda t, x: t + x["_n"]).alias("_o")))).alias("x")).select("x.*")
+    starts = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_o"))
     place = F.row_number().over(Window.partitionBy("_part").orderBy(*group, *within)) - 1
     return rows.withColumn("_p", place).join(starts, "_part").withColumn("global_index", (F.col("_o") + F.col("_p")).cast("long")).drop("_o", "_p", "_part")
 

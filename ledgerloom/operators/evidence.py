@@ -66,11 +66,12 @@ def observation_status(http: Column, bound: Column, name: Column, matches: Colum
 def consensus(subjects: DataFrame, observations: DataFrame, accepted: Column, day: str) -> DataFrame:
     """One distinct accepted day verifies, more conflict, none leaves the subject unresolved."""
     agg = observations.groupBy("subject").agg(
-        F.count("*").alias("observations"), F.count_if(accepted).alias("accepted"), F.collect_set(F.when(accepted, F.col(day))).alias("d"))
-    j = subjects.join(agg, "subject", "left").withColumn("d", F.coalesce("d", F.array().cast(agg.schema["d"].dataType)))
-    n = F.size("d")
+        F.count("*").alias("observations"), F.count_if(accepted).alias("accepted"),
+        F.min(F.when(accepted, F.col(day))).alias("_first"), F.max(F.when(accepted, F.col(day))).alias("_last"))
+    j = subjects.join(agg, "subject", "left")
+    one = F.col("_first") == F.col("_last")
     return j.select("subject", F.coalesce("observations", F.lit(0)).alias("observations"), F.coalesce("accepted", F.lit(0)).alias("accepted"),
-                    F.when(n == 1, F.col("d")[0]).alias("day"), F.when(n == 1, VERIFIED).when(n > 1, "CONFLICT").otherwise(UNRESOLVED).alias("status"))
+                    F.when(one, F.col("_first")).alias("day"), F.when(one, VERIFIED).when(~one, "CONFLICT").otherwise(UNRESOLVED).alias("status"))
 
 
 def resolve_conflict(observed: Column, existing: Column) -> Column:

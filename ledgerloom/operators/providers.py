@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.files import work_folder
+from ledgerloom.sources.shared import work_folder
 
 INDEX_COLUMNS = [
     "provider", "competition", "season", "provider_player_id", "player_name", "team", "source_url", "source_local_path", "source_sha256", "record_type",
@@ -72,19 +72,24 @@ def control_compare(df: DataFrame, control: DataFrame, entity: str, sha: str) ->
 def reach(seeds: DataFrame, edges: DataFrame, max_depth: int = 5) -> DataFrame:
     """(node, page, depth): pages spread from seed nodes along parent -> child edges, smallest depth first.
 
-    Every step joins only the frontier and drops what is known, so cycles end; ``max_depth`` bounds it.
-    Each frontier is written to the shared folder, so no step repeats the work of another.
+    Every step joins only the frontier; what is reached and what was known meet in one aggregation, so
+    cycles end, and the spread stops when a step finds nothing new or at ``max_depth``.  Edges stay dealt
+    by their parent between steps.  Each frontier is written to the shared folder, so no step repeats the
+    work of another.
     """
     spark = seeds.sparkSession
     root = work_folder(spark, "reach")
-    links = edges.select("parent", "child").distinct()
-    frontier = seeds.select("node", "page").distinct().withColumn("depth", F.lit(0))
-    frontier.write.parquet(f"{root}/depth=0")
-    links.write.parquet(f"{root}-links")
-    links = spark.read.parquet(f"{root}-links")
+    links = edges.select("parent", "child").distinct().repartition("parent").persist()
+    seeds.select("node", "page").distinct().withColumn("depth", F.lit(0)).write.parquet(f"{root}/depth=0")
+    known = spark.read.parquet(f"{root}/depth=0")
+    last = known
     for d in range(1, max_depth + 1):
-        known = spark.read.parquet(*[f"{root}/depth={i}" for i in range(d)]).select("node", "page")
-        last = spark.read.parquet(f"{root}/depth={d - 1}")
-        step = last.join(links, F.col("node") == F.col("parent")).select(F.col("child").alias("node"), "page").distinct()
-        step.join(known, ["node", "page"], "left_anti").withColumn("depth", F.lit(d)).write.parquet(f"{root}/depth={d}")
-    return spark.read.parquet(*[f"{root}/depth={i}" for i in range(max_depth + 1)]).select("node", "page", "depth")
+        step = last.join(links, F.col("node") == F.col("parent")).select(F.col("child").alias("node"), "page", F.lit(d).alias("depth"))
+        found = step.unionByName(known).groupBy("node", "page").agg(F.min("depth").alias("depth")).where(F.col("depth") == d)
+        found.write.parquet(f"{root}/depth={d}")
+        last = spark.read.parquet(f"{root}/depth={d}")
+        if last.isEmpty():
+            break
+        known = known.unionByName(last)
+    links.unpersist()
+    return known

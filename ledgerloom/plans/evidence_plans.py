@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import evidence, ledger, master
 from ledgerloom.sources import files
+from ledgerloom.sources.shared import work_folder
 from .common import STANDINGS, matches, table
 
 
@@ -115,20 +116,20 @@ def registry_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def src_json_records(spark: SparkSession, sf: str) -> DataFrame:
     """Envelopes of a few hundred customers each, written and read back."""
-    path = files.work_folder(spark, "envelopes")
+    path = work_folder(spark, "envelopes")
     files.write_records(table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey"), path, ["c_nationkey"], ["c_custkey", "c_name"])
     return files.read_records(spark, path, "c_custkey long, c_name string")
 
 
 def src_csv_rounds(spark: SparkSession, sf: str) -> DataFrame:
-    path = files.work_folder(spark, "rounds")
+    path = work_folder(spark, "rounds")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", F.concat(F.year("l_shipdate"), F.lit("-"), "l_linenumber").alias("slot"))
     li.repartition("slot").write.partitionBy("slot").option("header", True).csv(path)
     return files.read_round_csv(spark, path).groupBy("year", "round").agg(F.count("*").alias("rows"), F.count_distinct("l_partkey").alias("ids"))
 
 
 def src_json_legacy_charset(spark: SparkSession, sf: str) -> DataFrame:
-    path = files.work_folder(spark, "legacy")
+    path = work_folder(spark, "legacy")
     n = table(spark, sf, "customer").selectExpr("concat('{\"k\":', c_custkey, ',\"n\":\"é', c_name, '\"}') AS value")
     n.where("value LIKE '%1\"}'").write.option("encoding", "ISO-8859-1").option("sep", "\x01").option("quote", "").option("escape", "").csv(f"{path}/latin")
     n.where("value NOT LIKE '%1\"}'").write.text(f"{path}/utf8")
@@ -143,7 +144,7 @@ def src_chunked_payload(spark: SparkSession, sf: str) -> DataFrame:
 
 def src_archive_inventory(spark: SparkSession, sf: str) -> DataFrame:
     """Zip archives of a few hundred customers' names each, written to the shared folder and listed."""
-    path = files.work_folder(spark, "archives")
+    path = work_folder(spark, "archives")
     members = table(spark, sf, "customer").select(
         F.concat_ws("-", F.col("c_nationkey").cast("string"), F.pmod(F.xxhash64("c_custkey"), F.lit(16)).cast("string")).alias("archive"),
         F.concat(F.col("c_nationkey").cast("string"), F.lit("/"), "c_name", F.lit(".txt")).alias("member"), F.col("c_name").alias("body"))
@@ -152,27 +153,27 @@ def src_archive_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sink_csv_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    path = files.work_folder(spark, "csv")
+    path = work_folder(spark, "csv")
     s = ledger.standings(matches(spark, sf)).withColumn("note", F.when(F.col("wins") % 2 == 0, F.concat(F.lit('a "b", '), "team")))
     files.write_csv(s, path, ["season", "competition", "team", "points", "note"])
     return files.read_csv(spark, path, "season int, competition string, team string, points long, note string")
 
 
 def sink_csv_union(spark: SparkSession, sf: str) -> DataFrame:
-    path = files.work_folder(spark, "union")
+    path = work_folder(spark, "union")
     a = table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name")
     files.write_csv(a.unionByName(table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "s_nationkey AS nation"), allowMissingColumns=True), path)
     return files.read_csv(spark, path, "id long, name string, nation int")
 
 
 def sink_jsonl(spark: SparkSession, sf: str) -> DataFrame:
-    path = files.work_folder(spark, "jsonl")
+    path = work_folder(spark, "jsonl")
     table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment").write.json(path)
     return spark.read.schema("c_custkey long, c_name string, c_mktsegment string").json(path)
 
 
 def sink_audit_and_status(spark: SparkSession, sf: str) -> DataFrame:
-    path = files.work_folder(spark, "audited")
+    path = work_folder(spark, "audited")
     s = ledger.standings(matches(spark, sf))
     audit = s.agg(F.count("*").alias("rows"), F.when(F.sum("goals_for") == F.sum("goals_against"), "PASS").otherwise("FAIL").alias("status"))
     files.write_with_audit(s, audit, path)

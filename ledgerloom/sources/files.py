@@ -11,13 +11,12 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BinaryType, StringType
 
-from .shared import work_folder  # noqa: F401
-
 
 def read_records(spark: SparkSession, path: str, schema: str, field: str = "records", ok: str = "PASS", multi_line: bool = False) -> DataFrame:
     """Rows of an envelope {status, <field>: [...]}; an envelope that is not ``ok`` fails the read.
@@ -153,14 +152,38 @@ def archive_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bundle_digest(files: DataFrame, bundle: str, path: Column, size: Column, sha: Column, trailing_newline: bool) -> DataFrame:
-    """sha256 over the path-ordered lines ``path<TAB>size<TAB>sha``, with or without a last newline.
+    """(bundle, files, digest): sha256 over the path-ordered lines ``path<TAB>size<TAB>sha``, with or without a last newline.
 
-    The digest is a fold over the whole bundle by definition, so a bundle is one group of short lines.
+    The digest runs over a bundle from its first line to its last, so a bundle is one task's work; its
+    lines are sorted by Spark and read as a stream, never held together.  Files of one path stay several lines.
     """
     line = F.concat_ws("\t", path, size.cast("string"), sha)
-    lines = F.transform(F.array_sort(F.collect_list(F.struct(path.alias("p"), line.alias("l")))), lambda x: x["l"])
-    text = F.array_join(lines, "\n")
-    return files.groupBy(bundle).agg(F.count("*").alias("files"), F.sha2(F.concat(text, F.lit("\n")) if trailing_newline else text, 256).alias("digest"))
+    rows = files.select(F.col(bundle).alias("_bundle"), line.alias("_line"), path.alias("_path"))
+    kind = rows.schema["_bundle"].dataType.simpleString()
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, n, h, field = None, 0, None, None
+
+        def ended() -> pa.RecordBatch:
+            if trailing_newline:
+                h.update(b"\n")
+            return pa.RecordBatch.from_arrays([pa.array([now], field), pa.array([n], pa.int64()), pa.array([h.hexdigest()])], [bundle, "files", "digest"])
+
+        for batch in batches:
+            field = batch.schema.field(0).type
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if h is not None and key != now:
+                    yield ended()
+                    h = None
+                if h is None:
+                    now, n, h = key, 0, hashlib.sha256()
+                h.update((b"\n" if n else b"") + text.encode())
+                n += 1
+        if h is not None:
+            yield ended()
+
+    dealt = rows.repartition("_bundle").sortWithinPartitions("_bundle", "_path", "_line").select("_bundle", "_line")
+    return dealt.mapInArrow(fold, f"`{bundle}` {kind}, files long, digest string")
 
 
 def freeze_compare(fresh: DataFrame, frozen: DataFrame, path: str, sha: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import nested as N
 from ledgerloom.functions import text as T
 from ledgerloom.operators import audit, evidence, identity, ledger, master, providers, snapshots
-from ledgerloom.sources import files
+from ledgerloom.sources import files, shared
 
 BODY = "= League\r\n# Teams 4\n# Matches 12\n# Stages  Regular Season (3)  Playoffs (9)\nRegular Season (5)\n20:45  A v B  2-1 (1-0)\nC  0-0 (0-0)  D\nA v D [cancelled]\nB v C 3-0 [awarded]\nE v E 1-1\nA v C 1-1\n"
 
@@ -194,4 +194,4 @@ def test_damaged_chunk_is_told(spark):
 def test_failed_audit_fails_the_job(spark):
     df = spark.range(3)
     with pytest.raises(ValueError, match="FAIL"):
-        files.write_with_audit(df, df.selectExpr("count(*) AS rows", "'FAIL' AS status").limit(1), files.work_folder(spark, "t"))
+        files.write_with_audit(df, df.selectExpr("count(*) AS rows", "'FAIL' AS status").limit(1), shared.work_folder(spark, "t"))
