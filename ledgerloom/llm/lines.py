@@ -7,7 +7,7 @@ later document.  Only line hashes travel for the alignment; texts are read again
 Pairs that can delete no further nominating line are left out.  Such a line is deleted only by a pair
 that shares it, so each line first nominates its earliest holder, and the first document with an equal
 line sequence is nominated too; lines that no alignment has deleted then nominate a few of their other
-holders, and those that still stay nominate all of them.  Shorter lines nominate nothing and go where a
+holders, and those that still stay nominate all of them, but for copies of earlier documents.  Shorter lines nominate nothing and go where a
 nominated pair aligns them.
 """
 
@@ -214,7 +214,7 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     )
     seqs = scratch.write(given.mapInArrow(_sequences(min_words), "doc_id long, seq binary, whole binary"), "sequences")
     copies = seqs.where("whole IS NOT NULL").groupBy("whole").agg(F.min("doc_id").alias("partner"), F.max("doc_id").alias("hi")).where("partner < hi")
-    copied = seqs.select("doc_id", "whole").join(copies, "whole").where("partner < doc_id").select("doc_id", "partner")
+    copied = scratch.write(seqs.select("doc_id", "whole").join(copies, "whole").where("partner < doc_id").select("doc_id", "partner", "whole"), "copied")
 
     def aligned(pairs: DataFrame, name: str) -> DataFrame:
         """(doc_id, line) that the alignments of ``pairs`` delete."""
@@ -222,16 +222,18 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
         both = own.join(seqs.select(F.col("doc_id").alias("partner"), F.col("seq").alias("other")), "partner").select("doc_id", "seq", "other")
         return scratch.write(both.mapInArrow(_align, "doc_id long, gone array<int>").select("doc_id", F.explode("gone").alias("line")).distinct(), name)
 
-    cuts = [aligned(left.select("doc_id", "partner").union(copied).distinct(), "cuts")]
+    cuts = [aligned(left.select("doc_id", "partner").union(copied.select("doc_id", "partner")).distinct(), "cuts")]
     holders, least = None, 0
     for k, most in enumerate(ROUNDS, 1):
         left = scratch.write(left.select("h", "doc_id", "line", "n").join(cuts[-1], ["doc_id", "line"], "left_anti"), f"left{k}")
         if left.isEmpty():
             break
         if holders is None:
-            # a line's holders in an order of their own, the same in every round
+            # a line's holders in an order of their own, the same in every round; an alignment with a copy
+            # deletes what that with the copied earlier document deletes
+            first = seqs.join(copied.select("doc_id", "whole").distinct(), ["doc_id", "whole"], "left_anti").select("doc_id", "seq")
             holders = scratch.write(
-                seqs.mapInArrow(_members, "h long, partner long").join(left.select("h", "n").distinct(), "h")
+                first.mapInArrow(_members, "h long, partner long").join(left.select("h", "n").distinct(), "h")
                 .selectExpr("h", "partner", "pmod(xxhash64(partner), n) AS place", f"cast(pmod(xxhash64(partner, 1), {SALTS}) AS int) AS salt"), "holders",
             )
         some = holders.where(F.col("place") >= least)
