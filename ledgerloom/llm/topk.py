@@ -122,7 +122,8 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, scale: float = 256
     candidate.  Vectors that are null, hold a null or non-finite component, or have a null id take
     no part; vectors of unequal length meet on their common components.  With fewer than k
     candidates all are returned; without queries or candidates nothing is.  Rows that share an id
-    are separate candidates.  A shard that could pass 2**53 in a score fails instead of rounding.
+    are separate candidates; queries that share an id have one ranking, the k best over all their
+    vectors.  Extra columns are ignored.  A shard that could pass 2**53 in a score fails instead of rounding.
     """
     spark = vectors.sparkSession
     groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -147,6 +147,13 @@ def test_top_k_against_brute_force(spark):
     assert topk.top_k(df.where("false"), df).collect() == [] and topk.top_k(df.where("vec_id = 0"), df.where("false")).collect() == []
 
 
+def test_queries_of_one_id_share_a_ranking(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.5, 0.1]), (2, [0.1, 0.75]), (2, [0.1, 0.75]), (3, [0.25, 0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df.where("vec_id = 0"), df, k=4).collect())
+    assert got == [(0, 1, 2, 256 * 192), (0, 2, 2, 256 * 192), (0, 3, 1, 256 * 128), (0, 4, 3, 256 * 64)]
+
+
 def test_factorisation_identity():
     r = np.random.default_rng(1)
     m = quality.Machine(0.3, r.normal(size=quality.DIMS), r.normal(size=(quality.DIMS, 3)))
