@@ -7,7 +7,7 @@ are split into four blocks of 16: of two fingerprints within ``radius`` some blo
 with all such changes gives each pair within the radius.  These are verified by the exact weighted
 similarity of their shingles, sum(min) / sum(max) of their counts.
 
-A window is fingerprinted only if enough of its shingles occur in any item at all: fewer than
+A window is fingerprinted only if enough of its shingles occur in any item of its length: fewer than
 t (a + b) / (1 + t) shared ones of a and b cannot reach the similarity t, so this loses nothing.
 
 Distinct item texts are held in memory in slices of at most ``slice_items`` texts and ``slice_bytes``
@@ -89,12 +89,17 @@ class Index:
                 prints.append(fingerprint(grams))
         self.words, self.prints = np.array(words, np.int64), np.array(prints, _U)
         self.lengths = sorted(set(words))
+        own: dict[int, list[np.ndarray]] = defaultdict(list)
+        for m, g in zip(words, self.grams):
+            own[m].append(g)
         self.gates = {size: np.unique(np.concatenate(g)) for size, g in gates.items()}
         self.sieves = {}
         for size, gate in self.gates.items():
             sieve = np.zeros(1 << 20, bool)
             sieve[(gate >> _U(44)).astype(np.int64)] = True
             self.sieves[size] = sieve
+        #: places in the gate of the shingles that items of a length have
+        self.own = {m: np.unique(np.searchsorted(self.gates[min(k, m)], np.concatenate(g))) for m, g in own.items()}
         changed = np.bitwise_count(np.arange(1 << BLOCK_BITS, dtype=np.uint16))
         self.tables = []
         for b in range(BLOCKS):
@@ -108,14 +113,13 @@ class Index:
     def _block(prints: np.ndarray, b: int) -> np.ndarray:
         return ((prints >> _U(b * BLOCK_BITS)) & _U((1 << BLOCK_BITS) - 1)).astype(np.int64)
 
-    def gate(self, grams: np.ndarray, size: int) -> np.ndarray:
-        """Which shingles occur in an item."""
+    def gate(self, grams: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(position, place in the gate) of the shingles that occur in an item."""
         maybe = np.flatnonzero(self.sieves[size][(grams >> _U(44)).astype(np.int64)])
         gate = self.gates[size]
         at = np.minimum(np.searchsorted(gate, grams[maybe]), len(gate) - 1)
-        out = np.zeros(len(grams), bool)
-        out[maybe[gate[at] == grams[maybe]]] = True
-        return out
+        hit = gate[at] == grams[maybe]
+        return maybe[hit], at[hit]
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs that the block tables give, repeated ones included."""
@@ -147,19 +151,26 @@ class Index:
         both = int(np.minimum(w[a], own[b]).sum())
         return both / (int(w.sum()) + int(own.sum()) - both)
 
-    def matches(self, h: np.ndarray, hits: dict[int, np.ndarray], k: int, threshold: float) -> dict[int, tuple[float, int, int]]:
-        """item -> (similarity, first word, words) of its best window in one document."""
+    def matches(self, h: np.ndarray, hits: dict[int, tuple[np.ndarray, np.ndarray]], k: int, threshold: float) -> dict[int, tuple[float, int, int]]:
+        """item -> (similarity, first word, words) of its best window in one document.
+
+        ``hits`` has the (positions, places in the gate) of item shingles per shingle size.
+        """
         best: dict[int, tuple[float, int, int]] = {}
-        upto = {size: np.concatenate([[0], np.cumsum(x)]) for size, x in hits.items() if x.any()}
         grams: dict[int, np.ndarray] = {}
         for m in self.lengths:
             size = min(k, m)
-            if size not in upto:
+            at, place = hits[size]
+            if len(at) == 0 or len(h) < size:
+                continue
+            own, total = m - size + 1, len(h) - size + 1
+            width = min(own, total)
+            least = max(int(np.ceil(threshold * (own + width) / (1 + threshold) - 1e-9)), 1)
+            if len(at) < least:
                 continue
-            own = m - size + 1
-            width = min(own, len(hits[size]))
-            least = np.ceil(threshold * (own + width) / (1 + threshold) - 1e-9)
-            starts = np.flatnonzero(upto[size][width:] - upto[size][:-width] >= max(least, 1))
+            among = self.own[m]
+            at = at[among[np.minimum(np.searchsorted(among, place), len(among) - 1)] == place]
+            starts = dense_starts(at, width, least, total - width)
             if len(starts) == 0:
                 continue
             if size not in grams:
@@ -172,21 +183,34 @@ class Index:
         return best
 
 
+def dense_starts(at: np.ndarray, width: int, least: int, last: int) -> np.ndarray:
+    """Starts from 0 to ``last`` of windows of ``width`` places that hold at least ``least`` of the ascending places."""
+    low = np.maximum(at[least - 1 :] - width + 1, 0)
+    high = np.minimum(at[: len(at) - least + 1], last)
+    ok = low <= high
+    low, size = low[ok], (high - low + 1)[ok]
+    return np.unique(np.arange(size.sum()) + np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size))
+
+
 def _scan(index, k: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: Index = index.value
         for batch in batches:
             ids, out = batch.column(0), []
             for s in W.word_slices(batch.column(1)):
-                marked = {}
+                marked, rows = {}, [np.zeros(0, np.int64)]
                 for size in ix.gates:
-                    hit = ix.gate(W.window_hashes(s.hashes, size), size)
-                    hit &= W.inside(s.bounds, size, len(s.hashes))
-                    marked[size] = hit
-                rows = np.unique(np.concatenate([np.searchsorted(s.bounds, np.flatnonzero(x), side="right") - 1 for x in marked.values()]))
-                for i in rows.tolist():
+                    at, place = ix.gate(W.window_hashes(s.hashes, size), size)
+                    row = np.searchsorted(s.bounds, at, side="right") - 1
+                    whole = at + size <= s.bounds[row + 1]
+                    marked[size] = at[whole], place[whole]
+                    rows.append(row[whole])
+                for i in np.unique(np.concatenate(rows)).tolist():
                     a, b = int(s.bounds[i]), int(s.bounds[i + 1])
-                    hits = {size: x[a : max(a, b - size + 1)] for size, x in marked.items()}
+                    hits = {}
+                    for size, (at, place) in marked.items():
+                        x, y = np.searchsorted(at, [a, b])
+                        hits[size] = at[x:y] - a, place[x:y]
                     for item, (sim, start, n) in ix.matches(s.hashes[a:b], hits, k, threshold).items():
                         out.append((ids[s.first + i].as_py(), ix.keys[item], sim, start, n))
             if out:

@@ -199,6 +199,19 @@ def test_leaks_in_a_long_text_and_repeated_rows(spark):
     assert got == sorted(want)
 
 
+def test_starts_of_dense_windows():
+    import numpy as np
+
+    r = np.random.default_rng(7)
+    for _ in range(200):
+        n, width = int(r.integers(1, 40)), int(r.integers(1, 12))
+        at = np.flatnonzero(r.random(n) < 0.5)
+        least, last = int(r.integers(1, width + 1)), n - width
+        want = [s for s in range(last + 1) if ((at >= s) & (at < s + width)).sum() >= least]
+        got = decontaminate.dense_starts(at, width, least, last).tolist() if len(at) >= least else []
+        assert got == want
+
+
 def test_windows_are_summed_over_bounded_spans(monkeypatch):
     import numpy as np
 
