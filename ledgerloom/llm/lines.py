@@ -210,37 +210,37 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
         .groupBy("h").agg(F.min("lo").alias("partner"), F.max("hi").alias("hi"), F.sum("n").alias("n")).where("partner < hi").select("h", "partner", "n"), "shared",
     )
     left = scratch.write(
-        given.mapInArrow(_places(min_words), "h long, doc_id long, line int").join(shared, "h").where("partner < doc_id"), "meets",
+        given.mapInArrow(_places(min_words), "h long, doc_id long, line int").join(shared.hint("merge"), "h").where("partner < doc_id"), "meets",
     )
     seqs = scratch.write(given.mapInArrow(_sequences(min_words), "doc_id long, seq binary, whole binary"), "sequences")
     copies = seqs.where("whole IS NOT NULL").groupBy("whole").agg(F.min("doc_id").alias("partner"), F.max("doc_id").alias("hi")).where("partner < hi")
-    copied = scratch.write(seqs.select("doc_id", "whole").join(copies, "whole").where("partner < doc_id").select("doc_id", "partner", "whole"), "copied")
+    copied = scratch.write(seqs.select("doc_id", "whole").join(copies.hint("merge"), "whole").where("partner < doc_id").select("doc_id", "partner", "whole"), "copied")
 
     def aligned(pairs: DataFrame, name: str) -> DataFrame:
         """(doc_id, line) that the alignments of ``pairs`` delete."""
-        own = scratch.write(pairs, f"{name}_pairs").join(seqs.select("doc_id", "seq"), "doc_id")
-        both = own.join(seqs.select(F.col("doc_id").alias("partner"), F.col("seq").alias("other")), "partner").select("doc_id", "seq", "other")
+        own = scratch.write(pairs, f"{name}_pairs").join(seqs.select("doc_id", "seq").hint("merge"), "doc_id")
+        both = own.join(seqs.select(F.col("doc_id").alias("partner"), F.col("seq").alias("other")).hint("merge"), "partner").select("doc_id", "seq", "other")
         return scratch.write(both.mapInArrow(_align, "doc_id long, gone array<int>").select("doc_id", F.explode("gone").alias("line")).distinct(), name)
 
     cuts = [aligned(left.select("doc_id", "partner").union(copied.select("doc_id", "partner")).distinct(), "cuts")]
     holders, least = None, 0
     for k, most in enumerate(ROUNDS, 1):
-        left = scratch.write(left.select("h", "doc_id", "line", "n").join(cuts[-1], ["doc_id", "line"], "left_anti"), f"left{k}")
+        left = scratch.write(left.select("h", "doc_id", "line", "n").join(cuts[-1].hint("merge"), ["doc_id", "line"], "left_anti"), f"left{k}")
         if left.isEmpty():
             break
         if holders is None:
             # a line's holders in an order of their own, the same in every round; an alignment with a copy
             # deletes what that with the copied earlier document deletes
-            first = seqs.join(copied.select("doc_id", "whole").distinct(), ["doc_id", "whole"], "left_anti").select("doc_id", "seq")
+            first = seqs.join(copied.select("doc_id", "whole").distinct().hint("merge"), ["doc_id", "whole"], "left_anti").select("doc_id", "seq")
             holders = scratch.write(
-                first.mapInArrow(_members, "h long, partner long").join(left.select("h", "n").distinct(), "h")
+                first.mapInArrow(_members, "h long, partner long").join(left.select("h", "n").distinct().hint("merge"), "h")
                 .selectExpr("h", "partner", "pmod(xxhash64(partner), n) AS place", f"cast(pmod(xxhash64(partner, 1), {SALTS}) AS int) AS salt"), "holders",
             )
         some = holders.where(F.col("place") >= least)
         if most:
             some, least = some.where(F.col("place") < most), most
         open_ = left.select("h", "doc_id").distinct().select("h", "doc_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        pairs = open_.join(some, ["h", "salt"]).where("partner < doc_id").select("doc_id", "partner").distinct()
+        pairs = open_.join(some.hint("merge"), ["h", "salt"]).where("partner < doc_id").select("doc_id", "partner").distinct()
         cuts.append(aligned(pairs, f"cuts{k}"))
     gone = scratch.write(
         reduce(DataFrame.union, cuts).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone")), "gone",
