@@ -135,8 +135,8 @@ def train(docs: DataFrame, divisor: int = 4, held_out: int = 2, clusters: int =
         at = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), *rows.columns))
         return rows.withColumn("_k", at).where(F.col("_k") <= per_language).drop("_k")
 
-    # a language is ranked in 64 parts before it is ranked as a whole
-    ids = usable.select("doc_id", "lang").where("doc_id IS NOT NULL").withColumn("_part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64)))
+    # a language is ranked in 8 parts before it is ranked as a whole
+    ids = usable.select("doc_id", "lang").where("doc_id IS NOT NULL").withColumn("_part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(8)))
     chosen = first(first(ids, "lang", "_part").drop("_part"), "lang").select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     mine = (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))
     sample = first(usable.join(F.broadcast(chosen), mine).select("doc_id", "lang", "text"), "lang").select("lang", "text")
