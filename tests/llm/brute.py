@@ -63,6 +63,8 @@ def leaks(docs, items, k=5, threshold=0.75):
                 continue
             size = min(k, len(us))
             want = Counter(shingles(us, size))
+            if not want.keys() & set(shingles(ws, size)):
+                continue  # no window shares a shingle
             for i in range(max(1, len(ws) - len(us) + 1)):
                 part = ws[i : i + len(us)]
                 got = Counter(shingles(part, size)) if len(part) >= size else Counter()
