@@ -132,20 +132,42 @@ def tie_averaged_percentile(df: DataFrame, keys: tuple[str, ...], value: str, na
     return df.withColumn(name, F.when(n > 1, (n - 1 - place) / (n - 1)))
 
 
-def audit_groups(table: DataFrame, keys: tuple[str, ...] = GROUP, percentile: str = "ppg_percentile") -> DataFrame:
-    """Per group: sizes, a sorted list of failure codes and PASS or FAIL."""
+# Failure codes of a group audit, in the order in which they are listed.
+FAILURES = [
+    "missing_header_teams", "missing_expected_match_count", "team_count_mismatch", "match_count_mismatch", "unequal_games_played",
+    "goals_balance_mismatch", "wdl_algebra_mismatch", "points_algebra_mismatch", "nonfinite_metric", "percentile_out_of_range",
+]
+
+
+def audit_groups(table: DataFrame, keys: tuple[str, ...] = GROUP, percentile: str = "ppg_percentile", expected: DataFrame | None = None) -> DataFrame:
+    """Per group: teams, matches, its failure codes and PASS or FAIL.
+
+    ``expected`` has declared_teams and expected_matches per group; a group without a row there, or with a
+    null, lacks its header.  Without ``expected`` sizes are not checked.
+    """
     def any_row(condition: Column) -> Column:
         return F.coalesce(F.bool_or(condition), F.lit(False))
 
+    def finite(name: str) -> Column:
+        return F.coalesce(F.abs(F.col(name)) < float("inf"), F.lit(False)) & ~F.isnan(F.col(name))
+
+    metrics = ("points_per_game", "goal_difference_per_game", percentile)
     agg = table.groupBy(*keys).agg(
         F.count("*").alias("teams"), (F.sum("played") / 2).cast("long").alias("matches"),
         (F.min("played") != F.max("played")).alias("unequal_games_played"),
-        (F.sum("goals_for") != F.sum("goals_against")).alias("goals_unbalanced"),
-        any_row(F.col("wins") + F.col("draws") + F.col("losses") != F.col("played")).alias("results_algebra"),
-        any_row(F.col("points") != 3 * F.col("wins") + F.col("draws")).alias("points_algebra"),
-        any_row(~F.col(percentile).between(0, 1)).alias("percentile_range"),
+        (F.sum("goals_for") != F.sum("goals_against")).alias("goals_balance_mismatch"),
+        any_row(F.col("wins") + F.col("draws") + F.col("losses") != F.col("played")).alias("wdl_algebra_mismatch"),
+        any_row(F.col("points") != 3 * F.col("wins") + F.col("draws")).alias("points_algebra_mismatch"),
+        any_row(~(finite(metrics[0]) & finite(metrics[1]) & finite(metrics[2]))).alias("nonfinite_metric"),
+        any_row(~F.col(percentile).between(-1e-12, 1 + 1e-12)).alias("percentile_out_of_range"),
     )
-    codes = ["goals_unbalanced", "percentile_range", "points_algebra", "results_algebra", "unequal_games_played"]
+    codes = FAILURES[4:]
+    if expected is not None:
+        codes = FAILURES
+        declared = expected.groupBy(*keys).agg(F.max("declared_teams").alias("_teams"), F.max("expected_matches").alias("_matches"))
+        agg = agg.join(declared, list(keys), "left").select(
+            "*", F.isnull("_teams").alias("missing_header_teams"), F.isnull("_matches").alias("missing_expected_match_count"),
+            (F.col("teams") != F.col("_teams")).alias("team_count_mismatch"), (F.col("matches") != F.col("_matches")).alias("match_count_mismatch"))
     failures = F.filter(F.array(*[F.when(F.col(c), F.lit(c)) for c in codes]), lambda x: x.isNotNull())
     return agg.select(
         *keys, "teams", "matches", F.array_join(failures, ",").alias("failures"),

@@ -72,7 +72,17 @@ def test_three_way_tie_and_audit(spark):
     assert ledger.audit_groups(t).first().status == "PASS"
     bad = _table(spark, [(1, "x", "A", "B", 1, 0), (1, "x", "A", "C", 1, 0)]).withColumn("points", F.lit(9))
     r = ledger.audit_groups(bad).first()
-    assert r.status == "FAIL" and r.failures == "points_algebra,unequal_games_played"
+    assert r.status == "FAIL" and r.failures == "unequal_games_played,points_algebra_mismatch"
+
+
+def test_audit_of_declared_sizes(spark):
+    t = _table(spark, [(y, "x", "A", "B", 1, 1) for y in (1, 2, 3)] + [(4, "x", "A", "B", 1, 0)]).where("season <> 4 OR team = 'A'")
+    t = ledger.tie_averaged_percentile(t.drop("ppg_percentile"), ledger.GROUP, "points_per_game", "ppg_percentile")
+    sizes = spark.createDataFrame([(1, "x", 2, 1), (2, "x", 3, 2), (4, "x", None, 1), (4, "x", None, None)], "season int, competition string, declared_teams long, expected_matches long")
+    got = {r.season: (r.failures, r.status) for r in ledger.audit_groups(t, expected=sizes).collect()}
+    assert got[1] == ("", "PASS") and got[2] == ("team_count_mismatch,match_count_mismatch", "FAIL")
+    assert got[3] == ("missing_header_teams,missing_expected_match_count", "FAIL")
+    assert got[4] == ("missing_header_teams,match_count_mismatch,goals_balance_mismatch,nonfinite_metric", "FAIL")
 
 
 def test_single_team_group_has_no_percentile(spark):
