@@ -253,7 +253,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, thresh
     items = benchmark.selectExpr(f"cast(`{item_col}` AS long) AS item_id", f"lower(cast(`{item_text_col}` AS string)) AS text").where("text IS NOT NULL")
     key = F.sha2("text", 256).alias("key")
     schema = "doc_id long, key string, similarity double, start_word long, n_words long"
-    found = [spark.createDataFrame([], schema)]
+    # an empty table of the JVM's own; one made of Python rows would start more Python workers
+    found = [spark.range(0).selectExpr("id AS doc_id", "cast(NULL AS string) AS key", "cast(NULL AS double) AS similarity", "id AS start_word", "id AS n_words")]
     for part in _slices(items.select("text").distinct().select(key, "text"), slice_items, slice_bytes):
         index = Index(part, words, radius)
         if index.keys:
