@@ -223,15 +223,16 @@ def _scan(index, k: int, threshold: float):
     return run
 
 
-def _slices(texts: DataFrame, most_items: int, most_bytes: int) -> Iterator[list[tuple[str, str]]]:
+def text_slices(texts: DataFrame, most_items: int, most_bytes: int) -> Iterator[list[tuple[str, str]]]:
     """(key, text) rows as lists of bounded number and size."""
     part, size = [], 0
     for r in texts.toLocalIterator():
-        if part and (len(part) == most_items or size + len(r.text) > most_bytes):
+        own = len(r.text.encode())
+        if part and (len(part) == most_items or size + own > most_bytes):
             yield part
             part, size = [], 0
         part.append((r.key, r.text))
-        size += len(r.text)
+        size += own
     if part:
         yield part
 
@@ -255,7 +256,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, thresh
     schema = "doc_id long, key string, similarity double, start_word long, n_words long"
     # an empty table of the JVM's own; one made of Python rows would start more Python workers
     found = [spark.range(0).selectExpr("id AS doc_id", "cast(NULL AS string) AS key", "cast(NULL AS double) AS similarity", "id AS start_word", "id AS n_words")]
-    for part in _slices(items.select("text").distinct().select(key, "text"), slice_items, slice_bytes):
+    for part in text_slices(items.select("text").distinct().select(key, "text"), slice_items, slice_bytes):
         index = Index(part, words, radius)
         if index.keys:
             shared = spark.sparkContext.broadcast(index)

@@ -40,7 +40,7 @@ def counts(text: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
                 m = max(len(data) - n + 1, 0)
                 h = np.zeros(m, np.uint64)
                 for j in range(n):
-                    h += values[j : j + m] * W._COEF[0][j]
+                    h += values[j : j + m] * W.coefficients(0, 64)[j]
                 h *= np.uint64(0x9E3779B97F4A7C15)
                 grams.append((h >> np.uint64(52)).astype(np.int64))
         for a in range(0, rows, _ROWS):

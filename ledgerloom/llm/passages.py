@@ -3,7 +3,8 @@
 Take a period v and a difference cover C of it.  Two equal runs of ``window`` words, wherever they
 start, have some offset below v at which both positions are in C modulo v, so it is enough to hash
 the ``window - v + 1`` words that start at cover positions.  Anchors found in two documents or more
-are extended: the windows around them are compared as a whole, by 95 bits of two independent hashes.
+are extended: the windows around them are compared as a whole, by 95 bits of two hashes that are computed
+from the bytes, each with its own mixing.
 
 Documents are dealt into blocks of a few hundred, or of a few megabytes, by a hash of their id, and everything that shuffles
 by content is combined per block first: a hash that a third of all documents hold is one row per
@@ -128,7 +129,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _window_keys(s: W.Slice, a: int, b: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
     one = W.window_hashes(s.hashes[a:b], plan.window)
-    two = W.window_hashes(s.hashes[a:b], plan.window, 1) >> np.uint64(33)
+    two = W.window_hashes(W.word_hashes(s.data, s.starts[a:b], s.ends[a:b], 1), plan.window, 1) >> np.uint64(33)
     return one, two.astype(np.int64)
 
 

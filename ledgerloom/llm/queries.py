@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, langid, lines, packing, passages, quality, topk, toxicity, warc
+from . import decontaminate, jaccard, langid, lexical, lines, packing, passages, quality, topk, toxicity, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -15,5 +15,6 @@ QUERIES = {
     "op9_exact_topk": topk.op9_exact_topk,
     "op10_substring_dedup": passages.op10_substring_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op11_ranked_search": lexical.op11_ranked_search,
 }
-ORACLES = {"op5_ngram_jaccard_join": jaccard.OP5_SQL, "op7_warc": warc.OP7_SQL, "op9_exact_topk": topk.OP9_SQL, "op10_substring_dedup": passages.OP10_SQL}
+ORACLES = {"op5_ngram_jaccard_join": jaccard.OP5_SQL, "op7_warc": warc.OP7_SQL, "op9_exact_topk": topk.OP9_SQL, "op10_substring_dedup": passages.OP10_SQL, "op11_ranked_search": lexical.OP11_SQL}

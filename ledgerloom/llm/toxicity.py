@@ -31,7 +31,7 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _TABLE = W._stream(53, 256)[_FOLD]
-_PLACE = W._COEF[1].copy()
+_PLACE = W.coefficients(1, 64)[:64].copy()
 _PLACE[0] = 1  # characters of one byte keep their value
 
 
@@ -58,7 +58,7 @@ def gram_buckets(values: np.ndarray, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.zeros(m, np.uint64)
         for j in range(n):
-            out += values[j : j + m] * W._COEF[0][j]
+            out += values[j : j + m] * W.coefficients(0, 64)[j]
         out ^= out >> np.uint64(29)
         out *= np.uint64(0xBF58476D1CE4E5B9)
         return ((out >> np.uint64(40)) & np.uint64(DIMS // len(GRAMS) - 1)).astype(np.int64)

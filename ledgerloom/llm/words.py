@@ -8,6 +8,7 @@ single text, never the batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -32,29 +33,53 @@ def _stream(seed: int, n: int) -> np.ndarray:
         return mix64((np.arange(1, n + 1, dtype=_U) + _U(seed)) * _U(0x9E3779B97F4A7C15))
 
 
-_BYTE = _stream(11, 256)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
-_COEF = {0: _stream(23, 64) | _U(1), 1: _stream(37, 64) | _U(1)}
-_BASE = 0x9E3779B97F4A7C17
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+#: Seeds of the two lanes: what is added to a word's length, and the odd factor of a step.
+_SEED = ((_U(0x243F6A8885A308D3), _U(0x9E3779B97F4A7C15)), (_U(0x13198A2E03707345), _U(0xD6E8FEB86659FD93)))
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=_U)
+#: Bytes from which a word is hashed alone.
+LONG = 2048
+_COEF: dict[int, np.ndarray] = {}
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 IS_NEWLINE = np.zeros(256, bool)
 IS_NEWLINE[10] = True
-_POW: dict[int, np.ndarray] = {}
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    have = _POW.get(base)
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
-        have = np.full(size, _U(base), dtype=_U)
-        have[0] = _U(1)
-        have = np.multiply.accumulate(have)
-        if size <= 4 * SLICE_BYTES:
-            _POW[base] = have
-    return have
+def coefficients(lane: int, k: int) -> np.ndarray:
+    if lane not in _COEF or len(_COEF[lane]) < k:
+        _COEF[lane] = _stream((23, 37)[lane], max(k, 64)) | _U(1)
+    return _COEF[lane]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the byte runs ``starts`` to ``ends``; the two lanes are independent of each other.
+
+    Eight bytes at a time are mixed into the state by a finaliser with full avalanche, so neither order
+    nor position of bytes cancels out.
+    """
+    if len(starts) == 0:
+        return np.zeros(0, _U)
+    seed, factor = _SEED[lane]
+    first, last = int(starts[0]), int(ends[-1])
+    padded = np.zeros(last - first + 8, np.uint8)
+    padded[:-8] = _FOLD[data[first:last]] if lower else data[first:last]
+    eight = np.ndarray((last - first + 1,), "<u8", padded, 0, (1,))  # the eight bytes from every place on
+    size, at = ends - starts, starts - first
+    with np.errstate(over="ignore"):
+        state = mix64(size.astype(_U) * factor + seed)
+        state = mix64((state ^ (eight[at] & _TAIL[np.minimum(size, 8)])) * factor)
+        live, done = np.flatnonzero((size > 8) & (size <= LONG)), 8
+        while len(live):
+            chunk = eight[at[live] + done] & _TAIL[np.minimum(size[live] - done, 8)]
+            state[live] = mix64((state[live] ^ chunk) * factor)
+            done += 8
+            live = live[size[live] > done]
+    for i in np.flatnonzero(size > LONG).tolist():
+        body = padded[at[i] : at[i] + size[i]]
+        state[i] = int.from_bytes(blake2b(body, digest_size=8, salt=bytes([lane])).digest(), "little")
+    return state
 
 
 class Slice(NamedTuple):
@@ -110,7 +135,7 @@ def _pieces(data: np.ndarray, rows: int, limit: int, separators: np.ndarray) ->
 
 
 def _runs(
-    data: np.ndarray, a: int, b: int, offs: np.ndarray, table: np.ndarray, separators: np.ndarray
+    data: np.ndarray, a: int, b: int, offs: np.ndarray, lower: bool, separators: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, hashes) of the words in bytes a to b of a slice."""
     part, n = data[a:b], b - a
@@ -126,10 +151,7 @@ def _runs(
     closes[-1] = True
     starts = np.flatnonzero(begins & word)
     ends = np.flatnonzero(closes & word) + 1
-    total = np.zeros(n + 1, _U)
-    np.cumsum(table[part] * _powers(_BASE, n)[:n], out=total[1:])
-    hashes = mix64((total[ends] - total[starts]) * _powers(_BASE_INV, n)[starts])
-    return starts + a, ends + a, hashes
+    return starts + a, ends + a, word_hashes(part, starts, ends, lower=lower)
 
 
 def word_slices(
@@ -139,34 +161,31 @@ def word_slices(
 
     With other ``separators`` (a mask over byte values) the runs are other units, such as lines.
     """
-    table = _LOWER if lower else _BYTE
-    with np.errstate(over="ignore"):
-        for first, rows, data, offs in byte_slices(column, limit):
-            n = len(data)
-            if n == 0:
-                none = np.zeros(0, np.int64)
-                yield Slice(first, rows, data, none, none, np.zeros(rows + 1, np.int64), np.zeros(0, _U), offs)
-                continue
-            parts = [_runs(data, a, b, offs, table, separators) for a, b in _pieces(data, rows, limit, separators)]
-            starts, ends, hashes = (np.concatenate(x) if len(parts) > 1 else x[0] for x in zip(*parts))
-            yield Slice(first, rows, data, starts, ends, np.searchsorted(starts, offs), hashes, offs)
+    for first, rows, data, offs in byte_slices(column, limit):
+        if len(data) == 0:
+            none = np.zeros(0, np.int64)
+            yield Slice(first, rows, data, none, none, np.zeros(rows + 1, np.int64), np.zeros(0, _U), offs)
+            continue
+        parts = [_runs(data, a, b, offs, lower, separators) for a, b in _pieces(data, rows, limit, separators)]
+        starts, ends, hashes = (np.concatenate(x) if len(parts) > 1 else x[0] for x in zip(*parts))
+        yield Slice(first, rows, data, starts, ends, np.searchsorted(starts, offs), hashes, offs)
 
 
 def window_hashes(hashes: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
-    """Hash of every run of k consecutive words; two lanes give 128 bits."""
+    """Hash of every run of k consecutive words; word hashes of both lanes, each with its own, give 128 bits."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, _U)
+    factors = coefficients(lane, k)
     with np.errstate(over="ignore"):
-        source = hashes if lane == 0 else mix64(hashes ^ _U(0xA5A5A5A55A5A5A5A))
         out = np.zeros(n, _U)
         for j in range(k):
-            out += source[j : j + n] * _COEF[lane][j]
+            out += hashes[j : j + n] * factors[j]
         return mix64(out)
 
 
 def run_hash(hashes: np.ndarray, lane: int = 0) -> int:
-    """Hash of a whole sequence of at most 64 words."""
+    """Hash of a whole sequence of words."""
     return int(window_hashes(hashes, len(hashes), lane)[0])
 
 
