@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, langid, lexical, lines, packing, passages, quality, topk, toxicity, warc
+from . import decontaminate, jaccard, langid, lexical, lines, packing, passages, quality, topk, toxicity, warc, windows
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -16,5 +16,6 @@ QUERIES = {
     "op10_substring_dedup": passages.op10_substring_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op11_ranked_search": lexical.op11_ranked_search,
+    "op12_sum_of_squares_packing": windows.op12_sum_of_squares_packing,
 }
 ORACLES = {"op5_ngram_jaccard_join": jaccard.OP5_SQL, "op7_warc": warc.OP7_SQL, "op9_exact_topk": topk.OP9_SQL, "op10_substring_dedup": passages.OP10_SQL, "op11_ranked_search": lexical.OP11_SQL}
