@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, langid, lexical, lines, packing, passages, quality, topk, toxicity, warc, windows
+from . import decontaminate, jaccard, langid, lexical, lines, manifest, packing, passages, quality, topk, toxicity, warc, windows
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -17,5 +17,9 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op11_ranked_search": lexical.op11_ranked_search,
     "op12_sum_of_squares_packing": windows.op12_sum_of_squares_packing,
+    "op13_merkle_manifest": manifest.op13_merkle_manifest,
+}
+ORACLES = {
+    "op5_ngram_jaccard_join": jaccard.OP5_SQL, "op7_warc": warc.OP7_SQL, "op9_exact_topk": topk.OP9_SQL, "op10_substring_dedup": passages.OP10_SQL, "op11_ranked_search": lexical.OP11_SQL,
+    "op13_merkle_manifest": manifest.OP13_SQL,
 }
-ORACLES = {"op5_ngram_jaccard_join": jaccard.OP5_SQL, "op7_warc": warc.OP7_SQL, "op9_exact_topk": topk.OP9_SQL, "op10_substring_dedup": passages.OP10_SQL, "op11_ranked_search": lexical.OP11_SQL}
