@@ -51,13 +51,15 @@ class Scratch:
         if within:
             self.root = f"{within}/{self.root.rsplit('/', 1)[1]}"
         self.names: list[str] = []
+        self.made = 0
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str | None = None) -> DataFrame:
         """Write ``df``, read it back, and let Spark remove the shuffle files that made it."""
-        name = name or f"t{len(self.names) + 1}"
+        self.made += 1
+        name = name or f"t{self.made}"
         self.names.append(name)
         with tidy(self.spark):
             df.write.parquet(self.path(name))
