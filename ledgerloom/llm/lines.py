@@ -4,11 +4,13 @@ A document is compared with the earlier ones that share a line of at least ``min
 pair is aligned by patience diff over line hashes, and blocks of aligned lines are deleted from the
 later document.  Only line hashes travel for the alignment; texts are read again for the rewrite.
 
-Pairs that can delete no further nominating line are left out.  Such a line is deleted only by a pair
-that shares it, so each line first nominates its earliest holder, and the first document with an equal
-line sequence is nominated too; lines that no alignment has deleted then nominate a few of their other
-holders, and those that still stay nominate all of them, but for copies of earlier documents.  Shorter lines nominate nothing and go where a
-nominated pair aligns them.
+Pairs that can delete no further nominating line are left out.  Each line first nominates its earliest
+holder, and the first document with an equal line sequence is nominated too.  For lines that no
+alignment has deleted, rare marks count: patience diff pairs nothing at all unless two documents share
+an anchor, a line that each of them holds once, or their first or last line.  A standing line nominates
+its other holders, a few at a time, or the documents that share an anchor with its own, whichever are
+fewer; so separators and braces of documents that share no anchor nominate nobody.  Copies of earlier
+documents are left out as holders.  Shorter lines nominate nothing and go where a nominated pair aligns them.
 """
 
 from __future__ import annotations
@@ -31,18 +33,32 @@ from .scratch import Scratch
 MIN_WORDS = 3
 #: Holders that a line still standing nominates in each round; the last round takes all that are left.
 ROUNDS = (16, 512, None)
-#: Parts that the holders of one line are dealt to.
+#: Parts that the holders of one mark are dealt to.
 SALTS = 32
+_PAIR = ("doc_id", "fp", "partner", "partner_fp")
+#: Salts of the first and the last line.
+_EDGES = np.array([0x452821E638D01377, 0xBE5466CF34E90C6C], np.uint64)
 
 
 def _lines(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, hashes of its non-blank lines, their word counts)."""
+    """(row, 128-bit hashes of its non-blank lines as two columns, their word counts)."""
     for ln, ws in zip(W.word_slices(column, separators=W.IS_NEWLINE), W.word_slices(column)):
         n = np.searchsorted(ws.starts, ln.ends) - np.searchsorted(ws.starts, ln.starts)
+        both = np.stack([ln.hashes, W.word_hashes(ln.data, ln.starts, ln.ends, 1)], axis=1)
         for i in range(ln.rows):
             a, b = int(ln.bounds[i]), int(ln.bounds[i + 1])
             keep = n[a:b] > 0
-            yield ln.first + i, ln.hashes[a:b][keep], n[a:b][keep]
+            yield ln.first + i, both[a:b][keep], n[a:b][keep]
+
+
+def _marks(h: np.ndarray, n: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, nominates, anchor) of the distinct lines of a document and of its first and last line as such."""
+    if len(h) == 0:
+        return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool)
+    lines, first, count = np.unique(h, return_index=True, return_counts=True)
+    with np.errstate(over="ignore"):
+        edges = W.mix64(h[[0, -1]] + _EDGES)
+    return np.concatenate([lines, edges]), np.concatenate([n[first] >= min_words, [False, False]]), np.concatenate([count == 1, [True, True]])
 
 
 def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -95,77 +111,101 @@ def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return blocks
 
 
+def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(doc_id, digest of the text) of the rows."""
+    return tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+
+
+def _batch_marks(batch: pa.RecordBatch, min_words: int) -> tuple[np.ndarray, ...]:
+    """(hash, doc_id, fp, nominates, anchor) of all marks of a batch."""
+    ids, prints = _keys(batch)
+    found, rows = [(np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool))], [np.zeros(0, np.int64)]
+    for i, h, n in _lines(batch.column(2)):
+        found.append(_marks(h[:, 0], n, min_words))
+        rows.append(np.full(len(found[-1][0]), i))
+    h, nominates, anchor = (np.concatenate(x) for x in zip(*found))
+    r = np.concatenate(rows)
+    return h.view(np.int64), ids[r], prints[r], nominates, anchor
+
+
 def _holders(min_words: int):
-    """(h, lo, hi, n): the first and last document of a batch with the line, and how many have it."""
+    """What a batch knows of each mark: first and last document, their number, and that of documents where it is an anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for i, h, n in _lines(batch.column(1)):
-                h = np.unique(h[n >= min_words])
-                hashes.append(h)
-                docs.append(np.full(len(h), ids[i]))
-            h, d = np.concatenate(hashes).view(np.int64), np.concatenate(docs)
+            h, ids, prints, _, anchor = _batch_marks(batch, min_words)
             if len(h) == 0:
                 continue
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
+            order = np.lexsort((prints, ids, h))
+            h, ids, prints, anchor = h[order], ids[order], prints[order], anchor[order]
             first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             count = np.diff(np.append(first, len(h)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[first]), pa.array(d[first]), pa.array(d[first + count - 1]), pa.array(count, pa.int64())], ["h", "lo", "hi", "n"]
-            )
+            last = first + count - 1
+            anchored = np.minimum.reduceat(np.where(anchor, ids, np.iinfo(np.int64).max), first)
+            columns = [h[first], ids[first], prints[first], ids[last], count, anchored, np.add.reduceat(anchor.astype(np.int64), first)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "lo", "lo_fp", "hi", "n", "lo_anchor", "n_anchor"])
 
     return run
 
 
 def _places(min_words: int):
-    """(h, doc_id, line) of every line that nominates."""
+    """(h, doc_id, fp, line) of every line that nominates, and of every anchor, without a line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            hashes, docs, lines = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i, h, n in _lines(batch.column(1)):
+            h, ids, prints, _, anchor = _batch_marks(batch, min_words)
+            own, own_prints = _keys(batch)
+            hashes, rows, lines = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i, seq, n in _lines(batch.column(2)):
                 at = np.flatnonzero(n >= min_words)
-                hashes.append(h[at])
-                docs.append(np.full(len(at), ids[i]))
+                hashes.append(seq[at, 0])
+                rows.append(np.full(len(at), i))
                 lines.append(at)
-            h, d, at = np.concatenate(hashes).view(np.int64), np.concatenate(docs), np.concatenate(lines)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(d), pa.array(at.astype(np.int32))], ["h", "doc_id", "line"])
+            r, at = np.concatenate(rows), np.concatenate(lines)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([np.concatenate(hashes).view(np.int64), h[anchor]])), pa.array(np.concatenate([own[r], ids[anchor]])),
+                pa.array(np.concatenate([own_prints[r], prints[anchor]])), pa.array(np.concatenate([at, np.full(int(anchor.sum()), -1)]).astype(np.int32)),
+            ], ["h", "doc_id", "fp", "line"])
 
     return run
 
 
 def _sequences(min_words: int):
-    """(doc_id, seq, whole): ``whole`` is a digest of the sequence, null where no line nominates."""
+    """(doc_id, fp, seq, whole): ``whole`` is a digest of the sequence, null where no line nominates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seqs, whole = [], []
-            for _, h, n in _lines(batch.column(1)):
+            for _, h, n in _lines(batch.column(2)):
                 seqs.append(h.tobytes())
                 whole.append(blake2b(seqs[-1], digest_size=16).digest() if (n >= min_words).any() else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seqs, pa.binary()), pa.array(whole, pa.binary())], ["doc_id", "seq", "whole"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(seqs, pa.binary()), pa.array(whole, pa.binary())], ["doc_id", "fp", "seq", "whole"],
+            )
 
     return run
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, partner, partner_fp, anchor) of every mark of line sequences."""
     for batch in batches:
-        lines = [np.unique(np.frombuffer(x, np.int64)) for x in batch.column(1).to_pylist()]
-        docs = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in lines])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *lines])), pa.array(docs, pa.int64())], ["h", "partner"])
+        ids, prints = _keys(batch)
+        found = [(np.zeros(0, np.uint64), None, np.zeros(0, bool))]
+        for seq in batch.column(2).to_pylist():
+            h = np.frombuffer(seq, np.uint64)[::2]
+            found.append(_marks(h, np.ones(len(h)), 1))
+        rows = np.repeat(np.arange(len(ids)), [len(x[0]) for x in found[1:]])
+        h, anchor = np.concatenate([x[0] for x in found]).view(np.int64), np.concatenate([x[2] for x in found])
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[rows]), pa.array(prints[rows]), pa.array(anchor)], ["h", "partner", "partner_fp", "anchor"])
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         gone = []
-        for own, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            a, b = np.frombuffer(own, np.int64).tolist(), np.frombuffer(other, np.int64).tolist()
+        for own, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            a, b = np.frombuffer(own, "V16").tolist(), np.frombuffer(other, "V16").tolist()
             gone.append(sorted({i + k for i, _, n in patience_blocks(a, b) for k in range(n)}))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["doc_id", "gone"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))], ["doc_id", "fp", "gone"])
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,62 +234,81 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     """(doc_id, n_lines, n_removed, kept_text) of every row and its ``keep`` columns; lines are the non-blank ones.
 
     Judged on the input: a line of at least ``min_words`` words goes if the alignment with any earlier
-    document matches it, a shorter one if that with a nominated document does.
-    Blank lines stay and are not counted.  A null text stays null with no lines.  A document with a
-    null id stays as it is and counts for no other.  Rows that share an id are never aligned with
-    each other; a document with a larger id is aligned with the texts of them all, and lines that go
-    from one of them go by their position from all.  An empty table gives an empty result.
+    document matches it, a shorter one if that with a nominated document does.  Two lines are equal if
+    128 bits of two hashes of their bytes are.  Blank lines stay and are not counted.  A null text stays
+    null with no lines.  A document with a null id stays as it is and counts for no other.  Rows that
+    share an id are never aligned with each other, and each keeps or loses its own lines; a document with
+    a larger id is aligned with them all.  Ties cannot occur: only a smaller id deletes.  Texts and lists
+    of lines of any length are aligned whole.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"cast(`{text_col}` AS string) AS text", *[f"`{c}`" for c in keep])
-    given = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    rows = rows.withColumn("_fp", F.xxhash64("text"))
+    given = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("_fp").alias("fp"), "text")
     shared = scratch.write(
-        given.mapInArrow(_holders(min_words), "h long, lo long, hi long, n long").repartition(parts, "h")
-        .groupBy("h").agg(F.min("lo").alias("partner"), F.max("hi").alias("hi"), F.sum("n").alias("n")).where("partner < hi").select("h", "partner", "n"), "shared",
+        given.mapInArrow(_holders(min_words), "h long, lo long, lo_fp long, hi long, n long, lo_anchor long, n_anchor long").repartition(parts, "h").groupBy("h")
+        .agg(F.min(F.struct("lo", "lo_fp")).alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.min("lo_anchor").alias("lo_anchor"), F.sum("n_anchor").alias("n_anchor"))
+        .where("lo.lo < hi").selectExpr("h", "lo.lo AS partner", "lo.lo_fp AS partner_fp", "n", "lo_anchor", "n_anchor"), "shared",
     )
-    left = scratch.write(
-        given.mapInArrow(_places(min_words), "h long, doc_id long, line int").join(shared.hint("merge"), "h").where("partner < doc_id"), "meets",
+    meets = scratch.write(
+        given.mapInArrow(_places(min_words), "h long, doc_id long, fp long, line int").join(shared.hint("merge"), "h")
+        .where("CASE WHEN line < 0 THEN lo_anchor ELSE partner END < doc_id"), "meets",
     )
-    seqs = scratch.write(given.mapInArrow(_sequences(min_words), "doc_id long, seq binary, whole binary"), "sequences")
-    copies = seqs.where("whole IS NOT NULL").groupBy("whole").agg(F.min("doc_id").alias("partner"), F.max("doc_id").alias("hi")).where("partner < hi")
-    copied = scratch.write(seqs.select("doc_id", "whole").join(copies.hint("merge"), "whole").where("partner < doc_id").select("doc_id", "partner", "whole"), "copied")
+    left, anchors = meets.where("line >= 0"), meets.where("line < 0").select("h", "doc_id", "fp", "n_anchor")
+    seqs = scratch.write(given.mapInArrow(_sequences(min_words), "doc_id long, fp long, seq binary, whole binary"), "sequences")
+    copies = seqs.where("whole IS NOT NULL").groupBy("whole").agg(F.min(F.struct("doc_id", "fp")).alias("lo"), F.max("doc_id").alias("hi")).where("lo.doc_id < hi")
+    copies = copies.selectExpr("whole", "lo.doc_id AS partner", "lo.fp AS partner_fp")
+    copied = scratch.write(seqs.select("doc_id", "fp", "whole").join(copies.hint("merge"), "whole").where("partner < doc_id").select(*_PAIR, "whole"), "copied")
+    # rows of one id and text have one sequence
+    single = seqs.dropDuplicates(["doc_id", "fp"]).select("doc_id", "fp", "seq")
 
     def aligned(pairs: DataFrame, name: str) -> DataFrame:
-        """(doc_id, line) that the alignments of ``pairs`` delete."""
-        own = scratch.write(pairs, f"{name}_pairs").join(seqs.select("doc_id", "seq").hint("merge"), "doc_id")
-        both = own.join(seqs.select(F.col("doc_id").alias("partner"), F.col("seq").alias("other")).hint("merge"), "partner").select("doc_id", "seq", "other")
-        return scratch.write(both.mapInArrow(_align, "doc_id long, gone array<int>").select("doc_id", F.explode("gone").alias("line")).distinct(), name)
+        """(doc_id, fp, line) that the alignments of ``pairs`` delete."""
+        own = scratch.write(pairs, f"{name}_pairs").join(single.hint("merge"), ["doc_id", "fp"])
+        other = single.select(F.col("doc_id").alias("partner"), F.col("fp").alias("partner_fp"), F.col("seq").alias("other"))
+        both = own.join(other.hint("merge"), ["partner", "partner_fp"]).select("doc_id", "fp", "seq", "other")
+        return scratch.write(both.mapInArrow(_align, "doc_id long, fp long, gone array<int>").select("doc_id", "fp", F.explode("gone").alias("line")).distinct(), name)
 
-    cuts = [aligned(left.select("doc_id", "partner").union(copied.select("doc_id", "partner")).distinct(), "cuts")]
+    cuts = [aligned(left.select(*_PAIR).union(copied.select(*_PAIR)).distinct(), "cuts")]
     holders, least = None, 0
     for k, most in enumerate(ROUNDS, 1):
-        left = scratch.write(left.select("h", "doc_id", "line", "n").join(cuts[-1].hint("merge"), ["doc_id", "line"], "left_anti"), f"left{k}")
+        standing = left.select("h", "doc_id", "fp", "line", "n").join(cuts[-1].hint("merge"), ["doc_id", "fp", "line"], "left_anti")
+        if k == 1:  # a document without a shared anchor or edge aligns with nobody
+            costs = anchors.groupBy("doc_id", "fp").agg(F.sum("n_anchor").alias("cost"))
+            standing = standing.select("h", "doc_id", "fp", "line", "n").join(costs.hint("merge"), ["doc_id", "fp"])
+        else:
+            standing = standing.join(left.select("doc_id", "fp", "cost").distinct().hint("merge"), ["doc_id", "fp"])
+        left = scratch.write(standing, f"left{k}")
         if left.isEmpty():
             break
+        by_line = left.where("n <= cost").select("h", "doc_id", "fp").distinct().withColumn("anchored", F.lit(False))
+        by_anchor = anchors.select("h", "doc_id", "fp").join(left.where("n > cost").select("doc_id", "fp").distinct().hint("merge"), ["doc_id", "fp"], "left_semi")
+        open_ = scratch.write(by_line.unionByName(by_anchor.withColumn("anchored", F.lit(True))), f"open{k}")
         if holders is None:
-            # a line's holders in an order of their own, the same in every round; an alignment with a copy
+            # a mark's holders in an order of their own, the same in every round; an alignment with a copy
             # deletes what that with the copied earlier document deletes
-            first = seqs.join(copied.select("doc_id", "whole").distinct().hint("merge"), ["doc_id", "whole"], "left_anti").select("doc_id", "seq")
+            first = seqs.join(copied.select("doc_id", "whole").distinct().hint("merge"), ["doc_id", "whole"], "left_anti").select("doc_id", "fp", "seq")
+            wanted = open_.select("h").distinct().join(shared.select("h", "n").hint("merge"), "h")
             holders = scratch.write(
-                first.mapInArrow(_members, "h long, partner long").join(left.select("h", "n").distinct().hint("merge"), "h")
-                .selectExpr("h", "partner", "pmod(xxhash64(partner), n) AS place", f"cast(pmod(xxhash64(partner, 1), {SALTS}) AS int) AS salt"), "holders",
+                first.mapInArrow(_members, "h long, partner long, partner_fp long, anchor boolean").join(wanted.hint("merge"), "h")
+                .selectExpr("h", "partner", "partner_fp", "anchor", "pmod(xxhash64(partner), n) AS place", f"cast(pmod(xxhash64(partner, 1), {SALTS}) AS int) AS salt"), "holders",
             )
         some = holders.where(F.col("place") >= least)
         if most:
             some, least = some.where(F.col("place") < most), most
-        open_ = left.select("h", "doc_id").distinct().select("h", "doc_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        pairs = open_.join(some.hint("merge"), ["h", "salt"]).where("partner < doc_id").select("doc_id", "partner").distinct()
+        dealt = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        pairs = dealt.join(some.hint("merge"), ["h", "salt"]).where("partner < doc_id AND (anchor OR NOT anchored)").select(*_PAIR).distinct()
         cuts.append(aligned(pairs, f"cuts{k}"))
     gone = scratch.write(
-        reduce(DataFrame.union, cuts).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone")), "gone",
+        reduce(DataFrame.union, cuts).groupBy("doc_id", F.col("fp").alias("_fp")).agg(F.array_sort(F.collect_set("line")).alias("gone")), "gone",
     )
     scratch.keep("gone")
     schema = StructType().add("doc_id", "long").add("n_lines", "long").add("n_removed", "long").add("kept_text", "string")
     for c in keep:
         schema = schema.add(docs.schema[c])
-    return rows.join(gone.hint("merge"), "doc_id", "left").select("doc_id", "text", "gone", *keep).mapInArrow(_rewrite, schema)
+    return rows.join(gone.hint("merge"), ["doc_id", "_fp"], "left").select("doc_id", "text", "gone", *keep).mapInArrow(_rewrite, schema)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

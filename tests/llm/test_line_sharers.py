@@ -60,3 +60,41 @@ def test_every_sharer_of_short_lines(spark):
     r = random.Random(8)
     rows = [(i, "\n".join(r.choice("abcdefgh") for _ in range(r.randrange(1, 9)))) for i in range(120)]
     assert removed(spark, rows, min_words=1) == every_sharer(rows, 1)
+
+
+def counted_pairs(spark, monkeypatch, rows):
+    counts, write = [], lines.Scratch.write
+
+    def counting(self, df, name=None):
+        out = write(self, df, name)
+        if name and name.endswith("_pairs"):
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines.Scratch, "write", counting)
+    return removed(spark, rows, min_words=1), sum(counts)
+
+
+def test_separators_nominate_nobody(spark, monkeypatch):
+    rows = [(i, f"a{i}\n---\nb{i}\nc{i}\n---\nd{i}") for i in range(2000)]
+    got, pairs = counted_pairs(spark, monkeypatch, rows)
+    assert got == [(i, 6, 0) for i in range(2000)] and pairs < 40_000
+
+
+def test_separators_between_shared_lines(spark, monkeypatch):
+    """A repeated line between anchors goes, however many documents hold it."""
+    rows = [(i, f"head\n---\nb{i}\n---\n{'tail' if i % 2 else f't{i}'}\ne{i}") for i in range(60)]
+    got, _ = counted_pairs(spark, monkeypatch, rows)
+    assert got == every_sharer(rows, 1)
+
+
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    rows = [(1, "shared line here\nx"), (2, "shared line here\nown two a"), (2, "totally other text\nown two b"), (2, "shared line here\nown two a")]
+    got = sorted((r.doc_id, r.n_removed, r.kept_text) for r in lines.dedupe_lines(frame(spark, rows)).collect())
+    assert got == [(1, 0, rows[0][1]), (2, 0, rows[2][1]), (2, 1, "own two a"), (2, 1, "own two a")]
+
+
+def test_many_lines(spark):
+    long = "\n".join(f"line number {i % 4000}" for i in range(20_000))
+    rows = [(1, long), (2, long + "\nlast line here"), (3, "\n" * 50_000), (4, "w " * 100_000)]
+    assert removed(spark, rows) == [(1, 20_000, 0), (2, 20_001, 20_000), (3, 0, 0), (4, 1, 0)]
