@@ -122,13 +122,6 @@ def suffix_counts(df: DataFrame, column: str, pattern: str, filled: Column) -> D
     return df.groupBy(F.regexp_extract(column, pattern, 1).alias("provider")).agg(F.count("*").alias("rows"), F.count_if(filled).alias("non_empty"))
 
 
-def year_profile(df: DataFrame, year: Column, ident: str, step: str, label: str, listed: str) -> DataFrame:
-    """Per year: rows, distinct ids, first and last round, and the sorted values of ``label`` (few by nature)."""
-    return df.groupBy(year.alias("year")).agg(
-        F.count("*").alias("rows"), F.count_distinct(ident).alias("ids"), F.min(step).alias("min_round"), F.max(step).alias("max_round"),
-        F.array_join(F.array_sort(F.collect_set(label)), ",").alias(listed))
-
-
 def precision_counts(df: DataFrame, precision: str, subject: str) -> DataFrame:
     """Statements per precision with the first subject of each."""
     return df.groupBy(precision).agg(F.count("*").alias("n"), F.min(subject).alias("first_subject"))

@@ -124,10 +124,6 @@ def provider_counts(spark: SparkSession, sf: str) -> DataFrame:
     return audit.suffix_counts(table(spark, sf, "orders"), "o_orderpriority", r"^(\d+)-", F.col("o_orderstatus") != "P")
 
 
-def year_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.year_profile(table(spark, sf, "lineitem"), F.year("l_shipdate"), "l_partkey", "l_linenumber", "l_returnflag", "flags")
-
-
 def first_seen_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     return audit.first_seen(table(spark, sf, "events", "user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], ["event_id"])
 
@@ -240,7 +236,6 @@ QUERIES = {
     "coverage_gate": (coverage_gate, """WITH r AS (SELECT count(*) AS expected, count(*) FILTER (o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS ok FROM orders)
       SELECT expected, ok, ok / expected AS ratio, CASE WHEN ok / expected >= 0.9 AND expected >= 100 THEN 'PASS' ELSE 'FAIL' END AS status FROM r"""),
     "provider_counts": (provider_counts, "SELECT regexp_extract(o_orderpriority, '^(\\d+)-', 1) AS provider, count(*) AS rows, count(*) FILTER (o_orderstatus <> 'P') AS non_empty FROM orders GROUP BY 1"),
-    "year_profile": (year_profile, "SELECT year(l_shipdate)::INTEGER AS year, count(*) AS rows, count(DISTINCT l_partkey) AS ids, min(l_linenumber) AS min_round, max(l_linenumber) AS max_round, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags FROM lineitem GROUP BY 1"),
     "first_seen_dedupe": (first_seen_dedupe, "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY 1, 2"),
     "page_manifest": (page_manifest, """WITH e AS (SELECT event_type AS scope, strftime(ts, '%Y-%m-%d') AS page, row_number() OVER (PARTITION BY event_type, user_id ORDER BY strftime(ts, '%Y-%m-%d'), event_id) AS k FROM events),
       p AS (SELECT scope, page, count(*) AS rows, count(*) FILTER (k = 1) AS new_items FROM e GROUP BY ALL),

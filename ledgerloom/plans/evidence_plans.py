@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import evidence, ledger, master
-from ledgerloom.sources import files
+from ledgerloom.sources import files, publish, rounds
 from ledgerloom.sources.shared import work_folder
 from .common import STANDINGS, matches, table
 
@@ -121,35 +121,63 @@ def src_json_records(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_records(spark, path, "c_custkey long, c_name string")
 
 
-def src_csv_rounds(spark: SparkSession, sf: str) -> DataFrame:
+def _round_files(spark: SparkSession, sf: str) -> str:
+    """A CSV file for each year and line number; odd ones have their columns in another order and one more."""
     path = work_folder(spark, "rounds")
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", F.concat(F.year("l_shipdate"), F.lit("-"), "l_linenumber").alias("slot"))
-    li.repartition("slot").write.partitionBy("slot").option("header", True).csv(path)
-    return files.read_round_csv(spark, path).groupBy("year", "round").agg(F.count("*").alias("rows"), F.count_distinct("l_partkey").alias("ids"))
+    li = table(spark, sf, "lineitem").withColumn("slot", F.concat(F.year("l_shipdate"), F.lit("-"), "l_linenumber"))
+    for name, odd, columns in (("a", 0, ["l_orderkey", "l_partkey"]), ("b", 1, ["l_partkey", "l_suppkey", "l_orderkey"])):
+        rows = li.where(F.col("l_linenumber") % 2 == odd).select("slot", *columns)
+        rows.repartition("slot").write.partitionBy("slot").option("header", True).csv(f"{path}/{name}")
+    return f"{path}/*/*"
+
+
+_SLOT = r"slot=(\d{4})-(\d+)"
+
+
+def src_csv_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    return rounds.read_round_csv(spark, _round_files(spark, sf), _SLOT).groupBy("year", "round").agg(
+        F.count("*").alias("rows"), F.count_distinct("l_partkey").alias("ids"), F.sum(F.col("l_orderkey").cast("long")).alias("orders"),
+        F.sum(F.col("l_partkey").cast("long")).alias("parts"), F.count("l_suppkey").alias("with_supplier"))
+
+
+def year_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of the years of the files, and of a year for which there is none."""
+    path = _round_files(spark, sf)
+    years = table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year")).union(spark.range(1).selectExpr("1900 AS year"))
+    return rounds.year_profile(rounds.read_round_csv(spark, path, _SLOT), rounds.csv_inventory(spark, path, _SLOT), ["id", "l_partkey"], years)
 
 
 def src_json_legacy_charset(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of a hundred customers each, one indented JSON text a file, every second one in Latin-1."""
     path = work_folder(spark, "legacy")
-    n = table(spark, sf, "customer").selectExpr("concat('{\"k\":', c_custkey, ',\"n\":\"é', c_name, '\"}') AS value")
-    n.where("value LIKE '%1\"}'").write.option("encoding", "ISO-8859-1").option("sep", "\x01").option("quote", "").option("escape", "").csv(f"{path}/latin")
-    n.where("value NOT LIKE '%1\"}'").write.text(f"{path}/utf8")
-    return files.read_legacy_json(spark, f"{path}/*/part-*", "k int, n string")
+    lines = table(spark, sf, "customer").selectExpr(
+        "cast(c_custkey div 100 AS int) AS slot", "c_custkey", "concat('  {\n    \"k\": ', c_custkey, ',\n    \"n\": \"é', c_name, '\"\n  }') AS line")
+    docs = lines.groupBy("slot").agg(F.array_join(F.array_sort(F.collect_list("line")), ",\n").alias("body"))
+    text = F.concat(F.lit('{"atletas": [\n'), "body", F.lit("\n]}"))
+    latin = F.encode(text, "ISO-8859-1").cast("string")
+    docs.select("slot", F.when(F.col("slot") % 2 == 0, latin).otherwise(text).alias("value")).repartition("slot").write.partitionBy("slot").text(path)
+    found = rounds.read_legacy_json(spark, f"{path}/slot=*", "atletas array<struct<k:int,n:string>>", "slot=()(\\d+)")
+    return found.where("parsed").select("round", "utf8", F.explode("record.atletas").alias("a")).select("a.k", "a.n", "utf8", F.col("round").alias("slot"))
 
 
 def src_chunked_payload(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", files.packed("text").alias("p"))
-    back = files.assemble(files.chunk(d, "doc_id", "p", 500), "doc_id")
-    return back.select("doc_id", "intact", F.sha2("content", 256).alias("sha256"))
+    """Chunked texts and the manifest of their hashes; some have a damaged or a lost chunk, another hash or none."""
+    d = table(spark, sf, "documents").select("doc_id", files.packed("text").alias("p"), F.sha2("text", 256).alias("sha"), (F.col("doc_id") % 10).alias("_k"))
+    manifest = d.where("_k <> 6").select("doc_id", F.when(F.col("_k") == 5, F.sha2("sha", 256)).otherwise(F.col("sha")).alias("payload_sha256"))
+    chunks = files.chunk(d, "doc_id", "p", 500).withColumn("_k", F.col("doc_id") % 10).where("_k <> 4 OR idx > 0")
+    chunks = chunks.withColumn("chunk", F.when((F.col("_k") == 3) & (F.col("idx") == 0), F.reverse("chunk")).otherwise(F.col("chunk"))).drop("_k")
+    return files.assemble(chunks, "doc_id", manifest).select("doc_id", "state", F.sha2("content", 256).alias("sha256"))
 
 
 def src_archive_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Zip archives of a few hundred customers' names each, written to the shared folder and listed."""
+    """Zip archives of customers' names, sixteen a nation, written to the shared folder and listed; those of one nation are cut short."""
     path = work_folder(spark, "archives")
     members = table(spark, sf, "customer").select(
-        F.concat_ws("-", F.col("c_nationkey").cast("string"), F.pmod(F.xxhash64("c_custkey"), F.lit(16)).cast("string")).alias("archive"),
+        F.concat_ws("-", F.col("c_nationkey").cast("string"), (F.col("c_custkey") % 16).cast("string")).alias("archive"),
         F.concat(F.col("c_nationkey").cast("string"), F.lit("/"), "c_name", F.lit(".txt")).alias("member"), F.col("c_name").alias("body"))
-    files.zipped(members, "archive", "member", "body").write.parquet(path)
-    return files.archive_members(spark.read.parquet(path)).select(F.regexp_extract("member", r"^(\d+)/", 1).cast("int").alias("archive"), "member", "size", "sha256")
+    cut = F.when(F.startswith("path", F.lit("3-")), F.expr("substring(content, 1, cast(octet_length(content) / 2 AS int))")).otherwise(F.col("content"))
+    files.zipped(members, "archive", "member", "body").withColumn("content", cut).write.parquet(path)
+    return files.archive_members(spark.read.parquet(path))
 
 
 def sink_csv_fixed(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,11 +201,22 @@ def sink_jsonl(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sink_audit_and_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Three attempts: the standings, the same rows again (no new version) and rows that fail their audit."""
     path = work_folder(spark, "audited")
     s = ledger.standings(matches(spark, sf))
-    audit = s.agg(F.count("*").alias("rows"), F.when(F.sum("goals_for") == F.sum("goals_against"), "PASS").otherwise("FAIL").alias("status"))
-    files.write_with_audit(s, audit, path)
-    return spark.read.json(f"{path}/audit").select("rows", "status")
+
+    def audit(df: DataFrame) -> DataFrame:
+        return df.agg(F.count("*").alias("rows"), F.when(F.sum("goals_for") == F.sum("goals_against"), "PASS").otherwise("FAIL").alias("status"))
+
+    publish.publish(s, path, audit)
+    publish.publish(s.repartition(3), path, audit)
+    try:
+        publish.publish(s.withColumn("goals_for", F.col("goals_for") + 1), path, audit)
+    except publish.AuditFailed:
+        pass
+    counts = publish.read_published(spark, path).agg(F.count("*").alias("visible_rows"))
+    tried = publish.audits(spark, path).agg(F.count("*").alias("attempts"), F.count_if(F.col("status") == "FAIL").alias("failed"))
+    return publish.manifests(spark, path).select("version", "rows", "status").crossJoin(counts).crossJoin(tried)
 
 
 def _digest(trailing: bool):
@@ -239,14 +278,19 @@ QUERIES = {
     "provider_units": (provider_units, f"WITH {_UNITS} SELECT * FROM u"),
     "registry_counts": (registry_counts, f"WITH {_MASTER}, {_OVER}, {_UNITS} SELECT 'persons' AS scope, status, count(*) AS n FROM m GROUP BY ALL UNION ALL SELECT 'overrides', status, count(*) FROM o GROUP BY ALL UNION ALL SELECT 'units', status, count(*) FROM u GROUP BY ALL"),
     "src_json_records": (src_json_records, "SELECT c_custkey, c_name FROM customer"),
-    "src_csv_rounds": (src_csv_rounds, "SELECT year(l_shipdate)::INTEGER AS year, l_linenumber AS round, count(*) AS rows, count(DISTINCT l_partkey) AS ids FROM lineitem GROUP BY ALL"),
-    "src_json_legacy_charset": (src_json_legacy_charset, "SELECT c_custkey::INTEGER AS k, 'é' || c_name AS n, c_name NOT LIKE '%1' AS utf8 FROM customer"),
-    "src_chunked_payload": (src_chunked_payload, "SELECT doc_id, true AS intact, sha256(text) AS sha256 FROM documents"),
-    "src_archive_inventory": (src_archive_inventory, "SELECT c_nationkey AS archive, c_nationkey || '/' || c_name || '.txt' AS member, strlen(c_name) AS size, sha256(c_name) AS sha256 FROM customer"),
+    "src_csv_rounds": (src_csv_rounds, """SELECT year(l_shipdate)::INTEGER AS year, l_linenumber AS round, count(*) AS rows, count(DISTINCT l_partkey) AS ids, sum(l_orderkey)::BIGINT AS orders, sum(l_partkey)::BIGINT AS parts,
+      count(*) FILTER (l_linenumber % 2 = 1) AS with_supplier FROM lineitem GROUP BY ALL"""),
+    "year_profile": (year_profile, """SELECT year(l_shipdate)::INTEGER AS year, count(DISTINCT l_linenumber) AS files, count(*) AS rows, count(DISTINCT l_partkey) AS ids, min(l_linenumber) AS min_round, max(l_linenumber) AS max_round,
+      CASE WHEN bool_or(l_linenumber % 2 = 1) THEN 'l_orderkey,l_partkey,l_suppkey' ELSE 'l_orderkey,l_partkey' END AS columns, 'CSV_ROUND_SNAPSHOT' AS format FROM lineitem GROUP BY 1 UNION ALL SELECT 1900, 0, 0, 0, NULL, NULL, '', 'UNRECOGNIZED'"""),
+    "src_json_legacy_charset": (src_json_legacy_charset, "SELECT c_custkey::INTEGER AS k, 'é' || c_name AS n, (c_custkey // 100) % 2 = 1 AS utf8, (c_custkey // 100)::INTEGER AS slot FROM customer"),
+    "src_chunked_payload": (src_chunked_payload, """SELECT doc_id, CASE doc_id % 10 WHEN 3 THEN 'CHUNK_DAMAGED' WHEN 4 THEN 'CHUNK_MISSING' WHEN 5 THEN 'HASH_DIFFERS' WHEN 6 THEN 'UNLISTED' ELSE 'INTACT' END AS state,
+      CASE WHEN doc_id % 10 NOT BETWEEN 3 AND 6 THEN sha256(text) END AS sha256 FROM documents"""),
+    "src_archive_inventory": (src_archive_inventory, """SELECT c_nationkey || '-' || c_custkey % 16 AS archive, c_nationkey || '/' || c_name || '.txt' AS member, strlen(c_name) AS size, sha256(c_name) AS sha256, 'OK' AS state FROM customer WHERE c_nationkey <> 3
+      UNION ALL SELECT DISTINCT '3-' || c_custkey % 16, NULL, NULL, NULL, 'NO_ARCHIVE' FROM customer WHERE c_nationkey = 3"""),
     "sink_csv_fixed": (sink_csv_fixed, f"WITH {STANDINGS} SELECT season, competition, team, points, CASE WHEN wins % 2 = 0 THEN 'a \"b\", ' || team END AS note FROM standings"),
     "sink_csv_union": (sink_csv_union, "SELECT c_custkey AS id, c_name AS name, NULL::INTEGER AS nation FROM customer UNION ALL SELECT s_suppkey, NULL, s_nationkey FROM supplier"),
     "sink_jsonl": (sink_jsonl, "SELECT c_custkey, c_name, c_mktsegment FROM customer"),
-    "sink_audit_and_status": (sink_audit_and_status, f"WITH {STANDINGS} SELECT count(*) AS rows, 'PASS' AS status FROM standings"),
+    "sink_audit_and_status": (sink_audit_and_status, f"WITH {STANDINGS} SELECT 1 AS version, count(*) AS rows, 'PASS' AS status, count(*) AS visible_rows, 3 AS attempts, 1 AS failed FROM standings"),
     "file_manifest": (_digest(False), f"SELECT source, count(*) AS files, sha256(string_agg({_LINE}, chr(10) ORDER BY doc_id::VARCHAR)) AS digest FROM documents GROUP BY 1"),
     "file_manifest_trailing": (_digest(True), f"SELECT source, count(*) AS files, sha256(string_agg({_LINE}, chr(10) ORDER BY doc_id::VARCHAR) || chr(10)) AS digest FROM documents GROUP BY 1"),
     "freeze_compare": (freeze_compare, "SELECT doc_id, CASE WHEN doc_id % 10 IN (0, 1) THEN 'new' WHEN doc_id % 10 = 2 THEN 'changed' ELSE 'unchanged' END AS state FROM documents UNION ALL SELECT -doc_id, 'missing' FROM documents WHERE doc_id % 10 = 1"),

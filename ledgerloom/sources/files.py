@@ -8,6 +8,7 @@ import hashlib
 import io
 import lzma
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,32 +40,18 @@ def write_records(df: DataFrame, path: str, keys: list[str], fields: list[str],
     listed.select(F.lit(status).alias("status"), "records").write.json(path)
 
 
-def read_round_csv(spark: SparkSession, path: str, pattern: str = r"(\d{4})-(\d+)") -> DataFrame:
-    """CSV files whose path has year and round; a byte order mark on the first column goes."""
-    df = spark.read.option("header", True).csv(path)
-    df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
-    name = F.col("_metadata.file_path")
-    return df.select("*", F.regexp_extract(name, pattern, 1).cast("int").alias("year"), F.regexp_extract(name, pattern, 2).cast("int").alias("round"))
-
-
-def read_legacy_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON text files in UTF-8, or in Latin-1 where the bytes are no UTF-8."""
-    content = F.col("content")
-    utf8 = F.is_valid_utf8(content.cast("string"))
-    text = F.when(utf8, F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.explode(F.split(text, "\n")).alias("line"), utf8.alias("utf8")).where("line <> ''").select(F.from_json("line", schema).alias("r"), "utf8").select("r.*", "utf8")
-
-
 @pandas_udf(BinaryType())
 def decompress(x: pd.Series) -> pd.Series:
-    """gzip or xz by their first bytes; anything else as it is."""
+    """gzip or xz by their first bytes, null if damaged; anything else as it is."""
 
     def one(b):
         if b is None:
             return None
         b = bytes(b)
-        return gzip.decompress(b) if b[:2] == b"\x1f\x8b" else lzma.decompress(b) if b[:6] == b"\xfd7zXZ\x00" else b
+        try:
+            return gzip.decompress(b) if b[:2] == b"\x1f\x8b" else lzma.decompress(b) if b[:6] == b"\xfd7zXZ\x00" else b
+        except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError):
+            return None
 
     return x.map(one)
 
@@ -83,14 +70,30 @@ def chunk(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return rows.select(key, "idx", piece.alias("chunk")).select("*", F.length("chunk").alias("chunk_chars"), F.sha2("chunk", 256).alias("chunk_sha256"))
 
 
-def assemble(chunks: DataFrame, key: str) -> DataFrame:
-    """(key, content, chunks, intact): ordered chunks, each checked, joined, decoded and decompressed."""
+def assemble(chunks: DataFrame, key: str, manifest: DataFrame | None = None) -> DataFrame:
+    """(key, content, chunks, state): ordered chunks, each checked, joined, decoded, decompressed and checked as a whole.
+
+    ``manifest`` has (key, payload_sha256) of the decoded payloads; a payload is there for each of its keys.
+    States: ``INTACT``; ``CHUNK_DAMAGED`` (a chunk has other text or another length than it says);
+    ``CHUNK_MISSING`` (the numbers from 0 on have a gap or one twice, or a payload has no chunk);
+    ``NOT_DECODED`` (no base64, or no readable archive); ``HASH_DIFFERS`` (the payload is another one);
+    ``UNLISTED`` (the manifest lacks the key).  Only intact content is given.
+    """
     good = (F.length("chunk") == F.col("chunk_chars")) & (F.sha2("chunk", 256) == F.col("chunk_sha256"))
     listed = F.array_sort(F.collect_list(F.struct("idx", "chunk")))
-    agg = chunks.groupBy(key).agg(listed.alias("c"), F.bool_and(good).alias("ok"), (F.max("idx") + 1).alias("chunks"))
+    agg = chunks.groupBy(key).agg(listed.alias("c"), F.bool_and(F.coalesce(good, F.lit(False))).alias("ok"), F.count("*").alias("chunks"))
+    in_order = F.transform("c", lambda x: x["idx"].cast("int")) == F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)
     whole = F.array_join(F.transform("c", lambda x: x["chunk"]), "")
-    intact = F.col("ok") & (F.size("c") == F.col("chunks"))
-    return agg.select(key, decompress(F.unbase64(F.when(intact, whole))).alias("content"), "chunks", intact.alias("intact"))
+    agg = agg.select(key, "chunks", "ok", in_order.alias("ordered"), decompress(F.try_to_binary(F.when(F.col("ok") & in_order, whole), F.lit("base64"))).alias("content"))
+    if manifest is not None:
+        agg = agg.join(manifest.select(key, F.col("payload_sha256").alias("_sha"), F.lit(True).alias("_listed")), key, "full_outer")
+    known = F.lit(True) if manifest is None else F.col("_listed").isNotNull()
+    same = F.lit(True) if manifest is None else F.coalesce(F.sha2("content", 256) == F.lower("_sha"), F.lit(False))
+    state = (
+        F.when(F.col("chunks").isNull(), "CHUNK_MISSING").when(~F.col("ok"), "CHUNK_DAMAGED").when(~F.col("ordered"), "CHUNK_MISSING")
+        .when(F.col("content").isNull(), "NOT_DECODED").when(~known, "UNLISTED").when(~same, "HASH_DIFFERS").otherwise("INTACT")
+    )
+    return agg.withColumn("state", state).select(key, F.when(F.col("state") == "INTACT", F.col("content")).alias("content"), F.coalesce("chunks", F.lit(0)).alias("chunks"), "state")
 
 
 def pages(files: DataFrame) -> DataFrame:
@@ -134,16 +137,46 @@ def zipped(members: DataFrame, archive: str, member: str, body: str) -> DataFram
 
 
 def archive_members(files: DataFrame) -> DataFrame:
-    """(archive, member, size, sha256) of every member of (path, content) zip files."""
+    """(archive, member, size, sha256, state) of every member of (path, content) zip files.
+
+    Members come in name order and are hashed piece by piece, never held whole.  An archive that cannot be
+    opened is one row of state ``NO_ARCHIVE`` without a member; a member that cannot be read or fails its
+    checksum has state ``DAMAGED`` and no hash; all others are ``OK``.  Folders are left out.
+    """
+
+    def digest(z: zipfile.ZipFile, info: zipfile.ZipInfo) -> str:
+        h = hashlib.sha256()
+        with z.open(info) as f:
+            while piece := f.read(1 << 20):
+                h.update(piece)
+        return h.hexdigest()
 
     def members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
+            rows = []
             for name, content in zip(f["path"], f["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    rows = [(name, m, len(body), hashlib.sha256(body).hexdigest()) for m in sorted(z.namelist()) for body in [z.read(m)]]
-                yield pd.DataFrame(rows, columns=["archive", "member", "size", "sha256"])
-
-    return files.select("path", "content").mapInPandas(members, "archive string, member string, size long, sha256 string")
+                try:
+                    z = zipfile.ZipFile(io.BytesIO(content or b""))
+                except (zipfile.BadZipFile, ValueError, OSError):
+                    rows.append((name, None, None, None, "NO_ARCHIVE"))
+                    continue
+                with z:
+                    for info in sorted((i for i in z.infolist() if not i.is_dir()), key=lambda i: i.filename):
+                        try:
+                            rows.append((name, info.filename, info.file_size, digest(z, info), "OK"))
+                        except (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError):
+                            rows.append((name, info.filename, info.file_size, None, "DAMAGED"))
+            yield pd.DataFrame(rows, columns=["archive", "member", "size", "sha256", "state"]).astype({"size": "Int64"})
+
+    return files.select("path", "content").mapInPandas(members, "archive string, member string, size long, sha256 string, state string")
+
+
+def inventory_digest(members: DataFrame) -> DataFrame:
+    """(archive, members, bytes, digest): the digest is that of an archive's lines ``member<TAB>size<TAB>sha256``; null unless all members are OK."""
+    good = F.col("state") == "OK"
+    line = F.concat_ws("\t", "member", F.col("size").cast("string"), "sha256")
+    found = members.groupBy("archive").agg(F.count("member").alias("members"), F.sum("size").alias("bytes"), F.bool_and(good).alias("ok"), F.array_sort(F.collect_list(line)).alias("lines"))
+    return found.select("archive", "members", "bytes", F.when(F.col("ok"), F.sha2(F.array_join("lines", "\n"), 256)).alias("digest"))
 
 
 def archive_inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -199,13 +232,3 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> Non
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(path)
-
-
-def write_with_audit(df: DataFrame, audit: DataFrame, path: str) -> str:
-    """Dataset and one-row audit side by side; a status other than PASS fails the job after writing."""
-    df.write.parquet(f"{path}/data")
-    audit.write.json(f"{path}/audit")
-    status = df.sparkSession.read.json(f"{path}/audit").first()["status"]
-    if status != "PASS":
-        raise ValueError(f"audit status {status}")
-    return status

@@ -190,18 +190,3 @@ def test_walk_and_lists(spark):
     df = spark.createDataFrame([('{"a":[{"b":1}],"c":null}',), ("oops",), (None,)], "j string")
     assert [[n.path for n in r[0]] for r in df.select(N.json_walk("j")).collect()] == [["a", "a[0]", "a[0].b", "c"], [], []]
     assert [r[0] for r in df.select(N.deep_list(["x"])("j")).collect()] == ["a", None, None]
-
-
-def test_damaged_chunk_is_told(spark):
-    d = spark.createDataFrame([(1, "hello world " * 50)], "k int, t string").select("k", files.packed("t").alias("p"))
-    chunks = files.chunk(d, "k", "p", 10)
-    assert files.assemble(chunks, "k").first().intact
-    broken = chunks.withColumn("chunk", F.when(F.col("idx") == 1, "xxxxxxxxxx").otherwise(F.col("chunk")))
-    assert not files.assemble(broken, "k").first().intact
-    assert not files.assemble(chunks.where("idx <> 1"), "k").first().intact
-
-
-def test_failed_audit_fails_the_job(spark):
-    df = spark.range(3)
-    with pytest.raises(ValueError, match="FAIL"):
-        files.write_with_audit(df, df.selectExpr("count(*) AS rows", "'FAIL' AS status").limit(1), shared.work_folder(spark, "t"))
