@@ -149,23 +149,31 @@ def _holders(min_words: int):
 
 
 def _places(min_words: int):
-    """(h, doc_id, fp, line) of every line that nominates, and of every anchor, without a line."""
+    """(h, doc_id, fp, line, anchor) of every line that nominates, and of every other anchor as line -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, ids, prints, _, anchor = _batch_marks(batch, min_words)
-            own, own_prints = _keys(batch)
-            hashes, rows, lines = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i, seq, n in _lines(batch.column(2)):
-                at = np.flatnonzero(n >= min_words)
-                hashes.append(seq[at, 0])
-                rows.append(np.full(len(at), i))
-                lines.append(at)
-            r, at = np.concatenate(rows), np.concatenate(lines)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([np.concatenate(hashes).view(np.int64), h[anchor]])), pa.array(np.concatenate([own[r], ids[anchor]])),
-                pa.array(np.concatenate([own_prints[r], prints[anchor]])), pa.array(np.concatenate([at, np.full(int(anchor.sum()), -1)]).astype(np.int32)),
-            ], ["h", "doc_id", "fp", "line"])
+            ids, prints = _keys(batch)
+            found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))]
+            for _, h, n in _lines(batch.column(2)):
+                own = h[:, 0]
+                if len(own) == 0:
+                    found.append(found[0])
+                    continue
+                order = np.argsort(own, kind="stable")
+                new = own[order][1:] != own[order][:-1]
+                once = np.empty(len(own), bool)
+                once[order] = np.append(True, new) & np.append(new, True)
+                line = np.where(n >= min_words, np.arange(len(own)), -1)
+                keep = once | (line >= 0)
+                with np.errstate(over="ignore"):
+                    edges = W.mix64(own[[0, -1]] + _EDGES)
+                found.append((np.concatenate([own[keep], edges]), np.append(line[keep], [-1, -1]), np.append(once[keep], [True, True])))
+            r = np.repeat(np.arange(len(ids)), [len(x[0]) for x in found[1:]])
+            h, line, once = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h.view(np.int64)), pa.array(ids[r]), pa.array(prints[r]), pa.array(line.astype(np.int32)), pa.array(once)], ["h", "doc_id", "fp", "line", "anchor"],
+            )
 
     return run
 
@@ -253,16 +261,17 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
         .where("lo.lo < hi").selectExpr("h", "lo.lo AS partner", "lo.lo_fp AS partner_fp", "n", "lo_anchor", "n_anchor"), "shared",
     )
     meets = scratch.write(
-        given.mapInArrow(_places(min_words), "h long, doc_id long, fp long, line int").join(shared.hint("merge"), "h")
-        .where("CASE WHEN line < 0 THEN lo_anchor ELSE partner END < doc_id"), "meets",
+        given.mapInArrow(_places(min_words), "h long, doc_id long, fp long, line int, anchor boolean").join(shared.hint("merge"), "h")
+        .where("partner < doc_id AND (line >= 0 OR lo_anchor < doc_id)"), "meets",
     )
-    left, anchors = meets.where("line >= 0"), meets.where("line < 0").select("h", "doc_id", "fp", "n_anchor")
+    left, anchors = meets.where("line >= 0"), meets.where("anchor AND lo_anchor < doc_id").select("h", "doc_id", "fp", "n_anchor")
     seqs = scratch.write(given.mapInArrow(_sequences(min_words), "doc_id long, fp long, seq binary, whole binary"), "sequences")
     copies = seqs.where("whole IS NOT NULL").groupBy("whole").agg(F.min(F.struct("doc_id", "fp")).alias("lo"), F.max("doc_id").alias("hi")).where("lo.doc_id < hi")
     copies = copies.selectExpr("whole", "lo.doc_id AS partner", "lo.fp AS partner_fp")
     copied = scratch.write(seqs.select("doc_id", "fp", "whole").join(copies.hint("merge"), "whole").where("partner < doc_id").select(*_PAIR, "whole"), "copied")
-    # rows of one id and text have one sequence
-    single = seqs.dropDuplicates(["doc_id", "fp"]).select("doc_id", "fp", "seq")
+    single = seqs.select("doc_id", "fp", "seq")
+    if not seqs.groupBy("doc_id", "fp").count().where("count > 1").isEmpty():  # rows of one id and text have one sequence
+        single = scratch.write(single.dropDuplicates(["doc_id", "fp"]), "single")
 
     def aligned(pairs: DataFrame, name: str) -> DataFrame:
         """(doc_id, fp, line) that the alignments of ``pairs`` delete."""
