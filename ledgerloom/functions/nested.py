@@ -1,4 +1,4 @@
-"""Deep JSON and HTML helpers: small Arrow-batched walkers whose long output Spark filters and groups.
+"""Deep JSON helpers: small Arrow-batched walkers whose long output Spark filters and groups.
 
 Depth and keys are unknown, so a walk gives long rows (path, key, kind, value), never wide columns.
 """
@@ -6,8 +6,6 @@ Depth and keys are unknown, so a walk gives long rows (path, key, kind, value),
 from __future__ import annotations
 
 import json
-import re
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -110,111 +108,6 @@ def deep_list(preferred: list[str]):
     return locate
 
 
-class _Cells(HTMLParser):
-    """Table rows as lists of cell texts, forms as lists of fields, birth markup."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list[str]] = []
-        self.heads: list[str] = []
-        self.forms: list[dict] = []
-        self.days: list[str] = []
-        self.cell: list[str] | None = None
-        self.head = False
-        self.day: list[str] | None = None
-
-    def handle_starttag(self, tag, attrs):
-        at = dict(attrs)
-        if tag == "tr":
-            self.rows.append([])
-        elif tag in ("td", "th"):
-            self.cell, self.head = [], tag == "th"
-        elif tag == "br" and self.cell is not None:
-            self.cell.append(" ")
-        elif tag == "form":
-            self.forms.append({"method": (at.get("method") or "get").lower(), "action": at.get("action") or "", "name": None, "type": None, "value": None})
-        elif tag in ("input", "select", "textarea") and self.forms:
-            base = self.forms[-1]
-            self.forms.append({**base, "name": at.get("name"), "type": at.get("type") or tag, "value": at.get("value")})
-        elif tag == "option" and "selected" in at and self.forms:
-            self.forms[-1]["value"] = at.get("value")
-        if "bday" in (at.get("class") or "").split() or (tag == "time" and "birth" in (at.get("itemprop") or "").lower()):
-            if at.get("datetime"):
-                self.days.append(at["datetime"])
-            else:
-                self.day = []
-
-    def handle_data(self, data):
-        if self.cell is not None:
-            self.cell.append(data)
-        if self.day is not None:
-            self.day.append(data)
-
-    def handle_endtag(self, tag):
-        if tag in ("td", "th") and self.cell is not None:
-            text = re.sub(r"\s+", " ", "".join(self.cell)).strip()
-            if self.rows:
-                self.rows[-1].append(text)
-            if self.head:
-                self.heads.append(text)
-            self.cell = None
-        if self.day is not None and tag in ("span", "time", "td", "div"):
-            self.days.append("".join(self.day).strip())
-            self.day = None
-
-
-def _parse(text) -> _Cells:
-    p = _Cells()
-    p.feed(text or "")
-    p.close()
-    return p
-
-
-_FORM = ("method", "action", "name", "type", "value")
-
-
-@pandas_udf(StructType([StructField("rows", ArrayType(ArrayType(_TEXT))), StructField("headers", ArrayType(_TEXT)),
-                        StructField("forms", _struct(*_FORM)), StructField("birth_days", ArrayType(_TEXT))]))
-def html_parts(x: pd.Series) -> pd.DataFrame:
-    """One parse of a page: cell texts of its table rows, header cells, forms and birth markup.
-
-    ``rows`` leaves out rows without cells.  ``forms`` has every form once and every field with its form's
-    method and action.  ``birth_days`` has the datetime attribute, else the body, of birth markup.
-    """
-    found = [_parse(t) for t in x]
-    return pd.DataFrame({"rows": [[r for r in p.rows if r] for p in found], "headers": [p.heads for p in found],
-                         "forms": [p.forms for p in found], "birth_days": [p.days for p in found]})
-
-
-def anchors(html: Column) -> Column:
-    """(href, label) of every anchor."""
-    pattern = F.lit(r"(?is)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>")
-    pair = F.arrays_zip(F.regexp_extract_all(html, pattern, F.lit(1)).alias("href"), F.regexp_extract_all(html, pattern, F.lit(2)).alias("label"))
-    return F.transform(pair, lambda x: F.struct(x["href"].alias("href"), F.trim(F.regexp_replace(x["label"], "<[^>]*>", "")).alias("label")))
-
-
-def absolute(base: Column, href: Column) -> Column:
-    """href against the page url for absolute, rooted and same-folder links."""
-    root = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
-    folder = F.regexp_extract(base, r"^(https?://[^/?#]+(?:/[^?#]*/)?)", 1)
-    return F.when(href.rlike("^https?://"), href).when(F.startswith(href, F.lit("//")), F.concat(F.regexp_extract(base, "^(https?:)", 1), href)).when(
-        F.startswith(href, F.lit("/")), F.concat(root, href)).otherwise(F.concat(F.regexp_replace(folder, "/?$", "/"), href))
-
-
-def page_identity(html: Column) -> tuple[Column, Column]:
-    """(canonical link in either attribute order, first h1 text)."""
-    one = F.regexp_extract(html, r"(?i)<link[^>]*rel=\"canonical\"[^>]*href=\"([^\"]*)\"", 1)
-    two = F.regexp_extract(html, r"(?i)<link[^>]*href=\"([^\"]*)\"[^>]*rel=\"canonical\"", 1)
-    head = F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]*>", ""))
-    return F.coalesce(F.nullif(one, F.lit("")), F.nullif(two, F.lit(""))), F.nullif(head, F.lit(""))
-
-
-def embedded_json(html: Column, script_id: str) -> Column:
-    """The JSON text of a script element, null where it is missing or no JSON."""
-    body = F.nullif(F.regexp_extract(html, rf"(?s)<script[^>]*id=\"{script_id}\"[^>]*>(.*?)</script>", 1), F.lit(""))
-    return F.when(F.try_parse_json(body).isNotNull(), body)
-
-
 def field_inventory(df: DataFrame, text: str, group: list[str]) -> DataFrame:
     """(group, fields): the sorted union of top-level keys."""
     keys = df.select(*group, F.explode(F.json_object_keys(text)).alias("_k")).distinct()
@@ -266,9 +159,3 @@ def result_payloads(df: DataFrame, parents: list[str], results: str) -> DataFram
 def common_paths(nodes: DataFrame, record: str, total: DataFrame) -> DataFrame:
     """(path): paths that every record has a node at; ``total`` is one row with the number of records."""
     return nodes.groupBy("path").agg(F.count_distinct(record).alias("n")).crossJoin(total).where("n = total").select("path")
-
-
-def route_candidates(html: Column, allow: str, block: str, longest: int) -> Column:
-    """Literal links that match ``allow`` but not ``block``, hold no template placeholder and are not too long."""
-    links = F.regexp_extract_all(html, F.lit(r"href=\"([^\"]+)\""), F.lit(1))
-    return F.filter(links, lambda h: h.rlike(allow) & ~h.rlike(block) & ~h.rlike(r"\$\{|\{\{") & (F.length(h) <= longest))

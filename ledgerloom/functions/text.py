@@ -167,25 +167,6 @@ def utc_day(seconds: Column) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
 
 
-def keyword_hits(df: DataFrame, key: str, text: str, needles: list[str]) -> DataFrame:
-    """(key, needle, hits) of literal needles, zeros kept."""
-    hits = F.array(*[F.struct(F.lit(n).alias("needle"), F.regexp_count(text, F.lit(r"\Q" + n + r"\E")).alias("hits")) for n in needles])
-    return df.select(key, F.explode(hits).alias("x")).select(key, "x.needle", "x.hits")
-
-
-def keyword_context(df: DataFrame, key: str, text: str, term: str, width: int) -> DataFrame:
-    """(key, offset, context): every occurrence of a term, its character offset and the text around it."""
-    pieces = F.split(text, "\\Q" + term + "\\E")
-    # an occurrence follows every piece but the last
-    ends = F.aggregate(
-        F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("next")),
-        lambda s, x: F.struct(F.array_append(s["at"], s["next"] + F.length(x)).alias("at"), (s["next"] + F.length(x) + len(term)).alias("next")),
-        lambda s: s["at"])
-    hits = df.where(F.contains(text, F.lit(term))).select(key, F.col(text).alias("_t"), F.explode(ends).alias("offset"))
-    start = F.greatest(F.col("offset") - width, F.lit(0))
-    return hits.select(key, F.col("offset").cast("long").alias("offset"), F.substring("_t", start + 1, F.col("offset") - start + len(term) + width).alias("context"))
-
-
 def domain_counts(df: DataFrame, texts: list[Column], top: int = 30) -> DataFrame:
     """(host, n): hosts of the distinct urls in any of the texts, the ``top`` most frequent ones."""
     found = F.concat(*[F.regexp_extract_all(t, F.lit(r"https?://[^\s\"'<>)]+"), F.lit(0)) for t in texts])

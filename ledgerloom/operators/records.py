@@ -102,11 +102,6 @@ def record_checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return df.select("*", *[c.alias(k) for k, c in zip(checks, held)], F.when(ok, "VERIFIED").otherwise("REVIEW").alias("status"))
 
 
-def contains_any(df: DataFrame, column: str, targets: list[str]) -> DataFrame:
-    """Rows whose lower-cased value contains one of the lower-cased targets."""
-    return df.where(F.exists(F.array(*[F.lit(t.lower()) for t in targets]), lambda t: F.contains(F.lower(column), t)))
-
-
 def expected_path(value: Column, segments: list[Column]) -> Column:
     """Whether the path of a url holds every segment exactly."""
     path = F.split(F.regexp_replace(F.regexp_replace(value, r"^https?://[^/]+", ""), r"[?#].*$", ""), "/")

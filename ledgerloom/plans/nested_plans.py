@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import dom as D
 from ledgerloom.functions import nested as N
+from ledgerloom.functions import scan as S
 from ledgerloom.functions import text as T
 from ledgerloom.operators import providers, records
 from ledgerloom.sources import files
@@ -95,56 +97,68 @@ def nested_results_explode(spark: SparkSession, sf: str) -> DataFrame:
     return N.result_payloads(o, ["o_orderkey"], "results")
 
 
-# Pages have neither tables nor forms nor birth markup of their own, so each gets one at its end.
-_TABLE = "concat(html, '<table><tr><th>Page</th><th>N</th></tr><tr><td><b>p', page_id, '</b></td><td>', length(html), '<br>x &amp; y</td></tr></table>')"
-_FORM = "concat(html, '<form method=\"POST\" action=\"/a', page_id, '\"><input name=\"q\" value=\"', length(url), '\"><select name=\"s\"><option value=\"1\"><option selected value=\"2\"></select></form>')"
+# Inline scripts with literals of all three kinds, a template with a placeholder, comments and a division.
+_SCRIPT = r"""concat(html, '<script>// "/comment/season"', '\n', 'let a = "/season/', page_id % 5, '", b = \'/api/round/', page_id % 3, '?x=1\', c = `/season/$', '{a}/x`;', '\n',
+  '/* \'/season/hidden\' */ var d = `/the Season\\\'s`, e = "/season/" + a, f = 4 / 2, g = "/user/login/season", h = "/season/', repeat('y', 60), '", i = "season", k = "/season/{id}";</script>')"""
+
+
+def _scripted(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "pages").selectExpr("page_id", f"{_SCRIPT} AS html")
+
+
+# Pages have neither tables nor forms nor birth markup of their own, so each gets one at its end, with end tags left out.
+_TABLE = "concat(html, '<table><tr><th>Page<th>N<tr><td rowspan=2><b>p', page_id, '</b><td>', length(html), '<br>x &amp; y<table><tr><td>in', page_id % 3, '</table></td><tr><td>low</table>')"
+_FORM = """concat(html, '<form method="POST" action="/a', page_id, '"><input name="q" value="', length(url), '"><select name=s><option value="1">one<option selected value="2">two</select>',
+  '<textarea name=t>\n x<b></textarea></form><input name=out>')"""
 _BORN = "concat(html, '<p>', if(page_id % 2 = 0, concat('<span class=\"x bday\">19', 60 + page_id % 40, '-05-0', page_id % 9 + 1, '</span>'), '<time itemprop=\"birthDate\" datetime=\"1980-02-03\">3 Feb</time>'), '</p>')"
+_PROFILES = """concat(html, '<table><tr><td><a href=../profile/', page_id % 7 + 1, '-name', page_id % 5, '>P <i>', page_id, '</i></a><td>team ', page_id % 3,
+  '<tr><td><a href="/profile/', page_id % 7 + 1, '-again">second</a></table>')"""
+_ASSETS = """concat(if(page_id % 4 = 0, '<base href="/static/v1/">', ''), html, '<script src="../d.js"></script><script src=?q=', page_id, '></script><img src=./a/../b.png><a href=#f>x</a>')"""
 
 
-def _parts(spark: SparkSession, sf: str, html: str) -> DataFrame:
-    return table(spark, sf, "pages").selectExpr("page_id", f"{html} AS html").select("page_id", N.html_parts("html").alias("p"))
+def _parts(spark: SparkSession, sf: str, html: str, part: str) -> DataFrame:
+    return table(spark, sf, "pages").selectExpr("page_id", f"{html} AS html").select("page_id", D.page_parts(part)("html")[part].alias("p"))
 
 
 def html_table_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _parts(spark, sf, _TABLE).select("page_id", F.posexplode("p.rows").alias("row_index", "cells")).select("page_id", "row_index", F.array_join("cells", "|").alias("cells"))
+    rows = _parts(spark, sf, _TABLE, "rows").select("page_id", F.explode("p").alias("r"))
+    return rows.select("page_id", "r.table", "r.depth", F.col("r.row").alias("row_index"), F.array_join("r.cells.text", "|").alias("cells"),
+                       F.array_join(F.transform("r.cells.column", lambda c: c.cast("string")), "|").alias("columns"))
 
 
 def table_headers(spark: SparkSession, sf: str) -> DataFrame:
-    return _parts(spark, sf, _TABLE).select("page_id", F.array_join("p.headers", "|").alias("headers"))
+    return _parts(spark, sf, _TABLE, "headers").select("page_id", F.array_join("p", "|").alias("headers"))
 
 
 def form_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return _parts(spark, sf, _FORM).select("page_id", F.explode("p.forms").alias("f")).select("page_id", "f.*")
+    return _parts(spark, sf, _FORM, "forms").select("page_id", F.explode("p").alias("f")).select("page_id", "f.*")
 
 
 def bday_markup_extract(spark: SparkSession, sf: str) -> DataFrame:
-    days = _parts(spark, sf, _BORN).select("page_id", F.explode("p.birth_days").alias("d"))
+    days = _parts(spark, sf, _BORN, "birth_days").select("page_id", F.explode("p").alias("d"))
     return days.select("page_id", F.coalesce(T.iso_day(F.col("d")), T.human_date(F.col("d"))).alias("day"))
 
 
 def link_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """The first anchor per page and slug, with its absolute url."""
-    a = table(spark, sf, "pages").select("page_id", "url", F.posexplode(N.anchors(F.col("html"))).alias("pos", "a"))
-    a = a.select("page_id", "pos", F.regexp_extract("a.href", r"^/(\w+)$", 1).alias("slug"), N.absolute(F.col("url"), F.col("a.href")).alias("link"), F.col("a.label").alias("label"))
-    return a.where("slug <> ''").groupBy("page_id", "slug").agg(F.min_by(F.struct("link", "label"), "pos").alias("x")).select("page_id", "slug", "x.*")
+    """Profile links in a table with unquoted references, the first of each id, and the cells of their rows."""
+    pages = table(spark, sf, "pages").selectExpr("page_id", "url", f"{_PROFILES} AS html")
+    found = D.profile_links(pages, "page_id", "url", "html", r"/profile/(\d+)-([^/?#]+)")
+    return found.withColumn("cells", F.array_join("cells", "|"))
 
 
 def asset_links(spark: SparkSession, sf: str) -> DataFrame:
-    href = F.regexp_extract_all("html", F.lit(r"(?:href|src)=\"([^\"]+)\""), F.lit(1))
-    return table(spark, sf, "pages").select("page_id", "url", F.explode(F.array_distinct(href)).alias("h")).groupBy("page_id").agg(
-        F.count("*").alias("links"), F.min(N.absolute(F.col("url"), F.col("h"))).alias("first"))
+    pages = table(spark, sf, "pages").selectExpr("page_id", "url", f"{_ASSETS} AS html")
+    return D.assets(pages, "page_id", "url", "html")
 
 
 def route_candidate_filter(spark: SparkSession, sf: str) -> DataFrame:
-    routes = N.route_candidates(F.col("html"), "(?i)th|on", r"(?i)ing|[,.]", 12)
-    return table(spark, sf, "pages").select(F.explode(routes).alias("href")).groupBy("href").agg(F.count("*").alias("n"))
+    return S.route_candidates(_scripted(spark, sf), "html", r"(?i)season|round", r"(?i)login|admin", 40).groupBy("route").agg(F.count("*").alias("n"))
 
 
 def page_identity(spark: SparkSession, sf: str) -> DataFrame:
     html = F.concat(F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<link rel="canonical" href="'), "url", F.lit('">'))).when(
-        F.col("page_id") % 3 == 1, F.concat(F.lit('<link href="'), "url", F.lit('" rel="canonical">'))).otherwise(""), "html")
-    link, head = N.page_identity(html)
-    return table(spark, sf, "pages").select("page_id", link.alias("canonical"), head.alias("h1"))
+        F.col("page_id") % 3 == 1, F.concat(F.lit("<link href='"), "url", F.lit("' rel=canonical>"))).otherwise(""), "html")
+    return table(spark, sf, "pages").select("page_id", D.page_parts("canonical", "h1")(html).alias("p")).select("page_id", "p.*")
 
 
 def key_binding_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,9 +168,11 @@ def key_binding_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def embedded_json(spark: SparkSession, sf: str) -> DataFrame:
-    html = F.concat("html", F.lit('<script id="__NEXT_DATA__" type="application/json">'), F.when(F.col("page_id") % 4 == 0, "{oops").otherwise(
+    html = F.concat("html", F.lit("<script type='application/json' id=__NEXT_DATA__>"), F.when(F.col("page_id") % 4 == 0, "{oops").otherwise(
         F.concat(F.lit('{"props":{"id":'), "page_id", F.lit("}}"))), F.lit("</script>"))
-    return table(spark, sf, "pages").select("page_id", F.get_json_object(N.embedded_json(html, "__NEXT_DATA__"), "$.props.id").cast("long").alias("id"))
+    rows = table(spark, sf, "pages").select("page_id", D.page_parts("scripts")(html)["scripts"].alias("s"))
+    rows = rows.select("page_id", D.embedded_json(F.col("s"), "__NEXT_DATA__").alias("j"))
+    return rows.select("page_id", F.get_json_object("j", "$.props.id").cast("long").alias("id"))
 
 
 def country_code_map(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,6 +193,10 @@ _TREE = f"""WITH {_D}, t AS (SELECT c_custkey, c_mktsegment, substr(x.fullkey, 3
   CASE WHEN x.type NOT IN ('OBJECT', 'ARRAY') THEN x.value ->> '$' END AS value FROM d, json_tree(d.j) x WHERE x.fullkey <> '$')"""
 _PATH = "replace(path, '\"', '')"
 
+# Page urls without fragment, query or file, and the folder above.
+_BASE_SQL = r"""b AS (SELECT *, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root, regexp_replace(url, '#.*$', '') AS bare, regexp_replace(url, '[?#].*$', '') AS flat FROM pages),
+      p AS (SELECT *, regexp_extract(flat, '^(https?://[^/]+/(?:.*/)?)', 1) AS folder FROM b), u AS (SELECT *, CASE WHEN folder = root || '/' THEN folder ELSE regexp_replace(folder, '[^/]*/$', '') END AS parent FROM p)"""
+
 QUERIES = {
     "json_key_walk": (json_key_walk, _TREE + f" SELECT c_custkey, {_PATH} AS path, key, kind, value FROM t"),
     "json_flatten_dotted": (json_flatten_dotted, _TREE + f" SELECT c_custkey, {_PATH} AS name, value FROM t WHERE kind NOT IN ('object', 'array') AND path NOT LIKE '%[%' UNION ALL SELECT c_custkey, unnest(['tags', 'players']), unnest([j -> '$.tags', j -> '$.players'])::VARCHAR FROM d UNION ALL SELECT c_custkey, 'squad', (j -> '$.squad')::VARCHAR FROM d WHERE c_custkey % 5 = 0"),
@@ -194,19 +214,23 @@ QUERIES = {
     "map_or_list_explode": (map_or_list_explode, "SELECT c_custkey, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN c_custkey::VARCHAR WHEN c_custkey % 2 = 1 THEN '77' END AS id FROM customer"),
     "history_explode": (history_explode, "SELECT o_orderkey, o_orderstatus, l_linenumber, l_partkey, l_quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey"),
     "nested_results_explode": (nested_results_explode, """SELECT o_orderkey, CASE WHEN l_orderkey IS NOT NULL THEN '{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || '}' END AS payload FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey"""),
-    "html_table_rows": (html_table_rows, "SELECT page_id, 0 AS row_index, 'Page|N' AS cells FROM pages UNION ALL SELECT page_id, 1, 'p' || page_id || '|' || length(html) || ' x & y' FROM pages"),
+    "html_table_rows": (html_table_rows, """SELECT page_id, 0 AS "table", 0 AS depth, 0 AS row_index, 'Page|N' AS cells, '0|1' AS columns FROM pages
+      UNION ALL SELECT page_id, 0, 0, 1, 'p' || page_id || '|' || length(html) || ' x & y in' || page_id % 3, '0|1' FROM pages
+      UNION ALL SELECT page_id, 1, 1, 0, 'in' || page_id % 3, '0' FROM pages UNION ALL SELECT page_id, 0, 0, 2, 'low', '1' FROM pages"""),
     "table_headers": (table_headers, "SELECT page_id, 'Page|N' AS headers FROM pages"),
-    "form_inventory": (form_inventory, "SELECT page_id, 'post' AS method, '/a' || page_id AS action, NULL AS name, NULL AS type, NULL AS value FROM pages UNION ALL SELECT page_id, 'post', '/a' || page_id, 'q', 'input', length(url)::VARCHAR FROM pages UNION ALL SELECT page_id, 'post', '/a' || page_id, 's', 'select', '2' FROM pages"),
+    "form_inventory": (form_inventory, """WITH f AS (SELECT page_id, 0 AS form, 'post' AS method, '/a' || page_id AS action, unnest([NULL, 'q', 's', 't']) AS name, unnest([NULL, 'input', 'select', 'textarea']) AS type,
+        unnest([NULL, length(url)::VARCHAR, '2', ' x<b>']) AS value FROM pages)
+      SELECT * FROM f UNION ALL SELECT page_id, NULL, NULL, NULL, 'out', 'input', NULL FROM pages"""),
     "bday_markup_extract": (bday_markup_extract, "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN make_date(1960 + page_id % 40, 5, page_id % 9 + 1) ELSE DATE '1980-02-03' END AS day FROM pages"),
-    "link_rows": (link_rows, r"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS href, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2)) AS label,
-        generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1), 1) AS pos FROM pages),
-      b AS (SELECT *, regexp_extract(href, '^/(\w+)$', 1) AS slug FROM a)
-      SELECT page_id, slug, arg_min(regexp_extract(url, '^(https?://[^/?#]+)', 1) || href, pos) AS link, arg_min(trim(regexp_replace(label, '<[^>]*>', '', 'g')), pos) AS label FROM b WHERE slug <> '' GROUP BY 1, 2"""),
-    "asset_links": (asset_links, r"""WITH a AS (SELECT DISTINCT page_id, url, unnest(regexp_extract_all(html, '(?:href|src)="([^"]+)"', 1)) AS h FROM pages)
-      SELECT page_id, count(*) AS links, min(CASE WHEN regexp_matches(h, '^https?://') THEN h WHEN h LIKE '/%' THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || h ELSE regexp_replace(regexp_extract(url, '^(https?://[^/?#]+(?:/[^?#]*/)?)', 1), '/?$', '/') || h END) AS "first" FROM a GROUP BY 1"""),
-    "route_candidate_filter": (route_candidate_filter, r"""WITH a AS (SELECT unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages)
-      SELECT href, count(*) AS n FROM a WHERE regexp_matches(href, '(?i)th|on') AND NOT regexp_matches(href, '(?i)ing|[,.]') AND length(href) <= 12 GROUP BY 1"""),
-    "page_identity": (page_identity, r"""SELECT page_id, CASE WHEN page_id % 3 < 2 THEN url END AS canonical, nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')), '') AS h1 FROM pages"""),
+    "link_rows": (link_rows, rf"""WITH {_BASE_SQL} SELECT page_id, (page_id % 7 + 1)::VARCHAR AS id, 'name' || page_id % 5 AS slug, 'P ' || page_id AS label,
+      parent || 'profile/' || (page_id % 7 + 1) || '-name' || page_id % 5 AS link, 'P ' || page_id || '|team ' || page_id % 3 AS cells FROM u"""),
+    "asset_links": (asset_links, rf"""WITH {_BASE_SQL}, r AS (SELECT page_id, root || unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS asset, generate_subscripts(regexp_extract_all(html, 'href="([^"]+)"', 1), 1) AS pos FROM u
+        UNION ALL SELECT page_id, unnest(CASE WHEN page_id % 4 = 0 THEN [root || '/static/d.js', root || '/static/v1/?q=' || page_id, root || '/static/v1/b.png', root || '/static/v1/#f']
+          ELSE [parent || 'd.js', flat || '?q=' || page_id, folder || 'b.png', bare || '#f'] END), unnest([100001, 100002, 100003, 100004]) FROM u),
+      g AS (SELECT page_id, asset, min(pos) AS pos FROM r GROUP BY ALL) SELECT page_id, asset, (row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1)::INTEGER AS place FROM g"""),
+    "route_candidate_filter": (route_candidate_filter, """SELECT route, count(*) AS n FROM (SELECT page_id, unnest(list_distinct(['/season/' || page_id % 5, '/api/round/' || page_id % 3 || '?x=1', '/the Season''s'])) AS route FROM pages) GROUP BY 1"""),
+    "page_identity": (page_identity, r"""SELECT page_id, CASE WHEN page_id % 3 < 2 THEN url END AS canonical, nullif(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')), '') AS h1 FROM pages"""),
     "key_binding_check": (key_binding_check, r"""WITH p AS (SELECT page_id, string_split(regexp_replace(regexp_replace(url, '^https?://[^/]+', ''), '[?#].*$', ''), '/') AS s, regexp_extract(url, '/(\d+)', 1) AS n FROM pages)
       SELECT page_id, list_contains(s, CASE WHEN page_id % 2 = 0 THEN n ELSE substr(n, 1, 1) END) AND list_contains(s, 'en') AS bound FROM p"""),
     "embedded_json": (embedded_json, "SELECT page_id, CASE WHEN page_id % 4 <> 0 THEN page_id END AS id FROM pages"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import scan
 from ledgerloom.operators import identity, providers, records, requests
 from .common import table
 
@@ -136,7 +137,10 @@ def control_payload_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def name_contains_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return records.contains_any(table(spark, sf, "part", "p_partkey", "p_name"), "p_name", ["RING", "gear", "blue w"])
+    """Parts whose name holds, whatever its case, a target of a table: three texts and the last words of some names."""
+    words = table(spark, sf, "part").where("p_partkey % 100 = 7").select(F.upper(F.element_at(F.split("p_name", " "), -1)).alias("target"))
+    targets = words.union(spark.range(1).selectExpr("explode(array('RING', 'gear', 'blue w'))"))
+    return scan.contains_any(table(spark, sf, "part", "p_partkey", "p_name"), "p_name", targets)
 
 
 def provenance_reach(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,7 +275,8 @@ QUERIES = {
       FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1, 2"""),
     "control_payload_compare": (control_payload_compare, """WITH c AS (SELECT source, min(sha256(text)) AS c FROM documents WHERE doc_id % 2 = 0 AND source <> 'src3' GROUP BY 1)
       SELECT doc_id, CASE WHEN c IS NULL THEN 'failed' WHEN c = sha256(text) THEN 'same_payload' ELSE 'distinct' END AS comparison FROM documents LEFT JOIN c USING (source)"""),
-    "name_contains_filter": (name_contains_filter, "SELECT p_partkey, p_name FROM part WHERE lower(p_name) LIKE '%ring%' OR lower(p_name) LIKE '%gear%' OR lower(p_name) LIKE '%blue w%'"),
+    "name_contains_filter": (name_contains_filter, """WITH t AS (SELECT lower(string_split(p_name, ' ')[-1]) AS t FROM part WHERE p_partkey % 100 = 7 UNION SELECT unnest(['ring', 'gear', 'blue w']))
+      SELECT p_partkey, p_name FROM part WHERE EXISTS (SELECT 1 FROM t WHERE contains(lower(p_name), t))"""),
     "provenance_reach": (provenance_reach, """WITH RECURSIVE e AS (SELECT 'c' || o_custkey AS p, 'o' || o_orderkey AS c FROM orders UNION SELECT 'o' || l_orderkey, 'p' || l_partkey FROM lineitem UNION SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders WHERE o_orderkey % 10 = 7),
       r AS (SELECT 'c' || c_custkey AS node, 'page' || c_nationkey AS page, 0 AS depth FROM customer UNION SELECT e.c, page, depth + 1 FROM r JOIN e ON node = e.p WHERE depth < 5),
       m AS (SELECT node, page, min(depth)::INTEGER AS depth FROM r GROUP BY ALL) SELECT page, depth, count(*) AS nodes FROM m GROUP BY ALL"""),

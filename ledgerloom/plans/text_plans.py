@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import scan as S
 from ledgerloom.functions import text as T
 from ledgerloom.functions.nested import canonical_json
 from .common import table
@@ -97,7 +98,7 @@ def epoch_to_utc_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyword_hit_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return T.keyword_hits(table(spark, sf, "documents"), "doc_id", "text", [" the ", "th.", "license", "Ü"])
+    return S.keyword_hits(table(spark, sf, "documents"), "doc_id", "text", [" the ", "th.", "license", "Ü"])
 
 
 def domain_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,7 +106,10 @@ def domain_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyword_context(spark: SparkSession, sf: str) -> DataFrame:
-    return T.keyword_context(table(spark, sf, "documents"), "doc_id", "text", "license", 12)
+    """Every hit of the names of nations and regions and of two words, with the text around it."""
+    names = table(spark, sf, "nation").selectExpr("lower(n_name) AS term").union(table(spark, sf, "region").selectExpr("lower(r_name)"))
+    terms = names.union(spark.range(1).selectExpr("explode(array('license', 'th'))"))
+    return S.keyword_context(table(spark, sf, "documents"), "doc_id", "text", terms, 12, 12)
 
 
 QUERIES = {
@@ -135,7 +139,8 @@ QUERIES = {
       FROM documents, (SELECT unnest([' the ', 'th.', 'license', 'Ü']) AS needle)"""),
     "domain_counts": (domain_counts, r"""WITH u AS (SELECT DISTINCT unnest(list_append(regexp_extract_all(html, 'https?://[^\s"''<>)]+'), url)) AS u FROM pages),
       h AS (SELECT lower(regexp_extract(u, '^https?://([^/?#:]+)', 1)) AS host, count(*) AS n FROM u GROUP BY 1) SELECT host, n FROM h ORDER BY n DESC, host LIMIT 30"""),
-    "keyword_context": (keyword_context, """WITH p AS (SELECT doc_id, text, unnest(string_split(text, 'license')) AS part, generate_subscripts(string_split(text, 'license'), 1) - 1 AS pos FROM documents WHERE contains(text, 'license')),
-      h AS (SELECT doc_id, text, (sum(length(part)) OVER (PARTITION BY doc_id ORDER BY pos) + pos * 7)::BIGINT AS "offset" FROM p)
-      SELECT doc_id, "offset", substr(text, greatest("offset" - 12, 0) + 1, "offset" - greatest("offset" - 12, 0) + 19) AS context FROM h WHERE "offset" + 7 <= length(text)"""),
+    "keyword_context": (keyword_context, """WITH t AS (SELECT lower(n_name) AS term FROM nation UNION SELECT lower(r_name) FROM region UNION SELECT unnest(['license', 'th'])),
+      p AS (SELECT doc_id, term, text, unnest(string_split(text, term)) AS part, generate_subscripts(string_split(text, term), 1) - 1 AS pos FROM documents, t WHERE contains(text, term)),
+      h AS (SELECT doc_id, term, text, (sum(length(part)) OVER (PARTITION BY doc_id, term ORDER BY pos) + pos * length(term))::BIGINT AS "offset" FROM p)
+      SELECT doc_id, term, "offset", substr(text, greatest("offset" - 12, 0) + 1, "offset" - greatest("offset" - 12, 0) + length(term) + 12) AS context FROM h WHERE "offset" + length(term) <= length(text)"""),
 }

@@ -70,8 +70,6 @@ def test_ids_and_keys(spark):
 def test_checks_and_filters(spark):
     df = spark.createDataFrame([(1, None), (2, 5)], "a int, b int")
     assert rows(records.record_checks(df, {"x": F.col("a") > 0, "y": F.col("b") > 0}), "a", "x", "y", "status") == [(1, True, False, "REVIEW"), (2, True, True, "VERIFIED")]
-    df = spark.createDataFrame([("Blue Wing",), ("red",), (None,)], "n string")
-    assert rows(records.contains_any(df, "n", ["WING", "zzz"])) == [("Blue Wing",)]
     df = spark.createDataFrame([("http://h/en/12/x?y=3",), ("http://h/en/123",)], "u string")
     assert [r[0] for r in df.select(records.expected_path(F.col("u"), [F.lit("en"), F.lit("12")])).collect()] == [True, False]
     df = spark.createDataFrame([("England",), ("Malta",), (None,)], "n string")
@@ -191,20 +189,7 @@ def test_json_shapes(spark):
     assert rows(N.value_inventory(df, "r", "t", "m")) == [("key", "x", 2), ("t", None, 1), ("t", "a", 2), ("t", "b", 1)] or rows(N.value_inventory(df, "r", "t", "m").where("value IS NOT NULL")) == [("key", "x", 2), ("t", "a", 2), ("t", "b", 1)]
 
 
-def test_html_parts(spark):
-    html = '<table><tr><th>A</th></tr><tr><td>x &amp;<br>y</td><td><b>1</b></td></tr><tr></tr></table><form action="/q"><input name="n" value="v"></form><td class="bday">1990-01-02</td>'
-    df = spark.createDataFrame([(html,), (None,), ("<p>no <table",), ("<td>loose</td>" * 3,)], "h string").select(N.html_parts("h").alias("p"))
-    got = [r.p for r in df.collect()]
-    assert got[0].rows[:2] == [["A"], ["x & y", "1"]] and got[0].headers == ["A"] and got[0].birth_days == ["1990-01-02"]
-    assert [tuple(f) for f in got[0].forms] == [("get", "/q", None, None, None), ("get", "/q", "n", "input", "v")]
-    assert got[1].rows == got[2].rows == [] and got[3].headers == []
-
-
-def test_keywords(spark):
-    df = spark.createDataFrame([(1, "aXbXXc"), (2, "x"), (3, None), (4, "X"), (5, "é.X")], "k int, t string")
-    assert rows(T.keyword_context(df, "k", "t", "X", 1)) == [(1, 1, "aXb"), (1, 3, "bXX"), (1, 4, "XXc"), (4, 0, "X"), (5, 2, ".X")]
-    assert rows(T.keyword_context(df, "k", "t", ".", 1)) == [(5, 1, "é.X")]
-    assert rows(T.keyword_hits(df.where("k < 3"), "k", "t", ["X", ".*"])) == [(1, ".*", 0), (1, "X", 3), (2, ".*", 0), (2, "X", 0)]
+def test_hosts_and_days(spark):
     urls = spark.createDataFrame([("http://A.x/1 http://a.x/1 https://b.y", "http://b.y/2"), (None, None)], "a string, b string")
     assert rows(T.domain_counts(urls, [F.col("a"), F.coalesce("b", F.lit(""))], 5))[:1] == [("a.x", 2)]
     df = spark.createDataFrame([(-1,), (86399,), (86400,)], "s long")
