@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import name_similarity
-
-#: Parts that the names of one block are dealt to.
-PARTS = 8
-
 
 def snapshot_year(label: Column) -> Column:
     """Pre-season snapshot of a ``YYYY-YY`` label; any other label is an error."""
@@ -74,20 +69,6 @@ def registry_errors(aliases: DataFrame, no_history: DataFrame, clubs: DataFrame)
     return out
 
 
-def candidates(open_rows: DataFrame, clubs: DataFrame, block: list[str], name: str, other: str, k: int = 5) -> DataFrame:
-    """The k most similar names of the same block, best first, ties by name; pairs are scored once.
-
-    Every name of a block is compared with every open one, as the best k need it.  A block's names are
-    dealt into ``PARTS`` parts, so that a large block is no single task; each task hands on k rows a name.
-    """
-    left, right = open_rows.select(*block, name).distinct(), clubs.select(*block, other).distinct()
-    left = left.select("*", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_part"))
-    right = right.withColumn("_part", F.pmod(F.xxhash64(other), F.lit(PARTS)).cast("int"))
-    scored = left.join(right, [*block, "_part"]).drop("_part").withColumn("score", name_similarity(F.col(name), F.col(other)))
-    at = F.row_number().over(Window.partitionBy(*block, name).orderBy(F.desc("score"), other))
-    return scored.withColumn("place", at).where(F.col("place") <= k)
-
-
 def candidate_rollup(ranked: DataFrame, identity: list[str], other: str, k: int = 8) -> DataFrame:
     """Per identity: candidates over all snapshots by best score, appearances and mean score."""
     agg = ranked.groupBy(*identity, other).agg(F.count("*").alias("appearances"), F.max("score").alias("best"), F.sum(F.round(F.col("score") * 1000000).cast("long")).alias("_s"))

@@ -21,7 +21,7 @@ def parse_match_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     Two layouts: ``home v away 2-1 (1-0) [awarded]`` and ``home 2-1 (1-0) away``, both with an optional
     kick-off time in front; any bracket may follow the score, and white space inside names collapses.  A
     line with `` v `` but no score at its end is a cancelled match and is never read in the other layout,
-    which in turn has no awarded matches.  Self-matches go.
+    which in turn has no awarded matches.  Self-matches go, and scores that pass 64 bits are none.
     """
     plain = F.regexp_replace(F.trim(F.regexp_replace(line, r"\s+", " ")), r"^\d{1,2}[:.]\d{2} ", "")
     step = lines.select("*", plain.alias("_text"))
@@ -44,20 +44,21 @@ def parse_match_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     second = F.when(word("_versus"), F.when(at > 0, F.substring("_names", at + 3, size("_names")))).otherwise(word("_rest"))
     step = step.select("*", F.trim(first).alias("_first"), F.trim(second).alias("_second"), F.contains(F.lower("_text"), F.lit("[awarded]")).alias("_awarded"))
 
+    goals = [F.when(word("_score").rlike(r"^[0-9]+-[0-9]+$"), F.substring_index("_score", "-", side)).try_cast("long") for side in (1, -1)]
     good = (
-        word("_score").rlike(r"^\d+-\d+$") & (word("_first") != "") & (word("_second") != "") & (word("_first") != word("_second"))
+        goals[0].isNotNull() & goals[1].isNotNull() & (word("_first") != "") & (word("_second") != "") & (word("_first") != word("_second"))
         & (word("_versus") | ~word("_awarded"))
     )
     found = F.struct(
-        word("_first").alias("home"), word("_second").alias("away"), F.substring_index("_score", "-", 1).cast("long").alias("home_goals"),
-        F.substring_index("_score", "-", -1).cast("long").alias("away_goals"), F.when(word("_awarded"), "awarded").alias("annotation"),
+        word("_first").alias("home"), word("_second").alias("away"), goals[0].alias("home_goals"), goals[1].alias("away_goals"),
+        F.when(word("_awarded"), "awarded").alias("annotation"),
     )
     # a generator, so that the fields are not evaluated again for a filter
     return step.select(*lines.columns, F.inline(F.when(good, F.array(found))))
 
 
 def header_numbers(files: DataFrame, body: str = "body") -> DataFrame:
-    """Numbers that a file's ``#`` lines declare: teams, matches and regular-season matches; null where missing.
+    """Numbers that a file's ``#`` lines declare: teams, matches and regular-season matches; null where missing or beyond 64 bits.
 
     ``# Teams 18`` or ``# Team 18``, the same for matches; the regular season is read from the stage
     line alone (``# Stages  Regular Season (306) ...``).  ``expected_matches`` falls back to all matches.
@@ -71,12 +72,12 @@ def header_numbers(files: DataFrame, body: str = "body") -> DataFrame:
         return F.transform(named, lambda x: F.substring(x, F.instr(x, " ") + 1, F.length(x)))
 
     def number(*labels: str) -> Column:
-        return F.get(F.filter(values(*labels), lambda x: x.rlike(r"^\d+$")), F.lit(0)).cast("long")
+        return F.get(F.filter(F.transform(values(*labels), lambda x: F.when(x.rlike(r"^[0-9]+$"), x).try_cast("long")), lambda x: x.isNotNull()), F.lit(0))
 
     stages = F.transform(values("stage", "stages"), lambda x: F.regexp_extract(x, r"regular season ?\((\d+)\)", 1))
     return read.select(
         *files.columns, number("team", "teams").alias("declared_teams"), number("match", "matches").alias("declared_matches"),
-        F.get(F.filter(stages, lambda x: x != ""), F.lit(0)).cast("long").alias("regular_matches"),
+        F.get(F.filter(F.transform(stages, lambda x: F.nullif(x, F.lit("")).try_cast("long")), lambda x: x.isNotNull()), F.lit(0)).alias("regular_matches"),
     ).withColumn("expected_matches", F.coalesce("regular_matches", "declared_matches"))
 
 

@@ -63,12 +63,14 @@ def scope_snapshots(df: DataFrame, entity: str, step: Column, valid: Column, val
 
 
 def extract_id(text: Column, keys: list[str], patterns: list[str]) -> Column:
-    """The first digits-only value among JSON keys, then among the first groups of patterns, as a number."""
+    """The first digits-only value among JSON keys, then among the first groups of patterns, as a number.
+
+    Digits that pass 64 bits are no id; the next candidate counts.
+    """
     def digits(x: Column) -> Column:
-        return F.when(x.rlike(r"^\d+$"), x)
+        return F.when(x.rlike(r"^[0-9]+$"), x).try_cast("long")
 
-    found = [digits(F.get_json_object(text, f"$.{k}")) for k in keys] + [digits(F.regexp_extract(text, p, 1)) for p in patterns]
-    return F.coalesce(*found).cast("long")
+    return F.coalesce(*[digits(F.get_json_object(text, f"$.{k}")) for k in keys], *[digits(F.regexp_extract(text, p, 1)) for p in patterns])
 
 
 def classify(value: Column, names: dict[str, list[str]], prefixes: dict[str, str], otherwise: str = "other") -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import scan
-from ledgerloom.operators import identity, providers, records, requests
+from ledgerloom.operators import identity, providers, records, requests, similar
 from .common import table
 
 def player_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -205,7 +205,7 @@ def _pairs(spark: SparkSession, sf: str):
 
 
 def topk_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return identity.candidates(*_pairs(spark, sf), ["y", "a"], "name", "other")
+    return similar.top_k_similar(*_pairs(spark, sf), ["y", "a"], "name", "other")
 
 
 def candidate_rollup(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import nested as N
 from ledgerloom.functions import text as T
-from ledgerloom.operators import audit, evidence, identity, ledger, master, providers, snapshots
-from ledgerloom.sources import files, shared
+from ledgerloom.operators import audit, evidence, identity, ledger, master, providers, records, snapshots
+
 
 BODY = "= League\r\n# Teams 4\n# Matches 12\n# Stages  Regular Season (3)  Playoffs (9)\nRegular Season (5)\n20:45  A v B  2-1 (1-0)\nC  0-0 (0-0)  D\nA v D [cancelled]\nB v C 3-0 [awarded]\nE v E 1-1\nA v C 1-1\n"
 
@@ -190,3 +190,13 @@ def test_walk_and_lists(spark):
     df = spark.createDataFrame([('{"a":[{"b":1}],"c":null}',), ("oops",), (None,)], "j string")
     assert [[n.path for n in r[0]] for r in df.select(N.json_walk("j")).collect()] == [["a", "a[0]", "a[0].b", "c"], [], []]
     assert [r[0] for r in df.select(N.deep_list(["x"])("j")).collect()] == ["a", None, None]
+
+
+def test_twenty_digits_end_no_job(spark):
+    long = "9" * 20
+    df = spark.createDataFrame([(f'{{"id":"{long}","pid":"7"}}',), (f'{{"id":"{long}"}} user/{long}',), ("user/12",)], "t string")
+    assert [r[0] for r in df.select(records.extract_id(F.col("t"), ["id", "pid"], [r"user/(\d+)"])).collect()] == [7, None, 12]
+    body = f"# Teams {long}\n# Teams 4\n# Matches {long}\n# Stages Regular Season ({long})\nA v B {long}-1\nC 1-{long} D\nA v C 2-1\n"
+    f = spark.createDataFrame([("f", body)], "file string, body string")
+    assert [(r.home, r.away) for r in ledger.parse_match_lines(ledger.explode_lines(f)).collect()] == [("A", "C")]
+    assert tuple(ledger.header_numbers(f).first()[2:]) == (4, None, None, None)
