@@ -6,20 +6,20 @@ Depth and keys are unknown, so a walk gives long rows (path, key, kind, value),
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterator
+from json.decoder import scanstring
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import MapType, StringType
 
 _TEXT = StringType()
 
 
-def _struct(*names: str) -> ArrayType:
-    return ArrayType(StructType([StructField(n, _TEXT) for n in names]))
-
-
 def _kind(x) -> str:
     return {dict: "object", list: "array", str: "string", bool: "boolean", type(None): "null"}.get(type(x), "number")
 
@@ -58,10 +58,128 @@ def _compact(x) -> str:
     return json.dumps(x, separators=(",", ":"), ensure_ascii=False)
 
 
-@pandas_udf(_struct("path", "key", "kind", "value"))
-def json_walk(x: pd.Series) -> pd.Series:
-    """Every node of a JSON text; a text that is no JSON has none."""
-    return x.map(lambda t: [dict(zip(("path", "key", "kind", "value"), n)) for n in walk(_parsed(t))])
+_BLANK = re.compile(r"[ \t\n\r]*")
+_NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)(\.[0-9]+)?([eE][-+]?[0-9]+)?")
+_NAMES = {"true": ("boolean", "true"), "false": ("boolean", "false"), "null": ("null", None), "NaN": ("number", "NaN"), "Infinity": ("number", "Infinity"), "-Infinity": ("number", "-Infinity")}
+_NAME = re.compile("|".join(_NAMES))
+
+
+def stream(text: str):
+    """(path, key, kind, value) of every node below the root, while the text is read; no tree is built.
+
+    A key that an object holds twice gives two nodes.  What is no JSON raises ``ValueError`` where it ends to be.
+    """
+    open_: list[list] = []  # [path, next place in a list, or None in an object]
+    at, path, key = _BLANK.match(text).end(), "", None
+    while True:
+        c = text[at : at + 1]
+        if c in ("{", "["):
+            if path:
+                yield path, key, "object" if c == "{" else "array", None
+            open_.append([path, 0 if c == "[" else None])
+            at = _BLANK.match(text, at + 1).end()
+            if text[at : at + 1] == ("}" if c == "{" else "]"):
+                open_.pop()
+                at += 1
+            elif c == "[":
+                path, key, open_[-1][1] = f"{path}[0]", None, 1
+                continue
+            else:
+                path, key, at = _member(text, at, open_[-1][0])
+                continue
+        else:
+            if c == '"':
+                value, at = scanstring(text, at + 1, True)
+                kind = "string"
+            elif name := _NAME.match(text, at):
+                (kind, value), at = _NAMES[name[0]], name.end()
+            elif number := _NUMBER.match(text, at):
+                kind, at = "number", number.end()
+                value = json.dumps(float(number[0]) if number[1] or number[2] else int(number[0]))
+            else:
+                raise ValueError(f"no JSON value at {at}")
+            if path:
+                yield path, key, kind, value
+        while True:  # what follows a value
+            at = _BLANK.match(text, at).end()
+            if not open_:
+                if at < len(text):
+                    raise ValueError(f"more text at {at}")
+                return
+            above, place = open_[-1]
+            c = text[at : at + 1]
+            if c == ",":
+                at = _BLANK.match(text, at + 1).end()
+                if place is None:
+                    path, key, at = _member(text, at, above)
+                else:
+                    path, key, open_[-1][1] = f"{above}[{place}]", None, place + 1
+                break
+            if c != ("}" if place is None else "]"):
+                raise ValueError(f"no end of a value at {at}")
+            open_.pop()
+            at += 1
+
+
+def _member(text: str, at: int, above: str) -> tuple[str, str, int]:
+    """(path, key, start of the value) of an object's member."""
+    if text[at : at + 1] != '"':
+        raise ValueError(f"no key at {at}")
+    key, at = scanstring(text, at + 1, True)
+    at = _BLANK.match(text, at).end()
+    if text[at : at + 1] != ":":
+        raise ValueError(f"no colon at {at}")
+    return f"{above}.{key}" if above else key, key, _BLANK.match(text, at + 1).end()
+
+
+def _is_json(text: str | None) -> bool:
+    if text is None:
+        return False
+    try:
+        if len(text) < 1 << 20:
+            try:
+                json.loads(text)
+                return True
+            except RecursionError:
+                pass  # deeper than that parser goes
+        for _ in stream(text):
+            pass
+        return True
+    except ValueError:
+        return False
+
+
+def walk_rows(df: DataFrame, keep: list[str], text: str, rows: int = 20_000) -> DataFrame:
+    """The ``keep`` columns of every row beside (path, key, kind, value) of each node of its JSON text, in document order.
+
+    Nodes leave a task in batches of ``rows``, so memory follows the longest text, not the number of its
+    nodes.  A text that is no JSON has none.
+    """
+    kept = df.select(*keep)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "path string", "key string", "kind string", "value string"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, nodes = [], []
+
+            def flush() -> pa.RecordBatch:
+                own = pa.array(at, pa.int64())
+                out = pa.RecordBatch.from_arrays([*(batch.column(j).take(own) for j in range(len(keep))), *(pa.array(c, pa.string()) for c in zip(*nodes))], [*keep, "path", "key", "kind", "value"])
+                at.clear()
+                nodes.clear()
+                return out
+
+            for i in range(batch.num_rows):
+                body = batch.column(len(keep))[i].as_py()
+                for node in stream(body) if _is_json(body) else ():
+                    at.append(i)
+                    nodes.append(node)
+                    if len(nodes) == rows:
+                        yield flush()
+            if nodes:
+                yield flush()
+
+    return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 @pandas_udf(MapType(_TEXT, _TEXT))
@@ -132,12 +250,44 @@ def value_inventory(df: DataFrame, report: str, field: str, maps: str) -> DataFr
     return values.unionByName(keys).groupBy("what", "value").agg(F.count("*").alias("n"))
 
 
-def schema_profile(df: DataFrame, text: str, lists: list[str]) -> DataFrame:
-    """(field, length, item_keys, n): shapes of the named list fields, by the keys of their first items."""
-    each = F.array(*[F.struct(F.lit(f).alias("field"), F.get_json_object(text, f"$.{f}").alias("v"), F.get_json_object(text, f"$.{f}[0]").alias("i")) for f in lists])
-    rows = df.select(F.explode(each).alias("x")).where("x.v IS NOT NULL")
-    keys = F.array_join(F.coalesce(F.json_object_keys("x.i"), F.array().cast("array<string>")), ",")
-    return rows.groupBy(F.col("x.field").alias("field"), F.json_array_length("x.v").alias("length"), keys.alias("item_keys")).agg(F.count("*").alias("n"))
+def schema_profile(df: DataFrame, text: str, lists: list[str], group: list[str] = []) -> DataFrame:
+    """(group, field, kind, length, item_kind, item_keys, schema, n): shapes of payloads and of their named list fields.
+
+    The payload itself is field ``$``: its JSON kind, its number of keys or items, and its keys.  A list field
+    gives its length and the kind and sorted keys of its first item; a field of another kind has its kind
+    alone, a field that is not there no row.  ``schema`` is the type of a payload's or list's items as a
+    variant has it.  A text that is no JSON has kind ``invalid``, a null text ``missing``.
+    """
+    payload = F.try_parse_json(text)
+    paths = [("$", "$"), *((f, f"$.{f}") for f in lists)]
+    each = F.array(*[F.struct(F.lit(name).alias("field"), F.try_variant_get(payload, path, "variant").alias("v")) for name, path in paths])
+    rows = df.select(*group, F.col(text).alias("_t"), F.explode(each).alias("x")).where("x.v IS NOT NULL OR x.field = '$'")
+    value = F.col("x.v")
+    kind = F.when(F.col("_t").isNull(), "missing").when(value.isNull(), "invalid").otherwise(variant_kind(value))
+    body = F.to_json(value)
+    first = F.try_variant_get(value, "$[0]", "variant")
+    listed, keyed = kind == "array", kind == "object"
+    length = F.when(listed, F.json_array_length(body)).when(keyed, F.size(F.json_object_keys(body)))
+    item = F.when(listed, F.when(first.isNotNull(), variant_kind(first)))
+    keys = F.when(keyed, F.json_object_keys(body)).when(item == "object", F.json_object_keys(F.to_json(first)))
+    shape = F.when(value.isNotNull() & (F.col("x.field") != "$"), F.schema_of_variant(value))
+    made = rows.select(*group, F.col("x.field").alias("field"), kind.alias("kind"), length.alias("length"), item.alias("item_kind"),
+                       F.array_join(F.array_sort(keys), ",").alias("item_keys"), shape.alias("schema"))
+    return made.groupBy(*made.columns).agg(F.count("*").alias("n"))
+
+
+def variant_kind(value: Column) -> Column:
+    """JSON kind of a variant: object, array, string, number, boolean or null."""
+    shape = F.schema_of_variant(value)
+    return F.when(shape == "VOID", "null").when(F.startswith(shape, F.lit("OBJECT")), "object").when(F.startswith(shape, F.lit("ARRAY")), "array").when(
+        shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").otherwise("number")
+
+
+def merged_schema(df: DataFrame, text: str, group: list[str]) -> DataFrame:
+    """(group, schema, payloads, conflicts): one variant schema for all JSON texts of a group; parts in which they disagree are VARIANT there."""
+    made = df.select(*group, F.try_parse_json(text).alias("_v")).where("_v IS NOT NULL")
+    found = made.groupBy(*group).agg(F.schema_of_variant_agg("_v").alias("schema"), F.count("*").alias("payloads"))
+    return found.withColumn("conflicts", F.regexp_count("schema", F.lit(r"\bVARIANT\b")))
 
 
 def map_or_list(text: Column, item: str) -> Column:

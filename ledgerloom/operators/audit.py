@@ -117,6 +117,23 @@ def distinct_counts(df: DataFrame, group: list[str], counted: dict[str, list[str
     return df.groupBy(*group).agg(*[F.count_distinct(*columns).alias(name) for name, columns in counted.items()])
 
 
+def distinct_sketches(df: DataFrame, group: list[str], counted: dict[str, list[str]], lg_k: int = 12) -> DataFrame:
+    """(group, sketches): a mergeable sketch of the distinct values of every named set of columns, rows with a null in it aside.
+
+    All sketches are made in one pass, without a row for each set; one of ``lg_k`` 12 has 4,096 registers
+    and a standard error of about 1.6 %.  Stored for each day, they are united for any range of days.
+    """
+    def value(columns: list[str]) -> Column:
+        return F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]), F.xxhash64(*columns))
+
+    return df.groupBy(*group).agg(*[F.hll_sketch_agg(value(columns), lg_k).alias(name) for name, columns in counted.items()])
+
+
+def united_counts(sketches: DataFrame, group: list[str], names: list[str]) -> DataFrame:
+    """(group, estimates) of ``distinct_sketches`` united over everything else they are kept by."""
+    return sketches.groupBy(*group).agg(*[F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name) for name in names])
+
+
 def suffix_counts(df: DataFrame, column: str, pattern: str, filled: Column) -> DataFrame:
     """(provider, rows, non_empty) by the part of a column that ``pattern`` captures."""
     return df.groupBy(F.regexp_extract(column, pattern, 1).alias("provider")).agg(F.count("*").alias("rows"), F.count_if(filled).alias("non_empty"))

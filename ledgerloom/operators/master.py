@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,19 +32,66 @@ def person_keys(current: DataFrame, historical: DataFrame) -> DataFrame:
     return j.select("subject", key.alias("person"), how.alias("method"))
 
 
-def identity_master(rows: DataFrame) -> DataFrame:
-    """Person rollup of (person, scope, subject, name, status, day).
+#: Kinds of what is known of a person, and the fields of each; missing ones are null.
+KINDS = {
+    "scope": ("scope",), "name": ("name",), "ref": ("scope", "subject", "method", "source_status"), "alias": ("provider", "provider_id", "scope"),
+    "evidence": ("scope", "subject", "status", "day", "method"),
+}
+_FIELDS = tuple(dict.fromkeys(f for fields in KINDS.values() for f in fields))
+PART_ROWS = 1000
 
-    Distinct verified days of several scopes are an error; one conflicting row makes the person a
-    conflict; one day verifies; none is missing.  Small distinct sets only are collected.
+
+def person_facts(rows: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(person, kind, fields, seq): every distinct fact of a person once, with the first place where it stands.
+
+    ``rows`` has (person, seq, scope, subject, name, method, source_status, status, day, dob_method), ``aliases``
+    (person, seq, provider, provider_id, scope); ``seq`` is any orderable place.  Equal facts meet by all
+    their fields, after a partial aggregate in each task, so a person of many rows is no single task's work.
+    """
+    source = {"name": rows.where("name <> ''"), "alias": aliases.where("provider_id IS NOT NULL")}
+    renamed = {("evidence", "method"): "dob_method"}
+    parts = []
+    for kind, fields in KINDS.items():
+        df = source.get(kind, rows)
+        cols = [(F.col(renamed.get((kind, f), f)).cast("string") if f in fields else F.lit(None).cast("string")).alias(f) for f in _FIELDS]
+        parts.append(df.select("person", F.lit(kind).alias("kind"), *cols, "seq"))
+    return reduce(DataFrame.unionByName, parts).groupBy("person", "kind", *_FIELDS).agg(F.min("seq").alias("seq"))
+
+
+def identity_master(facts: DataFrame) -> DataFrame:
+    """One row a person of ``person_facts``: (person, scopes, subjects, names, aliases, evidence, first_name, status, day).
+
+    Counts of distinct facts, the name that stands first, and the decision: one conflicting fact makes the
+    person a conflict; distinct verified days are an error; one day verifies; none is missing.
+    """
+    def n(kind: str) -> Column:
+        return F.count_if(F.col("kind") == kind)
+
+    day = F.when((F.col("kind") == "evidence") & (F.col("status") == "VERIFIED"), F.col("day"))
+    named = F.when(F.col("kind") == "name", F.struct("seq", "name"))
+    agg = facts.groupBy("person").agg(
+        n("scope").alias("scopes"), n("ref").alias("subjects"), n("name").alias("names"), n("alias").alias("aliases"), n("evidence").alias("evidence"),
+        F.min(named).alias("_name"), F.bool_or((F.col("kind") == "evidence") & F.coalesce(F.col("status") == "CONFLICT", F.lit(False))).alias("_conflict"), F.min(day).alias("_first"), F.max(day).alias("_last"))
+    status = F.when(F.col("_conflict"), "CONFLICT").when(F.col("_first") != F.col("_last"), "ERROR").when(F.col("_first").isNotNull(), "VERIFIED").otherwise("MISSING")
+    return agg.select("person", "scopes", "subjects", "names", "aliases", "evidence", F.col("_name.name").alias("first_name"), status.alias("status"),
+                      F.when(status == "VERIFIED", F.col("_first")).alias("day"))
+
+
+def person_documents(facts: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """(person, part, parts, scope, name, ref, alias, evidence): the facts of a person as lists of structs in first-seen order.
+
+    A person with more than ``part_rows`` facts gets several parts, dealt by a hash of the fact, so no row
+    grows with the table; each fact keeps its ``seq``, by which the parts' lists are one list again.
     """
-    day = F.when(F.col("status") == "VERIFIED", F.col("day"))
-    agg = rows.groupBy("person").agg(
-        F.count_distinct("scope").alias("scopes"), F.count_distinct("subject").alias("subjects"), F.array_sort(F.collect_set("name")).alias("names"),
-        F.bool_or(F.col("status") == "CONFLICT").alias("conflict"), F.count_distinct(day).alias("days"), F.min(day).alias("first"))
-    status = F.when(F.col("conflict"), "CONFLICT").when(F.col("days") > 1, "ERROR").when(F.col("days") == 1, "VERIFIED").otherwise("MISSING")
-    return agg.select("person", "scopes", "subjects", F.array_join("names", ",").alias("names"), status.alias("status"),
-                      F.when(status == "VERIFIED", F.col("first")).alias("day"))
+    sizes = facts.groupBy("person").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
+    dealt = facts.join(sizes, "person").withColumn("part", F.pmod(F.xxhash64("kind", *_FIELDS), F.col("parts")).cast("int"))
+    listed = dealt.groupBy("person", "part", "parts").agg(F.array_sort(F.collect_list(F.struct("seq", "kind", *_FIELDS))).alias("_f"))
+
+    def of(kind: str, fields: tuple[str, ...]) -> Column:
+        own = F.filter("_f", lambda x: x["kind"] == kind)
+        return F.transform(own, lambda x: F.struct(*[x[f].alias(f) for f in (*fields, "seq")])).alias(kind)
+
+    return listed.select("person", "part", "parts", *[of(kind, fields) for kind, fields in KINDS.items()])
 
 
 def provider_units(rows: DataFrame, unit: str, name: str, day: str, prefix: str) -> DataFrame:
@@ -59,3 +106,9 @@ def registry_counts(parts: dict[str, DataFrame], status: str = "status") -> Data
     """(scope, status, n) over several result tables."""
     rows = [df.groupBy(F.lit(k).alias("scope"), F.col(status).alias("status")).agg(F.count("*").alias("n")) for k, df in parts.items()]
     return reduce(DataFrame.unionByName, rows)
+
+
+def registry_residuals(parts: dict[str, tuple[DataFrame, str, list[str]]], status: str = "status") -> DataFrame:
+    """(scope, status, key): the rows of each table, by their key column, whose status is one of the open ones."""
+    rows = [df.where(F.col(status).isin(open_)).select(F.lit(k).alias("scope"), F.col(status).alias("status"), F.col(key).cast("string").alias("key")) for k, (df, key, open_) in parts.items()]
+    return reduce(DataFrame.unionByName, rows)

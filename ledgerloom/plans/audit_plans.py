@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import audit, snapshots
+from ledgerloom.sources.shared import work_folder
 from .common import table
 
 _SNAP = """p_size AS snapshot_year, p_brand AS association, p_name AS club, p_partkey AS id, p_retailprice AS points,
@@ -98,7 +99,13 @@ def coverage_grouping(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.distinct_counts(table(spark, sf, "events"), ["event_type"], {"users": ["user_id"], "identities": ["user_id", "props"]})
+    """Exact counts, and whether the united sketches of all days are within 6 % of them, or off by one."""
+    events, sets = table(spark, sf, "events"), {"users": ["user_id"], "identities": ["user_id", "props"]}
+    path = work_folder(spark, "sketches")
+    audit.distinct_sketches(events.withColumn("day", F.to_date("ts")), ["event_type", "day"], sets).write.partitionBy("day").parquet(path)
+    near = audit.united_counts(spark.read.parquet(path), ["event_type"], list(sets)).toDF("event_type", *[f"_{n}" for n in sets])
+    return audit.distinct_counts(events, ["event_type"], sets).join(near, "event_type").select(
+        "event_type", *sets, *[(F.abs(F.col(n) - F.col(f"_{n}")) <= F.greatest(F.col(n) * 0.06, F.lit(1.0))).alias(f"{n}_close") for n in sets])
 
 
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -226,7 +233,7 @@ QUERIES = {
       g AS (SELECT event_type, user_id, grouping_id(event_type, user_id) AS b, count(*) AS records, count(high) AS high, count(k) AS k FROM e GROUP BY GROUPING SETS ((), (event_type), (user_id)))
       SELECT CASE b WHEN 3 THEN 'all' WHEN 1 THEN 'event_type' ELSE 'user_id' END AS level, concat_ws('|', event_type, user_id::VARCHAR) AS key, field, observed, records, observed / records AS ratio
       FROM g UNPIVOT (observed FOR field IN (high, k))"""),
-    "distinct_counts": (distinct_counts, "SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT (user_id, props)) AS identities FROM events GROUP BY 1"),
+    "distinct_counts": (distinct_counts, "SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT (user_id, props)) AS identities, true AS users_close, true AS identities_close FROM events GROUP BY 1"),
     "duplicate_keys": (duplicate_keys, "SELECT l_orderkey, l_linenumber, count(*) - 1 AS extra FROM lineitem GROUP BY ALL HAVING count(*) > 1"),
     "duplicate_summary": (duplicate_summary, """WITH d AS (SELECT l_orderkey, l_linenumber, count(*) - 1 AS extra FROM lineitem GROUP BY ALL HAVING count(*) > 1),
       f AS (SELECT l_orderkey || '|' || l_linenumber AS t FROM d ORDER BY l_orderkey, l_linenumber LIMIT 25)

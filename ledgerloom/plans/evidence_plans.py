@@ -98,11 +98,26 @@ def person_key_cascade(spark: SparkSession, sf: str) -> DataFrame:
     return master.person_keys(*_people(spark, sf))
 
 
+def _facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of persons: customers as subjects, their orders' priorities as aliases, which repeat."""
+    keys = person_key_cascade(spark, sf).select("subject", "person", F.col("method").alias("key_method"))
+    c = table(spark, sf, "customer").selectExpr(
+        "concat('s', c_custkey) AS subject", "c_custkey AS seq", "if(c_custkey % 2 = 0, 'current', 'historical') AS scope", "c_mktsegment AS name", "'IDENTITY_VERIFIED' AS source_status",
+        "CASE WHEN c_custkey % 41 = 0 THEN 'CONFLICT' WHEN c_custkey % 5 = 0 THEN 'OPEN' ELSE 'VERIFIED' END AS status", "concat('1990-01-0', c_custkey % 2 + 1) AS day", "'PASS' AS dob_method")
+    rows = c.join(keys, "subject").withColumnRenamed("key_method", "method")
+    o = table(spark, sf, "orders").selectExpr("concat('s', o_custkey) AS subject", "cast(o_custkey AS long) AS seq", "'orders' AS provider", "o_orderpriority AS provider_id", "'ENTITY' AS scope")
+    return master.person_facts(rows, o.join(keys.select("subject", "person"), "subject"))
+
+
 def identity_master(spark: SparkSession, sf: str) -> DataFrame:
-    keys = person_key_cascade(spark, sf)
-    c = table(spark, sf, "customer").selectExpr("concat('s', c_custkey) AS subject", "if(c_custkey % 2 = 0, 'current', 'historical') AS scope", "c_mktsegment AS name",
-                                                "CASE WHEN c_custkey % 41 = 0 THEN 'CONFLICT' WHEN c_custkey % 5 = 0 THEN 'OPEN' ELSE 'VERIFIED' END AS status", "concat('1990-01-0', c_custkey % 2 + 1) AS day")
-    return master.identity_master(c.join(keys.select("subject", "person"), "subject"))
+    """Decisions of all persons, and what the parts of their documents hold."""
+    facts = _facts(spark, sf)
+    docs = master.person_documents(facts, 50)
+    lists = docs.groupBy("person").agg(
+        F.array_join(F.array_sort(F.flatten(F.collect_list(F.transform("alias", lambda x: x["provider_id"])))), ",").alias("alias_ids"),
+        F.array_join(F.array_sort(F.flatten(F.collect_list(F.transform("name", lambda x: x["name"])))), ",").alias("name_list"),
+        F.sum(F.size("evidence")).alias("listed_evidence"))
+    return master.identity_master(facts).join(lists, "person")
 
 
 def provider_units(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,7 +126,11 @@ def provider_units(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def registry_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return master.registry_counts({"persons": identity_master(spark, sf), "overrides": override_precedence(spark, sf), "units": provider_units(spark, sf)})
+    """Counts by scope and status (key null), and the open rows of each scope by their keys."""
+    persons, over, units = master.identity_master(_facts(spark, sf)), override_precedence(spark, sf), provider_units(spark, sf)
+    counts = master.registry_counts({"persons": persons, "overrides": over, "units": units})
+    open_ = master.registry_residuals({"persons": (persons, "person", ["CONFLICT", "ERROR"]), "overrides": (over, "subject", ["UNACCOUNTED"]), "units": (units, "unit_key", ["NO_CONSENSUS"])})
+    return counts.withColumn("key", F.lit(None).cast("string")).unionByName(open_.withColumn("n", F.lit(1).cast("long")))
 
 
 def src_json_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -240,9 +259,12 @@ _OBS = """a AS (SELECT l_orderkey AS subject, strftime(l_shipdate, '%Y') AS day,
 _KEYS = """cur AS (SELECT c_custkey, 's' || c_custkey AS subject, CASE WHEN c_custkey % 4 = 0 THEN 'p' || (c_custkey % 100) END AS bridge, CASE WHEN c_custkey % 3 = 0 THEN 'Q' || (c_custkey % 500) END AS entity FROM customer),
   own AS (SELECT 'Q' || (c_custkey % 350) AS entity, min('p' || (c_custkey % 700)) AS owner FROM customer WHERE c_nationkey % 2 = 0 GROUP BY 1 HAVING count(DISTINCT c_custkey % 700) = 1),
   keys AS (SELECT c_custkey, subject, coalesce(bridge, owner, 'entity:' || entity, 'self:' || subject) AS person, CASE WHEN bridge IS NOT NULL THEN 'BRIDGE' WHEN owner IS NOT NULL THEN 'UNIQUE_ENTITY' WHEN entity IS NOT NULL THEN 'ENTITY' ELSE 'OWN' END AS method FROM cur LEFT JOIN own USING (entity))"""
-_MASTER = _KEYS + """, mr AS (SELECT person, c_custkey % 2 AS scope, subject, c_mktsegment AS name, CASE WHEN c_custkey % 41 = 0 THEN 'CONFLICT' WHEN c_custkey % 5 = 0 THEN 'OPEN' ELSE 'VERIFIED' END AS st, '1990-01-0' || (c_custkey % 2 + 1) AS d FROM keys JOIN customer USING (c_custkey)),
-  ma AS (SELECT person, count(DISTINCT scope) AS scopes, count(DISTINCT subject) AS subjects, string_agg(DISTINCT name, ',' ORDER BY name) AS names, bool_or(st = 'CONFLICT') AS c, count(DISTINCT d) FILTER (st = 'VERIFIED') AS n, min(d) FILTER (st = 'VERIFIED') AS f FROM mr GROUP BY 1),
-  m AS (SELECT person, scopes, subjects, names, CASE WHEN c THEN 'CONFLICT' WHEN n > 1 THEN 'ERROR' WHEN n = 1 THEN 'VERIFIED' ELSE 'MISSING' END AS status, CASE WHEN NOT c AND n = 1 THEN f END AS day FROM ma)"""
+_MASTER = _KEYS + """, mr AS (SELECT person, method, c_custkey, c_custkey % 2 AS scope, subject, c_mktsegment AS name, CASE WHEN c_custkey % 41 = 0 THEN 'CONFLICT' WHEN c_custkey % 5 = 0 THEN 'OPEN' ELSE 'VERIFIED' END AS st, '1990-01-0' || (c_custkey % 2 + 1) AS d FROM keys JOIN customer USING (c_custkey)),
+  al AS (SELECT person, count(DISTINCT o_orderpriority) AS aliases, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS alias_ids FROM keys JOIN orders ON o_custkey = c_custkey GROUP BY 1),
+  ma AS (SELECT person, count(DISTINCT scope) AS scopes, count(*) AS subjects, count(DISTINCT name) AS names, arg_min(name, (c_custkey, name)) AS first_name, string_agg(DISTINCT name, ',' ORDER BY name) AS name_list, bool_or(st = 'CONFLICT') AS c,
+    count(DISTINCT d) FILTER (st = 'VERIFIED') AS n, min(d) FILTER (st = 'VERIFIED') AS f FROM mr GROUP BY 1),
+  m AS (SELECT person, scopes, subjects, names, coalesce(aliases, 0) AS aliases, subjects AS evidence, first_name, CASE WHEN c THEN 'CONFLICT' WHEN n > 1 THEN 'ERROR' WHEN n = 1 THEN 'VERIFIED' ELSE 'MISSING' END AS status, CASE WHEN NOT c AND n = 1 THEN f END AS day,
+    coalesce(alias_ids, '') AS alias_ids, name_list, subjects AS listed_evidence FROM ma LEFT JOIN al USING (person))"""
 _OVER = """o AS (SELECT o_orderkey AS subject, CASE WHEN o_orderkey % 7 = 0 THEN 'DOB_CONFLICT' WHEN o_orderkey % 5 = 0 THEN 'OPEN' WHEN o_orderkey % 3 = 0 THEN 'NONDAY' WHEN o_orderstatus = 'P' THEN 'UNACCOUNTED' ELSE 'FIRST' END AS status,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'open' WHEN o_orderkey % 3 = 0 THEN 'nonday' WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
   CASE WHEN o_orderkey % 7 = 0 THEN 3 WHEN o_orderkey % 5 = 0 THEN 2 WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS origin FROM orders)"""
@@ -276,7 +298,8 @@ QUERIES = {
     "person_key_cascade": (person_key_cascade, f"WITH {_KEYS} SELECT subject, person, method FROM keys"),
     "identity_master": (identity_master, f"WITH {_MASTER} SELECT * FROM m"),
     "provider_units": (provider_units, f"WITH {_UNITS} SELECT * FROM u"),
-    "registry_counts": (registry_counts, f"WITH {_MASTER}, {_OVER}, {_UNITS} SELECT 'persons' AS scope, status, count(*) AS n FROM m GROUP BY ALL UNION ALL SELECT 'overrides', status, count(*) FROM o GROUP BY ALL UNION ALL SELECT 'units', status, count(*) FROM u GROUP BY ALL"),
+    "registry_counts": (registry_counts, f"""WITH {_MASTER}, {_OVER}, {_UNITS} SELECT 'persons' AS scope, status, count(*) AS n, NULL AS key FROM m GROUP BY ALL UNION ALL SELECT 'overrides', status, count(*), NULL FROM o GROUP BY ALL UNION ALL SELECT 'units', status, count(*), NULL FROM u GROUP BY ALL
+      UNION ALL SELECT 'persons', status, 1, person FROM m WHERE status IN ('CONFLICT', 'ERROR') UNION ALL SELECT 'overrides', status, 1, subject::VARCHAR FROM o WHERE status = 'UNACCOUNTED' UNION ALL SELECT 'units', status, 1, unit_key FROM u WHERE status = 'NO_CONSENSUS'"""),
     "src_json_records": (src_json_records, "SELECT c_custkey, c_name FROM customer"),
     "src_csv_rounds": (src_csv_rounds, """SELECT year(l_shipdate)::INTEGER AS year, l_linenumber AS round, count(*) AS rows, count(DISTINCT l_partkey) AS ids, sum(l_orderkey)::BIGINT AS orders, sum(l_partkey)::BIGINT AS parts,
       count(*) FILTER (l_linenumber % 2 = 1) AS with_supplier FROM lineitem GROUP BY ALL"""),

@@ -23,7 +23,7 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _nodes(spark: SparkSession, sf: str) -> DataFrame:
-    return _docs(spark, sf).select("c_custkey", "c_mktsegment", F.explode(N.json_walk("j")).alias("n")).select("c_custkey", "c_mktsegment", "n.*")
+    return N.walk_rows(_docs(spark, sf), ["c_custkey", "c_mktsegment"], "j")
 
 
 def json_key_walk(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,7 +67,7 @@ def common_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def schema_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return N.schema_profile(_docs(spark, sf), "j", ["tags", "players", "squad"])
+    return N.schema_profile(_docs(spark, sf), "j", ["tags", "players", "squad", "note"])
 
 
 def nested_value_inventory(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,8 +207,11 @@ QUERIES = {
     "field_inventory": (field_inventory, f"WITH {_D}, k AS (SELECT DISTINCT c_mktsegment, unnest(json_keys(j)) AS k FROM d) SELECT c_mktsegment, string_agg(k, ',' ORDER BY k) AS fields FROM k GROUP BY 1"),
     "key_presence": (key_presence, f"WITH {_D}, k AS (SELECT unnest(json_keys(j)) AS key FROM d UNION ALL SELECT 'players[].pid' FROM d WHERE c_custkey % 3 = 0) SELECT key, count(*) AS n FROM k GROUP BY 1"),
     "common_paths": (common_paths, _TREE + f" SELECT {_PATH} AS path FROM t WHERE kind = 'number' GROUP BY 1 HAVING count(DISTINCT c_custkey) = (SELECT count(*) FROM customer)"),
-    "schema_profile": (schema_profile, """SELECT 'tags' AS field, 2 AS length, '' AS item_keys, count(*) AS n FROM customer UNION ALL SELECT 'players', CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 0 END, CASE WHEN c_custkey % 3 = 0 THEN 'pid' ELSE '' END, count(*) FROM customer GROUP BY 2, 3
-      UNION ALL SELECT 'squad', 1, 'x', count(*) FROM customer WHERE c_custkey % 5 = 0"""),
+    "schema_profile": (schema_profile, """WITH s AS (SELECT '$' AS field, 'object' AS kind, CASE WHEN c_custkey % 5 = 0 THEN 7 ELSE 6 END AS length, NULL AS item_kind, CASE WHEN c_custkey % 5 = 0 THEN 'id,note,ok,players,squad,tags,team' ELSE 'id,note,ok,players,tags,team' END AS item_keys, NULL AS schema FROM customer
+      UNION ALL SELECT 'tags', 'array', 2, 'string', NULL, 'ARRAY<VARIANT>' FROM customer
+      UNION ALL SELECT 'players', 'array', CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 0 END, CASE WHEN c_custkey % 3 = 0 THEN 'object' END, CASE WHEN c_custkey % 3 = 0 THEN 'pid' END, CASE WHEN c_custkey % 3 = 0 THEN 'ARRAY<OBJECT<pid: BIGINT>>' ELSE 'ARRAY<VOID>' END FROM customer
+      UNION ALL SELECT 'squad', 'array', 1, 'object', 'x', 'ARRAY<OBJECT<x: BIGINT>>' FROM customer WHERE c_custkey % 5 = 0 UNION ALL SELECT 'note', 'null', NULL, NULL, NULL, 'VOID' FROM customer)
+      SELECT *, count(*) AS n FROM s GROUP BY ALL"""),
     "nested_value_inventory": (nested_value_inventory, """WITH a AS (SELECT 'type' AS what, event_type AS value FROM events UNION ALL SELECT 'type', 'x' FROM events WHERE event_id % 2 = 0 UNION ALL SELECT 'key', unnest(json_keys(props)) FROM events)
       SELECT what, value, count(*) AS n FROM a GROUP BY ALL"""),
     "map_or_list_explode": (map_or_list_explode, "SELECT c_custkey, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN c_custkey::VARCHAR WHEN c_custkey % 2 = 1 THEN '77' END AS id FROM customer"),

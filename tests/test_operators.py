@@ -181,7 +181,6 @@ def test_json_shapes(spark):
     assert [r[0] for r in df.select(N.deep_list(["p"])("j")).collect()] == ["p", None, None, None]
     assert rows(N.field_inventory(df, "j", ["g"])) == [("g", "a,a.b,l,p")]
     assert rows(N.key_presence(df, "j", ["p", "zz"])) == [("a", 1), ("a.b", 1), ("l", 1), ("p", 1), ("p[].k", 1)]
-    assert rows(N.schema_profile(df, "j", ["p", "l", "zz"])) == [("l", 2, "x", 1), ("p", 2, "k", 1)]
     df = spark.createDataFrame([(1, '[{"n":"a","id":5},{"n":"b"}]'), (2, '{"77":{"n":"c"}}'), (3, "x"), (4, None)], "k int, j string")
     got = df.select("k", F.explode(N.map_or_list(F.col("j"), "n:string,id:long")).alias("e")).select("k", "e.key", "e.value.n", "e.value.id")
     assert rows(got) == sorted([(1, None, "a", 5), (1, None, "b", None), (2, "77", "c", None)], key=str)

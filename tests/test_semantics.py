@@ -188,7 +188,7 @@ def test_page_crawl_ends_at_first_page_without_new_items(spark):
 
 def test_walk_and_lists(spark):
     df = spark.createDataFrame([('{"a":[{"b":1}],"c":null}',), ("oops",), (None,)], "j string")
-    assert [[n.path for n in r[0]] for r in df.select(N.json_walk("j")).collect()] == [["a", "a[0]", "a[0].b", "c"], [], []]
+    assert [r.path for r in N.walk_rows(df, [], "j").collect()] == ["a", "a[0]", "a[0].b", "c"]
     assert [r[0] for r in df.select(N.deep_list(["x"])("j")).collect()] == ["a", None, None]
 
 
