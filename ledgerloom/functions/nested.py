@@ -306,6 +306,39 @@ def result_payloads(df: DataFrame, parents: list[str], results: str) -> DataFram
     return df.select(*parents, F.explode_outer(results).alias("_r")).select(*parents, F.to_json("_r").alias("payload"))
 
 
+def forbidden_fields(nodes: DataFrame, denied: list[str]) -> DataFrame:
+    """(path, violations): nodes whose key, lower-cased and without anything but a-z and 0-9, is a denied name; whole names only."""
+    names = [re.sub("[^a-z0-9]", "", d.lower()) for d in denied]
+    return nodes.where(F.regexp_replace(F.lower("key"), "[^a-z0-9]", "").isin(names)).groupBy("path").agg(F.count("*").alias("violations"))
+
+
+def guard_fields(nodes: DataFrame, denied: list[str], told: int = 20) -> None:
+    """Raise ``ValueError`` if a denied field occurs; the message names the first ``told`` paths."""
+    found = forbidden_fields(nodes, denied).orderBy("path").limit(told).collect()
+    if found:
+        raise ValueError("forbidden fields: " + ", ".join(f"{r.path} ({r.violations})" for r in found))
+
+
+def labelled_ids(nodes: DataFrame, strict: bool = False, most: int = 999) -> DataFrame:
+    """(key, id): the distinct whole numbers from 1 to ``most`` under keys that name an id, numbers or digits in a text.
+
+    Any key with ``id`` counts; with ``strict`` only one that, without case and underscores, has
+    ``championship`` and ends in ``id``.
+    """
+    key = F.replace(F.lower("key"), F.lit("_"), F.lit(""))
+    named = F.contains(key, F.lit("championship")) & F.endswith(key, F.lit("id")) if strict else F.contains(F.lower("key"), F.lit("id"))
+    ids = F.when(F.col("value").rlike("^ *[-+]?[0-9]+ *$"), F.trim("value")).try_cast("long")
+    found = nodes.where(F.col("kind").isin("number", "string") & named).select("key", ids.alias("id"))
+    return found.where(F.col("id").between(1, most)).distinct()
+
+
+def only_path(paths: DataFrame) -> DataFrame:
+    """(status, paths, path): ACCEPTED with the path if there is exactly one, else NONE or AMBIGUOUS without."""
+    agg = paths.agg(F.count("*").alias("paths"), F.min("path").alias("_p"))
+    status = F.when(F.col("paths") == 1, "ACCEPTED").when(F.col("paths") == 0, "NONE").otherwise("AMBIGUOUS")
+    return agg.select(status.alias("status"), "paths", F.when(F.col("paths") == 1, F.col("_p")).alias("path"))
+
+
 def common_paths(nodes: DataFrame, record: str, total: DataFrame) -> DataFrame:
     """(path): paths that every record has a node at; ``total`` is one row with the number of records."""
     return nodes.groupBy("path").agg(F.count_distinct(record).alias("n")).crossJoin(total).where("n = total").select("path")

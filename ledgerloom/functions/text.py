@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType
 def _each(series: pd.Series, f) -> pd.Series:
     """f over the distinct values of a batch; null stays null."""
     known = {v: f(v) for v in series.dropna().unique()}
-    return series.map(known)
+    return pd.Series([known.get(v) for v in series], dtype=object)
 
 
 @pandas_udf(StringType())
@@ -52,9 +52,15 @@ def unescape(x: pd.Series) -> pd.Series:
     return _each(x, html.unescape)
 
 
+def without_marks(x: Column) -> Column:
+    """NFKD without combining marks; plain ASCII never leaves the JVM as text."""
+    plain = x.rlike(r"^[\x00-\x7F]*$")
+    return F.when(plain, x).otherwise(nfkd_strip(F.when(~plain, x)))
+
+
 def norm_surface(x: Column) -> Column:
     """Lower case, ``&`` as ``and``, other than a-z0-9 as one space; undecomposable letters become a space."""
-    low = F.replace(F.lower(nfkd_strip(x)), F.lit("&"), F.lit(" and "))
+    low = F.replace(F.lower(without_marks(x)), F.lit("&"), F.lit(" and "))
     return F.trim(F.regexp_replace(low, "[^a-z0-9]+", " "))
 
 
@@ -129,7 +135,7 @@ def make_day(day: Column, month: Column, year: Column) -> Column:
 
 def localized_dates(text: Column) -> Column:
     """Sorted distinct days of all ``Nato il D mon YYYY`` in a text (accents dropped first)."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"nat[oa] il\s+(\d{1,2}\s+[a-z]{3}[a-z]*\s+\d{4})"), F.lit(1))
+    found = F.regexp_extract_all(F.lower(without_marks(text)), F.lit(r"nat[oa] il\s+(\d{1,2}\s+[a-z]{3}[a-z]*\s+\d{4})"), F.lit(1))
 
     def day(x: Column) -> Column:
         p = F.split(x, r"\s+")
@@ -152,6 +158,11 @@ def iso_day(value: Column, precision: Column | None = None) -> Column:
     return day if precision is None else F.when(precision == 11, day)
 
 
+def day_state(value: Column, precision: Column) -> Column:
+    """Why ``iso_day`` gives a day or none: DAY, OTHER_PRECISION, NO_DATE, MISSING."""
+    return F.when(value.isNull(), "MISSING").when(F.coalesce(precision != 11, F.lit(True)), "OTHER_PRECISION").when(iso_day(value).isNull(), "NO_DATE").otherwise("DAY")
+
+
 def valid_full_date(value: Column, first: int = 1940, last: int = 2010) -> Column:
     day = iso_day(value)
     return F.coalesce(F.year(day).between(first, last), F.lit(False))

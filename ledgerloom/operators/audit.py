@@ -144,6 +144,11 @@ def precision_counts(df: DataFrame, precision: str, subject: str) -> DataFrame:
     return df.groupBy(precision).agg(F.count("*").alias("n"), F.min(subject).alias("first_subject"))
 
 
+def other_precisions(df: DataFrame, precision: str, subject: str, day: int = 11) -> DataFrame:
+    """(subject, precision) of every statement that is not of a day, those without a precision included."""
+    return df.where(~F.col(precision).eqNullSafe(F.lit(day))).select(subject, precision)
+
+
 def attempt_counts(df: DataFrame, subject: str, status: str) -> DataFrame:
     """Attempts per subject and status, and (subject null) per status over all, in one aggregation."""
     return df.groupingSets([[F.col(subject), F.col(status)], [F.col(status)]], subject, status).agg(F.count("*").alias("n"))

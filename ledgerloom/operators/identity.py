@@ -77,6 +77,20 @@ def candidate_rollup(ranked: DataFrame, identity: list[str], other: str, k: int
     return agg.withColumn("place", at).where(F.col("place") <= k).select(*identity, other, "appearances", "best", "place")
 
 
+def review_groups(rows: DataFrame, identity: list[str], season: str, candidates: DataFrame | None = None, other: str = "other") -> DataFrame:
+    """(identity, seasons, rows, candidates): one row an identity, its seasons in order and the candidates of each.
+
+    ``candidates`` has (identity, season, ``other``, score, place); ``candidates`` of the result are (season,
+    names) structs, the names best first.  Identities have few seasons and candidates by nature.
+    """
+    found = rows.groupBy(*identity).agg(F.array_sort(F.collect_set(season)).alias("seasons"), F.count("*").alias("rows"))
+    if candidates is None:
+        return found
+    per = candidates.groupBy(*identity, season).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", other))), lambda x: x[other]).alias("names"))
+    listed = per.groupBy(*identity).agg(F.array_sort(F.collect_list(F.struct(season, "names"))).alias("candidates"))
+    return found.join(listed, identity, "left")
+
+
 def short_name_match(short: DataFrame, full: DataFrame, key: list[str]) -> DataFrame:
     """``Surname I.`` against full token arrays.
 

@@ -102,6 +102,12 @@ def regular_season(matches: DataFrame, keys: list[str], order: list[str], limit:
     return matches.withColumn("_n", at).where(F.col(limit).isNull() | (F.col("_n") <= F.col(limit))).drop("_n")
 
 
+def positions(table: DataFrame, keys: tuple[str, ...] = GROUP) -> DataFrame:
+    """(keys, team, position): best points per game, then goal difference per game, then team in dictionary order, whatever its accents and case."""
+    order = Window.partitionBy(*keys).orderBy(F.desc("points_per_game"), F.desc("goal_difference_per_game"), F.collate("team", "UNICODE"), "team")
+    return table.select(*keys, "team", F.row_number().over(order).alias("position"))
+
+
 def standings(matches: DataFrame, keys: tuple[str, ...] = GROUP) -> DataFrame:
     """Table rows per team: P, W, D, L, goals, points (3/1/0) and per-game ratios."""
     sides = matches.select(*keys, F.explode(F.array(

@@ -199,7 +199,9 @@ def sorted_review(spark: SparkSession, sf: str) -> DataFrame:
 
 def dob_precision_audit(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "orders").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 40 = 0 THEN 9 WHEN o_orderkey % 90 = 1 THEN 10 ELSE 11 END AS precision")
-    return audit.precision_counts(rows, "precision", "o_orderkey")
+    counts = audit.precision_counts(rows, "precision", "o_orderkey")
+    listed = audit.other_precisions(rows, "precision", "o_orderkey").select("precision", F.lit(1).cast("long").alias("n"), F.col("o_orderkey").alias("first_subject"))
+    return counts.withColumn("kind", F.lit("count")).unionByName(listed.withColumn("kind", F.lit("row")))
 
 
 def attempt_status_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -263,6 +265,6 @@ QUERIES = {
     "except_contracts": (except_contracts, "SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0 EXCEPT ALL SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 1"),
     "dedupe_structs": (dedupe_structs, """SELECT '{"c_mktsegment":"' || c_mktsegment || '","c_nationkey":' || c_nationkey || '}' AS canonical, min(c_custkey) AS "first" FROM customer GROUP BY 1"""),
     "sorted_review": (sorted_review, _S + " SELECT association, club, id, row_number() OVER (PARTITION BY association ORDER BY club, id)::INTEGER AS position FROM s"),
-    "dob_precision_audit": (dob_precision_audit, "SELECT CASE WHEN o_orderkey % 40 = 0 THEN 9 WHEN o_orderkey % 90 = 1 THEN 10 ELSE 11 END AS precision, count(*) AS n, min(o_orderkey) AS first_subject FROM orders GROUP BY 1"),
+    "dob_precision_audit": (dob_precision_audit, "SELECT CASE WHEN o_orderkey % 40 = 0 THEN 9 WHEN o_orderkey % 90 = 1 THEN 10 ELSE 11 END AS precision, count(*) AS n, min(o_orderkey) AS first_subject, 'count' AS kind FROM orders GROUP BY 1 UNION ALL SELECT CASE WHEN o_orderkey % 40 = 0 THEN 9 ELSE 10 END, 1, o_orderkey, 'row' FROM orders WHERE o_orderkey % 40 = 0 OR o_orderkey % 90 = 1"),
     "attempt_status_counts": (attempt_status_counts, "SELECT user_id AS subject, event_type AS status, count(*) AS n FROM events GROUP BY GROUPING SETS ((user_id, event_type), (event_type))"),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import ledger
@@ -52,10 +52,7 @@ def group_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sort_standings(spark: SparkSession, sf: str) -> DataFrame:
-    order = Window.partitionBy(*ledger.GROUP).orderBy(
-        F.desc("points_per_game"), F.desc("goal_difference_per_game"), F.collate("team", "UNICODE"),
-    )
-    return standings(spark, sf).select(*ledger.GROUP, "team", F.row_number().over(order).alias("position"))
+    return ledger.positions(standings(spark, sf))
 
 
 def match_line_parse(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,13 +45,14 @@ def list_locator(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forbidden_field_guard(spark: SparkSession, sf: str) -> DataFrame:
-    plain = F.regexp_replace(F.lower("key"), "[^a-z0-9]", "")
-    return _nodes(spark, sf).where(plain.isin("kpi", "pid")).groupBy("path").agg(F.count("*").alias("violations"))
+    return N.forbidden_fields(_nodes(spark, sf), ["KPI", "p-id"])
 
 
 def labelled_id_harvest(spark: SparkSession, sf: str) -> DataFrame:
-    ids = F.col("value").try_cast("int")
-    return _nodes(spark, sf).where((F.col("kind") == "number") & F.contains(F.lower("key"), F.lit("id")) & ids.between(1, 999)).select("key", ids.alias("id")).distinct()
+    """Loose ids of the common objects, and strict ones of objects with both kinds of keys."""
+    strict = table(spark, sf, "customer").selectExpr("concat('{\"championship_Id\":\"', c_custkey % 50, '\",\"x\":[{\"ChampionshipID\":', c_custkey, '}],\"id\":7}') AS j")
+    loose = N.labelled_ids(_nodes(spark, sf)).withColumn("form", F.lit("loose"))
+    return loose.unionByName(N.labelled_ids(N.walk_rows(strict, [], "j"), strict=True).withColumn("form", F.lit("strict")))
 
 
 def field_inventory(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,9 +64,13 @@ def key_presence(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def common_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Paths that every record has a number at (relational division)."""
+    """Paths that every record has a number, or a true or false, at, and whether there is but one."""
     total = _docs(spark, sf).agg(F.count("*").alias("total"))
-    return N.common_paths(_nodes(spark, sf).where("kind = 'number'"), "c_custkey", total)
+    nodes = _nodes(spark, sf)
+    found = {kind: N.common_paths(nodes.where(F.col("kind") == kind), "c_custkey", total) for kind in ("number", "boolean")}
+    rows = [df.withColumns({"kind": F.lit(k), "status": F.lit("PATH")}) for k, df in found.items()]
+    rows += [N.only_path(df).select("path", F.lit(k).alias("kind"), "status") for k, df in found.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def schema_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,10 +210,13 @@ QUERIES = {
     "json_flatten_indexed": (json_flatten_indexed, _TREE + f" SELECT c_custkey, {_PATH} AS name, value FROM t WHERE kind NOT IN ('object', 'array')"),
     "list_locator": (list_locator, "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'players' WHEN c_custkey % 5 = 0 THEN 'squad' END AS path FROM customer"),
     "forbidden_field_guard": (forbidden_field_guard, "SELECT 'team.k-Pi' AS path, count(*) AS violations FROM customer UNION ALL SELECT 'players[' || i || '].pid', count(*) FROM customer, range(2) r(i) WHERE c_custkey % 3 = 0 GROUP BY i"),
-    "labelled_id_harvest": (labelled_id_harvest, "SELECT 'id' AS key, c_custkey::INTEGER AS id FROM customer WHERE c_custkey BETWEEN 1 AND 999 UNION SELECT 'teamId', c_nationkey FROM customer WHERE c_nationkey > 0 UNION SELECT 'pid', unnest([1, 2])"),
+    "labelled_id_harvest": (labelled_id_harvest, """SELECT 'id' AS key, c_custkey AS id, 'loose' AS form FROM customer WHERE c_custkey BETWEEN 1 AND 999 UNION SELECT 'teamId', c_nationkey, 'loose' FROM customer WHERE c_nationkey > 0 UNION SELECT 'pid', unnest([1, 2]), 'loose'
+      UNION SELECT 'championship_Id', c_custkey % 50, 'strict' FROM customer WHERE c_custkey % 50 > 0 UNION SELECT 'ChampionshipID', c_custkey, 'strict' FROM customer WHERE c_custkey BETWEEN 1 AND 999"""),
     "field_inventory": (field_inventory, f"WITH {_D}, k AS (SELECT DISTINCT c_mktsegment, unnest(json_keys(j)) AS k FROM d) SELECT c_mktsegment, string_agg(k, ',' ORDER BY k) AS fields FROM k GROUP BY 1"),
     "key_presence": (key_presence, f"WITH {_D}, k AS (SELECT unnest(json_keys(j)) AS key FROM d UNION ALL SELECT 'players[].pid' FROM d WHERE c_custkey % 3 = 0) SELECT key, count(*) AS n FROM k GROUP BY 1"),
-    "common_paths": (common_paths, _TREE + f" SELECT {_PATH} AS path FROM t WHERE kind = 'number' GROUP BY 1 HAVING count(DISTINCT c_custkey) = (SELECT count(*) FROM customer)"),
+    "common_paths": (common_paths, _TREE + f""", p AS (SELECT {_PATH} AS path, kind FROM t WHERE kind IN ('number', 'boolean') GROUP BY 1, 2 HAVING count(DISTINCT c_custkey) = (SELECT count(*) FROM customer))
+      SELECT path, kind, 'PATH' AS status FROM p UNION ALL SELECT CASE WHEN count(p.path) = 1 THEN min(p.path) END, k.kind, CASE count(p.path) WHEN 1 THEN 'ACCEPTED' WHEN 0 THEN 'NONE' ELSE 'AMBIGUOUS' END
+      FROM (SELECT unnest(['number', 'boolean']) AS kind) k LEFT JOIN p USING (kind) GROUP BY k.kind"""),
     "schema_profile": (schema_profile, """WITH s AS (SELECT '$' AS field, 'object' AS kind, CASE WHEN c_custkey % 5 = 0 THEN 7 ELSE 6 END AS length, NULL AS item_kind, CASE WHEN c_custkey % 5 = 0 THEN 'id,note,ok,players,squad,tags,team' ELSE 'id,note,ok,players,tags,team' END AS item_keys, NULL AS schema FROM customer
       UNION ALL SELECT 'tags', 'array', 2, 'string', NULL, 'ARRAY<VARIANT>' FROM customer
       UNION ALL SELECT 'players', 'array', CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 0 END, CASE WHEN c_custkey % 3 = 0 THEN 'object' END, CASE WHEN c_custkey % 3 = 0 THEN 'pid' END, CASE WHEN c_custkey % 3 = 0 THEN 'ARRAY<OBJECT<pid: BIGINT>>' ELSE 'ARRAY<VOID>' END FROM customer

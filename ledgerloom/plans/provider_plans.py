@@ -213,8 +213,13 @@ def candidate_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def review_groups(spark: SparkSession, sf: str) -> DataFrame:
-    review = identity_cascade(spark, sf).where("status = 'REVIEW_REQUIRED'")
-    return review.groupBy("association", "norm").agg(F.array_join(F.array_sort(F.collect_set("snapshot_year")), ",").alias("seasons"), F.count("*").alias("rows"))
+    """Rows without a match by association and name, with the three most similar clubs of each season's snapshot."""
+    facts, clubs, aliases, none = _identity(spark, sf)
+    review = identity.cascade(facts, clubs, aliases, none).where("status = 'REVIEW_REQUIRED'")
+    best = similar.top_k_similar(review, clubs.withColumnRenamed("norm", "other"), ["snapshot_year", "association"], "norm", "other", 3)
+    found = identity.review_groups(review, ["association", "norm"], "snapshot_year", best)
+    seasons = F.transform("candidates", lambda c: F.concat_ws(":", c["snapshot_year"].cast("string"), F.array_join(c["names"], "/")))
+    return found.select("association", "norm", F.array_join("seasons", ",").alias("seasons"), "rows", F.coalesce(F.array_join(seasons, ","), F.lit("")).alias("candidates"))
 
 
 def short_name_match(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,7 +298,13 @@ QUERIES = {
     "topk_candidates": (topk_candidates, f"WITH {_SIM} SELECT * FROM k"),
     "candidate_rollup": (candidate_rollup, f"""WITH {_SIM}, g AS (SELECT a, name, other, count(*) AS appearances, max(score) AS best, sum(round(score * 1000000)::BIGINT) / count(*) AS m FROM k GROUP BY ALL)
       SELECT a, name, other, appearances, best, row_number() OVER (PARTITION BY a, name ORDER BY best DESC, appearances DESC, m DESC, other)::INTEGER AS place FROM g QUALIFY place <= 8"""),
-    "review_groups": (review_groups, _CASCADE + " SELECT association, norm, string_agg(DISTINCT snapshot_year::VARCHAR, ',' ORDER BY snapshot_year::VARCHAR) AS seasons, count(*) AS rows FROM r WHERE status = 'REVIEW_REQUIRED' GROUP BY ALL"),
+    "review_groups": (review_groups, _CASCADE + """, q AS (SELECT association, norm, string_agg(DISTINCT snapshot_year::VARCHAR, ',' ORDER BY snapshot_year::VARCHAR) AS seasons, count(*) AS rows FROM r WHERE status = 'REVIEW_REQUIRED' GROUP BY ALL),
+      n AS (SELECT DISTINCT snapshot_year, association, norm FROM r WHERE status = 'REVIEW_REQUIRED'), o AS (SELECT DISTINCT snapshot_year, association, norm AS other FROM c),
+      x AS (SELECT *, string_split(norm, ' ') AS tn, string_split(other, ' ') AS ot, greatest(length(norm), length(other)) AS l, least(length(norm), length(other)) AS m FROM n JOIN o USING (snapshot_year, association)),
+      z AS (SELECT snapshot_year, association, norm, other, CASE WHEN norm = other THEN 1.0 ELSE greatest(1.0::DOUBLE - levenshtein(norm, other) / l, len(list_intersect(tn, ot)) / len(list_distinct(tn || ot)), CASE WHEN contains(norm, other) OR contains(other, norm) THEN m / l ELSE 0 END)::DOUBLE END AS score FROM x),
+      k AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY snapshot_year, association, norm ORDER BY score DESC, other) <= 3),
+      w AS (SELECT snapshot_year, association, norm, string_agg(other, '/' ORDER BY score DESC, other) AS names FROM k GROUP BY ALL)
+      SELECT association, norm, seasons, rows, coalesce(v.candidates, '') AS candidates FROM q LEFT JOIN (SELECT association, norm, string_agg(snapshot_year || ':' || names, ',' ORDER BY snapshot_year) AS candidates FROM w GROUP BY ALL) v USING (association, norm)"""),
     "short_name_match": (short_name_match, """WITH p AS (SELECT DISTINCT p_brand, string_split(p_name, ' ') AS t FROM part), s AS (SELECT DISTINCT p_brand, t[2] AS b, t[1][1] AS i FROM p)
       SELECT s.p_brand, b || ' ' || i || '.' AS short, array_to_string(t, ' ') AS full FROM s JOIN p ON p.p_brand = s.p_brand AND list_contains(t, b) AND len(list_filter(t, lambda x: x <> b AND starts_with(x, i))) > 0"""),
 }

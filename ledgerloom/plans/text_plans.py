@@ -72,7 +72,7 @@ def canonical_json_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 def localized_date_extract(spark: SparkSession, sf: str) -> DataFrame:
     month = F.element_at(F.lit(T.ITALIAN_MONTHS), F.month("o_orderdate"))
-    text = F.concat(F.lit("x Nato il "), F.dayofmonth("o_orderdate"), F.lit(" "), month, F.lit("zo "), F.year("o_orderdate"), F.lit(". Nata il 31 feb 1990, nato il 1 gen 1990"))
+    text = F.concat(F.lit("x Nàto il "), F.dayofmonth("o_orderdate"), F.lit(" "), month, F.lit("zo "), F.year("o_orderdate"), F.lit(". Nata il 31 feb 1990, nato il 1 gen 1990"))
     return table(spark, sf, "orders").select("o_orderkey", F.array_join(T.localized_dates(text).cast("array<string>"), ",").alias("days"))
 
 
@@ -85,7 +85,9 @@ def human_date_parse(spark: SparkSession, sf: str) -> DataFrame:
 def iso_day_normalize(spark: SparkSession, sf: str) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("+"), day, F.lit("T00:00:00Z"))).when(F.col("o_orderkey") % 3 == 1, day).otherwise(F.concat(day, F.lit("x")))
-    return table(spark, sf, "orders").select("o_orderkey", T.iso_day(text, F.when(F.col("o_orderkey") % 10 == 0, 9).otherwise(11)).alias("day"))
+    precision = F.when(F.col("o_orderkey") % 10 == 0, 9).otherwise(11)
+    text = F.when(F.col("o_orderkey") % 17 > 0, text)
+    return table(spark, sf, "orders").select("o_orderkey", T.iso_day(text, precision).alias("day"), T.day_state(text, precision).alias("state"))
 
 
 def valid_full_date(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,7 +134,8 @@ QUERIES = {
     "canonical_json": (canonical_json_digest, """SELECT c_custkey, sha256('{"k":' || c_custkey || ',"name":"' || c_name || '","z":{"a":[1,{"b":"é","y":null}],"n":' || c_nationkey || '}}') AS digest FROM customer"""),
     "localized_date_extract": (localized_date_extract, "SELECT o_orderkey, array_to_string(list_sort(list_distinct([strftime(o_orderdate, '%Y-%m-%d'), '1990-01-01'])), ',') AS days FROM orders"),
     "human_date_parse": (human_date_parse, "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN CASE WHEN day(o_orderdate) + 3 <= day(last_day(o_orderdate)) THEN o_orderdate::DATE + 3 END ELSE o_orderdate::DATE END AS day FROM orders"),
-    "iso_day_normalize": (iso_day_normalize, "SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 AND o_orderkey % 3 <> 2 THEN o_orderdate::DATE END AS day FROM orders"),
+    "iso_day_normalize": (iso_day_normalize, """SELECT o_orderkey, CASE WHEN o_orderkey % 17 > 0 AND o_orderkey % 10 <> 0 AND o_orderkey % 3 <> 2 THEN o_orderdate::DATE END AS day,
+      CASE WHEN o_orderkey % 17 = 0 THEN 'MISSING' WHEN o_orderkey % 10 = 0 THEN 'OTHER_PRECISION' WHEN o_orderkey % 3 = 2 THEN 'NO_DATE' ELSE 'DAY' END AS state FROM orders"""),
     "valid_full_date": (valid_full_date, "SELECT o_orderkey, o_orderkey % 14 BETWEEN 1 AND 12 AND year(o_orderdate) + o_orderkey % 30 - 10 BETWEEN 1940 AND 2010 AS valid FROM orders"),
     "epoch_to_utc_date": (epoch_to_utc_date, "SELECT event_id, ts::DATE AS day FROM events"),
     "keyword_hit_counts": (keyword_hit_counts, """SELECT doc_id, needle, ((length(text) - length(replace(text, needle, ''))) // length(needle))::INTEGER AS hits
