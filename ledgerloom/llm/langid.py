@@ -23,6 +23,8 @@ GRAMS = (2, 3)
 DIMS = 1 << 12
 CLUSTERS = 3
 PER_LANGUAGE = 400
+#: Languages that a model learns at most: those of the most training rows.
+LANGUAGES = 500
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13, *range(33, 65), *range(91, 97), *range(123, 127)]] = 32
@@ -113,9 +115,11 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 
 def train(docs: DataFrame, divisor: int = 4, held_out: int = 2, clusters: int = CLUSTERS,
-          per_language: int = PER_LANGUAGE) -> Model:
+          per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Model:
     """Document frequencies come from all training rows, centroids from a bounded sample.
 
+    At most ``languages`` values of ``lang`` are learned, those of the most training rows (of equal ones
+    the first by name), so neither the sample nor the model grows with a column that holds noise.
     The sample is at most ``per_language`` rows of each language, chosen by a hash of the id (the bound
     holds for rows where several share an id); only centroids come to the driver.  Rows with a null
     language or text do not count, rows with a null id count for the frequencies alone, repeated rows
@@ -136,7 +140,8 @@ def train(docs: DataFrame, divisor: int = 4, held_out: int = 2, clusters: int =
         return rows.withColumn("_k", at).where(F.col("_k") <= per_language).drop("_k")
 
     # a language is ranked in 8 parts before it is ranked as a whole
-    ids = usable.select("doc_id", "lang").where("doc_id IS NOT NULL").withColumn("_part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(8)))
+    known = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
+    ids = usable.select("doc_id", "lang").join(F.broadcast(known), "lang").where("doc_id IS NOT NULL").withColumn("_part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(8)))
     chosen = first(first(ids, "lang", "_part").drop("_part"), "lang").select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     mine = (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))
     sample = first(usable.join(F.broadcast(chosen), mine).select("doc_id", "lang", "text"), "lang").select("lang", "text")

@@ -206,3 +206,61 @@ def test_samples_leave_the_held_out_rows(spark):
     labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("y"))
     got = samples.labelled_sample(docs, labels, "y", 5, 30, 20).collect()
     assert len(got) == 50 and all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in got)
+
+
+def test_search_of_large_components(spark):
+    """Finite components of any size are ranked exactly; what passes 64 bits has no score."""
+    rng = np.random.default_rng(4)
+    vectors = [(i, [float(v) for v in rng.choice([1e12, -1e12, 1e300, -1e300, 3.5, -2.25, 1e9 + 0.1, 0.0], 4)]) for i in range(40)]
+    vectors += [(100, [1e12, 1.0, 0.0, 0.0]), (101, [1e12, 1.0, 0.0, 0.0]), (102, [1.7e308] * 4), (103, [7e6, 1e7, 1e6, 1.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    whole = {i: [int(min(max(np.floor(256 * np.float64(c)), -1.7976931348623157e308), 1.7976931348623157e308)) for c in v] for i, v in vectors}
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df.where("vec_id % 10 = 0 OR vec_id > 90"), df, k=6).collect())
+    want = []
+    for q in whole:
+        if q % 10 == 0 or q > 90:
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:6]
+            want += [(q, k, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for k, (s, i) in enumerate(scores, 1)]
+    assert got == sorted(want)
+
+
+def test_languages_are_bounded(spark):
+    """Of a column that holds noise only the languages of the most rows are learned."""
+    rows = [(i, f"some words of text {i}", f"noise{i}") for i in range(200)] + [(1000 + i, "der die das und ist", "de") for i in range(40)] + [(2000 + i, "the of and is to", "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, languages=2)
+    assert model.languages == ["de", "en"]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs.where("doc_id >= 1000"), model).collect()}
+    assert all(got[i] == ("de" if i < 2000 else "en") for i in got)
+
+
+def test_language_ties_repeated_rows_and_other_columns(spark):
+    """Equal cosines give the language that sorts first; repeated rows and clashing columns change nothing."""
+    rows = [(i, "same words here", lang, 1, "x") for i, lang in enumerate(["b", "a"] * 20)] + [(90, "same words here", None, 2, "y"), (90, "same words here", None, 2, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int, lang_pred string")
+    found = langid.predict(docs, langid.train(docs, clusters=1), reject_as=None).collect()
+    assert len(found) == 42 and {r.lang_pred for r in found} == {"a"} and len({round(r.score, 6) for r in found}) == 1
+
+
+def test_nearest_centroid_against_a_plain_version(spark):
+    """Predictions and cosines are those of vectors made gram by gram."""
+    rng = np.random.default_rng(0)
+    words = {"de": "der die und ist nicht ein Haus Baum".split(), "en": "the and is not a house tree of".split(), "fr": "le la et est pas une maison arbre".split()}
+    rows = [(i, " ".join(rng.choice(words[lang], 12)), lang) for i, lang in enumerate(["de", "en", "fr"] * 30)] + [(900, "x" * 3000 + " the house", None), (901, "", None), (902, "12 !", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model, reject_as=None).collect()}
+    for i, text, _ in rows:
+        if not any(c.isalpha() for c in text):
+            assert got[i] == ("und", 0.0)
+            continue
+        data = langid._FOLD[np.frombuffer(text.encode(), np.uint8)]
+        tf = np.zeros(langid.DIMS)
+        for n in langid.GRAMS:
+            for a in range(len(data) - n + 1):
+                h = sum(int(langid.W._stream(71, 256)[data[a + j]]) * int(langid.W.coefficients(0, 64)[j]) for j in range(n))
+                tf[((h * 0x9E3779B97F4A7C15) % (1 << 64)) >> 52] += 1
+        (v,) = langid.vectors(tf[None, :], model.idf)
+        cosines = [float(c @ v) for c in model.centroids]
+        best = int(np.argmax(cosines))
+        assert got[i][0] == model.languages[model.owner[best]] and abs(got[i][1] - min(max(cosines[best], 0), 1)) < 1e-6
