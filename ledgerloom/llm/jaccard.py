@@ -26,14 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
 from .scratch import Scratch
 
-WORDS, PERCENT, BLOCK_ROWS = 5, 75, 256
+WORDS, PERCENT, BLOCK_ROWS, TILE_BYTES = 5, 75, 256, 64 << 20
 _BUCKET_BITS = 18
 _BUCKETS = 1 << _BUCKET_BITS
 _REST = np.uint64(64 - _BUCKET_BITS)
@@ -173,6 +173,11 @@ def _sets(k: int, ranks):
     return run
 
 
+def rows_or_bytes(block_rows: int, tile_bytes: int) -> Column:
+    """Size of a group in rows, or as many as its sets' bytes stand for where that is more."""
+    return F.greatest(F.count("*"), F.ceil(F.sum("bytes") / tile_bytes * block_rows).cast("long"))
+
+
 def deal(members: DataFrame, block_rows: int) -> DataFrame:
     """Members (leader, size, doc_id, ...) of groups with the tile they meet in; a leader is in every tile."""
     tiles = F.ceil(F.col("size") / block_rows).cast("long")
@@ -181,14 +186,16 @@ def deal(members: DataFrame, block_rows: int) -> DataFrame:
     return members.select("leader", F.explode(at).alias("tile"), *[c for c in members.columns if c not in ("leader", "size")])
 
 
-def apart(groups: DataFrame, found: DataFrame) -> DataFrame:
+def apart(groups: DataFrame, found: DataFrame, size: Column | None = None) -> DataFrame:
     """(leader, doc_id, main, others, rest): members of groups that are not one component yet.
 
     ``found`` has (u, component) of linked members.  ``main`` is the size of a group's largest component,
-    ``others`` the number of its other members, ``rest`` whether the member is one of these.
+    ``others`` the number of its other members, ``rest`` whether the member is one of these.  ``size`` is
+    how members are counted, rows by default.
     """
-    named = groups.join(found.withColumnRenamed("u", "doc_id"), "doc_id", "left").select("leader", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    sizes = named.groupBy("leader", "component").agg(F.count("*").alias("n")).groupBy("leader").agg(
+    more = [c for c in groups.columns if c == "bytes"]
+    named = groups.join(found.withColumnRenamed("u", "doc_id"), "doc_id", "left").select("leader", "doc_id", F.coalesce("component", "doc_id").alias("component"), *more)
+    sizes = named.groupBy("leader", "component").agg((F.count("*") if size is None else size).alias("n")).groupBy("leader").agg(
         F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("main"), (F.sum("n") - F.max("n")).alias("others"),
     )
     return named.join(sizes.where("others > 0"), "leader").select("leader", "doc_id", "main", "others", (F.col("component") != F.col("largest")).alias("rest"))
@@ -414,7 +421,7 @@ def _join_block(percent: int):
 
 
 def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_rows: int = BLOCK_ROWS,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   tile_bytes: int = TILE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
     Documents link when 100 * intersection >= percent * union of their sets of ``words``-word
@@ -463,14 +470,17 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         large = groups.where(F.col("size") > block_rows)
         if large.isEmpty():  # every group was one tile
             return edges
-        split = scratch.write(apart(large, components(edges, scratch, f"{name}_tiles")), f"{name}_apart")
+        by = rows_or_bytes(block_rows, tile_bytes) if "bytes" in groups.columns else None
+        split = scratch.write(apart(large, components(edges, scratch, f"{name}_tiles"), by), f"{name}_apart")
         return edges.unionByName(meet(deal_again(attach(split), block_rows), work, f"{name}_again"))
 
     maybe = linked(groups, with_bits, _sift_block(percent), "maybe")
     near = components(maybe, scratch, "candidates").select(F.col("u").alias("doc_id"), "component")
     near = scratch.write(near.unionByName(near.select(F.col("component").alias("doc_id"), "component")).distinct(), "near")
-    whole = near.join(near.groupBy("component").agg(F.count("*").alias("size")), "component")
-    blocks = scratch.write(whole.select(F.col("component").alias("leader"), "size", "doc_id"), "blocks")
+    # tiles of sets are bounded by rows and by bytes
+    near = near.join(kept.select("doc_id", (8 * F.col("n_shingles")).alias("bytes")).hint("merge"), "doc_id")
+    whole = near.join(near.groupBy("component").agg(rows_or_bytes(block_rows, tile_bytes).alias("size")), "component")
+    blocks = scratch.write(whole.select(F.col("component").alias("leader"), "size", "doc_id", "bytes"), "blocks")
     links = linked(blocks, with_sets, _join_block(percent), "edges")
     placed = scratch.write(
         sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").join(reps, ["s1", "s2", "n_shingles"]).select("doc_id", "node"), "placed",

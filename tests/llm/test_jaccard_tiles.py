@@ -33,8 +33,8 @@ def test_a_family_travels_once(spark):
     assert jaccard.apart(members.where("doc_id < 20000"), found).count() == 0
 
 
-@pytest.mark.parametrize("rows", [3, 17])
-def test_two_families_and_strangers_in_tiles(spark, rows):
+@pytest.mark.parametrize("rows, size", [(3, 64 << 20), (17, 64 << 20), (256, 900)])
+def test_two_families_and_strangers_in_tiles(spark, rows, size):
     r = random.Random(rows)
     one, two = [f"a{i}" for i in range(40)], [f"a{i}" if i < 20 else f"b{i}" for i in range(40)]
     docs = []
@@ -45,10 +45,24 @@ def test_two_families_and_strangers_in_tiles(spark, rows):
         elif i % 2:
             ws[r.randrange(40)] = f"z{i}"
         docs.append((i * 20, " ".join(ws)))
-    got = sorted(tuple(x) for x in jaccard.jaccard_groups(frame(spark, docs), block_rows=rows).collect())
+    got = sorted(tuple(x) for x in jaccard.jaccard_groups(frame(spark, docs), block_rows=rows, tile_bytes=size).collect())
     assert got == brute.jaccard_groups(docs)
 
 
+def test_tiles_are_bounded_by_bytes(spark):
+    """40 long sets of one group: few rows, many bytes."""
+    members = spark.range(40).select(F.lit(0).cast("long").alias("leader"), F.col("id").alias("doc_id"), F.lit(8_000_000).cast("long").alias("bytes"))
+    size = members.groupBy("leader").agg(jaccard.rows_or_bytes(256, 64 << 20).alias("size"))
+    dealt = jaccard.deal(members.join(size, "leader"), 256)
+    held = Counter()
+    for r in dealt.collect():
+        held[r.tile] += r.bytes
+    assert len(held) == 5 and max(held.values()) < 3 * (64 << 20)
+    found = spark.range(1, 30).select(F.col("id").alias("u"), F.lit(0).cast("long").alias("component"))
+    split = jaccard.apart(members.join(size, "leader"), found, jaccard.rows_or_bytes(256, 64 << 20))
+    assert {(r.main, r.others) for r in split.collect()} == {(916, 310)}
+
+
 def test_several_texts_of_one_id(spark):
     a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
     rows = [(1, a), (2, a + " tail"), (3, b), (2, b), (4, "x y z"), (4, None)]
