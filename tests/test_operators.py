@@ -99,7 +99,6 @@ def test_audit_counts(spark):
     assert rows(audit.suffix_counts(df, "p", r"^(\d+)-", F.col("u").isNotNull())) == [("1", 2, 2), ("2", 1, 0)]
     assert rows(audit.precision_counts(df, "o", "i")) == [(5, 2, 1), (6, 1, 2)]
     assert rows(audit.attempt_counts(df, "u", "o")) == sorted([(1, 5, 1), (1, 6, 1), (None, 5, 1), (None, 5, 2), (None, 6, 1)], key=str)
-    assert rows(audit.year_profile(df, F.lit(2000), "o", "i", "p", "labels")) == [(2000, 3, 2, 1, 3, "1-a,1-b,2-a")]
 
 
 def test_audit_picks(spark):
