@@ -40,25 +40,41 @@ _PAIR = ("doc_id", "fp", "partner", "partner_fp")
 _EDGES = np.array([0x452821E638D01377, 0xBE5466CF34E90C6C], np.uint64)
 
 
-def _lines(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, 128-bit hashes of its non-blank lines as two columns, their word counts)."""
+def _lines(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, rows, row of each non-blank line from there, its 128-bit hash as two columns, its words) by slices."""
     for ln, ws in zip(W.word_slices(column, separators=W.IS_NEWLINE), W.word_slices(column)):
         n = np.searchsorted(ws.starts, ln.ends) - np.searchsorted(ws.starts, ln.starts)
+        keep = n > 0
         both = np.stack([ln.hashes, W.word_hashes(ln.data, ln.starts, ln.ends, 1)], axis=1)
-        for i in range(ln.rows):
-            a, b = int(ln.bounds[i]), int(ln.bounds[i + 1])
-            keep = n[a:b] > 0
-            yield ln.first + i, both[a:b][keep], n[a:b][keep]
+        yield ln.first, ln.rows, ln.row_of_word()[keep], both[keep], n[keep]
+
+
+def _once(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which lines their document holds once, the place of the first line of every hash of a document)."""
+    order = np.lexsort((h, row))
+    r, v = row[order], h[order]
+    new = np.ones(len(order) + 1, bool)
+    new[1:-1] = (r[1:] != r[:-1]) | (v[1:] != v[:-1])
+    once = np.empty(len(order), bool)
+    once[order] = new[:-1] & new[1:]
+    return once, order[new[:-1]]
+
+
+def _edges(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of the first and of the last line of every document, as such."""
+    if len(row) == 0:
+        return row, h
+    first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    last = np.append(first[1:] - 1, len(row) - 1)
+    with np.errstate(over="ignore"):
+        return np.tile(row[first], 2), W.mix64(np.concatenate([h[first] + _EDGES[0], h[last] + _EDGES[1]]))
 
 
-def _marks(h: np.ndarray, n: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, nominates, anchor) of the distinct lines of a document and of its first and last line as such."""
-    if len(h) == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool)
-    lines, first, count = np.unique(h, return_index=True, return_counts=True)
-    with np.errstate(over="ignore"):
-        edges = W.mix64(h[[0, -1]] + _EDGES)
-    return np.concatenate([lines, edges]), np.concatenate([n[first] >= min_words, [False, False]]), np.concatenate([count == 1, [True, True]])
+def _marks(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, hash, anchor) of the distinct lines of each document, and of its edges."""
+    once, distinct = _once(row, h)
+    edge_row, edge = _edges(row, h)
+    return np.concatenate([row[distinct], edge_row]), np.concatenate([h[distinct], edge]), np.append(once[distinct], np.ones(len(edge), bool))
 
 
 def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -116,36 +132,30 @@ def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
 
 
-def _batch_marks(batch: pa.RecordBatch, min_words: int) -> tuple[np.ndarray, ...]:
-    """(hash, doc_id, fp, nominates, anchor) of all marks of a batch."""
-    ids, prints = _keys(batch)
-    found, rows = [(np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool))], [np.zeros(0, np.int64)]
-    for i, h, n in _lines(batch.column(2)):
-        found.append(_marks(h[:, 0], n, min_words))
-        rows.append(np.full(len(found[-1][0]), i))
-    h, nominates, anchor = (np.concatenate(x) for x in zip(*found))
-    r = np.concatenate(rows)
-    return h.view(np.int64), ids[r], prints[r], nominates, anchor
+def _joined(parts: list[tuple], *kinds: str) -> list[np.ndarray]:
+    """The columns of tuples of arrays, also of none."""
+    return [np.concatenate([np.zeros(0, kind), *column]) for kind, column in zip(kinds, list(zip(*parts)) or [()] * len(kinds))]
 
 
-def _holders(min_words: int):
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a batch knows of each mark: first and last document, their number, and that of documents where it is an anchor."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, ids, prints, _, anchor = _batch_marks(batch, min_words)
-            if len(h) == 0:
-                continue
-            order = np.lexsort((prints, ids, h))
-            h, ids, prints, anchor = h[order], ids[order], prints[order], anchor[order]
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            count = np.diff(np.append(first, len(h)))
-            last = first + count - 1
-            anchored = np.minimum.reduceat(np.where(anchor, ids, np.iinfo(np.int64).max), first)
-            columns = [h[first], ids[first], prints[first], ids[last], count, anchored, np.add.reduceat(anchor.astype(np.int64), first)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "lo", "lo_fp", "hi", "n", "lo_anchor", "n_anchor"])
-
-    return run
+    for batch in batches:
+        ids, prints = _keys(batch)
+        parts = []
+        for first, _, row, both, _ in _lines(batch.column(2)):
+            r, h, anchor = _marks(row, both[:, 0])
+            parts.append((r + first, h, anchor))
+        r, h, anchor = _joined(parts, "i8", "u8", "?")
+        if len(h) == 0:
+            continue
+        h, own, fp = h.view(np.int64), ids[r], prints[r]
+        order = np.lexsort((fp, own, h))
+        h, own, fp, anchor = h[order], own[order], fp[order], anchor[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        count = np.diff(np.append(first, len(h)))
+        anchored = np.minimum.reduceat(np.where(anchor, own, np.iinfo(np.int64).max), first)
+        columns = [h[first], own[first], fp[first], own[first + count - 1], count, anchored, np.add.reduceat(anchor.astype(np.int64), first)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "lo", "lo_fp", "hi", "n", "lo_anchor", "n_anchor"])
 
 
 def _places(min_words: int):
@@ -154,23 +164,16 @@ def _places(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, prints = _keys(batch)
-            found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))]
-            for _, h, n in _lines(batch.column(2)):
-                own = h[:, 0]
-                if len(own) == 0:
-                    found.append(found[0])
-                    continue
-                order = np.argsort(own, kind="stable")
-                new = own[order][1:] != own[order][:-1]
-                once = np.empty(len(own), bool)
-                once[order] = np.append(True, new) & np.append(new, True)
-                line = np.where(n >= min_words, np.arange(len(own)), -1)
+            parts = []
+            for first, rows, row, both, n in _lines(batch.column(2)):
+                h = both[:, 0]
+                once, _ = _once(row, h)
+                line = np.where(n >= min_words, np.arange(len(row)) - np.searchsorted(row, np.arange(rows))[row], -1)
                 keep = once | (line >= 0)
-                with np.errstate(over="ignore"):
-                    edges = W.mix64(own[[0, -1]] + _EDGES)
-                found.append((np.concatenate([own[keep], edges]), np.append(line[keep], [-1, -1]), np.append(once[keep], [True, True])))
-            r = np.repeat(np.arange(len(ids)), [len(x[0]) for x in found[1:]])
-            h, line, once = (np.concatenate(x) for x in zip(*found))
+                edge_row, edge = _edges(row, h)
+                none = np.full(len(edge), -1)
+                parts.append((np.append(row[keep], edge_row) + first, np.append(h[keep], edge), np.append(line[keep], none), np.append(once[keep], none < 0)))
+            r, h, line, once = _joined(parts, "i8", "u8", "i8", "?")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), pa.array(ids[r]), pa.array(prints[r]), pa.array(line.astype(np.int32)), pa.array(once)], ["h", "doc_id", "fp", "line", "anchor"],
             )
@@ -184,9 +187,12 @@ def _sequences(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seqs, whole = [], []
-            for _, h, n in _lines(batch.column(2)):
-                seqs.append(h.tobytes())
-                whole.append(blake2b(seqs[-1], digest_size=16).digest() if (n >= min_words).any() else None)
+            for _, rows, row, both, n in _lines(batch.column(2)):
+                raw, cuts = both.tobytes(), np.searchsorted(row, np.arange(rows + 1)).tolist()
+                nominating = np.bincount(row, n >= min_words, rows) > 0
+                for i in range(rows):
+                    seqs.append(raw[16 * cuts[i] : 16 * cuts[i + 1]])
+                    whole.append(blake2b(seqs[-1], digest_size=16).digest() if nominating[i] else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(seqs, pa.binary()), pa.array(whole, pa.binary())], ["doc_id", "fp", "seq", "whole"],
             )
@@ -198,13 +204,10 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, partner, partner_fp, anchor) of every mark of line sequences."""
     for batch in batches:
         ids, prints = _keys(batch)
-        found = [(np.zeros(0, np.uint64), None, np.zeros(0, bool))]
-        for seq in batch.column(2).to_pylist():
-            h = np.frombuffer(seq, np.uint64)[::2]
-            found.append(_marks(h, np.ones(len(h)), 1))
-        rows = np.repeat(np.arange(len(ids)), [len(x[0]) for x in found[1:]])
-        h, anchor = np.concatenate([x[0] for x in found]).view(np.int64), np.concatenate([x[2] for x in found])
-        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[rows]), pa.array(prints[rows]), pa.array(anchor)], ["h", "partner", "partner_fp", "anchor"])
+        seqs = batch.column(2).to_pylist()
+        row = np.repeat(np.arange(len(seqs)), [len(x) // 16 for x in seqs])
+        r, h, anchor = _marks(row, np.frombuffer(b"".join(seqs), np.uint64)[::2])
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[r]), pa.array(prints[r]), pa.array(anchor)], ["h", "partner", "partner_fp", "anchor"])
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +259,7 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     rows = rows.withColumn("_fp", F.xxhash64("text"))
     given = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("_fp").alias("fp"), "text")
     shared = scratch.write(
-        given.mapInArrow(_holders(min_words), "h long, lo long, lo_fp long, hi long, n long, lo_anchor long, n_anchor long").repartition(parts, "h").groupBy("h")
+        given.mapInArrow(_holders, "h long, lo long, lo_fp long, hi long, n long, lo_anchor long, n_anchor long").repartition(parts, "h").groupBy("h")
         .agg(F.min(F.struct("lo", "lo_fp")).alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.min("lo_anchor").alias("lo_anchor"), F.sum("n_anchor").alias("n_anchor"))
         .where("lo.lo < hi").selectExpr("h", "lo.lo AS partner", "lo.lo_fp AS partner_fp", "n", "lo_anchor", "n_anchor"), "shared",
     )
