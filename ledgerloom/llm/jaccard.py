@@ -33,7 +33,7 @@ from . import words as W
 from .components import components
 from .scratch import Scratch
 
-WORDS, PERCENT, BLOCK_ROWS, TILE_BYTES = 5, 75, 256, 64 << 20
+WORDS, PERCENT, BLOCK_ROWS, TILE_BYTES = 5, 75, 1000, 64 << 20
 _BUCKET_BITS = 18
 _BUCKETS = 1 << _BUCKET_BITS
 _REST = np.uint64(64 - _BUCKET_BITS)
