@@ -55,7 +55,8 @@ def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     All rows with that id stay, repeated ones included.  Null and empty texts link with nothing and
     stay, and so do documents with a null doc_id.
     """
-    others = jaccard_groups(docs).where("component_id < doc_id").select("doc_id")
+    # small tiles: the workers also hold what the other stages have loaded
+    others = jaccard_groups(docs, block_rows=256).where("component_id < doc_id").select("doc_id")
     return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
 
 
