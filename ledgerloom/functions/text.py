@@ -4,7 +4,9 @@ over distinct values where a column repeats; everything else is JVM expressions.
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -52,6 +54,27 @@ def unescape(x: pd.Series) -> pd.Series:
     return _each(x, html.unescape)
 
 
+_REFERENCE = re.compile("&(#[0-9]+;|#[xX][0-9a-fA-F]+;|[A-Za-z][A-Za-z0-9]*;)?")
+
+
+def by_reference(text: str, ended, other) -> str:
+    """The text with ``ended`` of every known reference that ends in a semicolon, and with ``other`` in the place of any other ampersand."""
+
+    def one(m: re.Match) -> str:
+        name = m[1]
+        if name and (name[0] == "#" or name in html5):
+            return ended(m[0])
+        return other + m[0][1:]
+
+    return _REFERENCE.sub(one, text)
+
+
+@pandas_udf(StringType())
+def unescape_ended(x: pd.Series) -> pd.Series:
+    """Only references that end in a semicolon are decoded, as in XML."""
+    return _each(x, lambda v: by_reference(v, html.unescape, "&"))
+
+
 def without_marks(x: Column) -> Column:
     """NFKD without combining marks; plain ASCII never leaves the JVM as text."""
     plain = x.rlike(r"^[\x00-\x7F]*$")
@@ -91,10 +114,13 @@ def club_key(x: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(nfkc(x), r"\s+", " ")))
 
 
-def html_text(x: Column) -> Column:
-    """Line breaks as spaces, tags dropped, entities decoded, spaces collapsed."""
+def html_text(x: Column, ended: bool = False) -> Column:
+    """Line breaks as spaces, tags dropped, entities decoded, spaces collapsed.
+
+    Old entities without a semicolon (``&amp``) are decoded too, as browsers do; with ``ended`` they stay as they are.
+    """
     flat = F.regexp_replace(F.regexp_replace(x, r"(?i)<br\s*/?>", " "), "<[^>]*>", "")
-    return F.trim(F.regexp_replace(unescape(flat), r"[\s ]+", " "))
+    return F.trim(F.regexp_replace((unescape_ended if ended else unescape)(flat), r"[\s ]+", " "))
 
 
 def name_similarity(a: Column, b: Column) -> Column:
