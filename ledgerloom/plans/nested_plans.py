@@ -165,7 +165,7 @@ def route_candidate_filter(spark: SparkSession, sf: str) -> DataFrame:
 def page_identity(spark: SparkSession, sf: str) -> DataFrame:
     html = F.concat(F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<link rel="canonical" href="'), "url", F.lit('">'))).when(
         F.col("page_id") % 3 == 1, F.concat(F.lit("<link href='"), "url", F.lit("' rel=canonical>"))).otherwise(""), "html")
-    return table(spark, sf, "pages").select("page_id", D.page_parts("canonical", "h1")(html).alias("p")).select("page_id", "p.*")
+    return table(spark, sf, "pages").select("page_id", D.page_parts("canonical", "h1", ended=True)(html).alias("p")).select("page_id", "p.*")
 
 
 def key_binding_check(spark: SparkSession, sf: str) -> DataFrame:
