@@ -190,7 +190,7 @@ def country_code_map(spark: SparkSession, sf: str) -> DataFrame:
 
 def src_html_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as gzip files' bytes, read as such files are."""
-    stored = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("path"), F.unbase64(files.packed("html")).alias("content"))
+    stored = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("path"), files.gzipped("html").alias("content"))
     return files.pages(stored).select(F.col("path").cast("long").alias("page_id"), F.length("html").alias("chars"), "bytes", "sha256", "charset")
 
 

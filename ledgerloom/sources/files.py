@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType, StringType
 
 
@@ -40,26 +40,47 @@ def write_records(df: DataFrame, path: str, keys: list[str], fields: list[str],
     listed.select(F.lit(status).alias("status"), "records").write.json(path)
 
 
-@pandas_udf(BinaryType())
-def decompress(x: pd.Series) -> pd.Series:
+def _each(x: pa.Array, f, kind: pa.DataType) -> pa.Array:
+    """f over the values of a batch; what it gives is Arrow soon, so few values are held as objects too."""
+    out, held, size = [], [], 0
+    for v in x:
+        held.append(f(v.as_py()))
+        size += len(held[-1] or "")
+        if size > 1 << 20:
+            out.append(pa.array(held, kind))
+            held, size = [], 0
+    return pa.concat_arrays([*out, pa.array(held, kind)])
+
+
+@arrow_udf(BinaryType())
+def decompress(x: pa.Array) -> pa.Array:
     """gzip or xz by their first bytes, null if damaged; anything else as it is."""
 
     def one(b):
         if b is None:
             return None
-        b = bytes(b)
         try:
             return gzip.decompress(b) if b[:2] == b"\x1f\x8b" else lzma.decompress(b) if b[:6] == b"\xfd7zXZ\x00" else b
         except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError):
             return None
 
-    return x.map(one)
+    return _each(x, one, pa.binary())
+
+
+def _gzip(text: str) -> bytes:
+    return gzip.compress(text.encode(), mtime=0)
+
+
+@arrow_udf(BinaryType())
+def gzipped(x: pa.Array) -> pa.Array:
+    """gzip (fixed time stamp)."""
+    return _each(x, lambda t: None if t is None else _gzip(t), pa.binary())
 
 
-@pandas_udf(StringType())
-def packed(x: pd.Series) -> pd.Series:
+@arrow_udf(StringType())
+def packed(x: pa.Array) -> pa.Array:
     """gzip (fixed time stamp) as base64."""
-    return x.map(lambda t: None if t is None else base64.b64encode(gzip.compress(t.encode(), mtime=0)).decode())
+    return _each(x, lambda t: None if t is None else base64.b64encode(_gzip(t)).decode(), pa.string())
 
 
 def chunk(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
