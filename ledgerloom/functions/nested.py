@@ -149,16 +149,31 @@ def _is_json(text: str | None) -> bool:
         return False
 
 
-def walk_rows(df: DataFrame, keep: list[str], text: str, rows: int = 20_000) -> DataFrame:
+def _letters(name: str) -> str:
+    return re.sub("[^a-z0-9]", "", name.lower())
+
+
+def walk_rows(df: DataFrame, keep: list[str], text: str, rows: int = 20_000, named: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of every row beside (path, key, kind, value) of each node of its JSON text, in document order.
 
     Nodes leave a task in batches of ``rows``, so memory follows the longest text, not the number of its
-    nodes.  A text that is no JSON has none.
+    nodes.  A text that is no JSON has none.  With ``named`` only nodes leave whose key is one of these names,
+    lower-cased and without anything but a-z and 0-9.
     """
+    wanted = None if named is None else {_letters(name) for name in named}
     kept = df.select(*keep)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "path string", "key string", "kind string", "value string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str | None, bool] = {None: False}  # keys, whether they are wanted
+
+        def want(key: str | None) -> bool:
+            if key not in known:
+                if len(known) > 10_000:
+                    known.clear()
+                known[key] = key is not None and _letters(key) in wanted
+            return known[key]
+
         for batch in batches:
             at, nodes = [], []
 
@@ -172,6 +187,8 @@ def walk_rows(df: DataFrame, keep: list[str], text: str, rows: int = 20_000) ->
             for i in range(batch.num_rows):
                 body = batch.column(len(keep))[i].as_py()
                 for node in stream(body) if _is_json(body) else ():
+                    if wanted is not None and not want(node[1]):
+                        continue
                     at.append(i)
                     nodes.append(node)
                     if len(nodes) == rows:
@@ -308,7 +325,7 @@ def result_payloads(df: DataFrame, parents: list[str], results: str) -> DataFram
 
 def forbidden_fields(nodes: DataFrame, denied: list[str]) -> DataFrame:
     """(path, violations): nodes whose key, lower-cased and without anything but a-z and 0-9, is a denied name; whole names only."""
-    names = [re.sub("[^a-z0-9]", "", d.lower()) for d in denied]
+    names = [_letters(d) for d in denied]
     return nodes.where(F.regexp_replace(F.lower("key"), "[^a-z0-9]", "").isin(names)).groupBy("path").agg(F.count("*").alias("violations"))
 
 

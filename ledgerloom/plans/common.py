@@ -11,6 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt to some tasks a core by ``keys``: a small table is often one row group of one file, so one task, whatever its rows cost later."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A match ledger made of order lines: season, competition, teams, goals; no self-matches."""
     return table(spark, sf_dir, "lineitem").selectExpr(

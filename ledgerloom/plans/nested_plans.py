@@ -13,7 +13,7 @@ from ledgerloom.functions import scan as S
 from ledgerloom.functions import text as T
 from ledgerloom.operators import providers, records
 from ledgerloom.sources import files
-from .common import table
+from .common import spread, table
 
 # The same nested JSON in both engines: an object with an object, a list of mixed items and a null.
 _JSON = """concat('{"id":', c_custkey, ',"team":{"teamId":', c_nationkey, ',"k-Pi":"', c_mktsegment, '"},"tags":["a",{"k":', c_custkey % 7, '}],"players":[',
@@ -21,7 +21,8 @@ _JSON = """concat('{"id":', c_custkey, ',"team":{"teamId":', c_nationkey, ',"k-P
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").selectExpr("c_custkey", f"{_JSON} AS j", "c_mktsegment")
+    rows = spread(table(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey")
+    return rows.selectExpr("c_custkey", f"{_JSON} AS j", "c_mktsegment")
 
 
 def _nodes(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,12 +46,13 @@ def list_locator(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forbidden_field_guard(spark: SparkSession, sf: str) -> DataFrame:
-    return N.forbidden_fields(_nodes(spark, sf), ["KPI", "p-id"])
+    denied = ["KPI", "p-id"]
+    return N.forbidden_fields(N.walk_rows(_docs(spark, sf), [], "j", named=denied), denied)
 
 
 def labelled_id_harvest(spark: SparkSession, sf: str) -> DataFrame:
     """Loose ids of the common objects, and strict ones of objects with both kinds of keys."""
-    strict = table(spark, sf, "customer").selectExpr("concat('{\"championship_Id\":\"', c_custkey % 50, '\",\"x\":[{\"ChampionshipID\":', c_custkey, '}],\"id\":7}') AS j")
+    strict = spread(table(spark, sf, "customer", "c_custkey"), "c_custkey").selectExpr("concat('{\"championship_Id\":\"', c_custkey % 50, '\",\"x\":[{\"ChampionshipID\":', c_custkey, '}],\"id\":7}') AS j")
     loose = N.labelled_ids(_nodes(spark, sf)).withColumn("form", F.lit("loose"))
     return loose.unionByName(N.labelled_ids(N.walk_rows(strict, [], "j"), strict=True).withColumn("form", F.lit("strict")))
 
