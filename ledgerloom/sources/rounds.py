@@ -40,13 +40,15 @@ def column_names(header: str, taken: tuple[str, ...] = ("year", "round", "file")
 def csv_headers(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
     """(file, year, round, bytes, header): the first line with any text of every CSV file; files without one have no row.
 
-    The first lines are those of the blocks at offset 0, so only one row a file is kept of the scan.
+    The first lines are those of the blocks at offset 0.  One scan numbers the lines and keeps the least number
+    of a file, a second one the line of that number, so no lines are sorted; files are dealt to tasks alike both times.
     """
     meta = F.col("_metadata")
     lines = spark.read.text(path).select("value", meta["file_path"].alias("file"), meta["file_size"].alias("bytes"), meta["file_block_start"].alias("start"))
     first = lines.where((F.col("start") == 0) & (F.trim(F.replace("value", F.lit("\ufeff"), F.lit(""))) != "")).withColumn("at", F.monotonically_increasing_id())
-    found = first.groupBy("file").agg(F.max("bytes").alias("bytes"), F.min_by("value", "at").alias("header"))
-    return found.select("file", *_slot(F.col("file"), pattern), "bytes", "header")
+    least = first.groupBy("file").agg(F.min("at").alias("at"))
+    found = first.join(F.broadcast(least), ["file", "at"])
+    return found.select("file", *_slot(F.col("file"), pattern), "bytes", F.col("value").alias("header"))
 
 
 def csv_inventory(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
@@ -67,7 +69,7 @@ def read_round_csv(spark: SparkSession, path: str, pattern: str = PATTERN, multi
     driver holds the files' paths, as any reader does.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for r in csv_headers(spark, path, pattern).select("file", "header").toLocalIterator():
+    for r in csv_headers(spark, path, pattern).select("file", "header").collect():
         groups.setdefault(tuple(column_names(r.header)), []).append(unquote(r.file))
     file = F.col("_metadata.file_path").alias("file")
     parts = []
