@@ -185,6 +185,8 @@ class Index:
 
 def dense_starts(at: np.ndarray, width: int, least: int, last: int) -> np.ndarray:
     """Starts from 0 to ``last`` of windows of ``width`` places that hold at least ``least`` of the ascending places."""
+    if len(at) < least:
+        return np.zeros(0, np.int64)
     low = np.maximum(at[least - 1 :] - width + 1, 0)
     high = np.minimum(at[: len(at) - least + 1], last)
     ok = low <= high
