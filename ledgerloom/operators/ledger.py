@@ -97,8 +97,8 @@ def season_slug(label: Column) -> Column:
 
 
 def regular_season(matches: DataFrame, keys: list[str], order: list[str], limit: str) -> DataFrame:
-    """The first ``limit`` parsed rows of every file; a file without a declared limit keeps all."""
-    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    """The first ``limit`` parsed rows of every file, by ``order`` with nulls last; a file without a declared limit keeps all."""
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*map(F.asc_nulls_last, order)))
     return matches.withColumn("_n", at).where(F.col(limit).isNull() | (F.col("_n") <= F.col(limit))).drop("_n")
 
 
